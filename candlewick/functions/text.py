@@ -11,9 +11,10 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _alert_message(alert_type: pd.Series, symbol: pd.Series, change_pct: pd.Series, avg_price: pd.Series,
                    price: pd.Series, quantity: pd.Series, avg_volume: pd.Series) -> pd.Series:
     out = []
