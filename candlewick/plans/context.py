@@ -18,3 +18,31 @@ class Inputs:
         if self._trades is None:
             self._trades = trades_from_events(self.spark, self.sf_dir)
         return self._trades
+
+    @property
+    def stats(self) -> DataFrame:
+        if getattr(self, "_stats", None) is None:
+            from candlewick.operators.detect import rolling_stats
+            self._stats = rolling_stats(self.trades)
+        return self._stats
+
+    @property
+    def raw_alerts(self) -> DataFrame:
+        if getattr(self, "_raw", None) is None:
+            from candlewick.operators.detect import alerts_from_stats
+            self._raw = alerts_from_stats(self.stats)
+        return self._raw
+
+    @property
+    def final_alerts(self) -> DataFrame:
+        if getattr(self, "_final", None) is None:
+            from candlewick.operators.alerts import alerts_final
+            self._final = alerts_final(self.raw_alerts)
+        return self._final
+
+    @property
+    def candles(self) -> DataFrame:
+        if getattr(self, "_candles", None) is None:
+            from candlewick.operators.candles import ohlcv_all
+            self._candles = ohlcv_all(self.trades)
+        return self._candles

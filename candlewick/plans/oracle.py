@@ -14,7 +14,8 @@ D = "DECIMAL(18,6)"
 
 
 def _with(*ctes: str) -> str:
-    return "WITH trades AS (" + TRADES_SQL + ")" + "".join(", " + c for c in ctes) + "\n"
+    rec = "RECURSIVE " if any("walk" in c for c in ctes) else ""
+    return f"WITH {rec}trades AS (" + TRADES_SQL + ")" + "".join(", " + c for c in ctes) + "\n"
 
 
 def _ohlcv_cte(name: str, w: int) -> str:
@@ -133,3 +134,73 @@ WHERE u >= ref_u - {Q.RETENTION_S * 1_000_000}""",
 }
 
 _UNUSED = instruments_sql  # used by later oracles
+
+KEPT = """ra AS (
+  SELECT *, row_number() OVER (PARTITION BY alert_type, symbol ORDER BY u, seq) AS rn,
+         CASE alert_type WHEN 'CIRCUIT_BREAKER' THEN 300000000 WHEN 'PRICE_SPIKE' THEN 60000000
+                         WHEN 'VOLUME_SPIKE' THEN 30000000 ELSE 60000000 END AS cd
+  FROM raw_alerts),
+walk(alert_type, symbol, rn, last_kept, kept) AS (
+  SELECT alert_type, symbol, rn, u AS last_kept, true AS kept FROM ra WHERE rn = 1
+  UNION ALL
+  SELECT n.alert_type, n.symbol, n.rn,
+         CASE WHEN n.u >= w.last_kept + n.cd THEN n.u ELSE w.last_kept END,
+         n.u >= w.last_kept + n.cd
+  FROM walk w JOIN ra n ON n.alert_type = w.alert_type AND n.symbol = w.symbol AND n.rn = w.rn + 1),
+kept AS (SELECT ra.* EXCLUDE (rn, cd) FROM ra JOIN walk USING (alert_type, symbol, rn) WHERE walk.kept),
+staged AS (
+  SELECT *, max(CASE WHEN alert_type = 'CIRCUIT_BREAKER' THEN u END)
+              OVER (PARTITION BY symbol ORDER BY u, seq, fan ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS trip_u
+  FROM kept),
+final AS (
+  SELECT * EXCLUDE (severity, trip_u), severity AS original_severity,
+         CASE WHEN trip_u IS NULL THEN 'CLOSED' WHEN u - trip_u <= 300000000 THEN 'OPEN' ELSE 'HALF_OPEN' END
+           AS breaker_state,
+         CASE WHEN alert_type = 'PRICE_SPIKE' AND trip_u IS NOT NULL THEN 'CRITICAL' ELSE severity END AS severity
+  FROM staged),
+acks AS (
+  SELECT alert_id, u + 60000000 AS req_u, 'api-user' AS acknowledged_by FROM final WHERE alert_type = 'CIRCUIT_BREAKER'
+  UNION ALL
+  SELECT alert_id, u + 120000000, 'desk-2' FROM final WHERE alert_type = 'CIRCUIT_BREAKER'
+  UNION ALL
+  SELECT alert_id, u + 60000000, 'api-user' FROM raw_alerts WHERE alert_id NOT IN (SELECT alert_id FROM final)),
+ack_win AS (
+  SELECT alert_id, req_u, acknowledged_by FROM (
+    SELECT *, row_number() OVER (PARTITION BY alert_id ORDER BY req_u, acknowledged_by) AS r FROM acks) WHERE r = 1),
+alert_table AS (
+  SELECT f.*, w.alert_id IS NOT NULL AS acknowledged, make_timestamp(w.req_u) AS acknowledged_at,
+         w.acknowledged_by
+  FROM final f LEFT JOIN ack_win w USING (alert_id))"""
+
+_A = _with(ROLLING, RAW_ALERTS, KEPT)
+ORACLE.update({
+    "alerts_kept": _A + "SELECT * FROM kept",
+    "breaker_state": _A + """SELECT alert_id, symbol, triggered_at, breaker_state, severity
+FROM final WHERE alert_type = 'PRICE_SPIKE'""",
+    "alerts_final": _A + """SELECT alert_id, alert_type, severity, original_severity, symbol, message, triggered_at,
+       trade_id, seq, fan, breaker_state, change_pct, avg_price, current_price, threshold, quantity, avg_volume,
+       multiplier FROM final""",
+    "alert_deliveries": _A + """SELECT alert_id, alert_type, severity, symbol, channel,
+       CASE WHEN channel LIKE 'webhook%' THEN '*[' || severity || '] ' || alert_type || '*' || chr(10) || message END
+         AS webhook_text,
+       CASE WHEN channel LIKE 'webhook%' THEN CAST(json_object(
+         'text', '*[' || severity || '] ' || alert_type || '*' || chr(10) || message,
+         'alert', json_object('id', alert_id, 'type', alert_type, 'severity', severity, 'symbol', symbol,
+                              'ts', strftime(triggered_at, '%Y-%m-%dT%H:%M:%S.%f'))) AS VARCHAR) END AS payload
+FROM final, unnest(CASE severity WHEN 'CRITICAL' THEN ['webhook_stub', 'log_critical']
+                                 WHEN 'HIGH' THEN ['webhook_stub', 'log_high']
+                                 WHEN 'MEDIUM' THEN ['log_medium'] ELSE ['log_low'] END) AS ch(channel)""",
+    "alert_counts": _A + """SELECT CAST(grouping_id(symbol, severity) AS INTEGER) AS gid, symbol, severity,
+       count(*) AS alert_count FROM final GROUP BY GROUPING SETS ((), (symbol), (severity))""",
+    "recent_alerts": _A + """SELECT alert_id, alert_type, severity, symbol, message, triggered_at
+FROM final ORDER BY u DESC, seq DESC, fan DESC LIMIT 100""",
+    "alerts_filtered": _A + """SELECT alert_id, alert_type, severity, symbol, message, triggered_at, acknowledged
+FROM alert_table WHERE symbol = 'SYM3' AND severity = 'CRITICAL' AND NOT acknowledged
+ORDER BY u DESC, seq DESC, fan DESC LIMIT 50""",
+    "alert_ack": _A + """SELECT a.alert_id, make_timestamp(a.req_u) AS requested_at, a.acknowledged_by,
+       CASE WHEN f.alert_id IS NOT NULL AND w.req_u = a.req_u AND w.acknowledged_by = a.acknowledged_by
+            THEN 'acknowledged' ELSE 'not_found' END AS status
+FROM acks a JOIN ack_win w USING (alert_id) LEFT JOIN final f USING (alert_id)""",
+    "whales": _A + """SELECT alert_id, symbol, triggered_at, quantity, avg_volume, multiplier
+FROM final WHERE alert_type = 'VOLUME_SPIKE'""",
+})

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.operators import candles, detect, views
+from candlewick.operators import alerts, candles, detect, views
 from candlewick.plans.context import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +22,18 @@ VIEW_TTL_S = 30
 COUNTER_TTL_S = 4 * 3_600
 
 
+FINAL_COLUMNS = [
+    "alert_id", "alert_type", "severity", "original_severity", "symbol", "message", "triggered_at", "trade_id",
+    "seq", "fan", "breaker_state", "change_pct", "avg_price", "current_price", "threshold", "quantity",
+    "avg_volume", "multiplier",
+]
+
+
+def _acked_table(i: Inputs) -> DataFrame:
+    req = alerts.ack_requests_fixture(i.raw_alerts, i.final_alerts)
+    return alerts.acknowledge(i.final_alerts, req)[1]
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
@@ -45,7 +57,18 @@ QUERIES: dict[str, Query] = {
     "active_views": _q(lambda i: views.active_views(i.trades, VIEW_TTL_S, COUNTER_TTL_S)),
     "retained_trades": _q(lambda i: views.retained_trades(i.trades, retention_s=RETENTION_S)),
     "rolling_stats": _q(lambda i: detect.rolling_stats(i.trades)),
-    "alerts_raw": _q(lambda i: detect.alerts_raw(i.trades)),
+    "alerts_raw": _q(lambda i: i.raw_alerts),
+    "alerts_kept": _q(lambda i: alerts.dedup_cooldown(i.raw_alerts)),
+    "breaker_state": _q(lambda i: alerts.breaker_report(i.final_alerts)),
+    "alerts_final": _q(lambda i: i.final_alerts.select(*FINAL_COLUMNS)),
+    "alert_deliveries": _q(lambda i: alerts.deliveries(i.final_alerts)),
+    "alert_counts": _q(lambda i: alerts.alert_counts_df(i.final_alerts)),
+    "recent_alerts": _q(lambda i: alerts.recent_alerts(i.final_alerts, 100)),
+    "alerts_filtered": _q(lambda i: alerts.alerts_filtered(_acked_table(i), symbol="sym3", severity="critical",
+                                                           unacked_only=True, limit=50)),
+    "alert_ack": _q(lambda i: alerts.acknowledge(i.final_alerts, alerts.ack_requests_fixture(
+        i.raw_alerts, i.final_alerts))[0]),
+    "whales": _q(lambda i: alerts.whales(i.final_alerts)),
 }
 
-FLAGSHIP = "alerts_raw"
+FLAGSHIP = "alerts_final"
