@@ -204,3 +204,128 @@ FROM acks a JOIN ack_win w USING (alert_id) LEFT JOIN final f USING (alert_id)""
     "whales": _A + """SELECT alert_id, symbol, triggered_at, quantity, avg_volume, multiplier
 FROM final WHERE alert_type = 'VOLUME_SPIKE'""",
 })
+
+LATEST = """latest AS (SELECT symbol, price, ts, side FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY u DESC, seq DESC) AS rn FROM trades) WHERE rn = 1)"""
+RECENT = """recent AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY u DESC, seq DESC) AS rn FROM trades) WHERE rn <= 100)"""
+CLOSED = """closed AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, window_seconds ORDER BY window_start DESC) AS rn FROM candles)
+  WHERE rn = 2)"""
+COUNTS = f"""counts AS (SELECT symbol, count(*) AS trade_count FROM trades, ref
+  WHERE u > ref_u - {Q.TRAILING_COUNT_S * 1_000_000} AND u <= ref_u GROUP BY symbol)"""
+PRESSURE = f"""pressure AS (
+  SELECT symbol, CAST(buy_d AS DOUBLE) AS buy_volume, CAST(sell_d AS DOUBLE) AS sell_volume,
+         CASE WHEN buy_d + sell_d <> 0 THEN CAST(buy_d AS DOUBLE) / CAST(buy_d + sell_d AS DOUBLE) * 100 ELSE 50.0 END
+           AS buy_pct,
+         CASE WHEN buy_d + sell_d <> 0 THEN CAST(sell_d AS DOUBLE) / CAST(buy_d + sell_d AS DOUBLE) * 100 ELSE 50.0 END
+           AS sell_pct,
+         buy_count, sell_count
+  FROM (SELECT symbol,
+               sum(CASE WHEN side = 'BUY' THEN CAST(quantity AS {D}) ELSE 0 END) AS buy_d,
+               sum(CASE WHEN side <> 'BUY' THEN CAST(quantity AS {D}) ELSE 0 END) AS sell_d,
+               CAST(sum(CASE WHEN side = 'BUY' THEN 1 ELSE 0 END) AS BIGINT) AS buy_count,
+               CAST(sum(CASE WHEN side <> 'BUY' THEN 1 ELSE 0 END) AS BIGINT) AS sell_count
+        FROM recent GROUP BY symbol))"""
+MOVERS = """movers AS (
+  SELECT *, CASE WHEN change_pct >= 0 THEN 'up' ELSE 'down' END AS direction,
+         CASE WHEN round(change_pct, 4) >= 0 THEN 'gainers' ELSE 'losers' END AS side
+  FROM (SELECT l.symbol, l.price, c.open_price AS open, c.total_volume AS volume, c.vwap,
+               CASE WHEN c.open_price <> 0 THEN (l.price - c.open_price) / c.open_price * 100 ELSE 0.0 END AS change_pct
+        FROM latest l JOIN closed c ON c.symbol = l.symbol AND c.window_seconds = 300))"""
+_LB = ", ".join(str(x) for x in [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0])
+HIST = f"""hist AS (
+  SELECT le, (SELECT count(*) FROM trades WHERE latency_us / 1e6 <= le) AS cumulative_count
+  FROM (SELECT unnest([{_LB}, 'inf'::DOUBLE]) AS le))"""
+
+_M = _with(ALL_CANDLES, LATEST, RECENT, CLOSED, REF, COUNTS, PRESSURE)
+ORACLE.update({
+    "pressure": _M + "SELECT * FROM pressure",
+    "top_movers": _with(ALL_CANDLES, LATEST, CLOSED, MOVERS) + """
+SELECT side, CAST(rank AS INTEGER) AS rank, symbol, price, open, change_pct, direction, volume, vwap FROM (
+  SELECT *, row_number() OVER (PARTITION BY side ORDER BY abs(change_pct) DESC, symbol) AS rank FROM movers)
+WHERE rank <= 5""",
+    "market_summary": _with(ALL_CANDLES, LATEST, CLOSED, REF, COUNTS, ROLLING, RAW_ALERTS, KEPT) + """
+SELECT * FROM (
+  SELECT count(*) AS active_symbols, CAST(sum(coalesce(n.trade_count, 0)) AS BIGINT) AS total_trades,
+         CAST(round(sum(coalesce(CAST(c.total_volume AS DECIMAL(24,6)), 0)), 2) AS DOUBLE) AS total_volume_1m
+  FROM latest l LEFT JOIN counts n USING (symbol)
+       LEFT JOIN (SELECT * FROM closed WHERE window_seconds = 60) c USING (symbol)),
+  (SELECT count(*) AS total_alerts,
+          CAST(sum(CASE WHEN severity = 'CRITICAL' THEN 1 ELSE 0 END) AS BIGINT) AS critical_alerts,
+          CAST(sum(CASE WHEN severity = 'HIGH' THEN 1 ELSE 0 END) AS BIGINT) AS high_alerts FROM final)""",
+    "symbol_stats": _M + """
+SELECT l.symbol, l.price, CAST(coalesce(n.trade_count, 0) AS BIGINT) AS daily_trades, c.vwap AS vwap_1m,
+       c.total_volume AS volume_1m
+FROM latest l LEFT JOIN counts n USING (symbol) LEFT JOIN (SELECT * FROM closed WHERE window_seconds = 60) c USING (symbol)""",
+    "scanner": _M + """
+SELECT l.symbol, l.price, c.open_price AS open_5m,
+       CASE WHEN c.open_price IS NOT NULL THEN
+         CASE WHEN c.open_price <> 0 THEN (l.price - c.open_price) / c.open_price * 100 ELSE 0.0 END END AS change_pct,
+       c.vwap AS vwap_5m, c.total_volume AS volume_5m, p.buy_pct,
+       CASE WHEN p.buy_pct >= 60.0 THEN 'BUY' WHEN p.buy_pct <= 40.0 THEN 'SELL' ELSE 'NEUTRAL' END AS signal
+FROM latest l LEFT JOIN (SELECT * FROM closed WHERE window_seconds = 300) c USING (symbol)
+     LEFT JOIN pressure p USING (symbol)""",
+    "watchlist": _with(LATEST) + f"""
+SELECT ins.asset_class, l.symbol, ins.instrument, ins.exchange, l.price, l.ts
+FROM latest l JOIN {instruments_sql()} ON ins.symbol = l.symbol""",
+    "price_levels": _with(LATEST, RECENT) + f"""
+, mid AS (SELECT symbol, price AS mid, price * 1e-4 AS tick FROM latest),
+ladder AS (SELECT symbol, mid, tick, book_side, level FROM mid, (VALUES ('bid'), ('ask')) s(book_side),
+           (SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS level)),
+binned AS (
+  SELECT r.symbol, CASE WHEN r.price < m.mid THEN 'bid' ELSE 'ask' END AS book_side,
+         CAST(ceil(abs(r.price - m.mid) / m.tick) AS INTEGER) AS level, sum(CAST(r.quantity AS {D})) AS q
+  FROM recent r JOIN mid m USING (symbol)
+  WHERE abs(r.price - m.mid) > 0 AND ceil(abs(r.price - m.mid) / m.tick) <= 10
+  GROUP BY ALL)
+SELECT symbol, book_side, level,
+       CASE WHEN book_side = 'bid' THEN mid - tick * level ELSE mid + tick * level END AS price,
+       CAST(coalesce(q, 0) AS DOUBLE) AS quantity,
+       (CASE WHEN book_side = 'bid' THEN mid - tick * level ELSE mid + tick * level END)
+         * CAST(coalesce(q, 0) AS DOUBLE) AS total
+FROM ladder LEFT JOIN binned USING (symbol, book_side, level)""",
+    "trade_rate_1m": _with() + """
+SELECT make_timestamp((u // 60000000) * 60000000) AS window_start, symbol, count(*) AS trades,
+       count(*) / 60.0 AS rate_per_sec FROM trades GROUP BY ALL""",
+    "alert_rate_1m": _A + """
+SELECT make_timestamp(r.w) AS window_start, r.received, CAST(coalesce(a.accepted, 0) AS BIGINT) AS accepted,
+       CAST(r.received - coalesce(a.accepted, 0) AS BIGINT) AS suppressed
+FROM (SELECT (u // 60000000) * 60000000 AS w, count(*) AS received FROM raw_alerts GROUP BY 1) r
+LEFT JOIN (SELECT (u // 60000000) * 60000000 AS w, count(*) AS accepted FROM final GROUP BY 1) a USING (w)""",
+    "alert_increase_1h": _with(ROLLING, RAW_ALERTS, KEPT, REF) + """
+SELECT alert_type, severity, count(*) AS increase FROM final, ref
+WHERE u > ref_u - 3600000000 AND u <= ref_u GROUP BY ALL""",
+    "label_counters": _A + """
+SELECT 'trades_by_symbol' AS counter, symbol AS label, count(*) AS value FROM trades GROUP BY ALL
+UNION ALL SELECT 'trades_by_symbol_side', symbol || ':' || side, count(*) FROM trades GROUP BY ALL
+UNION ALL SELECT 'alerts_generated', alert_type || ':' || severity, count(*) FROM raw_alerts GROUP BY ALL
+UNION ALL SELECT 'alerts_received', alert_type, count(*) FROM raw_alerts GROUP BY ALL
+UNION ALL SELECT 'alerts_suppressed', alert_type, count(*) FROM raw_alerts
+          WHERE alert_id NOT IN (SELECT alert_id FROM final) GROUP BY ALL
+UNION ALL SELECT 'alerts_delivered', channel, count(*) FROM final, unnest(CASE severity
+            WHEN 'CRITICAL' THEN ['webhook_stub', 'log_critical'] WHEN 'HIGH' THEN ['webhook_stub', 'log_high']
+            WHEN 'MEDIUM' THEN ['log_medium'] ELSE ['log_low'] END) AS ch(channel) GROUP BY ALL
+UNION ALL SELECT 'rows_written', 'trades', count(*) FROM trades
+UNION ALL SELECT 'rows_written', 'trade_alerts', count(*) FROM final""",
+    "dedup_rate": _A + """
+SELECT r.alert_type, r.received, CAST(coalesce(k.kept, 0) AS BIGINT) AS kept,
+       r.received - coalesce(k.kept, 0) AS suppressed,
+       (r.received - coalesce(k.kept, 0)) / r.received AS suppressed_ratio
+FROM (SELECT alert_type, count(*) AS received FROM raw_alerts GROUP BY 1) r
+LEFT JOIN (SELECT alert_type, count(*) AS kept FROM final GROUP BY 1) k USING (alert_type)""",
+    "gauges": _A + """
+SELECT count(DISTINCT symbol) AS active_symbols, count(DISTINCT symbol) * 3 AS open_windows,
+       (SELECT count(DISTINCT symbol) FROM final WHERE alert_type = 'CIRCUIT_BREAKER') AS open_breakers,
+       count(*) AS trades_total FROM trades""",
+    "latency_histogram": _with(HIST) + "SELECT le, cumulative_count FROM hist",
+})
+
+ORACLE["latency_quantiles"] = _with(HIST) + """
+, hb AS (SELECT le, cumulative_count AS c, lag(le, 1, 0.0) OVER (ORDER BY le) AS lo,
+                lag(cumulative_count, 1, 0) OVER (ORDER BY le) AS c_lo FROM hist WHERE le < 'inf'::DOUBLE),
+tot AS (SELECT count(*) AS n FROM trades),
+qs AS (SELECT CAST(unnest([0.5, 0.95, 0.99]) AS DOUBLE) AS quantile)
+SELECT quantile, coalesce((SELECT lo + (le - lo) * (quantile * n - c_lo) / (c - c_lo) FROM hb
+                           WHERE c >= quantile * n ORDER BY le LIMIT 1), 1.0) AS latency_s
+FROM qs, tot"""

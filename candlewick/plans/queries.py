@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from candlewick.operators import alerts, candles, detect, views
+from candlewick.operators import alerts, candles, detect, market, metrics, views
+from candlewick.sources.instruments import instruments
 from candlewick.plans.context import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,6 +35,14 @@ def _acked_table(i: Inputs) -> DataFrame:
     return alerts.acknowledge(i.final_alerts, req)[1]
 
 
+def _closed(i: Inputs) -> DataFrame:
+    return candles.last_closed_candle(i.candles)
+
+
+def _counts(i: Inputs) -> DataFrame:
+    return views.trade_counts(i.trades, window_s=TRAILING_COUNT_S)
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
@@ -69,6 +78,23 @@ QUERIES: dict[str, Query] = {
     "alert_ack": _q(lambda i: alerts.acknowledge(i.final_alerts, alerts.ack_requests_fixture(
         i.raw_alerts, i.final_alerts))[0]),
     "whales": _q(lambda i: alerts.whales(i.final_alerts)),
+    "pressure": _q(lambda i: market.pressure(i.trades)),
+    "top_movers": _q(lambda i: market.top_movers(views.latest_price(i.trades), _closed(i))),
+    "market_summary": _q(lambda i: market.market_summary(views.latest_price(i.trades), _counts(i), _closed(i),
+                                                         i.final_alerts)),
+    "symbol_stats": _q(lambda i: market.symbol_stats(views.latest_price(i.trades), _counts(i), _closed(i))),
+    "scanner": _q(lambda i: market.scanner(views.latest_price(i.trades), _closed(i), market.pressure(i.trades))),
+    "watchlist": _q(lambda i: market.watchlist(views.latest_price(i.trades), instruments(i.spark))),
+    "price_levels": _q(lambda i: market.price_levels(i.trades, depth=10)),
+    "trade_rate_1m": _q(lambda i: metrics.trade_rate_1m(i.trades)),
+    "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts, i.final_alerts)),
+    "alert_increase_1h": _q(lambda i: metrics.alert_increase(i.final_alerts, i.trades, 3_600)),
+    "label_counters": _q(lambda i: metrics.label_counters(i.trades, i.raw_alerts, i.final_alerts,
+                                                          alerts.deliveries(i.final_alerts))),
+    "dedup_rate": _q(lambda i: metrics.dedup_rate(i.raw_alerts, i.final_alerts)),
+    "gauges": _q(lambda i: metrics.gauges(i.trades, i.final_alerts)),
+    "latency_histogram": _q(lambda i: metrics.latency_histogram(i.trades)),
+    "latency_quantiles": _q(lambda i: metrics.latency_quantiles(i.trades)),
 }
 
 FLAGSHIP = "alerts_final"
