@@ -329,3 +329,38 @@ qs AS (SELECT CAST(unnest([0.5, 0.95, 0.99]) AS DOUBLE) AS quantile)
 SELECT quantile, coalesce((SELECT lo + (le - lo) * (quantile * n - c_lo) / (c - c_lo) FROM hb
                            WHERE c >= quantile * n ORDER BY le LIMIT 1), 1.0) AS latency_s
 FROM qs, tot"""
+
+ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+FINISHED = """finished AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, window_seconds ORDER BY window_start DESC) AS rn FROM candles)
+  WHERE rn > 1)"""
+_FAULT = "CASE seq % 101 WHEN 7 THEN 'malformed' WHEN 17 THEN 'missing_key' WHEN 27 THEN 'extra_key' " \
+         "WHEN 37 THEN 'bad_type' WHEN 47 THEN 'bad_side' END"
+ORACLE.update({
+    "trades_clean": _with() + f"""
+SELECT trade_id, symbol, price, quantity,
+       CAST(CAST(CAST(price AS {D}) * CAST(quantity AS {D}) AS DECIMAL(24,6)) AS DOUBLE) AS trade_value,
+       side, exchange, trader_id, ts, seq, latency_us
+FROM trades WHERE {_FAULT} IS NULL""",
+    "quarantine": _with() + f"""
+SELECT seq AS offset, {_FAULT} AS reason FROM trades WHERE {_FAULT} IS NOT NULL
+UNION ALL
+SELECT seq + 1000000000000, {_FAULT} FROM trades WHERE {_FAULT} IS NOT NULL AND seq % 23 = 0""",
+    "trade_messages": _with() + f"""
+SELECT symbol AS key, trade_id, symbol, price, quantity, side, exchange, trader_id,
+       {ISO.format(c='ts')} AS timestamp, seq AS sequence, 'application/json' AS content_type FROM trades""",
+    "alert_messages": _A + """
+SELECT symbol AS key, NULL::VARCHAR AS reason, alert_id, alert_type, severity, symbol, message, triggered_at,
+       change_pct, avg_price, current_price, threshold, quantity, avg_volume, multiplier FROM final""",
+    "candle_messages": _with(ALL_CANDLES, FINISHED) + f"""
+SELECT symbol AS key, symbol, window_seconds AS window_sec, {ISO.format(c='window_start')} AS window_start,
+       open_price AS open, high_price AS high, low_price AS low, close_price AS close, total_volume AS volume,
+       vwap, trade_count AS trades FROM finished""",
+    "channel_envelopes": _with(ROLLING, RAW_ALERTS, KEPT, ALL_CANDLES, FINISHED) + f"""
+SELECT 'alerts' AS type, symbol AS key, symbol AS data_symbol, alert_id AS item FROM final
+UNION ALL
+SELECT 'aggregates', symbol, symbol, CAST(window_seconds AS VARCHAR) || '@' || {ISO.format(c='window_start')}
+FROM finished""",
+    "export_csv": _with() + """
+SELECT trade_id, symbol, price, quantity, side, exchange, ts FROM trades ORDER BY u DESC, seq DESC LIMIT 500""",
+})

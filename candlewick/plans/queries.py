@@ -9,8 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from candlewick.operators import alerts, candles, detect, market, metrics, views
+from candlewick.functions.numeric import dec
+from candlewick.session import scratch_path
+from candlewick.sinks import messages, tables
+from candlewick.sources import decode
 from candlewick.sources.instruments import instruments
 from candlewick.plans.context import Inputs
 
@@ -43,6 +48,54 @@ def _counts(i: Inputs) -> DataFrame:
     return views.trade_counts(i.trades, window_s=TRAILING_COUNT_S)
 
 
+def _decoded(i: Inputs) -> DataFrame:
+    return decode.decode_trades(decode.fixture_messages(i.trades))
+
+
+def _trades_clean(i: Inputs) -> DataFrame:
+    t = decode.dedup_trades(decode.valid_trades(_decoded(i)))
+    return t.select("trade_id", "symbol", "price", "quantity",
+                    (dec("price") * dec("quantity")).cast("decimal(24,6)").cast("double").alias("trade_value"),
+                    "side", "exchange", "trader_id", "ts", "seq", "latency_us")
+
+
+def _trade_messages(i: Inputs) -> DataFrame:
+    m = messages.trade_messages(i.trades)
+    p = F.from_json("value", decode.TRADE_WIRE)
+    return m.select("key", p.alias("p"), F.col("headers")[0]["value"].cast("string").alias("content_type")).select(
+        "key", "p.trade_id", "p.symbol", "p.price", "p.quantity", "p.side", "p.exchange", "p.trader_id",
+        "p.timestamp", "p.sequence", "content_type")
+
+
+def _alert_messages(i: Inputs) -> DataFrame:
+    d = decode.decode_alerts(messages.alert_messages(i.final_alerts))
+    return d.select("key", "reason", "alert_id", "alert_type", "severity", "symbol", "message", "triggered_at",
+                    "details.*")
+
+
+def _candle_messages(i: Inputs) -> DataFrame:
+    m = messages.candle_messages(i.candles)
+    g = lambda f, t="string": F.get_json_object("value", f"$.{f}").cast(t)
+    return m.select("key", g("symbol").alias("symbol"), g("window_sec", "int").alias("window_sec"),
+                    g("window_start").alias("window_start"), g("open", "double").alias("open"),
+                    g("high", "double").alias("high"), g("low", "double").alias("low"),
+                    g("close", "double").alias("close"), g("volume", "double").alias("volume"),
+                    g("vwap", "double").alias("vwap"), g("trades", "long").alias("trades"))
+
+
+def _envelopes(i: Inputs) -> DataFrame:
+    e = messages.channel_envelopes(i.final_alerts, i.candles)
+    g = lambda f: F.get_json_object("value", f"$.{f}")
+    item = F.coalesce(g("data.alert_id"), F.concat(g("data.window_sec"), F.lit("@"), g("data.window_start")))
+    return e.select(g("type").alias("type"), "key", g("data.symbol").alias("data_symbol"), item.alias("item"))
+
+
+def _export_csv(i: Inputs) -> DataFrame:
+    path = scratch_path(i.spark, "export-csv")
+    tables.export_csv(i.trades, path, 500)
+    return tables.read_export(i.spark, path)
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
@@ -95,6 +148,13 @@ QUERIES: dict[str, Query] = {
     "gauges": _q(lambda i: metrics.gauges(i.trades, i.final_alerts)),
     "latency_histogram": _q(lambda i: metrics.latency_histogram(i.trades)),
     "latency_quantiles": _q(lambda i: metrics.latency_quantiles(i.trades)),
+    "trades_clean": _q(_trades_clean),
+    "quarantine": _q(lambda i: decode.quarantine(_decoded(i)).select("offset", "reason")),
+    "trade_messages": _q(_trade_messages),
+    "alert_messages": _q(_alert_messages),
+    "candle_messages": _q(_candle_messages),
+    "channel_envelopes": _q(_envelopes),
+    "export_csv": _q(_export_csv),
 }
 
 FLAGSHIP = "alerts_final"
