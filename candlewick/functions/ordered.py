@@ -31,11 +31,11 @@ def prefix_max_before(
     value: Column,
     out: str,
     u: str = "u",
-    seq: str = "seq",
+    seq: str | Sequence[str] = "seq",
     bucket_us: int = DEFAULT_BUCKET_US,
 ) -> DataFrame:
     """Add ``out`` = max(value) over the rows of the same key strictly before
-    this row in (u, seq) order; NULL when there is none.
+    this row in (u, *seq) order; NULL when there is none.
 
     This is an as-of lookup for monotone state ("last trip time", "previous
     alert time", "current session start"): in-bucket part by a window on
@@ -44,7 +44,7 @@ def prefix_max_before(
     ks = _keys(keys)
     tmp_b, tmp_v, tmp_in, tmp_carry = "__b", "__v", "__in", "__carry"
     d = df.withColumn(tmp_b, idiv(u, bucket_us)).withColumn(tmp_v, value)
-    w_in = (Window.partitionBy(*ks, tmp_b).orderBy(u, seq)
+    w_in = (Window.partitionBy(*ks, tmp_b).orderBy(u, *_keys(seq))
             .rowsBetween(Window.unboundedPreceding, -1))
     d = d.withColumn(tmp_in, F.max(tmp_v).over(w_in))
     per_bucket = d.groupBy(*ks, tmp_b).agg(F.max(tmp_v).alias("__bmax"))

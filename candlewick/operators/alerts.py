@@ -141,7 +141,7 @@ def breaker_states(kept: DataFrame, timeout_s: int = BREAKER_TIMEOUT_S, reset_af
     none -> CLOSED, within ``timeout_s`` -> OPEN, later -> HALF_OPEN. Nothing
     resets a breaker unless ``reset_after_s`` is given (D6)."""
     k = prefix_max_before(kept, "symbol", F.when(F.col("alert_type") == "CIRCUIT_BREAKER", F.col("u")),
-                          "trip_u", bucket_us=bucket_us)
+                          "trip_u", seq=["seq", "fan"], bucket_us=bucket_us)
     age = F.col("u") - F.col("trip_u")
     state = F.when(F.col("trip_u").isNull(), "CLOSED")
     if reset_after_s is not None:

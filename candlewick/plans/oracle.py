@@ -364,3 +364,15 @@ FROM finished""",
     "export_csv": _with() + """
 SELECT trade_id, symbol, price, quantity, side, exchange, ts FROM trades ORDER BY u DESC, seq DESC LIMIT 500""",
 })
+
+ORACLE.update({
+    "stream_candles": _with(ALL_CANDLES, REF) + f"""
+SELECT {CANDLE_COLS} FROM candles, ref WHERE ws_u + window_seconds * 1000000 <= ref_u - 10000000""",
+    "stream_candles_upsert": ORACLE["ohlcv_all"],
+    "stream_detect": ORACLE["alerts_raw"],
+    "stream_alerts": _A + """SELECT alert_id, alert_type, severity, symbol, message, trade_id, u, seq, fan, change_pct,
+       avg_price, current_price, threshold, quantity, avg_volume, multiplier, original_severity, breaker_state,
+       triggered_at FROM final""",
+    "stream_prices": ORACLE["latest_price"],
+    "stream_trades_sink": ORACLE["trades_clean"],
+})

@@ -17,6 +17,7 @@ from candlewick.session import scratch_path
 from candlewick.sinks import messages, tables
 from candlewick.sources import decode
 from candlewick.sources.instruments import instruments
+from candlewick.plans import streaming_queries as SQ
 from candlewick.plans.context import Inputs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,6 +156,12 @@ QUERIES: dict[str, Query] = {
     "candle_messages": _q(_candle_messages),
     "channel_envelopes": _q(_envelopes),
     "export_csv": _q(_export_csv),
+    "stream_candles": _q(SQ.stream_candles),
+    "stream_candles_upsert": _q(SQ.stream_candles_upsert),
+    "stream_detect": _q(SQ.stream_detect),
+    "stream_alerts": _q(SQ.stream_alerts),
+    "stream_prices": _q(SQ.stream_prices),
+    "stream_trades_sink": _q(SQ.stream_trades_sink),
 }
 
 FLAGSHIP = "alerts_final"

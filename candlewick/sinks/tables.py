@@ -95,3 +95,16 @@ CSV_SCHEMA = ("trade_id string, symbol string, price double, quantity double, si
 def read_export(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.option("header", True).schema(CSV_SCHEMA).csv(path)
     return df.withColumn("ts", F.to_timestamp_ntz("ts"))
+
+
+def upsert_latest(batch: DataFrame, path: str, key: str, order: list[str], staging: str) -> None:
+    """X12 snapshot: one row per ``key``, the greatest ``order`` wins across
+    the stored snapshot and the new batch (small table: full rewrite)."""
+    spark = batch.sparkSession
+    both = batch
+    if _exists(spark, path):
+        both = spark.read.parquet(path).unionByName(batch.select(*spark.read.parquet(path).columns))
+    cols = [c for c in both.columns if c != key]
+    merged = both.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select(key, "r.*")
+    merged.write.mode("overwrite").parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(path)

@@ -1,0 +1,131 @@
+"""Keyed stateful processors for the streaming jobs.
+
+Row windows are not allowed on streams, so the per-symbol ring buffer and
+the alert engine state live in ``applyInPandasWithState`` (Arrow batches, no
+state server). Rows of one micro-batch reach the function in no promised
+order: each group's chunks are concatenated and sorted by (u, seq) before the
+fold. Results equal the batch operators bit for bit: the baseline mean is an
+exact integer sum of micro-units, divided the same way as the decimal sum.
+"""
+from __future__ import annotations
+
+import hashlib
+from collections import deque
+from decimal import ROUND_HALF_UP, Decimal
+
+import pandas as pd
+from pyspark.sql import types as T
+
+from candlewick.operators.alerts import BREAKER_TIMEOUT_S, COOLDOWNS_S, DEFAULT_COOLDOWN_S
+from candlewick.operators.detect import CIRCUIT_BREAKER, LOOKBACK, MIN_PRIOR, PRICE_SPIKE, VOLUME_MULTIPLIER
+
+_MICRO = Decimal("0.000001")
+
+DETECT_STATE = T.StructType([T.StructField("prices", T.ArrayType(T.LongType())),
+                             T.StructField("qtys", T.ArrayType(T.LongType()))])
+RAW_ALERT = T.StructType([
+    T.StructField("alert_id", T.StringType()), T.StructField("alert_type", T.StringType()),
+    T.StructField("severity", T.StringType()), T.StructField("symbol", T.StringType()),
+    T.StructField("message", T.StringType()), T.StructField("trade_id", T.StringType()),
+    T.StructField("u", T.LongType()), T.StructField("seq", T.LongType()), T.StructField("fan", T.IntegerType()),
+    T.StructField("change_pct", T.DoubleType()), T.StructField("avg_price", T.DoubleType()),
+    T.StructField("current_price", T.DoubleType()), T.StructField("threshold", T.DoubleType()),
+    T.StructField("quantity", T.DoubleType()), T.StructField("avg_volume", T.DoubleType()),
+    T.StructField("multiplier", T.DoubleType()),
+])
+ENGINE_STATE = T.StructType([T.StructField("types", T.ArrayType(T.StringType())),
+                             T.StructField("last_kept", T.ArrayType(T.LongType())),
+                             T.StructField("trip_u", T.LongType())])
+FINAL_ALERT = T.StructType(RAW_ALERT.fields + [T.StructField("original_severity", T.StringType()),
+                                               T.StructField("breaker_state", T.StringType())])
+
+
+def micro_units(x: float) -> int:
+    """decimal(18,6) value of a double in millionths (half-up on its decimal form)."""
+    return int(Decimal(repr(float(x))).quantize(_MICRO, rounding=ROUND_HALF_UP) * 1_000_000)
+
+
+def _sorted(chunks, by) -> pd.DataFrame:
+    frames = [c for c in chunks if len(c)]
+    if not frames:
+        return pd.DataFrame()
+    return pd.concat(frames, ignore_index=True).sort_values(by, kind="mergesort")
+
+
+def _message(kind, s, c, a, p, q, v) -> str:
+    if kind == "CIRCUIT_BREAKER":
+        return f"CIRCUIT BREAKER: {s} price moved {c:.1%} (avg={a:.4f}, current={p:.4f})"
+    if kind == "PRICE_SPIKE":
+        return f"Price spike on {s}: {c:.1%} move (avg={a:.4f}, current={p:.4f})"
+    return f"Volume spike on {s}: {q:.2f} vs avg {v:.2f} ({q / v:.1f}x)"
+
+
+def detect_fn(key, chunks, state):
+    """Ring buffer of the last LOOKBACK prices/quantities per symbol."""
+    (symbol,) = key
+    df = _sorted(chunks, ["u", "seq"])
+    prices, qtys = (deque(state.get[0], LOOKBACK), deque(state.get[1], LOOKBACK)) if state.exists else \
+        (deque(maxlen=LOOKBACK), deque(maxlen=LOOKBACK))
+    sp, sq = sum(prices), sum(qtys)
+    out = []
+    for r in df.itertuples(index=False):
+        n = len(prices)
+        avg_p = (sp / 1_000_000) / n if n >= MIN_PRIOR else None
+        avg_v = (sq / 1_000_000) / n if n >= MIN_PRIOR else None
+        if avg_p:
+            chg = abs(r.price - avg_p) / avg_p
+            kind = "CIRCUIT_BREAKER" if chg >= CIRCUIT_BREAKER else "PRICE_SPIKE" if chg >= PRICE_SPIKE else None
+            if kind:
+                thr = CIRCUIT_BREAKER if kind == "CIRCUIT_BREAKER" else PRICE_SPIKE
+                out.append((kind, "CRITICAL" if thr == CIRCUIT_BREAKER else "HIGH", r, 0, chg, avg_p, r.price, thr,
+                            None, None, None))
+        if avg_v and r.quantity > avg_v * VOLUME_MULTIPLIER:
+            out.append(("VOLUME_SPIKE", "MEDIUM", r, 1, None, None, None, None, r.quantity, avg_v,
+                        r.quantity / avg_v))
+        pu, qu = micro_units(r.price), micro_units(r.quantity)
+        if len(prices) == LOOKBACK:
+            sp -= prices[0]
+            sq -= qtys[0]
+        prices.append(pu)
+        qtys.append(qu)
+        sp += pu
+        sq += qu
+    state.update((list(prices), list(qtys)))
+    if out:
+        rows = [{
+            "alert_id": hashlib.sha256(f"{r.trade_id}|{k}".encode()).hexdigest(), "alert_type": k, "severity": sev,
+            "symbol": symbol, "message": _message(k, symbol, chg, ap, r.price, q, av), "trade_id": r.trade_id,
+            "u": r.u, "seq": r.seq, "fan": fan, "change_pct": chg, "avg_price": ap, "current_price": cp,
+            "threshold": thr, "quantity": q, "avg_volume": av, "multiplier": m,
+        } for (k, sev, r, fan, chg, ap, cp, thr, q, av, m) in out]
+        yield pd.DataFrame(rows, columns=RAW_ALERT.fieldNames())
+
+
+def engine_fn(key, chunks, state):
+    """X6 + X7 + D-ESC: cooldown dedup per (type, symbol) then the breaker
+    state machine, in alert order, for one symbol."""
+    df = _sorted(chunks, ["u", "seq", "fan"])
+    if state.exists:
+        types, last, trip_u = list(state.get[0]), list(state.get[1]), state.get[2]
+    else:
+        types, last, trip_u = [], [], None
+    kept_at = dict(zip(types, last))
+    rows = []
+    for r in df.to_dict("records"):
+        kind, u = r["alert_type"], int(r["u"])
+        cd = COOLDOWNS_S.get(kind, DEFAULT_COOLDOWN_S) * 1_000_000
+        prev = kept_at.get(kind)
+        if prev is not None and u - prev < cd:
+            continue  # suppressed: does not extend the cooldown
+        kept_at[kind] = u
+        st = "CLOSED" if trip_u is None else ("OPEN" if u - trip_u <= BREAKER_TIMEOUT_S * 1_000_000 else "HALF_OPEN")
+        r["original_severity"] = r["severity"]
+        r["breaker_state"] = st
+        if kind == "CIRCUIT_BREAKER":
+            trip_u = u
+        elif kind == "PRICE_SPIKE" and st != "CLOSED":
+            r["severity"] = "CRITICAL"
+        rows.append(r)
+    state.update((list(kept_at.keys()), [int(v) for v in kept_at.values()], trip_u))
+    if rows:
+        yield pd.DataFrame(rows, columns=FINAL_ALERT.fieldNames())
