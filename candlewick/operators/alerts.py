@@ -14,7 +14,8 @@ type and symbol in the last c seconds"). It is made parallel exactly:
    time and session start are as-of lookups done with ``prefix_max_before``
    (no per-key sort).
 2. Sessions of at most ``max_session_rows`` alerts are folded in one
-   aggregate (a sorted ``collect_list`` + ``aggregate``), bounded per group.
+   aggregate (a sorted ``collect_list`` + ``aggregate`` carrying keep
+   flags), so no group holds more than that many rows.
 3. Longer sessions (a hot key alerting continuously) go through pointer
    doubling: each alert's successor is the first alert at or after
    ``u + c``; the kept set is the successor chain from the session head,
@@ -59,19 +60,22 @@ def _sessions(alerts: DataFrame, bucket_us: int) -> DataFrame:
 
 
 def _fold_small(a: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact cooldown fold of each (bounded) session in one aggregate."""
+    """Exact cooldown fold of each (bounded) session in one aggregate: the
+    sorted session is scanned once carrying (last kept u, keep flags); the
+    flags then select the kept rows."""
     g = a.groupBy(*KEYS, "sess").agg(
         F.first("cd").alias("cd"),
         F.sort_array(F.collect_list(F.struct("u", "seq", F.struct(*cols).alias("r")))).alias("xs"))
-    init = F.struct(F.lit(None).cast("long").alias("last"), F.slice("xs", 1, 0).alias("kept"))
-    kept = F.aggregate(
-        "xs", init,
-        lambda acc, x: F.when(acc["last"].isNull() | (x["u"] - acc["last"] >= F.col("cd")),
-                              F.struct(x["u"].alias("last"), F.concat(acc["kept"], F.array(x)).alias("kept")))
-        .otherwise(acc),
-        lambda acc: acc["kept"],
-    )
-    return g.select(F.explode(kept).alias("x")).select("x.r.*")
+    init = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<boolean>").alias("keep"))
+
+    def step(acc, x):
+        take = acc["last"].isNull() | (x["u"] - acc["last"] >= F.col("cd"))
+        return F.struct(F.when(take, x["u"]).otherwise(acc["last"]).alias("last"),
+                        F.concat(acc["keep"], F.array(take)).alias("keep"))
+
+    flags = F.aggregate("xs", init, step, lambda acc: acc["keep"])
+    kept = F.filter(F.zip_with("xs", flags, lambda x, f: F.when(f, x["r"])), lambda y: y.isNotNull())
+    return g.select(F.explode(kept).alias("x")).select("x.*")
 
 
 def _successors(a: DataFrame) -> DataFrame:
@@ -114,7 +118,7 @@ def _fold_large(a: DataFrame, cols: list[str], max_len: int) -> DataFrame:
     return a.join(kept_nodes, [*KEYS, "sess", "u", "seq"], "left_semi").select(*cols)
 
 
-def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 1024,
+def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 20_000,
                    bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
     """D-DUP: keep an alert iff no alert of the same (type, symbol) was kept in
     the previous cooldown (exactly c later is kept). Suppressed alerts do not

@@ -48,7 +48,8 @@ def stream_alerts(i: Inputs) -> DataFrame:
     root = scratch_path(i.spark, "stream-alerts")
     q1 = jobs.run_detect(_stage_trades(i, root), subdir(root, "raw"), subdir(root, "ck1"), NOW)
     q1.awaitTermination()
-    raw = jobs.file_source(i.spark, subdir(root, "raw"), i.spark.read.parquet(subdir(root, "raw")).schema)
+    raw = jobs.file_source(i.spark, subdir(root, "raw"), i.spark.read.parquet(subdir(root, "raw")).schema,
+                           max_files=64)
     q2 = jobs.run_alerts(raw, subdir(root, "table"), subdir(root, "ck2"), NOW)
     q2.awaitTermination()
     return i.spark.read.parquet(subdir(root, "table"))

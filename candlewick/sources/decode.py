@@ -54,35 +54,40 @@ def _micros_of_iso(s: F.Column) -> F.Column:
 
 def decode_trades(raw: DataFrame, value: str = "value") -> DataFrame:
     """S4 + F6: returns the input with ``reason`` (NULL = valid) and, for
-    valid rows, the decoded trade columns (``u`` epoch micros, ``ts``)."""
+    valid rows, the decoded trade columns (``u`` epoch micros, ``ts``).
+
+    The decoded record comes out of a one-row ``inline`` generator: filters on
+    ``reason`` then stay above it instead of being pushed into the scan with
+    the whole parse inlined (which would re-run the JSON parser per use)."""
     v = F.col(value)
-    keys = F.json_object_keys(v)
     expected = F.array(*[F.lit(k) for k in TRADE_KEYS])
-    p = F.from_json(v, TRADE_WIRE)
-    d = raw.withColumn("__keys", keys).withColumn("__p", p)
+    # parse once (a projection), then build the record from the parsed columns
+    d = raw.withColumn("__p", F.from_json(v, TRADE_WIRE)).withColumn("__keys", F.json_object_keys(v))
     d = d.withColumn("__u", _micros_of_iso(F.col("__p.timestamp")))
+    p, keys, u = F.col("__p"), F.col("__keys"), F.col("__u")
     required = ["trade_id", "symbol", "price", "quantity", "side", "exchange", "timestamp", "sequence"]
     any_null = F.lit(False)
     for r in required:
-        any_null = any_null | F.col(f"__p.{r}").isNull()
-    reason = (F.when(F.col("__keys").isNull(), "malformed")
-              .when(F.size(F.array_except(expected, F.col("__keys"))) > 0, "missing_key")
-              .when(F.size(F.array_except(F.col("__keys"), expected)) > 0, "extra_key")
-              .when(any_null | F.col("__u").isNull(), "bad_type")
-              .when(~F.col("__p.side").isin(SIDES), "bad_side"))
-    d = d.withColumn("reason", reason)
-    return d.select(
-        *[c for c in raw.columns], "reason",
-        F.col("__p.trade_id").alias("trade_id"), F.col("__p.symbol").alias("symbol"),
-        F.col("__p.price").alias("price"), F.col("__p.quantity").alias("quantity"),
-        F.col("__p.side").alias("side"), F.col("__p.exchange").alias("exchange"),
-        F.col("__p.trader_id").alias("trader_id"), F.col("__u").alias("u"), ntz_from_micros("__u").alias("ts"),
-        F.col("__p.sequence").alias("seq"), F.col("__p.metadata.latency_us").alias("latency_us"),
-    )
+        any_null = any_null | p[r].isNull()
+    reason = (F.when(keys.isNull(), "malformed")
+              .when(F.size(F.array_except(expected, keys)) > 0, "missing_key")
+              .when(F.size(F.array_except(keys, expected)) > 0, "extra_key")
+              .when(any_null | u.isNull(), "bad_type")
+              .when(~p["side"].isin(SIDES), "bad_side"))
+    rec = F.struct(
+        reason.alias("reason"), p["trade_id"].alias("trade_id"), p["symbol"].alias("symbol"),
+        p["price"].alias("price"), p["quantity"].alias("quantity"), p["side"].alias("side"),
+        p["exchange"].alias("exchange"), p["trader_id"].alias("trader_id"), u.alias("u"),
+        ntz_from_micros(u).alias("ts"), p["sequence"].alias("seq"), p["metadata"]["latency_us"].alias("latency_us"))
+    return d.select(*raw.columns, F.inline(F.array(rec)))
+
+
+DECODED_TRADE = ["trade_id", "symbol", "price", "quantity", "side", "exchange", "trader_id", "u", "ts", "seq",
+                 "latency_us"]
 
 
 def valid_trades(decoded: DataFrame) -> DataFrame:
-    return decoded.filter(F.col("reason").isNull()).drop("reason")
+    return decoded.filter(F.col("reason").isNull()).select(*DECODED_TRADE)
 
 
 def quarantine(decoded: DataFrame) -> DataFrame:

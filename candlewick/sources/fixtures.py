@@ -30,7 +30,7 @@ def trades_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.get_json_object("props", "$.k").cast("int")
     e = e.withColumn("__d", epoch_micros("ts") - F.lit(BASE_US))
     u = F.lit(BASE_US) + idiv("__d", TIME_COMPRESSION)
-    return e.select(
+    t = e.select(
         F.col("event_id").cast("string").alias("trade_id"),
         F.concat(F.lit("SYM"), (F.col("user_id") % N_SYMBOLS).cast("string")).alias("symbol"),
         (F.lit(100.0) + (k - F.lit(50)).cast("double") * F.lit(PRICE_STEP)).alias("price"),
@@ -42,6 +42,7 @@ def trades_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_id").alias("seq"),
         (F.lit(50) + (F.col("event_id") * 37) % 4951).cast("int").alias("latency_us"),
     ).withColumn("ts", ntz_from_micros("u")).select(*TRADE_COLUMNS)
+    return t
 
 
 # SQL twin used by the DuckDB oracle (kept next to the Spark form on purpose)

@@ -10,3 +10,4 @@ from pyspark.sql import DataFrame, SparkSession
 def read_table(spark: SparkSession, sf_dir: str, name: str, columns: Sequence[str] | None = None) -> DataFrame:
     df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
     return df.select(*columns) if columns else df
+
