@@ -129,12 +129,12 @@ def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 20_000,
     # shared folder): the size check and the folds below both read it
     a = _sessions(alerts, bucket_us).checkpoint()
     sizes = a.groupBy(*KEYS, "sess").agg(F.count(F.lit(1)).alias("sess_n"))
+    longest = sizes.agg(F.max("sess_n")).head()[0] or 0  # size check on the materialised sessions
+    if longest <= max_session_rows:
+        return _fold_small(a, cols)
     a = a.join(sizes, [*KEYS, "sess"])
     small = _fold_small(a.filter(F.col("sess_n") <= max_session_rows), cols)
     big = a.filter(F.col("sess_n") > max_session_rows)
-    longest = sizes.agg(F.max("sess_n")).head()[0] or 0
-    if longest <= max_session_rows:
-        return small
     return small.unionByName(_fold_large(big, cols, longest))
 
 
@@ -223,10 +223,16 @@ def _newest_first(df: DataFrame):
     return [F.col("u").desc(), F.col("seq").desc(), F.col("fan").desc()]
 
 
+def _text(df: DataFrame) -> DataFrame:
+    from candlewick.operators.detect import with_message
+    return df if "message" in df.columns else with_message(df)
+
+
 def recent_alerts(final: DataFrame, n: int = 100) -> DataFrame:
-    """The newest ``n`` accepted alerts (top-k, no full sort)."""
-    return final.orderBy(*_newest_first(final)).limit(n).select(
-        "alert_id", "alert_type", "severity", "symbol", "message", "triggered_at")
+    """The newest ``n`` accepted alerts (top-k, no full sort); the
+    text is built for those ``n`` rows only."""
+    top = final.orderBy(*_newest_first(final)).limit(n)
+    return _text(top).select("alert_id", "alert_type", "severity", "symbol", "message", "triggered_at")
 
 
 def ack_requests_fixture(raw: DataFrame, final: DataFrame) -> DataFrame:
@@ -279,8 +285,9 @@ def alerts_filtered(table: DataFrame, symbol: str | None = None, severity: str |
         t = t.filter(F.col("severity") == severity.strip().upper())
     if unacked_only:
         t = t.filter(~F.col("acknowledged"))
-    return t.orderBy(*_newest_first(t)).limit(limit).select(
-        "alert_id", "alert_type", "severity", "symbol", "message", "triggered_at", "acknowledged")
+    top = t.orderBy(*_newest_first(t)).limit(limit)
+    return _text(top).select("alert_id", "alert_type", "severity", "symbol", "message", "triggered_at",
+                             "acknowledged")
 
 
 def whales(final: DataFrame) -> DataFrame:

@@ -82,16 +82,22 @@ def alerts_from_stats(stats: DataFrame, price_spike: float = PRICE_SPIKE, circui
     )
     cand = s.select("trade_id", "symbol", "price", "ts", "u", "seq",
                     F.explode(F.filter(F.array(price_a, vol_a), lambda x: x.isNotNull())).alias("a"))
-    msg = alert_message(F.col("a.alert_type"), F.col("symbol"), F.col("a.change_pct"), F.col("a.avg_price"),
-                        F.col("price"), F.col("a.quantity"), F.col("a.avg_volume"))
     return cand.select(
         F.sha2(F.concat_ws("|", F.col("trade_id"), F.col("a.alert_type")), 256).alias("alert_id"),
-        "a.alert_type", "a.severity", "symbol", msg.alias("message"), F.col("ts").alias("triggered_at"),
+        "a.alert_type", "a.severity", "symbol", F.col("ts").alias("triggered_at"),
         "trade_id", "u", "seq", "a.fan", "a.change_pct", "a.avg_price", "a.current_price", "a.threshold",
         "a.quantity", "a.avg_volume", "a.multiplier",
     )
 
 
+def with_message(alerts: DataFrame) -> DataFrame:
+    """Add the alert text. Done last, on the rows that are output, so
+    queries that only count alerts never run the text helper."""
+    msg = alert_message(F.col("alert_type"), F.col("symbol"), F.col("change_pct"), F.col("avg_price"),
+                        F.col("current_price"), F.col("quantity"), F.col("avg_volume"))
+    return alerts.withColumn("message", msg)
+
+
 def alerts_raw(trades: DataFrame, **kw) -> DataFrame:
     stat_kw = {k: kw.pop(k) for k in list(kw) if k in ("lookback", "min_prior", "bucket_us", "chunk_rows")}
-    return alerts_from_stats(rolling_stats(trades, **stat_kw), **kw)
+    return with_message(alerts_from_stats(rolling_stats(trades, **stat_kw), **kw))

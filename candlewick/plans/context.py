@@ -30,7 +30,7 @@ class Inputs:
     def raw_alerts(self) -> DataFrame:
         if getattr(self, "_raw", None) is None:
             from candlewick.operators.detect import alerts_from_stats
-            self._raw = alerts_from_stats(self.stats)
+            self._raw = alerts_from_stats(self.stats)  # without text; see detect.with_message
         return self._raw
 
     @property

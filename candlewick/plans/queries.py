@@ -69,7 +69,7 @@ def _trade_messages(i: Inputs) -> DataFrame:
 
 
 def _alert_messages(i: Inputs) -> DataFrame:
-    d = decode.decode_alerts(messages.alert_messages(i.final_alerts))
+    d = decode.decode_alerts(messages.alert_messages(detect.with_message(i.final_alerts)))
     return d.select("key", "reason", "alert_id", "alert_type", "severity", "symbol", "message", "triggered_at",
                     "details.*")
 
@@ -85,7 +85,7 @@ def _candle_messages(i: Inputs) -> DataFrame:
 
 
 def _envelopes(i: Inputs) -> DataFrame:
-    e = messages.channel_envelopes(i.final_alerts, i.candles)
+    e = messages.channel_envelopes(detect.with_message(i.final_alerts), i.candles)
     g = lambda f: F.get_json_object("value", f"$.{f}")
     item = F.coalesce(g("data.alert_id"), F.concat(g("data.window_sec"), F.lit("@"), g("data.window_start")))
     return e.select(g("type").alias("type"), "key", g("data.symbol").alias("data_symbol"), item.alias("item"))
@@ -120,11 +120,11 @@ QUERIES: dict[str, Query] = {
     "active_views": _q(lambda i: views.active_views(i.trades, VIEW_TTL_S, COUNTER_TTL_S)),
     "retained_trades": _q(lambda i: views.retained_trades(i.trades, retention_s=RETENTION_S)),
     "rolling_stats": _q(lambda i: detect.rolling_stats(i.trades)),
-    "alerts_raw": _q(lambda i: i.raw_alerts),
-    "alerts_kept": _q(lambda i: alerts.dedup_cooldown(i.raw_alerts)),
+    "alerts_raw": _q(lambda i: detect.with_message(i.raw_alerts)),
+    "alerts_kept": _q(lambda i: detect.with_message(alerts.dedup_cooldown(i.raw_alerts))),
     "breaker_state": _q(lambda i: alerts.breaker_report(i.final_alerts)),
-    "alerts_final": _q(lambda i: i.final_alerts.select(*FINAL_COLUMNS)),
-    "alert_deliveries": _q(lambda i: alerts.deliveries(i.final_alerts)),
+    "alerts_final": _q(lambda i: detect.with_message(i.final_alerts).select(*FINAL_COLUMNS)),
+    "alert_deliveries": _q(lambda i: alerts.deliveries(detect.with_message(i.final_alerts))),
     "alert_counts": _q(lambda i: alerts.alert_counts_df(i.final_alerts)),
     "recent_alerts": _q(lambda i: alerts.recent_alerts(i.final_alerts, 100)),
     "alerts_filtered": _q(lambda i: alerts.alerts_filtered(_acked_table(i), symbol="sym3", severity="critical",
@@ -144,7 +144,7 @@ QUERIES: dict[str, Query] = {
     "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts, i.final_alerts)),
     "alert_increase_1h": _q(lambda i: metrics.alert_increase(i.final_alerts, i.trades, 3_600)),
     "label_counters": _q(lambda i: metrics.label_counters(i.trades, i.raw_alerts, i.final_alerts,
-                                                          alerts.deliveries(i.final_alerts))),
+                                                          alerts.deliveries(detect.with_message(i.final_alerts)))),
     "dedup_rate": _q(lambda i: metrics.dedup_rate(i.raw_alerts, i.final_alerts)),
     "gauges": _q(lambda i: metrics.gauges(i.trades, i.final_alerts)),
     "latency_histogram": _q(lambda i: metrics.latency_histogram(i.trades)),
