@@ -21,6 +21,38 @@ def trade_rate_1m(trades: DataFrame) -> DataFrame:
                     (F.col("trades") / F.lit(60.0)).alias("rate_per_sec"))
 
 
+def trade_rate_sliding(trades: DataFrame, size_s: int = 60, slide_s: int = 5) -> DataFrame:
+    """Trades per symbol over a ``size_s`` window sliding every
+    ``slide_s`` (the dashboard's 1-minute rate refreshed every 5 s). Each
+    trade is expanded to the size/slide windows that contain it, then one
+    partial-aggregating groupBy."""
+    if size_s % slide_s:
+        raise ValueError("size must be a multiple of the slide")
+    n = size_s // slide_s
+    slide_us = slide_s * 1_000_000
+    t = trades.withColumn("__last", bucket_start_micros("u", slide_s))
+    t = t.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    t = t.withColumn("w", F.col("__last") - F.col("k") * F.lit(slide_us))
+    g = t.groupBy("w", "symbol").agg(F.count(F.lit(1)).alias("trades"))
+    return g.select(ntz_from_micros("w").alias("window_start"),
+                    ntz_from_micros(F.col("w") + F.lit(size_s * 1_000_000)).alias("window_end"), "symbol", "trades",
+                    (F.col("trades") / F.lit(float(size_s))).alias("rate_per_sec"))
+
+
+def quarantine_counts(decoded: DataFrame) -> DataFrame:
+    """A9 errors by kind: rejected messages per reason."""
+    return decoded.filter(F.col("reason").isNotNull()).groupBy("reason").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def latency_percentiles_approx(trades: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """A12 at scale: p50/p95/p99 of the raw latency with ``percentile_approx``
+    (one pass, mergeable sketches, no histogram bucketing error)."""
+    lat = F.col("latency_us") / F.lit(1e6)
+    return trades.agg(F.percentile_approx(lat, list(QUANTILES), accuracy).alias("p")).select(
+        F.explode(F.arrays_zip(F.array(*[F.lit(q) for q in QUANTILES]).alias("quantile"), F.col("p").alias("v")))
+        .alias("z")).select(F.col("z.quantile").alias("quantile"), F.col("z.v").alias("latency_s"))
+
+
 def alert_rate_1m(raw: DataFrame, final: DataFrame) -> DataFrame:
     """A10: alerts received, accepted and suppressed per minute
     (alerts/min = rate * 60)."""

@@ -376,3 +376,15 @@ SELECT {CANDLE_COLS} FROM candles, ref WHERE ws_u + window_seconds * 1000000 <=
     "stream_prices": ORACLE["latest_price"],
     "stream_trades_sink": ORACLE["trades_clean"],
 })
+
+ORACLE.update({
+    "trade_rate_sliding": _with() + """
+SELECT make_timestamp(w) AS window_start, make_timestamp(w + 60000000) AS window_end, symbol, count(*) AS trades,
+       count(*) / 60.0 AS rate_per_sec
+FROM (SELECT symbol, (u // 5000000) * 5000000 - k * 5000000 AS w
+      FROM trades, (SELECT unnest(range(12)) AS k)) GROUP BY w, symbol""",
+    "quarantine_counts": _with() + f"""
+SELECT reason, count(*) AS messages FROM (
+  SELECT {_FAULT} AS reason FROM trades
+  UNION ALL SELECT {_FAULT} FROM trades WHERE seq % 23 = 0) WHERE reason IS NOT NULL GROUP BY reason""",
+})

@@ -141,6 +141,8 @@ QUERIES: dict[str, Query] = {
     "watchlist": _q(lambda i: market.watchlist(views.latest_price(i.trades), instruments(i.spark))),
     "price_levels": _q(lambda i: market.price_levels(i.trades, depth=10)),
     "trade_rate_1m": _q(lambda i: metrics.trade_rate_1m(i.trades)),
+    "trade_rate_sliding": _q(lambda i: metrics.trade_rate_sliding(i.trades, 60, 5)),
+    "quarantine_counts": _q(lambda i: metrics.quarantine_counts(_decoded(i))),
     "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts, i.final_alerts)),
     "alert_increase_1h": _q(lambda i: metrics.alert_increase(i.final_alerts, i.trades, 3_600)),
     "label_counters": _q(lambda i: metrics.label_counters(i.trades, i.raw_alerts, i.final_alerts,
