@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.ordered import DEFAULT_BUCKET_US, prefix_max_before
-from candlewick.session import checkpoint_root
+from candlewick.session import checkpoint_root, materialize
 
 # Cooldown per alert type (seconds), default for other types
 COOLDOWNS_S = {"CIRCUIT_BREAKER": 300, "PRICE_SPIKE": 60, "VOLUME_SPIKE": 30}
@@ -103,17 +103,18 @@ def _successors(a: DataFrame) -> DataFrame:
 
 def _fold_large(a: DataFrame, cols: list[str], max_len: int) -> DataFrame:
     """Exact cooldown fold of long sessions by pointer doubling."""
-    jumps = _successors(a).checkpoint()
+    jumps = materialize(_successors(a))
     heads = a.filter(F.col("u") == F.col("sess")).groupBy(*KEYS, "sess").agg(
         F.min(F.struct("u", "seq")).alias("node"))
-    front = heads.checkpoint()
+    front = materialize(heads)
     for _ in range(max(1, math.ceil(math.log2(max(max_len, 2))))):
         step = (front.join(jumps, [*KEYS, "sess", "node"]).filter(F.col("jump").isNotNull())
                 .select(*KEYS, "sess", F.col("jump").alias("node")))
-        front = front.unionByName(step).checkpoint()
+        front = materialize(front.unionByName(step))
         j2 = jumps.select(*KEYS, "sess", F.col("node").alias("jump"), F.col("jump").alias("jump2"))
         jumps = (jumps.join(j2, [*KEYS, "sess", "jump"], "left")
-                 .select(*KEYS, "sess", "node", F.col("jump2").alias("jump")).checkpoint())
+                 .select(*KEYS, "sess", "node", F.col("jump2").alias("jump")))
+        jumps = materialize(jumps)
     kept_nodes = front.select(*KEYS, "sess", F.col("node.u").alias("u"), F.col("node.seq").alias("seq"))
     return a.join(kept_nodes, [*KEYS, "sess", "u", "seq"], "left_semi").select(*cols)
 
@@ -124,10 +125,10 @@ def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 20_000,
     the previous cooldown (exactly c later is kept). Suppressed alerts do not
     extend the cooldown."""
     cols = alerts.columns
-    checkpoint_root(alerts.sparkSession)
-    # materialise the sessionised alerts once (reliable checkpoint in the
-    # shared folder): the size check and the folds below both read it
-    a = _sessions(alerts, bucket_us).checkpoint()
+    # the raw alerts (a small fraction of the trades) are read by several
+    # branches below: compute them once; then materialise the sessionised
+    # alerts, which the size check and the folds both read
+    a = materialize(_sessions(materialize(alerts), bucket_us))
     sizes = a.groupBy(*KEYS, "sess").agg(F.count(F.lit(1)).alias("sess_n"))
     longest = sizes.agg(F.max("sess_n")).head()[0] or 0  # size check on the materialised sessions
     if longest <= max_session_rows:

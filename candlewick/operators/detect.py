@@ -35,7 +35,7 @@ def rolling_stats(trades: DataFrame, lookback: int = LOOKBACK, min_prior: int =
     t = ordinal_rank(t, "symbol", bucket_us=bucket_us)
     t = rolling_previous(
         t, "symbol",
-        {"__sp": F.sum(dec("price")), "__sq": F.sum(dec("quantity")), "n_prior": F.count(F.lit(1))},
+        {"__sp": dec("price"), "__sq": dec("quantity")},
         n=lookback, chunk_rows=chunk_rows,
     )
     enough = F.col("n_prior") >= min_prior

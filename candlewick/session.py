@@ -49,3 +49,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the checkpoint root for one job's output/state."""
     root = checkpoint_root(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df):
+    """Reliable checkpoint into ``spark.checkpoint.dir`` that computes the plan
+    once: without the persist, the eager count and the checkpoint write would
+    each run it. Lineage is cut; the cache is dropped once the files exist."""
+    from pyspark import StorageLevel
+
+    checkpoint_root(df.sparkSession)
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
