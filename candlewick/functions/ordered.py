@@ -46,10 +46,10 @@ def prefix_max_before(
     """
     ks = _keys(keys)
     tmp_b, tmp_v, tmp_in, tmp_carry = "__b", "__v", "__in", "__carry"
-    base = df.withColumn(tmp_b, idiv(u, bucket_us)).withColumn(tmp_v, value)
+    base = df.select("*", idiv(u, bucket_us).alias(tmp_b), value.alias(tmp_v))
     w_in = (Window.partitionBy(*ks, tmp_b).orderBy(u, *_keys(seq))
             .rowsBetween(Window.unboundedPreceding, -1))
-    d = base.withColumn(tmp_in, F.max(tmp_v).over(w_in))
+    d = base.select("*", F.max(tmp_v).over(w_in).alias(tmp_in))
     # the bucket summary reads the input (column-pruned), not the windowed
     # rows: the two branches do not share an exchange, so deriving it from
     # ``d`` would recompute the window's whole upstream a second time
@@ -57,7 +57,8 @@ def prefix_max_before(
     w_b = Window.partitionBy(*ks).orderBy(tmp_b).rowsBetween(Window.unboundedPreceding, -1)
     carry = per_bucket.select(*ks, tmp_b, F.max("__bmax").over(w_b).alias(tmp_carry))
     d = d.join(carry, on=[*ks, tmp_b], how="left")
-    return d.withColumn(out, F.greatest(F.col(tmp_in), F.col(tmp_carry))).drop(tmp_b, tmp_v, tmp_in, tmp_carry)
+    keep = [c for c in df.columns if c != out]
+    return d.select(*keep, F.greatest(F.col(tmp_in), F.col(tmp_carry)).alias(out))
 
 
 def ordinal_rank(
@@ -73,13 +74,13 @@ def ordinal_rank(
     (key, bucket) plus the running row count of the key's earlier buckets.
     """
     ks = _keys(keys)
-    base = df.withColumn("__b", idiv(u, bucket_us))
-    d = base.withColumn("__local", F.row_number().over(Window.partitionBy(*ks, "__b").orderBy(u, seq)))
+    base = df.select("*", idiv(u, bucket_us).alias("__b"))
+    d = base.select("*", F.row_number().over(Window.partitionBy(*ks, "__b").orderBy(u, seq)).alias("__local"))
     counts = base.groupBy(*ks, "__b").agg(F.count(F.lit(1)).alias("__n"))  # from the input: see prefix_max_before
     w_b = Window.partitionBy(*ks).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(*ks, "__b", F.coalesce(F.sum("__n").over(w_b), F.lit(0)).alias("__off"))
     d = d.join(offsets, on=[*ks, "__b"], how="left")
-    return d.withColumn(out, (F.col("__off") + F.col("__local")).cast("long")).drop("__b", "__local", "__off")
+    return d.select(*[c for c in df.columns if c != out], (F.col("__off") + F.col("__local")).cast("long").alias(out))
 
 
 def rolling_previous(
@@ -106,18 +107,14 @@ def rolling_previous(
     ks = _keys(keys)
     own = F.expr(f"(`{rk}` - 1) div {int(chunk_rows)}")
     pos = (F.col(rk) - 1) % F.lit(chunk_rows)
-    d = df.withColumn("__own", own)
-    d = d.withColumn(
-        "__part",
-        F.explode(F.when(pos >= F.lit(chunk_rows - n), F.array(F.col("__own"), F.col("__own") + 1))
-                  .otherwise(F.array(F.col("__own")))),
-    )
+    vals = [value.alias(f"__v{i}") for i, value in enumerate(sums.values())]  # values must be non-null
+    d = df.select("*", own.alias("__own"), *vals)
+    d = d.select("*", F.explode(F.when(pos >= F.lit(chunk_rows - n), F.array(F.col("__own"), F.col("__own") + 1))
+                                .otherwise(F.array(F.col("__own")))).alias("__part"))
     order = Window.partitionBy(*ks, "__part").orderBy(rk)
     running = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    tmp = []
-    for i, (name, value) in enumerate(sums.items()):  # values must be non-null
-        d = d.withColumn(f"__v{i}", value).withColumn(f"__cs{i}", F.sum(f"__v{i}").over(running))
-        tmp += [f"__v{i}", f"__cs{i}"]
+    d = d.select("*", *[F.sum(f"__v{i}").over(running).alias(f"__cs{i}") for i in range(len(sums))])
+    tmp = [f"__v{i}" for i in range(len(sums))] + [f"__cs{i}" for i in range(len(sums))]
     cols = []
     for i, name in enumerate(sums):
         back = F.coalesce(F.lag(f"__cs{i}", n + 1).over(order), F.lit(0))

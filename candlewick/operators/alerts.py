@@ -51,12 +51,12 @@ def cooldown_us(alert_type: F.Column) -> F.Column:
 
 
 def _sessions(alerts: DataFrame, bucket_us: int) -> DataFrame:
-    a = alerts.withColumn("cd", cooldown_us(F.col("alert_type")))
+    a = alerts.select("*", cooldown_us(F.col("alert_type")).alias("cd"))
     a = prefix_max_before(a, KEYS, F.col("u"), "prev_u", bucket_us=bucket_us)
-    a = a.withColumn("is_start", F.col("prev_u").isNull() | (F.col("u") - F.col("prev_u") >= F.col("cd")))
+    a = a.select("*", (F.col("prev_u").isNull() | (F.col("u") - F.col("prev_u") >= F.col("cd"))).alias("is_start"))
     a = prefix_max_before(a, KEYS, F.when(F.col("is_start"), F.col("u")), "sess_before", bucket_us=bucket_us)
-    return a.withColumn("sess", F.when(F.col("is_start"), F.col("u")).otherwise(F.col("sess_before"))) \
-            .drop("prev_u", "sess_before", "is_start")
+    cols = [c for c in a.columns if c not in ("prev_u", "sess_before", "is_start")]
+    return a.select(*cols, F.when(F.col("is_start"), F.col("u")).otherwise(F.col("sess_before")).alias("sess"))
 
 
 def _fold_small(a: DataFrame, cols: list[str]) -> DataFrame:
@@ -152,14 +152,15 @@ def breaker_states(kept: DataFrame, timeout_s: int = BREAKER_TIMEOUT_S, reset_af
     if reset_after_s is not None:
         state = state.when(age > F.lit(reset_after_s * 1_000_000), "CLOSED")
     state = state.when(age <= F.lit(timeout_s * 1_000_000), "OPEN").otherwise("HALF_OPEN")
-    return k.withColumn("breaker_state", state)
+    return k.select("*", state.alias("breaker_state"))
 
 
 def escalate(with_state: DataFrame) -> DataFrame:
     """D-ESC: PRICE_SPIKE while the breaker is not CLOSED becomes CRITICAL."""
     esc = (F.col("alert_type") == "PRICE_SPIKE") & (F.col("breaker_state") != "CLOSED")
-    return (with_state.withColumnRenamed("severity", "original_severity")
-            .withColumn("severity", F.when(esc, F.lit("CRITICAL")).otherwise(F.col("original_severity"))))
+    cols = [c for c in with_state.columns if c != "severity"]
+    return with_state.select(*cols, F.col("severity").alias("original_severity"),
+                             F.when(esc, F.lit("CRITICAL")).otherwise(F.col("severity")).alias("severity"))
 
 
 def alerts_final(raw: DataFrame, **kw) -> DataFrame:

@@ -55,7 +55,7 @@ def alerts_from_stats(stats: DataFrame, price_spike: float = PRICE_SPIKE, circui
     exploded (``fan`` 0 = price, 1 = volume)."""
     avg_p, avg_v = F.col("avg_price"), F.col("avg_volume")
     change = F.when(avg_p.isNotNull() & (avg_p != 0), F.abs(F.col("price") - avg_p) / avg_p)
-    s = stats.withColumn("change_pct", change)
+    s = stats.select("*", change.alias("change_pct"))
 
     def price_alert(kind: str, sev: str, thr: float) -> F.Column:
         return F.struct(
@@ -95,7 +95,7 @@ def with_message(alerts: DataFrame) -> DataFrame:
     queries that only count alerts never run the text helper."""
     msg = alert_message(F.col("alert_type"), F.col("symbol"), F.col("change_pct"), F.col("avg_price"),
                         F.col("current_price"), F.col("quantity"), F.col("avg_volume"))
-    return alerts.withColumn("message", msg)
+    return alerts.select("*", msg.alias("message"))
 
 
 def alerts_raw(trades: DataFrame, **kw) -> DataFrame:
