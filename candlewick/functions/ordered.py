@@ -21,7 +21,12 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.timecols import idiv
 
-DEFAULT_BUCKET_US = 3_600 * 1_000_000  # one hour of event time per bucket
+# Bucket width bounds a task: rows of one key inside one bucket. Trades are
+# dense (a hot symbol may carry a third of all rows), so trade-level ranking
+# uses one-minute buckets; alerts are sparse, so alert-level as-of lookups use
+# ten-minute buckets. Both are parameters of every helper.
+TRADE_BUCKET_US = 60 * 1_000_000
+DEFAULT_BUCKET_US = 600 * 1_000_000
 
 
 def _keys(keys: str | Sequence[str]) -> list[str]:

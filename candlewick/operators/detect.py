@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import dec
 from candlewick.functions.text import alert_message
-from candlewick.functions.ordered import DEFAULT_BUCKET_US, ordinal_rank, rolling_previous
+from candlewick.functions.ordered import TRADE_BUCKET_US, ordinal_rank, rolling_previous
 
 # Fixed detector defaults
 LOOKBACK = 100
@@ -28,7 +28,7 @@ ALERT_COLUMNS = [
 
 
 def rolling_stats(trades: DataFrame, lookback: int = LOOKBACK, min_prior: int = MIN_PRIOR,
-                  bucket_us: int = DEFAULT_BUCKET_US, chunk_rows: int = 200_000) -> DataFrame:
+                  bucket_us: int = TRADE_BUCKET_US, chunk_rows: int = 200_000) -> DataFrame:
     """Per trade, ``n_prior`` and the mean price / quantity of the
     previous ``lookback`` trades of the symbol (NULL below ``min_prior``)."""
     t = trades.select("trade_id", "symbol", "price", "quantity", "side", "ts", "u", "seq")

@@ -41,8 +41,9 @@ def _acked_table(i: Inputs) -> DataFrame:
     return alerts.acknowledge(i.final_alerts, req)[1]
 
 
-def _closed(i: Inputs) -> DataFrame:
-    return candles.last_closed_candle(i.candles)
+def _closed(i: Inputs, size: int) -> DataFrame:
+    """Last closed candle of one size (only that size is aggregated)."""
+    return candles.last_closed_candle(candles.ohlcv(i.trades, size))
 
 
 def _counts(i: Inputs) -> DataFrame:
@@ -133,11 +134,11 @@ QUERIES: dict[str, Query] = {
         i.raw_alerts, i.final_alerts))[0]),
     "whales": _q(lambda i: alerts.whales(i.final_alerts)),
     "pressure": _q(lambda i: market.pressure(i.trades)),
-    "top_movers": _q(lambda i: market.top_movers(views.latest_price(i.trades), _closed(i))),
-    "market_summary": _q(lambda i: market.market_summary(views.latest_price(i.trades), _counts(i), _closed(i),
+    "top_movers": _q(lambda i: market.top_movers(views.latest_price(i.trades), _closed(i, 300))),
+    "market_summary": _q(lambda i: market.market_summary(views.latest_price(i.trades), _counts(i), _closed(i, 60),
                                                          i.final_alerts)),
-    "symbol_stats": _q(lambda i: market.symbol_stats(views.latest_price(i.trades), _counts(i), _closed(i))),
-    "scanner": _q(lambda i: market.scanner(views.latest_price(i.trades), _closed(i), market.pressure(i.trades))),
+    "symbol_stats": _q(lambda i: market.symbol_stats(views.latest_price(i.trades), _counts(i), _closed(i, 60))),
+    "scanner": _q(lambda i: market.scanner(views.latest_price(i.trades), _closed(i, 300), market.pressure(i.trades))),
     "watchlist": _q(lambda i: market.watchlist(views.latest_price(i.trades), instruments(i.spark))),
     "price_levels": _q(lambda i: market.price_levels(i.trades, depth=10)),
     "trade_rate_1m": _q(lambda i: metrics.trade_rate_1m(i.trades)),

@@ -105,3 +105,27 @@ def test_stateful_detector_and_engine_equal_batch(spark):
     states = {r[0]: r[1] for r in final_batch.filter("breaker_state is not null").groupBy("breaker_state").count()
               .collect()}
     assert final_batch.count() == 78 + 407 + 44 and states  # counts from the fixture survey
+
+
+def test_refresh_overwrites_only_touched_partitions(spark):
+    path = os.path.join(_tmp(), "trades_1min")
+    t = trades(spark, [("AAPL", 100, 1, "BUY", s) for s in range(0, 86_400 * 2, 3_600)])  # two days
+    view = candles.candles_1min_view(t).withColumn("bucket_date", F.to_date("bucket"))
+    tables.overwrite_partitions(view, path, ["bucket_date"])
+    ref = t.agg(F.max("u")).head()[0]
+    t2 = t.withColumn("price", F.lit(200.0))  # corrected late data for the newest minutes
+    fresh = candles.candles_refresh(t2, ref_u=ref + 120_000_000).withColumn("bucket_date", F.to_date("bucket"))
+    tables.overwrite_partitions(fresh, path, ["bucket_date"])
+    got = spark.read.parquet(path)
+    day1 = got.filter(F.col("bucket_date") == F.lit("2024-01-01").cast("date"))
+    assert day1.count() == 14 and day1.filter(F.col("close_price") == 100).count() == 14  # untouched
+    assert got.filter(F.col("close_price") == 200).count() == 1  # refreshed newest minute
+
+
+def test_export_csv_round_trip(spark):
+    path = os.path.join(_tmp(), "export")
+    t = trades(spark, [("AAPL", 100.25, 3, "BUY", s) for s in range(600)])
+    tables.export_csv(t, path, 500)
+    back = tables.read_export(spark, path)
+    assert back.count() == 500
+    assert back.agg(F.min("ts")).head()[0] == t.orderBy(F.col("u").desc()).limit(500).agg(F.min("ts")).head()[0]
