@@ -32,7 +32,7 @@ def stream_candles_upsert(i: Inputs) -> DataFrame:
     root = scratch_path(i.spark, "stream-candles-upsert")
     q = jobs.run_candles_upsert(_stage_trades(i, root), subdir(root, "table"), subdir(root, "ck"), NOW)
     q.awaitTermination()
-    return i.spark.read.parquet(subdir(root, "table")).drop("window_date")
+    return i.spark.read.parquet(subdir(root, "table")).drop("window_date", "created_at")
 
 
 def stream_detect(i: Inputs) -> DataFrame:

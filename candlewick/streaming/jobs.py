@@ -143,6 +143,7 @@ def run_candles_upsert(trades: DataFrame, table: str, checkpoint: str, trigger:
         spark = batch.sparkSession
         if tables.batch_done(spark, table, batch_id) or batch.isEmpty():
             return
+        batch = batch.withColumn("created_at", F.current_timestamp())  # F7
         tables.upsert(batch, table, ["symbol", "window_seconds", "window_start"], ["window_date"], batch_id,
                       os.path.join(staging_root, f"batch={batch_id}"))
         tables.mark_batch(spark, table, batch_id)
@@ -203,6 +204,7 @@ def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, check
                         "seq", "latency_us")
                 .withColumn("trade_value", (dec("price") * dec("quantity")).cast("decimal(24,6)"))
                 .withColumn("trade_date", F.to_date("ts"))
+                .withColumn("ingested_at", F.current_timestamp())   # F7 load-time defaults
                 .withColumn("processed_at", F.current_timestamp()))
         tables.insert_new(good, table, "trade_id", order=["u", "seq"], partition_by=["trade_date"])
         tables.mark_batch(spark, table, batch_id)

@@ -58,3 +58,15 @@ def test_refresh_range(spark):
     lo, hi = ref - 600_000_000, ref - 60_000_000
     starts = [row.b for row in r.collect()]
     assert len(starts) == 9 and all(lo <= b < hi for b in starts)
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF
+    from candlewick.sources.fixtures import trades_from_events
+    utc = candles.ohlcv(trades_from_events(spark, SF), 300).collect()
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        ny = candles.ohlcv(trades_from_events(spark, SF), 300).collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert sorted(utc) == sorted(ny)
