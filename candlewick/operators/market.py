@@ -97,10 +97,12 @@ def symbol_stats(latest: DataFrame, counts: DataFrame, last_closed: DataFrame) -
                     "vwap_1m", "volume_1m"))
 
 
-def scanner(latest: DataFrame, last_closed: DataFrame, press: DataFrame) -> DataFrame:
-    """One row per symbol: price, change vs the last closed 5-minute
+def scanner(latest: DataFrame, last_closed: DataFrame, press: DataFrame, sort_by: str | None = None,
+            descending: bool = True) -> DataFrame:
+    """J6 + T5: one row per symbol: price, change vs the last closed 5-minute
     open, 5-minute VWAP/volume, buy share and a BUY/SELL/NEUTRAL signal
-    (our rule: buy share >= 60 -> BUY, <= 40 -> SELL)."""
+    (our rule: buy share >= 60 -> BUY, <= 40 -> SELL); optionally sorted by
+    any output column."""
     c5 = last_closed.filter(F.col("window_seconds") == 300).select(
         "symbol", F.col("open_price").alias("open_5m"), F.col("vwap").alias("vwap_5m"),
         F.col("total_volume").alias("volume_5m"))
@@ -108,9 +110,13 @@ def scanner(latest: DataFrame, last_closed: DataFrame, press: DataFrame) -> Data
                                                                           "left")
     sig = (F.when(F.col("buy_pct") >= SIGNAL_BUY_PCT, "BUY").when(F.col("buy_pct") <= SIGNAL_SELL_PCT, "SELL")
            .otherwise("NEUTRAL"))
-    return j.select("symbol", "price", "open_5m",
-                    F.when(F.col("open_5m").isNotNull(), _change_pct(F.col("price"), F.col("open_5m")))
-                    .alias("change_pct"), "vwap_5m", "volume_5m", "buy_pct", sig.alias("signal"))
+    out = j.select("symbol", "price", "open_5m",
+                   F.when(F.col("open_5m").isNotNull(), _change_pct(F.col("price"), F.col("open_5m")))
+                   .alias("change_pct"), "vwap_5m", "volume_5m", "buy_pct", sig.alias("signal"))
+    if sort_by:
+        key = F.col(sort_by).desc_nulls_last() if descending else F.col(sort_by).asc_nulls_last()
+        out = out.orderBy(key, "symbol")
+    return out
 
 
 def watchlist(latest: DataFrame, instruments: DataFrame) -> DataFrame:

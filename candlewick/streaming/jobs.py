@@ -215,3 +215,27 @@ def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, check
     rejected = d.filter(F.col("reason").isNotNull())
     w = valid_dedup.unionByName(rejected).writeStream.outputMode("append").foreachBatch(sink)
     return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
+
+
+def progress_gauges(query: StreamingQuery) -> dict:
+    """A13 gauges of a running job from its last ``StreamingQueryProgress``:
+    input/processing rates, state rows, rows dropped as late, and the source
+    lag (offsets available but not yet processed, when the source reports
+    them, e.g. Kafka ``avgOffsetsBehindLatest``)."""
+    p = query.lastProgress or {}
+    ops = p.get("stateOperators", [])
+    lag = None
+    for src in p.get("sources", []):
+        m = (src.get("metrics") or {})
+        if "avgOffsetsBehindLatest" in m:
+            lag = float(m["avgOffsetsBehindLatest"])
+    return {
+        "batch_id": p.get("batchId"),
+        "input_rows": p.get("numInputRows"),
+        "input_rows_per_sec": p.get("inputRowsPerSecond"),
+        "processed_rows_per_sec": p.get("processedRowsPerSecond"),
+        "state_rows": sum(o.get("numRowsTotal", 0) for o in ops),
+        "dropped_late_rows": sum(o.get("numRowsDroppedByWatermark", 0) for o in ops),
+        "watermark": (p.get("eventTime") or {}).get("watermark"),
+        "offsets_behind_latest": lag,
+    }

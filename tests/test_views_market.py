@@ -80,3 +80,13 @@ def test_latency_histogram_and_quantiles(spark):
     assert h[0.001] == 1 and h[0.005] == 5 and h[0.01] == 10 and h[float("inf")] == 10
     q = {r.quantile: r.latency_s for r in metrics.latency_quantiles(t).collect()}
     assert q[0.5] == 0.005  # rank 5 sits exactly at the 5 ms bucket bound
+
+
+def test_scanner_sort(spark):
+    rows = [("A", 100.0, 10, "BUY", 0), ("A", 110.0, 1, "BUY", 301), ("B", 100.0, 1, "SELL", 0),
+            ("B", 90.0, 1, "SELL", 301)]
+    t = trades(spark, rows)
+    lc = candles.last_closed_candle(candles.ohlcv(t, 300))
+    s = market.scanner(views.latest_price(t), lc, market.pressure(t), sort_by="change_pct")
+    assert [r.symbol for r in s.collect()] == ["A", "B"]
+    assert {r.symbol: r.signal for r in s.collect()} == {"A": "BUY", "B": "SELL"}
