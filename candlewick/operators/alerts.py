@@ -120,7 +120,7 @@ def _fold_large(a: DataFrame, cols: list[str], max_len: int) -> DataFrame:
 
 
 def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 20_000,
-                   bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                   bucket_us: int = DEFAULT_BUCKET_US, input_materialized: bool = False) -> DataFrame:
     """D-DUP: keep an alert iff no alert of the same (type, symbol) was kept in
     the previous cooldown (exactly c later is kept). Suppressed alerts do not
     extend the cooldown."""
@@ -128,7 +128,7 @@ def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 20_000,
     # the raw alerts (a small fraction of the trades) are read by several
     # branches below: compute them once; then materialise the sessionised
     # alerts, which the size check and the folds both read
-    a = materialize(_sessions(materialize(alerts), bucket_us))
+    a = materialize(_sessions(alerts if input_materialized else materialize(alerts), bucket_us))
     sizes = a.groupBy(*KEYS, "sess").agg(F.count(F.lit(1)).alias("sess_n"))
     longest = sizes.agg(F.max("sess_n")).head()[0] or 0  # size check on the materialised sessions
     if longest <= max_session_rows:
@@ -164,7 +164,8 @@ def escalate(with_state: DataFrame) -> DataFrame:
 
 
 def alerts_final(raw: DataFrame, **kw) -> DataFrame:
-    kept = dedup_cooldown(raw, **{k: v for k, v in kw.items() if k in ("max_session_rows", "bucket_us")})
+    kept = dedup_cooldown(raw, **{k: v for k, v in kw.items()
+                                  if k in ("max_session_rows", "bucket_us", "input_materialized")})
     st = breaker_states(kept, **{k: v for k, v in kw.items() if k in ("timeout_s", "reset_after_s", "bucket_us")})
     return escalate(st).drop("trip_u")
 

@@ -33,11 +33,20 @@ class Inputs:
             self._raw = alerts_from_stats(self.stats)  # without text; see detect.with_message
         return self._raw
 
+    @property
+    def raw_alerts_m(self) -> DataFrame:
+        """Raw alerts materialised once (checkpoint), shared by the dedup and
+        by any other branch of the same query that reads raw alerts."""
+        if getattr(self, "_raw_m", None) is None:
+            from candlewick.session import materialize
+            self._raw_m = materialize(self.raw_alerts)
+        return self._raw_m
+
     @property
     def final_alerts(self) -> DataFrame:
         if getattr(self, "_final", None) is None:
             from candlewick.operators.alerts import alerts_final
-            self._final = alerts_final(self.raw_alerts)
+            self._final = alerts_final(self.raw_alerts_m, input_materialized=True)
         return self._final
 
     @property

@@ -37,7 +37,7 @@ FINAL_COLUMNS = [
 
 
 def _acked_table(i: Inputs) -> DataFrame:
-    req = alerts.ack_requests_fixture(i.raw_alerts, i.final_alerts)
+    req = alerts.ack_requests_fixture(i.raw_alerts_m, i.final_alerts)
     return alerts.acknowledge(i.final_alerts, req)[1]
 
 
@@ -122,7 +122,7 @@ QUERIES: dict[str, Query] = {
     "retained_trades": _q(lambda i: views.retained_trades(i.trades, retention_s=RETENTION_S)),
     "rolling_stats": _q(lambda i: detect.rolling_stats(i.trades)),
     "alerts_raw": _q(lambda i: detect.with_message(i.raw_alerts)),
-    "alerts_kept": _q(lambda i: detect.with_message(alerts.dedup_cooldown(i.raw_alerts))),
+    "alerts_kept": _q(lambda i: detect.with_message(alerts.dedup_cooldown(i.raw_alerts_m, input_materialized=True))),
     "breaker_state": _q(lambda i: alerts.breaker_report(i.final_alerts)),
     "alerts_final": _q(lambda i: detect.with_message(i.final_alerts).select(*FINAL_COLUMNS)),
     "alert_deliveries": _q(lambda i: alerts.deliveries(detect.with_message(i.final_alerts))),
@@ -131,7 +131,7 @@ QUERIES: dict[str, Query] = {
     "alerts_filtered": _q(lambda i: alerts.alerts_filtered(_acked_table(i), symbol="sym3", severity="critical",
                                                            unacked_only=True, limit=50)),
     "alert_ack": _q(lambda i: alerts.acknowledge(i.final_alerts, alerts.ack_requests_fixture(
-        i.raw_alerts, i.final_alerts))[0]),
+        i.raw_alerts_m, i.final_alerts))[0]),
     "whales": _q(lambda i: alerts.whales(i.final_alerts)),
     "pressure": _q(lambda i: market.pressure(i.trades)),
     "top_movers": _q(lambda i: market.top_movers(views.latest_price(i.trades), _closed(i, 300))),
@@ -144,11 +144,11 @@ QUERIES: dict[str, Query] = {
     "trade_rate_1m": _q(lambda i: metrics.trade_rate_1m(i.trades)),
     "trade_rate_sliding": _q(lambda i: metrics.trade_rate_sliding(i.trades, 60, 5)),
     "quarantine_counts": _q(lambda i: metrics.quarantine_counts(_decoded(i))),
-    "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts, i.final_alerts)),
+    "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts_m, i.final_alerts)),
     "alert_increase_1h": _q(lambda i: metrics.alert_increase(i.final_alerts, i.trades, 3_600)),
-    "label_counters": _q(lambda i: metrics.label_counters(i.trades, i.raw_alerts, i.final_alerts,
+    "label_counters": _q(lambda i: metrics.label_counters(i.trades, i.raw_alerts_m, i.final_alerts,
                                                           alerts.deliveries(detect.with_message(i.final_alerts)))),
-    "dedup_rate": _q(lambda i: metrics.dedup_rate(i.raw_alerts, i.final_alerts)),
+    "dedup_rate": _q(lambda i: metrics.dedup_rate(i.raw_alerts_m, i.final_alerts)),
     "gauges": _q(lambda i: metrics.gauges(i.trades, i.final_alerts)),
     "latency_histogram": _q(lambda i: metrics.latency_histogram(i.trades)),
     "latency_quantiles": _q(lambda i: metrics.latency_quantiles(i.trades)),

@@ -16,6 +16,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pandas as pd
 from pyspark.sql import types as T
 
+from candlewick.functions.text import format_alert
 from candlewick.operators.alerts import BREAKER_TIMEOUT_S, COOLDOWNS_S, DEFAULT_COOLDOWN_S
 from candlewick.operators.detect import CIRCUIT_BREAKER, LOOKBACK, MIN_PRIOR, PRICE_SPIKE, VOLUME_MULTIPLIER
 
@@ -52,14 +53,6 @@ def _sorted(chunks, by) -> pd.DataFrame:
     return pd.concat(frames, ignore_index=True).sort_values(by, kind="mergesort")
 
 
-def _message(kind, s, c, a, p, q, v) -> str:
-    if kind == "CIRCUIT_BREAKER":
-        return f"CIRCUIT BREAKER: {s} price moved {c:.1%} (avg={a:.4f}, current={p:.4f})"
-    if kind == "PRICE_SPIKE":
-        return f"Price spike on {s}: {c:.1%} move (avg={a:.4f}, current={p:.4f})"
-    return f"Volume spike on {s}: {q:.2f} vs avg {v:.2f} ({q / v:.1f}x)"
-
-
 def detect_fn(key, chunks, state):
     """Ring buffer of the last LOOKBACK prices/quantities per symbol."""
     (symbol,) = key
@@ -94,7 +87,7 @@ def detect_fn(key, chunks, state):
     if out:
         rows = [{
             "alert_id": hashlib.sha256(f"{r.trade_id}|{k}".encode()).hexdigest(), "alert_type": k, "severity": sev,
-            "symbol": symbol, "message": _message(k, symbol, chg, ap, r.price, q, av), "trade_id": r.trade_id,
+            "symbol": symbol, "message": format_alert(k, symbol, chg, ap, r.price, q, av), "trade_id": r.trade_id,
             "u": r.u, "seq": r.seq, "fan": fan, "change_pct": chg, "avg_price": ap, "current_price": cp,
             "threshold": thr, "quantity": q, "avg_volume": av, "multiplier": m,
         } for (k, sev, r, fan, chg, ap, cp, thr, q, av, m) in out]
