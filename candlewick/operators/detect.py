@@ -93,6 +93,8 @@ def alerts_from_stats(stats: DataFrame, price_spike: float = PRICE_SPIKE, circui
 def with_message(alerts: DataFrame) -> DataFrame:
     """Add the alert text. Done last, on the rows that are output, so
     queries that only count alerts never run the text helper."""
+    from candlewick.session import ship_package
+    ship_package(alerts.sparkSession)
     msg = alert_message(F.col("alert_type"), F.col("symbol"), F.col("change_pct"), F.col("avg_price"),
                         F.col("current_price"), F.col("quantity"), F.col("avg_volume"))
     return alerts.select("*", msg.alias("message"))

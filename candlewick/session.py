@@ -63,3 +63,29 @@ def materialize(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``candlewick`` importable in the Python workers (pandas UDF,
+    applyInPandasWithState) whatever the driver's working directory: zip the
+    package once per application and register it with ``addPyFile`` (the
+    programmatic form of ``--py-files``)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.gettempdir(), f"candlewick-{os.getpid()}-{app}.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)

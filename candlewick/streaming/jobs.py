@@ -18,6 +18,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from candlewick.functions.numeric import dec
 from candlewick.functions.timecols import ntz_from_micros
+from candlewick.session import ship_package
 from candlewick.sinks import tables
 from candlewick.sources.decode import decode_trades
 from candlewick.streaming.stateful import DETECT_STATE, ENGINE_STATE, FINAL_ALERT, RAW_ALERT, detect_fn, engine_fn
@@ -106,6 +107,7 @@ def candles_update(trades: DataFrame, lateness_s: int = 10) -> DataFrame:
 
 def detect_alerts(trades: DataFrame) -> DataFrame:
     """X5 + D-*: raw alerts from the per-symbol ring buffer state."""
+    ship_package(trades.sparkSession)
     cols = ["trade_id", "symbol", "price", "quantity", "u", "seq"]
     out = trades.select(*cols).groupBy("symbol").applyInPandasWithState(
         detect_fn, RAW_ALERT, DETECT_STATE, "append", GroupStateTimeout.NoTimeout)
@@ -114,6 +116,7 @@ def detect_alerts(trades: DataFrame) -> DataFrame:
 
 def engine_alerts(raw: DataFrame) -> DataFrame:
     """X6 + X7 + D-ESC: accepted, escalated alerts."""
+    ship_package(raw.sparkSession)
     cols = [f.name for f in RAW_ALERT.fields]
     out = raw.select(*cols).groupBy("symbol").applyInPandasWithState(
         engine_fn, FINAL_ALERT, ENGINE_STATE, "append", GroupStateTimeout.NoTimeout)
