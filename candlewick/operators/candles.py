@@ -120,17 +120,11 @@ def candles_refresh(trades: DataFrame, ref_u: int | None = None, start_offset_s:
     on ``u`` so it prunes before the aggregate. Written back with dynamic
     partition overwrite by ``sinks.tables.overwrite_partitions``.
     """
-    if ref_u is None:
-        ref = trades.agg(F.max("u").alias("ref_u"))
-        lo = F.col("ref_u") - F.lit(start_offset_s * 1_000_000)
-        hi = F.col("ref_u") - F.lit(end_offset_s * 1_000_000)
-        t = trades.join(F.broadcast(ref), how="cross")  # one row: size is fixed
-    else:
-        lo, hi = F.lit(ref_u - start_offset_s * 1_000_000), F.lit(ref_u - end_offset_s * 1_000_000)
-        t = trades
+    ref = trades.agg(F.max("u")).scalar() if ref_u is None else F.lit(ref_u)  # scalar subquery
+    lo = ref - F.lit(start_offset_s * 1_000_000)
+    hi = ref - F.lit(end_offset_s * 1_000_000)
     b = bucket_start_micros("u", 60)
-    t = t.filter((b >= lo) & (b < hi)).drop("ref_u")
-    return candles_1min_view(t)
+    return candles_1min_view(trades.filter((b >= lo) & (b < hi)))
 
 
 def last_closed_candle(candles: DataFrame) -> DataFrame:

@@ -67,9 +67,8 @@ def alert_rate_1m(raw: DataFrame, final: DataFrame) -> DataFrame:
 def alert_increase(final: DataFrame, trades: DataFrame, window_s: int = 3_600) -> DataFrame:
     """Accepted alerts by type and severity in the hour up to the
     newest trade."""
-    ref = trades.agg(F.max("u").alias("ref_u"))
-    f = final.join(F.broadcast(ref), how="cross")  # one row
-    f = f.filter((F.col("u") > F.col("ref_u") - F.lit(window_s * 1_000_000)) & (F.col("u") <= F.col("ref_u")))
+    ref = trades.agg(F.max("u")).scalar()  # scalar subquery
+    f = final.filter((F.col("u") > ref - F.lit(window_s * 1_000_000)) & (F.col("u") <= ref))
     return f.groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("increase"))
 
 
@@ -111,10 +110,9 @@ def gauges(trades: DataFrame, final: DataFrame, windows: tuple[int, ...] = (60,
     open window per size), breakers not CLOSED (symbols with an accepted trip;
     nothing resets them), total trades."""
     t = trades.agg(F.countDistinct("symbol").alias("active_symbols"), F.count(F.lit(1)).alias("trades_total"))
-    b = final.filter(F.col("alert_type") == "CIRCUIT_BREAKER").agg(
-        F.countDistinct("symbol").alias("open_breakers"))
-    return t.crossJoin(b).select("active_symbols", (F.col("active_symbols") * len(windows)).alias("open_windows"),
-                                 "open_breakers", "trades_total")
+    breakers = final.filter(F.col("alert_type") == "CIRCUIT_BREAKER").agg(F.countDistinct("symbol")).scalar()
+    return t.select("active_symbols", (F.col("active_symbols") * len(windows)).alias("open_windows"),
+                    breakers.alias("open_breakers"), "trades_total")
 
 
 def _bucket_counts(trades: DataFrame) -> DataFrame:

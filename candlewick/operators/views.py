@@ -91,18 +91,16 @@ def trade_history(trades: DataFrame, symbol: str | None = None, limit: int = 100
     )
 
 
-def _ref(trades: DataFrame, ref_u: int | None) -> DataFrame:
-    """One-row reference time (newest trade unless given); broadcast-safe."""
-    if ref_u is not None:
-        return trades.sparkSession.range(1).select(F.lit(ref_u).cast("long").alias("ref_u"))
-    return trades.agg(F.max("u").alias("ref_u"))
+def ref_time(trades: DataFrame, ref_u: int | None = None) -> F.Column:
+    """Reference time "now" (D1): the newest trade unless given, as a scalar
+    subquery (one partial/final aggregate, value inlined; no join)."""
+    return F.lit(ref_u).cast("long") if ref_u is not None else trades.agg(F.max("u")).scalar()
 
 
 def trade_counts(trades: DataFrame, window_s: int = 86_400, ref_u: int | None = None) -> DataFrame:
     """Trades per symbol in the trailing ``window_s`` up to ``ref``."""
-    ref = _ref(trades, ref_u)
-    t = trades.join(F.broadcast(ref), how="cross")
-    t = t.filter((F.col("u") > F.col("ref_u") - F.lit(window_s * 1_000_000)) & (F.col("u") <= F.col("ref_u")))
+    ref = ref_time(trades, ref_u)
+    t = trades.filter((F.col("u") > ref - F.lit(window_s * 1_000_000)) & (F.col("u") <= ref))
     return t.groupBy("symbol").agg(F.count(F.lit(1)).alias("trade_count"))
 
 
@@ -110,11 +108,10 @@ def active_views(trades: DataFrame, view_ttl_s: int = 3_600, counter_ttl_s: int
                  ref_u: int | None = None) -> DataFrame:
     """Which per-symbol views are still alive at ``ref`` (expiry after
     inactivity: price/trades/series views ``view_ttl_s``, counter ``counter_ttl_s``)."""
-    ref = _ref(trades, ref_u)
+    ref = ref_time(trades, ref_u)
     last = trades.groupBy("symbol").agg(F.max("u").alias("last_u"))
-    j = last.join(F.broadcast(ref), how="cross")
-    age = F.col("ref_u") - F.col("last_u")
-    return j.select(
+    age = ref - F.col("last_u")
+    return last.select(
         "symbol", ntz_from_micros("last_u").alias("last_trade_ts"),
         (age < F.lit(view_ttl_s * 1_000_000)).alias("views_live"),
         (age < F.lit(counter_ttl_s * 1_000_000)).alias("counter_live"),
@@ -124,7 +121,6 @@ def active_views(trades: DataFrame, view_ttl_s: int = 3_600, counter_ttl_s: int
 def retained_trades(trades: DataFrame, retention_s: int = 30 * 86_400, ref_u: int | None = None) -> DataFrame:
     """Raw trades inside the retention horizon (older ones are dropped).
     On a date-partitioned table the same predicate prunes whole partitions."""
-    ref = _ref(trades, ref_u)
-    t = trades.join(F.broadcast(ref), how="cross")
-    return t.filter(F.col("u") >= F.col("ref_u") - F.lit(retention_s * 1_000_000)).select(
+    ref = ref_time(trades, ref_u)
+    return trades.filter(F.col("u") >= ref - F.lit(retention_s * 1_000_000)).select(
         "trade_id", "symbol", "price", "quantity", "side", "exchange", "trader_id", "ts", "seq")
