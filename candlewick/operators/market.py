@@ -79,14 +79,18 @@ def market_summary(latest: DataFrame, counts: DataFrame, last_closed: DataFrame,
         F.round(F.sum(F.coalesce(F.col("v1"), F.lit(0).cast("decimal(24,6)"))), 2).cast("double")
         .alias("total_volume_1m"),
     )
-    a = final_alerts.agg(F.struct(
+    a = final_alerts.agg(
         F.count(F.lit(1)).alias("total_alerts"),
         F.coalesce(F.sum(F.when(F.col("severity") == "CRITICAL", 1).otherwise(0)), F.lit(0)).cast("long")
         .alias("critical_alerts"),
         F.coalesce(F.sum(F.when(F.col("severity") == "HIGH", 1).otherwise(0)), F.lit(0)).cast("long")
         .alias("high_alerts"),
-    )).scalar()  # one-row scalar subquery, no join
-    return s.select("*", *[a[c].alias(c) for c in ("total_alerts", "critical_alerts", "high_alerts")])
+    )
+    # two one-row aggregates side by side: union them and take each column's
+    # only non-null value (each side is computed once; no join)
+    cols = s.columns + a.columns
+    both = s.unionByName(a, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in cols])
 
 
 def symbol_stats(latest: DataFrame, counts: DataFrame, last_closed: DataFrame) -> DataFrame:

@@ -51,18 +51,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def materialize(df):
-    """Reliable checkpoint into ``spark.checkpoint.dir`` that computes the plan
-    once: without the persist, the eager count and the checkpoint write would
-    each run it. Lineage is cut; the cache is dropped once the files exist."""
-    from pyspark import StorageLevel
-
-    checkpoint_root(df.sparkSession)
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+def materialize(df, name: str = "stage"):
+    """Cut lineage by writing ``df`` as a Parquet table in the shared
+    checkpoint folder (``spark.checkpoint.dir``) and reading it back. One job,
+    columnar and compressed (an RDD checkpoint would serialise rows and, unless
+    cached, compute the plan twice); the files survive executor loss."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"mat-{name}")
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 _SHIPPED: set[str] = set()
