@@ -129,3 +129,19 @@ def test_export_csv_round_trip(spark):
     back = tables.read_export(spark, path)
     assert back.count() == 500
     assert back.agg(F.min("ts")).head()[0] == t.orderBy(F.col("u").desc()).limit(500).agg(F.min("ts")).head()[0]
+
+
+def test_registered_stream_twins_equal_batch(spark):
+    """Snapshot (update mode + upsert) and candle upsert end states equal the
+    batch views over the same trades."""
+    from conftest import SF
+    from candlewick.operators import views
+    from candlewick.plans.queries import QUERIES
+    from candlewick.sources.fixtures import trades_from_events
+    t = trades_from_events(spark, SF)
+    prices = QUERIES["stream_prices"](spark, SF)
+    want = views.latest_price(t)
+    assert prices.exceptAll(want).count() == 0 and want.exceptAll(prices).count() == 0
+    up = QUERIES["stream_candles_upsert"](spark, SF)
+    allc = candles.ohlcv_all(t)
+    assert up.select(allc.columns).exceptAll(allc).count() == 0 and allc.exceptAll(up.select(allc.columns)).count() == 0
