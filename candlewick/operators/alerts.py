@@ -51,12 +51,34 @@ def cooldown_us(alert_type: F.Column) -> F.Column:
 
 
 def _sessions(alerts: DataFrame, bucket_us: int) -> DataFrame:
-    a = alerts.select("*", cooldown_us(F.col("alert_type")).alias("cd"))
-    a = prefix_max_before(a, KEYS, F.col("u"), "prev_u", bucket_us=bucket_us)
-    a = a.select("*", (F.col("prev_u").isNull() | (F.col("u") - F.col("prev_u") >= F.col("cd"))).alias("is_start"))
-    a = prefix_max_before(a, KEYS, F.when(F.col("is_start"), F.col("u")), "sess_before", bucket_us=bucket_us)
-    cols = [c for c in a.columns if c not in ("prev_u", "sess_before", "is_start")]
-    return a.select(*cols, F.when(F.col("is_start"), F.col("u")).otherwise(F.col("sess_before")).alias("sess"))
+    """Session id = time of the latest session start at or before each alert
+    (a start: first alert of its key, or a gap >= cooldown to the previous
+    one). One window pass over (key, time bucket) finds every start except a
+    bucket's first row and the latest start so far; a one-row-per-bucket table
+    supplies what crosses buckets (previous bucket's last time, latest start
+    before the bucket). ``alerts`` should be materialised: the bucket table
+    re-reads the windowed rows."""
+    w = Window.partitionBy(*KEYS, "b").orderBy("u", "seq")
+    base = alerts.select("*", cooldown_us(F.col("alert_type")).alias("cd"),
+                         F.expr(f"u div {int(bucket_us)}").alias("b"))
+    prev_in = F.lag("u").over(w)
+    d = base.select("*", prev_in.alias("prev_in"))
+    inner_start = F.col("prev_in").isNotNull() & (F.col("u") - F.col("prev_in") >= F.col("cd"))
+    d = d.select("*", F.max(F.when(inner_start, F.col("u"))).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("start_in"))
+    per_b = d.groupBy(*KEYS, "b").agg(F.min("u").alias("first_u"), F.max("u").alias("last_u"),
+                                      F.max("start_in").alias("start_b"), F.first("cd").alias("cd_b"))
+    wb = Window.partitionBy(*KEYS).orderBy("b")
+    prev_last = F.lag("last_u").over(wb)
+    per_b = per_b.select("*", prev_last.alias("prev_last"))
+    first_start = F.col("prev_last").isNull() | (F.col("first_u") - F.col("prev_last") >= F.col("cd_b"))
+    per_b = per_b.select("*", first_start.alias("first_start"))
+    last_start_b = F.greatest(F.col("start_b"), F.when(F.col("first_start"), F.col("first_u")))
+    per_b = per_b.select(*KEYS, "b", "first_u", "first_start", F.max(last_start_b).over(
+        wb.rowsBetween(Window.unboundedPreceding, -1)).alias("carry_start"))
+    d = d.join(per_b, [*KEYS, "b"], "left")
+    sess = F.coalesce(F.col("start_in"), F.when(F.col("first_start"), F.col("first_u")), F.col("carry_start"))
+    return d.select(*alerts.columns, "cd", sess.alias("sess"))
 
 
 def _fold_small(a: DataFrame, cols: list[str]) -> DataFrame:
