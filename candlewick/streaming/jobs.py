@@ -48,6 +48,20 @@ def with_event_time(df: DataFrame) -> DataFrame:
     return df.withColumn("et", F.timestamp_micros("u"))
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state (trade ids inside the dedup watermark, per-symbol
+    processor state, open windows) in RocksDB on local disk with changelog
+    checkpoints, instead of executor heap. Only when the session has not
+    chosen a provider (the provider of an existing checkpoint cannot change)."""
+    current = spark.conf.get(_PROVIDER, None)
+    if current is None or current.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, ROCKSDB)
+
+
 def _run(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -133,6 +147,7 @@ def latest_prices(trades: DataFrame) -> DataFrame:
 # --- jobs (source -> transformation -> idempotent sink) ---------------------
 
 def run_candles(trades: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    use_rocksdb_state(trades.sparkSession)
     w = candles_append(trades).writeStream.outputMode("append").format("parquet").option("path", out)
     return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
 
@@ -140,6 +155,7 @@ def run_candles(trades: DataFrame, out: str, checkpoint: str, trigger: dict | No
 def run_candles_upsert(trades: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """K5: closed and open candles upserted by (symbol, window_seconds,
     window_start), partitioned by day."""
+    use_rocksdb_state(trades.sparkSession)
     staging_root = table + "__staging"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -156,12 +172,14 @@ def run_candles_upsert(trades: DataFrame, table: str, checkpoint: str, trigger:
 
 
 def run_detect(trades: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    use_rocksdb_state(trades.sparkSession)
     w = detect_alerts(trades).writeStream.outputMode("append").format("parquet").option("path", out)
     return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
 
 
 def run_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """K6: accepted alerts inserted once per alert_id."""
+    use_rocksdb_state(raw.sparkSession)
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         if tables.batch_done(spark, table, batch_id) or batch.isEmpty():
@@ -175,6 +193,7 @@ def run_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None
 
 def run_prices(trades: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """X12 snapshot table: latest price per symbol, newest (u, seq) wins."""
+    use_rocksdb_state(trades.sparkSession)
     staging_root = table + "__staging"
 
     def sink(batch: DataFrame, batch_id: int) -> None:
@@ -193,6 +212,7 @@ def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, check
     """K4 + S4 + X9-X11: decode, quarantine the bad messages, drop redelivered
     trade ids within the watermark, insert-if-absent into the day-partitioned
     trade table (processed_at = load time)."""
+    use_rocksdb_state(messages.sparkSession)
     d = decode_trades(messages)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
