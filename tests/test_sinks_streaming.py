@@ -145,3 +145,16 @@ def test_registered_stream_twins_equal_batch(spark):
     up = QUERIES["stream_candles_upsert"](spark, SF)
     allc = candles.ohlcv_all(t)
     assert up.select(allc.columns).exceptAll(allc).count() == 0 and allc.exceptAll(up.select(allc.columns)).count() == 0
+
+
+def test_progress_gauges(spark):
+    root = _tmp()
+    src = os.path.join(root, "in")
+    trades(spark, [("AAPL", 100, 1, "BUY", s) for s in range(0, 600, 10)]).coalesce(1).write.parquet(src)
+    schema = spark.read.parquet(src).schema
+    q = jobs.run_candles(jobs.file_source(spark, src, schema), os.path.join(root, "out"), os.path.join(root, "ck"),
+                         {"availableNow": True})
+    q.awaitTermination()
+    g = jobs.progress_gauges(q)
+    assert set(g) >= {"batch_id", "input_rows", "state_rows", "dropped_late_rows", "watermark"}
+    assert g["dropped_late_rows"] == 0 and g["offsets_behind_latest"] is None  # file source reports no lag

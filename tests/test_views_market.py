@@ -90,3 +90,14 @@ def test_scanner_sort(spark):
     s = market.scanner(views.latest_price(t), lc, market.pressure(t), sort_by="change_pct")
     assert [r.symbol for r in s.collect()] == ["A", "B"]
     assert {r.symbol: r.signal for r in s.collect()} == {"A": "BUY", "B": "SELL"}
+
+
+def test_latency_percentiles_approx_close_to_exact(spark):
+    from conftest import SF
+    from candlewick.sources.fixtures import trades_from_events
+    t = trades_from_events(spark, SF)
+    approx = {r.quantile: r.latency_s for r in metrics.latency_percentiles_approx(t).collect()}
+    lat = sorted(r[0] / 1e6 for r in t.select("latency_us").collect())
+    for q, v in approx.items():
+        exact = lat[min(len(lat) - 1, int(q * len(lat)))]
+        assert abs(v - exact) <= 0.0002  # within the sketch's accuracy on 1,000 values
