@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                                            F.first("sig").alias("sig"), F.first("bands").alias("bands")), "reps")
     banded = reps.select("sid", F.explode("bands").alias("key"))
     keys = banded.groupBy("key").agg(F.min("sid").alias("pivot"), F.count("*").alias("size")).where("size > 1")
-    buckets = stage(banded.join(keys, "key"), "buckets")
+    buckets = stage(banded.join(stage(keys, "keys"), "key"), "buckets")
     texts = source.join(buckets.select("sid").distinct().join(reps, "sid").select("sid", F.col("rid").alias("doc_id")),
                         "doc_id").select("sid", "bin").mapInArrow(_own_set, "sid long, bin binary")
     texts = stage(texts.dropDuplicates(["sid"]), "texts")
@@ -260,8 +260,6 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         more = left.mapInArrow(_cross(least, best_only), "x long, y long").distinct()
         more = stage(more.join(tested, ["x", "y"], "left_anti"), "pairs")
         if more.isEmpty():
-            if best_only:
-                continue
             break
         tested = tested.union(more)
         links = links.union(stage(confirmed(more), "links"))
