@@ -251,7 +251,7 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     """source: rk (long), bin -> rk, spans (array of a, b; may overlap) for the rows with repeated strings."""
     anchors = stage(source.mapInArrow(_anchors, "fp long, ctx long, rk long, lo int, hi int, rel int"), "anchors")
     often = anchors.groupBy("fp").agg(F.count("*").alias("n"), F.min("ctx").alias("c0"), F.max("ctx").alias("c1"))
-    often = often.where("n > 1").select("fp", (F.col("c0") != F.col("c1")).alias("several"))
+    often = stage(often.where("n > 1").select("fp", (F.col("c0") != F.col("c1")).alias("several")), "often")
     found = stage(anchors.join(often, "fp"), "repeats")
     several = found.where("several")
     distinct = several.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.first(F.struct("rk", "lo", "hi", "rel")).alias("r"))
