@@ -112,6 +112,7 @@ class Code:
         np.add.at(both, self.nodes, w)
         np.add.at(ones, self.nodes, w * self.bits)
         self.st = stretch(ones, both - ones)
+        self.prior = (4 / (1 + np.exp(-self.st))).astype(np.float32)  # of ones, out of four
 
     def spread(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(places in ``nodes`` and ``bits`` of all decisions of these tokens, index of each decision's token)"""
@@ -143,18 +144,23 @@ def slot(context: np.ndarray, node: np.ndarray) -> np.ndarray:
     return (x >> 29) & (SLOTS - 1)
 
 
-def spelling(word: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """(slots of the three contexts, bits) of a word and its end mark, eight decisions a byte."""
-    b = np.frombuffer(word + b" ", np.uint8).astype(np.int64)
+def spellings(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(slots of the three contexts, bits, first decision of each word) of words, each with an end mark; eight decisions a
+    byte. Before a word's first byte there are end marks."""
+    b = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
+    first = np.cumsum(size) - size
+    behind = np.arange(len(b)) - np.repeat(first, size)
     k = np.arange(8)
     bits = (b[:, None] >> (7 - k)) & 1
     part = (1 << k) | (b[:, None] >> (8 - k))  # the byte's bits so far, behind a one
-    back = np.concatenate([[32, 32, 32], b])
-    c1 = back[2:-1] + 1
-    c2 = c1 * 259 + back[1:-2]
-    c3 = c2 * 263 + back[:-3]
-    slots = [slot((c * _P1 + 7 * o)[:, None], part * 1025).ravel() for o, c in enumerate((c1, c2, c3))]
-    return np.stack(slots), bits.ravel()
+    context, slots = np.zeros(len(b), np.int64), []
+    for back in (1, 2, 3):
+        before = np.full(len(b), 32, np.int64)
+        before[back:] = np.where(behind[back:] >= back, b[:-back], 32)
+        context = context * 259 + before + 1
+        slots.append(slot((context * _P1 + 7 * back)[:, None], part * 1025).ravel())
+    return np.stack(slots), bits.ravel(), 8 * first
 
 
 def _chunks(counters: np.ndarray):
@@ -194,13 +200,14 @@ def _train_contexts(book, code):
         esc = len(known)
         counters = np.zeros((2, 2, SLOTS), np.int64)
         for batch in batches:
-            held: list[np.ndarray] = []
+            held, size = [], 0
             for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("bin")):
                 if not held_out(i):
                     held.append(np.array([known.get(w, esc) for w in tokens(t.as_py())], np.int64))
-                    if sum(map(len, held)) > 20_000 or len(held) > 500:
+                    size += len(held[-1])
+                    if size > 40_000:
                         _tally(counters, held, c)
-                        held = []
+                        held, size = [], 0
             if held:
                 _tally(counters, held, c)
         yield _chunks(counters)
@@ -221,17 +228,15 @@ def _train_spelling(batches):
     counters = np.zeros((3, 2, SLOTS), np.int64)
     for batch in batches:
         words = batch.column("token").to_pylist()
-        for at in range(0, len(words), 1000):
-            both = [spelling(w) for w in words[at : at + 1000]]
-            bits = np.concatenate([b for _, b in both])
+        for at in range(0, len(words), 2000):
+            slots, bits, _ = spellings(words[at : at + 2000])
             for k in range(3):
-                s = np.concatenate([x[k] for x, _ in both])
-                counters[k] += np.bincount(s + SLOTS * bits, minlength=2 * SLOTS).reshape(2, SLOTS)
+                counters[k] += np.bincount(slots[k] + SLOTS * bits, minlength=2 * SLOTS).reshape(2, SLOTS)
     yield _chunks(counters)
 
 
 def _cost(p: np.ndarray, bits: np.ndarray) -> np.ndarray:
-    return -np.log2(np.where(bits == 1, p, 1 - p))
+    return -np.log2(np.abs(1 - bits - p))
 
 
 def _spell(st):
@@ -240,14 +245,11 @@ def _spell(st):
         for batch in batches:
             words = batch.column("token").to_pylist()
             cost = np.empty(len(words))
-            for at in range(0, len(words), 1000):
-                both = [spelling(w) for w in words[at : at + 1000]]
-                s = np.concatenate([x for x, _ in both], axis=1)
-                x = sum(w * tables[k][s[k]] for k, w in enumerate(SPELLING))
+            for at in range(0, len(words), 2000):
+                slots, bits, first = spellings(words[at : at + 2000])
+                x = sum(w * tables[k][slots[k]] for k, w in enumerate(SPELLING))
                 p = np.clip(1 / (1 + np.exp(-x)), 1e-4, 1 - 1e-4)
-                c = _cost(p, np.concatenate([b for _, b in both]))
-                size = np.array([len(b) for _, b in both])
-                cost[at : at + len(both)] = np.add.reduceat(c, np.cumsum(size) - size)
+                cost[at : at + len(first)] = np.add.reduceat(_cost(p, bits), first)
             yield pa.RecordBatch.from_arrays([batch.column("token"), batch.column("c"), pa.array(cost)],
                                              ["token", "c", "bits"])
 
@@ -266,47 +268,48 @@ class Mixer:
 
     def __init__(self, code: Code, tables: np.ndarray):
         self.code, self.tables = code, tables
-        self.seen = np.zeros((2, len(code.st)), np.float32)
+        self.seen = np.zeros(2 * len(code.st), np.float32)  # zeros met by node, then ones
         self.cells = np.linspace(-_LIMIT, _LIMIT, CELLS, dtype=np.float32)
 
     def cost(self, ids: np.ndarray) -> float:
-        code, seen = self.code, self.seen
+        code, seen, ones_at = self.code, self.seen, len(self.code.st)
         weights = np.tile(_INITIAL, (GATES, 1))
-        chart = np.tile(1 / (1 + np.exp(-self.cells)), (GATES, 1))
+        chart = np.tile(1 / (1 + np.exp(-self.cells)), GATES)
         one, two = contexts(ids)
         total, touched = 0.0, []
         for s in range(0, len(ids), BLOCK):
             at, of = code.spread(ids[s : s + BLOCK])
-            of += s
+            if s:
+                of += s
             node, bit = code.nodes[at], code.bits[at]
-            st0 = code.st[node]
-            n1, n0 = seen[1][node], seen[0][node]
+            n1, n0, prior = seen[node + ones_at], seen[node], code.prior[node]
             x = np.empty((4, len(node)), np.float32)
-            x[0] = st0
+            x[0] = code.st[node]
             x[1] = self.tables[0][slot(one[of], node)]
             x[2] = self.tables[1][slot(two[of], node)]
-            prior = 4 / (1 + np.exp(-st0))
-            x[3] = np.log((n1 + prior) / (n0 + 4 - prior))
+            x[3] = np.log((n1 + prior) / (n0 + (4 - prior)))
             gate = code.depth[at] + 16 * (n1 + n0 > 0)
             dot = np.einsum("ij,ji->i", weights[gate], x)
             np.clip(dot, -_LIMIT, _LIMIT, out=dot)
             p = 1 / (1 + np.exp(-dot))
-            cell = np.rint((dot + _LIMIT) * ((CELLS - 1) / (2 * _LIMIT))).astype(np.int64) + CELLS * gate
-            refined = np.clip((3 * p + chart.ravel()[cell]) / 4, 1e-4, 1 - 1e-4)
-            total += float(_cost(refined, bit).sum())
-            err = (bit - p).astype(np.float32)
-            n = np.bincount(gate, minlength=GATES) + 1.0
+            cell = ((dot + _LIMIT) * ((CELLS - 1) / (2 * _LIMIT)) + 0.5).astype(np.int64) + CELLS * gate
+            bit32 = bit.astype(np.float32)
+            refined = np.clip((3 * p + chart[cell]) / 4, 1e-4, 1 - 1e-4)
+            total += float(_cost(refined, bit32).sum(dtype=np.float64))
+            err = bit32 - p
+            np.add.at(seen, node + ones_at * bit, np.float32(1))
+            touched.append(node)
+            if s + BLOCK >= len(ids):
+                break  # nothing follows that could learn
+            pull = RATE / np.sqrt(np.bincount(gate, minlength=GATES) + 1.0)
             for k in range(4):
-                weights[:, k] += RATE * np.bincount(gate, err * x[k], GATES) / np.sqrt(n)
+                weights[:, k] += pull * np.bincount(gate, err * x[k], GATES)
             hits = np.bincount(cell, minlength=GATES * CELLS)
-            ones = np.bincount(cell, bit, GATES * CELLS)
-            gain = hits / (hits + 1 / MAP_RATE)
-            flat = chart.reshape(-1)
-            flat += gain * (ones / np.maximum(hits, 1) - flat)
-            np.add.at(seen, (bit, node), 1)
-            touched.append(node)
+            ones = np.bincount(cell, bit32, GATES * CELLS)
+            chart += hits / (hits + 1 / MAP_RATE) * (ones / np.maximum(hits, 1) - chart)
         for node in touched:
-            seen[:, node] = 0
+            seen[node] = 0
+            seen[node + ones_at] = 0
         return total
 
 
@@ -349,6 +352,20 @@ _SCORED = ("uid long, doc_id long, held_out boolean, n_tokens long, n_known long
            "n_bytes long, token binary, tf long")
 
 
+def _most_frequent(counts: DataFrame) -> list:
+    """At most ``CODEBOOK`` tokens, in order: all those above a count, found from a histogram with eight cells for each
+    doubling."""
+    cell = F.floor(8 * F.log2(F.col("c") + F.col("o"))).cast("int")
+    least, n = None, 0
+    for r in sorted(counts.groupBy(cell.alias("cell")).count().collect(), key=lambda r: -r["cell"]):
+        n += r["count"]
+        if n > CODEBOOK:
+            break
+        least = r["cell"]
+    rows = counts.where(cell >= least).collect() if least is not None else []
+    return sorted(rows, key=lambda r: (-(r.c + r.o), bytes(r.token)))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (smoothed unigram log10
     probability), score (log10 probability under the model), total_bits, bits_per_byte (null for no bytes).
@@ -365,7 +382,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     total = counts.agg(F.sum("c").alias("n"), F.sum((F.col("c") > 0).cast("long")).alias("v"), F.sum("o").alias("o")).first()
     n, v = total.n or 0, total.v or 0
     floor = n + 0.1 * (v + 1)
-    top = counts.orderBy((F.col("c") + F.col("o")).desc(), "token").limit(CODEBOOK).collect()
+    top = _most_frequent(counts)
     book = {bytes(r.token): k for k, r in enumerate(top)}
     c = np.array([r.c for r in top], float)
     rest = max(n - int(c.sum()), 1)
