@@ -7,9 +7,11 @@
 3. Signatures are compared batch by batch. After each batch a pair is pruned if the posterior probability that its
    similarity reaches the threshold (uniform prior, binomial matches) is below ``miss``.
 4. Survivors are verified on their full sets, taken from the texts.
-5. Links give components. Buckets that still hold several components get two more rounds over pairs of *different*
-   components: first the likeliest pair of each set with each other component, then every pair that the Bayesian
-   test leaves. Large buckets are cut into chunks, and each pair of chunks is a group of its own.
+5. Links give components. Buckets that still hold several components get more rounds over pairs of *different*
+   components. First, while that brings links, each set proposes its likeliest partner in one of its buckets (another
+   one in each round), so a round has no more pairs than sets. Then every pair that the Bayesian test leaves is verified
+   where its bucket is, in the first band it shares, and only links leave that place. Large buckets are cut into chunks,
+   and each pair of chunks is a group of its own.
 """
 from __future__ import annotations
 
@@ -28,8 +30,10 @@ BANDS = HASHES // ROWS
 THRESHOLD = 0.75
 #: Chosen probability of pruning a pair that reaches the threshold, at each batch.
 MISS = 1e-6
+#: Rounds of proposals at most, before all pairs that are left.
+PROPOSALS = 8
 #: Members of a bucket that one group compares with each other.
-CHUNK = 1024
+CHUNK = 512
 
 _M64 = (1 << 64) - 1
 
@@ -148,44 +152,108 @@ def _prune(least):
     return run
 
 
-def _cross(least, best_only):
-    """Pairs of different components of one bucket cell that survive; ``best_only``: the likeliest of each set and
-    other component."""
+class _Cell:
+    """Members of a bucket, or of two of its chunks, as columns."""
+
+    def __init__(self, t: pa.Table, least: list[int]):
+        self.sid, self.comp, self.n, self.chunk = (t.column(c).to_numpy() for c in ("sid", "comp", "n", "chunk"))
+        self.comp = self.comp.copy()  # links found here are entered
+        self.sig, self.least = _matrix(t.column("sig")), least
+        self.band, self.two = t.column("band")[0].as_py(), t.column("i")[0] != t.column("j")[0]
+
+    def near(self, r: int, ok: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Members of other components (and the other chunk) among ``ok`` that may be similar to member r, and matches."""
+        z = self.n
+        ok = ok & (self.comp != self.comp[r]) & (4 * z >= 3 * z[r]) & (3 * z <= 4 * z[r])
+        if self.two:
+            ok &= self.chunk != self.chunk[r]
+        q = np.flatnonzero(ok)
+        live, hits = survivors(np.broadcast_to(self.sig[r], (len(q), HASHES)), self.sig[q], self.least)
+        return q[live], hits
+
+    def first_met(self, r: int) -> np.ndarray:
+        """Those before member r that may be similar to it and share no earlier band with it."""
+        q, _ = self.near(r, np.arange(len(self.sid)) < r)
+        if len(q) and self.band:
+            upto = ROWS * self.band
+            same = (self.sig[q, :upto] == self.sig[r, :upto]).reshape(len(q), self.band, ROWS).all(axis=2)
+            q = q[~same.any(axis=1)]
+        return q
+
+
+def _cells(batches, least, rows):
+    for t in by_group(batches, ["key", "i", "j"], rows):
+        at = runs(*(t.column(c).to_numpy() for c in ("key", "i", "j")))
+        comp = t.column("comp").to_numpy()
+        for a, b in zip(at[:-1].tolist(), at[1:].tolist()):
+            if (comp[a:b] != comp[a]).any():
+                part = t.slice(a, b - a)
+                yield part, _Cell(part, least)
+
+
+def _link_rows(x, y):
+    x, y = np.array(x, np.int64), np.array(y, np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["x", "y"])
+
+
+def _proposals(least):
+    """x, y: each set whose home this cell is, and its likeliest partner."""
+
+    def run(batches):
+        for part, cell in _cells(batches, least, 2000):
+            x, y = [], []
+            for r in np.flatnonzero(part.column("home").to_numpy()):
+                q, hits = cell.near(r, np.ones(len(cell.sid), bool))
+                if len(q):
+                    x.append(cell.sid[r])
+                    y.append(cell.sid[q[hits.argmax()]])
+            if x:
+                yield _link_rows(x, y)
+
+    return run
+
+
+def _suspects(least):
+    """Rows of the cells' members that may be similar to another one of the cell."""
 
     def run(batches):
-        for t in by_group(batches, ["key", "i", "j"], 2000):
-            key, i, j = (t.column(c).to_numpy() for c in ("key", "i", "j"))
-            at = runs(key, i, j)
-            sid, comp, n, chunk = (t.column(c).to_numpy() for c in ("sid", "comp", "n", "chunk"))
-            sig = _matrix(t.column("sig"))
-            xs, ys = [], []
-            for a, b in zip(at[:-1], at[1:]):
-                if b - a < 2 or (comp[a:b] == comp[a]).all():
-                    continue
-                s, c, z, m, ch = sid[a:b], comp[a:b], n[a:b], sig[a:b], chunk[a:b]
-                for r in range(b - a):
-                    ok = (c != c[r]) & (z <= z[r]) & (4 * z >= 3 * z[r])
-                    ok &= (z < z[r]) | (s < s[r])
-                    if i[a] != j[a]:
-                        ok &= ch != ch[r]
-                    q = np.flatnonzero(ok)
-                    if not len(q):
-                        continue
-                    live, hits = survivors(np.broadcast_to(m[r], (len(q), HASHES)), m[q], least)
-                    q = q[live]
-                    if best_only and len(q):
-                        order = np.argsort(-hits, kind="stable")
-                        q = q[order]
-                        q = q[np.unique(c[q], return_index=True)[1]]
-                    xs.append(np.full(len(q), s[r]))
-                    ys.append(s[q])
-            if xs:
-                x, y = np.concatenate(xs), np.concatenate(ys)
-                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], ["x", "y"])
+        for part, cell in _cells(batches, least, 2000):
+            some = np.zeros(len(cell.sid), bool)
+            for r in range(len(some)):
+                q = cell.first_met(r)
+                some[q] = True
+                some[r] |= len(q) > 0
+            if some.any():
+                yield from part.filter(pa.array(some)).combine_chunks().to_batches()
 
     return run
 
 
+def _links_in_cells(least):
+    """x, y: links between components, verified on the full sets."""
+
+    def run(batches):
+        known = _WordHashes()
+        for part, cell in _cells(batches, least, 1):
+            sets = [shingle_set(t.as_py(), known) for t in part.column("bin")]
+            x, y = [], []
+            for r in range(len(sets)):
+                for q in cell.first_met(r):
+                    if cell.comp[q] != cell.comp[r] and _similar(sets[r], sets[q]):
+                        x.append(cell.sid[r])
+                        y.append(cell.sid[q])
+                        cell.comp[cell.comp == cell.comp[q]] = cell.comp[r]
+            if x:
+                yield _link_rows(x, y)
+
+    return run
+
+
+def _similar(a: np.ndarray, b: np.ndarray) -> bool:
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= 75 * (len(a) + len(b) - both)
+
+
 def _confirm(batches):
     known, last, set_x = _WordHashes(), None, None
     for batch in batches:
@@ -193,9 +261,7 @@ def _confirm(batches):
         for r, (x, tx, ty) in enumerate(zip(*(batch.column(c) for c in ("x", "tx", "ty")))):
             if x.as_py() != last:
                 last, set_x = x.as_py(), shingle_set(tx.as_py(), known)
-            set_y = shingle_set(ty.as_py(), known)
-            both = len(np.intersect1d(set_x, set_y, assume_unique=True))
-            if 100 * both >= 75 * (len(set_x) + len(set_y) - both):
+            if _similar(set_x, shingle_set(ty.as_py(), known)):
                 keep.append(r)
         yield batch.select(["x", "y"]).take(pa.array(keep, pa.int64()))
 
@@ -225,7 +291,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     usable = sketch.where("doc_id is not null and sid is not null")
     reps = stage(usable.groupBy("sid").agg(F.min("doc_id").alias("rid"), F.first("n").alias("n"),
                                            F.first("sig").alias("sig"), F.first("bands").alias("bands")), "reps")
-    banded = reps.select("sid", F.explode("bands").alias("key"))
+    banded = reps.select("sid", F.posexplode("bands").alias("band", "key"))
     keys = banded.groupBy("key").agg(F.min("sid").alias("pivot"), F.count("*").alias("size")).where("size > 1")
     buckets = stage(banded.join(stage(keys, "keys"), "key"), "buckets")
     texts = source.join(buckets.select("sid").distinct().join(reps, "sid").select("sid", F.col("rid").alias("doc_id")),
@@ -244,25 +310,40 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         _prune(least), "x long, y long")
     tested = stage(pruned, "pairs")
     links = stage(confirmed(tested), "links")
-    for best_only in (True, False):
+    def dealt(rows: DataFrame) -> DataFrame:
+        return rows.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "n", "sid")
+
+    added, rounds = links, 0
+    while True:
+        propose = rounds < PROPOSALS and not added.isEmpty()
         label = components(links.select(F.col("x").alias("u"), F.col("y").alias("v")))
-        left = buckets.select("key", "sid", "size").join(label.select(F.col("node").alias("sid"), "component"), "sid",
-                                                         "left").withColumn("comp", F.coalesce("component", "sid"))
+        left = buckets.select("key", "band", "sid", "size").join(
+            label.select(F.col("node").alias("sid"), "component"), "sid", "left")
+        left = left.withColumn("comp", F.coalesce("component", "sid")).drop("component")
         mixed = left.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        left = left.join(mixed.select("key"), "key", "left_semi")
+        left = left.join(stage(mixed.select("key"), "mixed"), "key")
+        if propose:
+            home = left.groupBy("sid").agg(F.max(F.struct(F.xxhash64("key", F.lit(rounds)), "key")).alias("h"))
+            left = left.join(home.select("sid", F.col("h.key").alias("home")), "sid")
+            left = left.withColumn("home", F.col("home") == F.col("key"))
+        else:
+            left = left.withColumn("home", F.lit(True))
         k = F.ceil(F.col("size") / CHUNK).cast("int")
         left = left.withColumn("k", k).withColumn("chunk", F.pmod(F.xxhash64("sid"), F.col("k")).cast("int"))
         cell = F.explode(F.transform(F.sequence(F.lit(0), F.col("k") - 1), lambda o: F.struct(
             F.least("chunk", o).alias("i"), F.greatest("chunk", o).alias("j"))))
-        left = left.select("key", "sid", "comp", "chunk", cell.alias("c")).select("key", "sid", "comp", "chunk", "c.*")
-        left = left.join(reps.select("sid", "n", "sig"), "sid").repartition("key", "i", "j").sortWithinPartitions(
-            "key", "i", "j")
-        more = left.mapInArrow(_cross(least, best_only), "x long, y long").distinct()
-        more = stage(more.join(tested, ["x", "y"], "left_anti"), "pairs")
-        if more.isEmpty():
+        left = left.select("*", cell.alias("c")).select("key", "band", "sid", "comp", "home", "chunk", "c.*")
+        left = left.join(reps.select("sid", "n", "sig"), "sid")
+        if not propose:
             break
-        tested = tested.union(more)
-        links = links.union(stage(confirmed(more), "links"))
+        more = dealt(left).mapInArrow(_proposals(least), "x long, y long").distinct()
+        more = stage(more.join(tested, ["x", "y"], "left_anti"), "pairs")
+        added = stage(confirmed(more), "links")
+        tested, links, rounds = tested.union(more), links.union(added), rounds + 1
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in left.schema.fields)
+    suspects = stage(dealt(left).mapInArrow(_suspects(least), kind), "suspects")
+    last = dealt(suspects.join(texts, "sid")).mapInArrow(_links_in_cells(least), "x long, y long")
+    links = links.union(stage(last.distinct(), "links"))
     node = usable.select("doc_id", "sid").join(reps.select("sid", "rid"), "sid")
     rid = reps.select("sid", "rid")
     far = links.join(rid.toDF("x", "u"), "x").join(rid.toDF("y", "v"), "y").select("u", "v")
