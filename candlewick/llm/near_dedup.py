@@ -31,7 +31,7 @@ THRESHOLD = 0.75
 #: Chosen probability of pruning a pair that reaches the threshold, at each batch.
 MISS = 1e-6
 #: Rounds of proposals at most, before all pairs that are left.
-PROPOSALS = 8
+PROPOSALS = 2
 #: Members of a bucket that one group compares with each other.
 CHUNK = 512
 
