@@ -318,4 +318,5 @@ def alerts_filtered(table: DataFrame, symbol: str | None = None, severity: str |
 def whales(final: DataFrame) -> DataFrame:
     """accepted VOLUME_SPIKE alerts, biggest multiplier first."""
     return final.filter(F.col("alert_type") == "VOLUME_SPIKE").select(
-        "alert_id", "symbol", "triggered_at", "quantity", "avg_volume", "multiplier")
+        "alert_id", "symbol", "triggered_at", "quantity", "avg_volume", "multiplier").orderBy(
+        F.desc("multiplier"), "triggered_at", "alert_id")

@@ -10,16 +10,21 @@ from __future__ import annotations
 
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
+    """False for a missing or empty path only; any other read error is raised, since a writer that took it for "no
+    table" would insert duplicates or replace the table."""
     try:
         spark.read.parquet(path).schema  # noqa: B018
         return True
-    except Exception:  # noqa: BLE001  (missing or empty path)
-        return False
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
 
 
 def _marker(path: str, batch_id: int) -> str:
