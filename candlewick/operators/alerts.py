@@ -6,37 +6,34 @@ breaker state machine on the accepted alerts, then routing and counting with
 the escalated severity.
 
 Cooldown dedup is a sequential fold ("kept if no *kept* alert of the same
-type and symbol in the last c seconds"). It is made parallel exactly:
-
-1. An alert whose gap to the previous alert of its key is >= c is always
-   kept (the last kept one is no later than the previous alert), so the key's
-   timeline splits into independent sessions at those alerts. Previous-alert
-   time and session start are as-of lookups done with ``prefix_max_before``
-   (no per-key sort).
-2. Sessions of at most ``max_session_rows`` alerts are folded in one
-   aggregate (a sorted ``collect_list`` + ``aggregate`` carrying keep
-   flags), so no group holds more than that many rows.
-3. Longer sessions (a hot key alerting continuously) go through pointer
-   doubling: each alert's successor is the first alert at or after
-   ``u + c``; the kept set is the successor chain from the session head,
-   expanded in log2(session length) rounds of joins. Nothing collects an
-   unbounded group.
+type and symbol in the last c seconds"). It is made parallel exactly, on one
+path for every size:
+
+1. Each key's timeline is cut into buckets of a fixed number of cooldowns. A
+   bucket does not know which of its first alerts the bucket before leaves
+   eligible, so it works out the last time it keeps for each of them.
+2. These (start, exit) pairs link the buckets; pointer doubling over them
+   (``_starts``) finds where each bucket really starts.
+3. Each bucket is then folded once from its start.
+
+A task holds the distinct alert times of one key in one bucket.
 """
 from __future__ import annotations
 
-import math
-
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.ordered import DEFAULT_BUCKET_US, prefix_max_before
-from candlewick.session import checkpoint_root, materialize
+from candlewick.session import materialize
+from candlewick.sources.decode import iso_utc
 
 # Cooldown per alert type (seconds), default for other types
 COOLDOWNS_S = {"CIRCUIT_BREAKER": 300, "PRICE_SPIKE": 60, "VOLUME_SPIKE": 30}
 DEFAULT_COOLDOWN_S = 60
 BREAKER_TIMEOUT_S = 300  # OPEN -> HALF_OPEN after five minutes
-SEVERITIES = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
+FOLD_COOLDOWNS = 720  # width of a fold bucket in cooldowns; bounds a task, never the result
 
 KEYS = ["alert_type", "symbol"]
 
@@ -50,115 +47,86 @@ def cooldown_us(alert_type: F.Column) -> F.Column:
     return expr.otherwise(c).cast("long")
 
 
-def _sessions(alerts: DataFrame, bucket_us: int) -> DataFrame:
-    """Session id = time of the latest session start at or before each alert
-    (a start: first alert of its key, or a gap >= cooldown to the previous
-    one). One window pass over (key, time bucket) finds every start except a
-    bucket's first row and the latest start so far; a one-row-per-bucket table
-    supplies what crosses buckets (previous bucket's last time, latest start
-    before the bucket). ``alerts`` should be materialised: the bucket table
-    re-reads the windowed rows."""
-    w = Window.partitionBy(*KEYS, "b").orderBy("u", "seq")
-    base = alerts.select("*", cooldown_us(F.col("alert_type")).alias("cd"),
-                         F.expr(f"u div {int(bucket_us)}").alias("b"))
-    prev_in = F.lag("u").over(w)
-    d = base.select("*", prev_in.alias("prev_in"))
-    inner_start = F.col("prev_in").isNotNull() & (F.col("u") - F.col("prev_in") >= F.col("cd"))
-    d = d.select("*", F.max(F.when(inner_start, F.col("u"))).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("start_in"))
-    per_b = d.groupBy(*KEYS, "b").agg(F.min("u").alias("first_u"), F.max("u").alias("last_u"),
-                                      F.max("start_in").alias("start_b"), F.first("cd").alias("cd_b"))
-    wb = Window.partitionBy(*KEYS).orderBy("b")
-    prev_last = F.lag("last_u").over(wb)
-    per_b = per_b.select("*", prev_last.alias("prev_last"))
-    first_start = F.col("prev_last").isNull() | (F.col("first_u") - F.col("prev_last") >= F.col("cd_b"))
-    per_b = per_b.select("*", first_start.alias("first_start"))
-    last_start_b = F.greatest(F.col("start_b"), F.when(F.col("first_start"), F.col("first_u")))
-    per_b = per_b.select(*KEYS, "b", "first_u", "first_start", F.max(last_start_b).over(
-        wb.rowsBetween(Window.unboundedPreceding, -1)).alias("carry_start"))
-    d = d.join(per_b, [*KEYS, "b"], "left")
-    sess = F.coalesce(F.col("start_in"), F.when(F.col("first_start"), F.col("first_u")), F.col("carry_start"))
-    return d.select(*alerts.columns, "cd", sess.alias("sess"))
-
-
-def _fold_small(a: DataFrame, cols: list[str]) -> DataFrame:
-    """Exact cooldown fold of each (bounded) session in one aggregate: the
-    sorted session is scanned once carrying (last kept u, keep flags); the
-    flags then select the kept rows."""
-    g = a.groupBy(*KEYS, "sess").agg(
-        F.first("cd").alias("cd"),
-        F.sort_array(F.collect_list(F.struct("u", "seq", F.struct(*cols).alias("r")))).alias("xs"))
-    init = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<boolean>").alias("keep"))
-
-    def step(acc, x):
-        take = acc["last"].isNull() | (x["u"] - acc["last"] >= F.col("cd"))
-        return F.struct(F.when(take, x["u"]).otherwise(acc["last"]).alias("last"),
-                        F.concat(acc["keep"], F.array(take)).alias("keep"))
-
-    flags = F.aggregate("xs", init, step, lambda acc: acc["keep"])
-    kept = F.filter(F.zip_with("xs", flags, lambda x, f: F.when(f, x["r"])), lambda y: y.isNotNull())
-    return g.select(F.explode(kept).alias("x")).select("x.*")
-
-
-def _successors(a: DataFrame) -> DataFrame:
-    """For each alert of a long session: the first alert of the same session
-    at or after u + cd (NULL at the end). Buckets of width cd: inside a session
-    consecutive gaps are < cd, so every bucket of its span is non-empty and the
-    successor is in the probe's bucket or the next one."""
-    nodes = a.select(*KEYS, "sess", "cd", "u", "seq")
-    b = F.expr("u div cd")
-    probes = nodes.select(*KEYS, "sess", "cd", (F.col("u") + F.col("cd")).alias("u"),
-                          F.lit(0).alias("kind"), F.col("u").alias("src_u"), F.col("seq").alias("src_seq"),
-                          F.lit(None).cast("long").alias("seq"))
-    pts = nodes.select(*KEYS, "sess", "cd", "u", F.lit(1).alias("kind"), F.lit(None).cast("long").alias("src_u"),
-                       F.lit(None).cast("long").alias("src_seq"), "seq")
-    both = probes.unionByName(pts).withColumn("b", b)
-    w = (Window.partitionBy(*KEYS, "sess", "b").orderBy("u", "kind", "seq")
-         .rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    both = both.withColumn("nx", F.first(F.when(F.col("kind") == 1, F.struct("u", "seq")), ignorenulls=True).over(w))
-    firsts = pts.withColumn("b", b).groupBy(*KEYS, "sess", "b").agg(F.min(F.struct("u", "seq")).alias("bf"))
-    firsts = firsts.withColumn("b", F.col("b") - 1)  # bucket b's first alert serves probes of bucket b-1
-    p = both.filter(F.col("kind") == 0).join(firsts, [*KEYS, "sess", "b"], "left")
-    return p.select(*KEYS, "sess", F.struct(F.col("src_u").alias("u"), F.col("src_seq").alias("seq")).alias("node"),
-                    F.coalesce("nx", "bf").alias("jump"))
-
-
-def _fold_large(a: DataFrame, cols: list[str], max_len: int) -> DataFrame:
-    """Exact cooldown fold of long sessions by pointer doubling."""
-    jumps = materialize(_successors(a))
-    heads = a.filter(F.col("u") == F.col("sess")).groupBy(*KEYS, "sess").agg(
-        F.min(F.struct("u", "seq")).alias("node"))
-    front = materialize(heads)
-    for _ in range(max(1, math.ceil(math.log2(max(max_len, 2))))):
-        step = (front.join(jumps, [*KEYS, "sess", "node"]).filter(F.col("jump").isNotNull())
-                .select(*KEYS, "sess", F.col("jump").alias("node")))
-        front = materialize(front.unionByName(step))
-        j2 = jumps.select(*KEYS, "sess", F.col("node").alias("jump"), F.col("jump").alias("jump2"))
-        jumps = (jumps.join(j2, [*KEYS, "sess", "jump"], "left")
-                 .select(*KEYS, "sess", "node", F.col("jump2").alias("jump")))
-        jumps = materialize(jumps)
-    kept_nodes = front.select(*KEYS, "sess", F.col("node.u").alias("u"), F.col("node.seq").alias("seq"))
-    return a.join(kept_nodes, [*KEYS, "sess", "u", "seq"], "left_semi").select(*cols)
-
-
-def dedup_cooldown(alerts: DataFrame, max_session_rows: int = 20_000,
-                   bucket_us: int = DEFAULT_BUCKET_US, input_materialized: bool = False) -> DataFrame:
+def _cells(alerts: DataFrame, cooldowns: int) -> DataFrame:
+    """Distinct alert times of each key with their bucket ``b`` of ``cooldowns`` cooldowns."""
+    t = alerts.select(*KEYS, "u", cooldown_us(F.col("alert_type")).alias("cd"))
+    return t.select("*", F.floor(F.col("u") / (F.col("cd") * cooldowns)).alias("b")).distinct()
+
+
+def _exits(pdf: pd.DataFrame, cooldowns: int) -> pd.DataFrame:
+    """For every time a bucket may start to keep at: the last time it then keeps."""
+    u, cd, b = np.sort(pdf["u"].to_numpy()), pdf["cd"].iat[0], pdf["b"].iat[0]
+    own = np.arange(len(u))
+    after = np.searchsorted(u, u + cd)
+    last = np.where(after < len(u), after, own)
+    while (last[last] != last).any():
+        last = last[last]
+    # an earlier kept time blocks less than one cooldown of the bucket
+    n = min(len(u), int(np.searchsorted(u, b * cooldowns * cd + cd)) + 1)
+    return pd.DataFrame({"alert_type": pdf["alert_type"].iat[0], "symbol": pdf["symbol"].iat[0], "cd": cd, "b": b,
+                         "start": u[:n], "exit": u[last[:n]], "first_u": u[0], "last_u": u[-1]})
+
+
+def _kept_times(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The times one bucket keeps, from its known start on."""
+    u, cd = np.sort(pdf["u"].to_numpy()), pdf["cd"].iat[0]
+    kept, at = [], int(np.searchsorted(u, pdf["start"].iat[0]))
+    while at < len(u):
+        kept.append(u[at])
+        at = int(np.searchsorted(u, u[at] + cd))
+    return pd.DataFrame({"alert_type": pdf["alert_type"].iat[0], "symbol": pdf["symbol"].iat[0], "u": kept})
+
+
+def _starts(exits: DataFrame) -> DataFrame:
+    """The time each bucket really starts to keep at (no row: it keeps nothing).
+
+    A bucket whose first alert comes a cooldown or more after the bucket before starts there. Every other start is
+    the first alert a cooldown or more after an exit; it lies in the next bucket or opens the one behind it. These
+    pointers are followed by doubling, in as many rounds as the logarithm of the longest run of linked buckets.
+    """
+    w = Window.partitionBy(*KEYS).orderBy("b")  # one row per key and bucket
+    per_b = exits.groupBy(*KEYS, "cd", "b").agg(F.first("first_u").alias("first_u"), F.first("last_u").alias("last_u"))
+    prev_last = F.lag("last_u").over(w)
+    per_b = per_b.select(
+        *KEYS, "b", "first_u", F.lead("b").over(w).alias("next_b"), F.lead("first_u", 2).over(w).alias("behind_u"),
+        (prev_last.isNull() | (F.col("first_u") - prev_last >= F.col("cd"))).alias("fresh"))
+    heads = per_b.where("fresh").select(*KEYS, F.col("first_u").alias("start"))
+    probes = exits.join(per_b.select(*KEYS, "b", "next_b", "behind_u"), [*KEYS, "b"]).where("next_b is not null").select(
+        *KEYS, F.col("next_b").alias("b"), (F.col("exit") + F.col("cd")).alias("at"), F.lit(0).alias("kind"), "start",
+        "behind_u")
+    points = exits.select(*KEYS, "b", F.col("start").alias("at"), F.lit(1).alias("kind"))
+    ahead = Window.partitionBy(*KEYS, "b").orderBy("at", "kind").rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = F.first(F.when(F.col("kind") == 1, F.col("at")), ignorenulls=True).over(ahead)
+    jump = probes.unionByName(points, allowMissingColumns=True).select("*", found.alias("found")).where("kind = 0")
+    jump = jump.select(*KEYS, "start", F.coalesce("found", "behind_u").alias("next")).where("next is not null")
+    jump = materialize(jump.join(heads.withColumnRenamed("start", "next"), [*KEYS, "next"], "left_anti"))
+    reached = heads
+    while not jump.isEmpty():
+        step = reached.join(jump, [*KEYS, "start"]).select(*KEYS, F.col("next").alias("start"))
+        reached = materialize(reached.unionByName(step))
+        far = jump.select(*KEYS, F.col("start").alias("next"), F.col("next").alias("far"))
+        jump = materialize(jump.join(far, [*KEYS, "next"]).select(*KEYS, "start", F.col("far").alias("next")))
+    return reached
+
+
+def dedup_cooldown(alerts: DataFrame, cooldowns: int = FOLD_COOLDOWNS, input_materialized: bool = False) -> DataFrame:
     """D-DUP: keep an alert iff no alert of the same (type, symbol) was kept in
     the previous cooldown (exactly c later is kept). Suppressed alerts do not
-    extend the cooldown."""
+    extend the cooldown. Of several alerts of one key at the same instant the
+    least by (seq, all columns) counts. ``cooldowns`` is the width of a fold
+    bucket in cooldowns; it does not change the result."""
     cols = alerts.columns
-    # the raw alerts (a small fraction of the trades) are read by several
-    # branches below: compute them once; then materialise the sessionised
-    # alerts, which the size check and the folds both read
-    a = materialize(_sessions(alerts if input_materialized else materialize(alerts), bucket_us))
-    sizes = a.groupBy(*KEYS, "sess").agg(F.count(F.lit(1)).alias("sess_n"))
-    longest = sizes.agg(F.max("sess_n")).head()[0] or 0  # size check on the materialised sessions
-    if longest <= max_session_rows:
-        return _fold_small(a, cols)
-    a = a.join(sizes, [*KEYS, "sess"])
-    small = _fold_small(a.filter(F.col("sess_n") <= max_session_rows), cols)
-    big = a.filter(F.col("sess_n") > max_session_rows)
-    return small.unionByName(_fold_large(big, cols, longest))
+    if not input_materialized:
+        alerts = materialize(alerts)
+    cells = _cells(alerts, cooldowns)
+    key_cols = "alert_type string, symbol string"
+    exits = materialize(cells.groupBy(*KEYS, "b").applyInPandas(
+        lambda pdf: _exits(pdf, cooldowns), f"{key_cols}, cd long, b long, start long, exit long, first_u long, last_u long"))
+    starts = _starts(exits).join(exits.select(*KEYS, "b", "start"), [*KEYS, "start"])
+    times = cells.join(starts, [*KEYS, "b"]).groupBy(*KEYS, "b").applyInPandas(_kept_times, f"{key_cols}, u long")
+    kept = alerts.join(times, [*KEYS, "u"], "left_semi").groupBy(*KEYS, "u").agg(
+        F.min(F.struct("seq", F.struct(*cols).alias("r"))).alias("x"))
+    return kept.select("x.r.*")
 
 
 def breaker_states(kept: DataFrame, timeout_s: int = BREAKER_TIMEOUT_S, reset_after_s: int | None = None,
@@ -186,8 +154,8 @@ def escalate(with_state: DataFrame) -> DataFrame:
 
 
 def alerts_final(raw: DataFrame, **kw) -> DataFrame:
-    kept = dedup_cooldown(raw, **{k: v for k, v in kw.items()
-                                  if k in ("max_session_rows", "bucket_us", "input_materialized")})
+    # both the breaker lookup and its bucket table read the kept alerts
+    kept = materialize(dedup_cooldown(raw, **{k: v for k, v in kw.items() if k in ("cooldowns", "input_materialized")}))
     st = breaker_states(kept, **{k: v for k, v in kw.items() if k in ("timeout_s", "reset_after_s", "bucket_us")})
     return escalate(st).drop("trip_u")
 
@@ -209,7 +177,7 @@ def deliveries(final: DataFrame, webhook_url: str | None = None) -> DataFrame:
                 .when(sev == "HIGH", F.array(F.lit(hook), F.lit("log_high")))
                 .when(sev == "MEDIUM", F.array(F.lit("log_medium")))
                 .otherwise(F.array(F.lit("log_low"))))
-    ts_txt = F.date_format("triggered_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    ts_txt = iso_utc(F.col("triggered_at"))
     text = F.concat(F.lit("*["), sev, F.lit("] "), F.col("alert_type"), F.lit("*\n"), F.col("message"))
     payload = F.to_json(F.struct(
         text.alias("text"),
@@ -224,24 +192,11 @@ def deliveries(final: DataFrame, webhook_url: str | None = None) -> DataFrame:
 
 
 def alert_counts(final: DataFrame) -> DataFrame:
-    """Total, per symbol and per severity in one grouping-sets pass."""
-    final.createOrReplaceTempView("__final_alerts")
-    return final.sparkSession.sql("""
-        SELECT grouping_id(symbol, severity) AS gid, symbol, severity, count(*) AS alert_count
-        FROM __final_alerts GROUP BY GROUPING SETS ((), (symbol), (severity))""")
-
-
-def alert_counts_df(final: DataFrame) -> DataFrame:
-    """Same as ``alert_counts`` without a temp view (DataFrame API union of
-    three partial aggregates sharing one scan)."""
-    tot = final.agg(F.count(F.lit(1)).alias("alert_count")).select(
-        F.lit(3).alias("gid"), F.lit(None).cast("string").alias("symbol"),
-        F.lit(None).cast("string").alias("severity"), "alert_count")
-    by_sym = final.groupBy("symbol").agg(F.count(F.lit(1)).alias("alert_count")).select(
-        F.lit(1).alias("gid"), "symbol", F.lit(None).cast("string").alias("severity"), "alert_count")
-    by_sev = final.groupBy("severity").agg(F.count(F.lit(1)).alias("alert_count")).select(
-        F.lit(2).alias("gid"), F.lit(None).cast("string").alias("symbol"), "severity", "alert_count")
-    return tot.unionByName(by_sym).unionByName(by_sev)
+    """Total, per symbol and per severity in one grouping-sets pass
+    (no alerts: no rows)."""
+    g = final.groupingSets([[], [F.col("symbol")], [F.col("severity")]], "symbol", "severity").agg(
+        F.grouping_id("symbol", "severity").cast("int").alias("gid"), F.count(F.lit(1)).alias("alert_count"))
+    return g.select("gid", "symbol", "severity", "alert_count")
 
 
 def _newest_first(df: DataFrame):

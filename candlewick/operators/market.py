@@ -48,15 +48,17 @@ def _change_pct(cur: F.Column, open_: F.Column) -> F.Column:
 
 def top_movers(latest: DataFrame, last_closed: DataFrame, k: int = 5) -> DataFrame:
     """J1 + T3: latest price vs the open of the last closed 5-minute candle
-    (inner join: symbols missing either side are skipped). Gainers are rows
-    whose change rounds (4 places) to >= 0; biggest |change| first, ties by
-    symbol; top ``k`` per side."""
+    (inner join: symbols missing either side are skipped). The change is rounded
+    to 4 places first; the direction goes by the unrounded one. Gainers are
+    rows whose change is >= 0; biggest |change| first, ties by symbol; top
+    ``k`` per side."""
     c5 = last_closed.filter(F.col("window_seconds") == 300).select(
         "symbol", F.col("open_price").alias("open"), F.col("total_volume").alias("volume"), "vwap")
     m = latest.select("symbol", "price").join(c5, "symbol", "inner")
-    m = m.withColumn("change_pct", _change_pct(F.col("price"), F.col("open")))
-    m = m.withColumn("direction", F.when(F.col("change_pct") >= 0, "up").otherwise("down"))
-    m = m.withColumn("side", F.when(F.round("change_pct", 4) >= 0, "gainers").otherwise("losers"))
+    m = m.withColumn("change", _change_pct(F.col("price"), F.col("open")))
+    m = m.withColumn("direction", F.when(F.col("change") >= 0, "up").otherwise("down"))
+    m = m.withColumn("change_pct", F.round("change", 4))
+    m = m.withColumn("side", F.when(F.col("change_pct") >= 0, "gainers").otherwise("losers"))
     order = [F.abs(F.col("change_pct")).desc(), F.col("symbol")]
     top = None
     for side in ("gainers", "losers"):
@@ -68,7 +70,7 @@ def top_movers(latest: DataFrame, last_closed: DataFrame, k: int = 5) -> DataFra
 
 
 def market_summary(latest: DataFrame, counts: DataFrame, last_closed: DataFrame, final_alerts: DataFrame) -> DataFrame:
-    """J2 + A7: one row: active symbols, trades in the trailing window, last
+    """J2 + A7: one row: active symbols, sum of their trade counters, last
     closed 1-minute volume (missing -> 0), alert totals (escalated)."""
     c1 = last_closed.filter(F.col("window_seconds") == 60).select(
         "symbol", F.col("total_volume").cast("decimal(24,6)").alias("v1"))
@@ -94,7 +96,7 @@ def market_summary(latest: DataFrame, counts: DataFrame, last_closed: DataFrame,
 
 
 def symbol_stats(latest: DataFrame, counts: DataFrame, last_closed: DataFrame) -> DataFrame:
-    """Per symbol price, trailing trade count (0 if none), last closed
+    """Per symbol price, trade counter (0 if none), last closed
     1-minute VWAP and volume (NULL if none)."""
     c1 = last_closed.filter(F.col("window_seconds") == 60).select(
         "symbol", F.col("vwap").alias("vwap_1m"), F.col("total_volume").alias("volume_1m"))
@@ -133,8 +135,9 @@ def watchlist(latest: DataFrame, instruments: DataFrame) -> DataFrame:
 
 def price_levels(trades: DataFrame, depth: int = 10, n: int = RECENT_N) -> DataFrame:
     """T6 (re-aimed order book): a ``depth``-level ladder each side of the
-    latest price (tick = 1 bp of it) with the real quantity of the symbol's
-    newest ``n`` trades that fall into each level. Level of a trade =
+    latest price ``mid`` (tick = 1 bp of it, spread two ticks) with the real
+    quantity of the symbol's newest ``n`` trades that fall into each level;
+    prices rounded to 6 places, totals to 4. Level of a trade =
     ceil(|price - mid| / tick), found arithmetically, then an equi-join on
     (symbol, book_side, level): no band join."""
     if not 5 <= depth <= 20:
@@ -154,5 +157,6 @@ def price_levels(trades: DataFrame, depth: int = 10, n: int = RECENT_N) -> DataF
     px = F.when(F.col("book_side") == "bid", F.col("mid") - F.col("tick") * F.col("level")) \
         .otherwise(F.col("mid") + F.col("tick") * F.col("level"))
     qty = F.coalesce(F.col("q"), F.lit(0).cast("decimal(18,6)")).cast("double")
-    return out.select("symbol", "book_side", "level", px.alias("price"), qty.alias("quantity"),
-                      (px * qty).alias("total"))
+    px = F.round(px, 6)
+    return out.select("symbol", "mid", F.round(F.col("tick") * 2, 8).alias("spread"), "book_side", "level",
+                      px.alias("price"), qty.alias("quantity"), F.round(px * qty, 4).alias("total"))

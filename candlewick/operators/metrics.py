@@ -3,6 +3,8 @@ per-minute rates, hourly increases, gauges and the latency histogram with
 bucket-interpolated quantiles. Every one is a partial-aggregating groupBy."""
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,7 @@ from candlewick.functions.timecols import bucket_start_micros, ntz_from_micros
 # Latency histogram bucket bounds (seconds)
 LATENCY_BUCKETS_S = [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0]
 QUANTILES = (0.5, 0.95, 0.99)
+WINDOWS_S = (60, 300, 900)  # candle sizes
 
 
 def trade_rate_1m(trades: DataFrame) -> DataFrame:
@@ -23,17 +26,17 @@ def trade_rate_1m(trades: DataFrame) -> DataFrame:
 
 def trade_rate_sliding(trades: DataFrame, size_s: int = 60, slide_s: int = 5) -> DataFrame:
     """Trades per symbol over a ``size_s`` window sliding every
-    ``slide_s`` (the dashboard's 1-minute rate refreshed every 5 s). Each
-    trade is expanded to the size/slide windows that contain it, then one
-    partial-aggregating groupBy."""
+    ``slide_s`` (the dashboard's 1-minute rate refreshed every 5 s). Trades
+    are counted per slide first; only these counts are spread over the
+    size/slide windows that contain them."""
     if size_s % slide_s:
         raise ValueError("size must be a multiple of the slide")
     n = size_s // slide_s
     slide_us = slide_s * 1_000_000
-    t = trades.withColumn("__last", bucket_start_micros("u", slide_s))
-    t = t.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
-    t = t.withColumn("w", F.col("__last") - F.col("k") * F.lit(slide_us))
-    g = t.groupBy("w", "symbol").agg(F.count(F.lit(1)).alias("trades"))
+    per_slide = trades.groupBy("symbol", bucket_start_micros("u", slide_s).alias("last")).agg(F.count(F.lit(1)).alias("n"))
+    t = per_slide.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    t = t.withColumn("w", F.col("last") - F.col("k") * F.lit(slide_us))
+    g = t.groupBy("w", "symbol").agg(F.sum("n").alias("trades"))
     return g.select(ntz_from_micros("w").alias("window_start"),
                     ntz_from_micros(F.col("w") + F.lit(size_s * 1_000_000)).alias("window_end"), "symbol", "trades",
                     (F.col("trades") / F.lit(float(size_s))).alias("rate_per_sec"))
@@ -64,30 +67,45 @@ def alert_rate_1m(raw: DataFrame, final: DataFrame) -> DataFrame:
                     (F.col("received") - F.coalesce("accepted", F.lit(0))).cast("long").alias("suppressed"))
 
 
-def alert_increase(final: DataFrame, trades: DataFrame, window_s: int = 3_600) -> DataFrame:
-    """Accepted alerts by type and severity in the hour up to the
-    newest trade."""
+def alert_increase(raw: DataFrame, trades: DataFrame, window_s: int = 3_600) -> DataFrame:
+    """Generated alerts by type and original severity in the hour up to
+    the newest trade."""
     ref = trades.agg(F.max("u")).scalar()  # scalar subquery
-    f = final.filter((F.col("u") > ref - F.lit(window_s * 1_000_000)) & (F.col("u") <= ref))
+    f = raw.filter((F.col("u") > ref - F.lit(window_s * 1_000_000)) & (F.col("u") <= ref))
     return f.groupBy("alert_type", "severity").agg(F.count(F.lit(1)).alias("increase"))
 
 
+def closed_windows(trades: DataFrame, windows: tuple[int, ...] = WINDOWS_S) -> DataFrame:
+    """One row: candles closed so far (``n``), the newest of each symbol and size being open."""
+    minutes = trades.select("symbol", bucket_start_micros("u", math.gcd(*windows)).alias("m")).distinct()
+    each = F.explode(F.array(*[F.struct(F.lit(s).alias("size"), bucket_start_micros("m", s).alias("w")) for s in windows]))
+    seen = minutes.select("symbol", each.alias("x")).select("symbol", "x.*").distinct()
+    per = seen.groupBy("symbol", "size").agg((F.count(F.lit(1)) - 1).alias("n"))
+    return per.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+
+
 def label_counters(trades: DataFrame, raw: DataFrame, final: DataFrame, deliveries: DataFrame) -> DataFrame:
-    """The pipeline's counters, one (counter, label, value) row each."""
-    def cnt(df, name, label):
-        return df.groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("value")).select(
+    """The pipeline's counters, one (counter, label, value) row each.
+    Trades and alerts are counted once by all their labels; the coarser
+    counters sum those counts."""
+    def total(df, name, label):
+        return df.groupBy(label.alias("label")).agg(F.sum("n").alias("value")).select(
             F.lit(name).alias("counter"), "label", "value")
 
+    def per(df, *labels):
+        return df.groupBy(*labels).agg(F.count(F.lit(1)).alias("n"))
+
+    sold, made = per(trades, "symbol", "side"), per(raw, "alert_type", "severity")
     sup = raw.join(final.select("alert_id"), "alert_id", "left_anti")
     parts = [
-        cnt(trades, "trades_by_symbol", F.col("symbol")),
-        cnt(trades, "trades_by_symbol_side", F.concat_ws(":", "symbol", "side")),
-        cnt(raw, "alerts_generated", F.concat_ws(":", "alert_type", "severity")),
-        cnt(raw, "alerts_received", F.col("alert_type")),
-        cnt(sup, "alerts_suppressed", F.col("alert_type")),
-        cnt(deliveries, "alerts_delivered", F.col("channel")),
-        cnt(trades, "rows_written", F.lit("trades")),
-        cnt(final, "rows_written", F.lit("trade_alerts")),
+        total(sold, "trades_by_symbol", F.col("symbol")),
+        total(sold, "trades_by_symbol_side", F.concat_ws(":", "symbol", "side")),
+        total(made, "alerts_generated", F.concat_ws(":", "alert_type", "severity")),
+        total(made, "alerts_received", F.col("alert_type")),
+        total(per(sup, "alert_type"), "alerts_suppressed", F.col("alert_type")),
+        total(per(deliveries, "channel"), "alerts_delivered", F.col("channel")),
+        total(sold, "rows_written", F.lit("trades")),
+        total(closed_windows(trades), "rows_written", F.lit("trade_aggregates")),
     ]
     out = parts[0]
     for p in parts[1:]:
@@ -105,7 +123,7 @@ def dedup_rate(raw: DataFrame, final: DataFrame) -> DataFrame:
                     (sup / F.col("received")).alias("suppressed_ratio"))
 
 
-def gauges(trades: DataFrame, final: DataFrame, windows: tuple[int, ...] = (60, 300, 900)) -> DataFrame:
+def gauges(trades: DataFrame, final: DataFrame, windows: tuple[int, ...] = WINDOWS_S) -> DataFrame:
     """Active symbols, open candle windows (each symbol holds one
     open window per size), breakers not CLOSED (symbols with an accepted trip;
     nothing resets them), total trades."""

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import dec
-from candlewick.functions.timecols import ntz_from_micros
+from candlewick.functions.timecols import idiv, ntz_from_micros
 
 RECENT_N = 100  # ring buffer length of the recent-trades view
 SERIES_N = 1000  # length of the per-symbol price series
@@ -66,6 +66,9 @@ def price_history(trades: DataFrame, limit: int = 100, symbols=None) -> DataFram
     """
     check_bounds("limit", limit, 10, 500)
     t = _with_symbols(trades, symbols)
+    # members of one instant share ``u``: the newest ``limit`` instants hold the newest ``limit`` members
+    newest = F.dense_rank().over(Window.partitionBy("symbol").orderBy(F.col("u").desc()))
+    t = t.select("symbol", "price", "ts", "u", "seq", newest.alias("instant")).filter(F.col("instant") <= limit)
     members = t.groupBy("symbol", "price", "ts").agg(F.max(F.struct("u", "seq")).alias("score"))
     w = Window.partitionBy("symbol").orderBy(F.col("score").desc())
     return (members.withColumn("rn", F.row_number().over(w)).filter(F.col("rn") <= min(limit, SERIES_N))
@@ -97,11 +100,24 @@ def ref_time(trades: DataFrame, ref_u: int | None = None) -> F.Column:
     return F.lit(ref_u).cast("long") if ref_u is not None else trades.agg(F.max("u")).scalar()
 
 
-def trade_counts(trades: DataFrame, window_s: int = 86_400, ref_u: int | None = None) -> DataFrame:
-    """Trades per symbol in the trailing ``window_s`` up to ``ref``."""
-    ref = ref_time(trades, ref_u)
-    t = trades.filter((F.col("u") > ref - F.lit(window_s * 1_000_000)) & (F.col("u") <= ref))
-    return t.groupBy("symbol").agg(F.count(F.lit(1)).alias("trade_count"))
+def trade_counts(trades: DataFrame, ttl_s: int = 86_400, ref_u: int | None = None) -> DataFrame:
+    """Each symbol's trade counter at ``ref``. It counts every trade and
+    starts anew after ``ttl_s`` of silence; a symbol that has been silent for
+    so long at ``ref`` has none.
+
+    Such a silence shows between buckets of width ``ttl_s``, so one row per
+    symbol and bucket carries all that is needed."""
+    ref, ttl = ref_time(trades, ref_u), ttl_s * 1_000_000
+    t = trades if ref_u is None else trades.filter(F.col("u") <= ref)
+    per_b = t.groupBy("symbol", idiv("u", ttl).alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("u").alias("first_u"), F.max("u").alias("last_u"))
+    w = Window.partitionBy("symbol").orderBy("b")
+    fresh = F.col("first_u") - F.lag("last_u").over(w) >= ttl
+    runs = per_b.select("symbol", "b", "n", "last_u", F.when(fresh, 1).otherwise(0).alias("fresh"))
+    runs = runs.select("symbol", "n", "last_u", F.sum("fresh").over(w).alias("run"))
+    runs = runs.groupBy("symbol", "run").agg(F.sum("n").alias("n"), F.max("last_u").alias("last_u"))
+    last = runs.groupBy("symbol").agg(F.max_by(F.struct("n", "last_u"), "run").alias("l"))
+    return last.filter(ref - F.col("l.last_u") < ttl).select("symbol", F.col("l.n").alias("trade_count"))
 
 
 def active_views(trades: DataFrame, view_ttl_s: int = 3_600, counter_ttl_s: int = 86_400,

@@ -45,6 +45,19 @@ ALL_CANDLES = ", ".join([_ohlcv_cte("c60", 60), _ohlcv_cte("c300", 300), _ohlcv_
     f", candles AS (SELECT * FROM c60 UNION ALL SELECT * FROM c300 UNION ALL SELECT * FROM c900)"
 
 REF = "ref AS (SELECT max(u) AS ref_u FROM trades)"
+# a counter that expires after 24 h without a trade and counts every trade until then
+COUNTS = """counter AS (
+  SELECT symbol, u, sum(CASE WHEN u - prev >= 86400000000 THEN 1 ELSE 0 END) OVER (PARTITION BY symbol ORDER BY u, seq) AS run
+  FROM (SELECT symbol, u, seq, lag(u) OVER (PARTITION BY symbol ORDER BY u, seq) AS prev FROM trades)),
+counts AS (
+  SELECT symbol, trade_count FROM (
+    SELECT symbol, run, count(*) AS trade_count, max(u) AS last_u,
+           row_number() OVER (PARTITION BY symbol ORDER BY run DESC) AS rn
+    FROM counter GROUP BY symbol, run), ref
+  WHERE rn = 1 AND ref_u - last_u < 86400000000)"""
+FINISHED = """finished AS (SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, window_seconds ORDER BY window_start DESC) AS rn FROM candles)
+  WHERE rn > 1)"""
 
 ROLLING = f"""stats AS (
   SELECT trade_id, symbol, price, quantity, side, ts, u, seq,
@@ -118,9 +131,7 @@ WHERE rn <= 100""",
 SELECT trade_id, symbol, price, quantity, CAST(CAST(price AS {D}) * CAST(quantity AS {D}) AS DOUBLE) AS trade_value,
        side, exchange, ts
 FROM trades ORDER BY u DESC, seq DESC LIMIT 100 OFFSET 20""",
-    "trade_counts": _with(REF) + f"""
-SELECT symbol, count(*) AS trade_count FROM trades, ref
-WHERE u > ref_u - {Q.TRAILING_COUNT_S * 1_000_000} AND u <= ref_u GROUP BY symbol""",
+    "trade_counts": _with(REF, COUNTS) + "SELECT symbol, trade_count FROM counts",
     "active_views": _with(REF) + f"""
 SELECT symbol, make_timestamp(last_u) AS last_trade_ts,
        ref_u - last_u < {Q.VIEW_TTL_S * 1_000_000} AS views_live,
@@ -133,8 +144,6 @@ WHERE u >= ref_u - {Q.RETENTION_S * 1_000_000}""",
     "alerts_raw": _with(ROLLING, RAW_ALERTS) + "SELECT * FROM raw_alerts",
 }
 
-_UNUSED = instruments_sql  # used by later oracles
-
 KEPT = """ra AS (
   SELECT *, row_number() OVER (PARTITION BY alert_type, symbol ORDER BY u, seq) AS rn,
          CASE alert_type WHEN 'CIRCUIT_BREAKER' THEN 300000000 WHEN 'PRICE_SPIKE' THEN 60000000
@@ -186,7 +195,7 @@ FROM final WHERE alert_type = 'PRICE_SPIKE'""",
        CASE WHEN channel LIKE 'webhook%' THEN CAST(json_object(
          'text', '*[' || severity || '] ' || alert_type || '*' || chr(10) || message,
          'alert', json_object('id', alert_id, 'type', alert_type, 'severity', severity, 'symbol', symbol,
-                              'ts', strftime(triggered_at, '%Y-%m-%dT%H:%M:%S.%f'))) AS VARCHAR) END AS payload
+                              'ts', strftime(triggered_at, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00')) AS VARCHAR) END AS payload
 FROM final, unnest(CASE severity WHEN 'CRITICAL' THEN ['webhook_stub', 'log_critical']
                                  WHEN 'HIGH' THEN ['webhook_stub', 'log_high']
                                  WHEN 'MEDIUM' THEN ['log_medium'] ELSE ['log_low'] END) AS ch(channel)""",
@@ -212,8 +221,6 @@ RECENT = """recent AS (SELECT * FROM (
 CLOSED = """closed AS (SELECT * FROM (
   SELECT *, row_number() OVER (PARTITION BY symbol, window_seconds ORDER BY window_start DESC) AS rn FROM candles)
   WHERE rn = 2)"""
-COUNTS = f"""counts AS (SELECT symbol, count(*) AS trade_count FROM trades, ref
-  WHERE u > ref_u - {Q.TRAILING_COUNT_S * 1_000_000} AND u <= ref_u GROUP BY symbol)"""
 PRESSURE = f"""pressure AS (
   SELECT symbol, CAST(buy_d AS DOUBLE) AS buy_volume, CAST(sell_d AS DOUBLE) AS sell_volume,
          CASE WHEN buy_d + sell_d <> 0 THEN CAST(buy_d AS DOUBLE) / CAST(buy_d + sell_d AS DOUBLE) * 100 ELSE 50.0 END
@@ -228,10 +235,10 @@ PRESSURE = f"""pressure AS (
                CAST(sum(CASE WHEN side <> 'BUY' THEN 1 ELSE 0 END) AS BIGINT) AS sell_count
         FROM recent GROUP BY symbol))"""
 MOVERS = """movers AS (
-  SELECT *, CASE WHEN change_pct >= 0 THEN 'up' ELSE 'down' END AS direction,
-         CASE WHEN round(change_pct, 4) >= 0 THEN 'gainers' ELSE 'losers' END AS side
+  SELECT * EXCLUDE (change), round(change, 4) + 0.0 AS change_pct, CASE WHEN change >= 0 THEN 'up' ELSE 'down' END AS direction,
+         CASE WHEN round(change, 4) >= 0 THEN 'gainers' ELSE 'losers' END AS side
   FROM (SELECT l.symbol, l.price, c.open_price AS open, c.total_volume AS volume, c.vwap,
-               CASE WHEN c.open_price <> 0 THEN (l.price - c.open_price) / c.open_price * 100 ELSE 0.0 END AS change_pct
+               CASE WHEN c.open_price <> 0 THEN (l.price - c.open_price) / c.open_price * 100 ELSE 0.0 END AS change
         FROM latest l JOIN closed c ON c.symbol = l.symbol AND c.window_seconds = 300))"""
 _LB = ", ".join(str(x) for x in [0.001, 0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0])
 HIST = f"""hist AS (
@@ -279,12 +286,10 @@ binned AS (
   FROM recent r JOIN mid m USING (symbol)
   WHERE abs(r.price - m.mid) > 0 AND ceil(abs(r.price - m.mid) / m.tick) <= 10
   GROUP BY ALL)
-SELECT symbol, book_side, level,
-       CASE WHEN book_side = 'bid' THEN mid - tick * level ELSE mid + tick * level END AS price,
-       CAST(coalesce(q, 0) AS DOUBLE) AS quantity,
-       (CASE WHEN book_side = 'bid' THEN mid - tick * level ELSE mid + tick * level END)
-         * CAST(coalesce(q, 0) AS DOUBLE) AS total
-FROM ladder LEFT JOIN binned USING (symbol, book_side, level)""",
+SELECT symbol, mid, round(tick * 2, 8) AS spread, book_side, level, price, quantity, round(price * quantity, 4) AS total
+FROM (SELECT *, round(CASE WHEN book_side = 'bid' THEN mid - tick * level ELSE mid + tick * level END, 6) AS price,
+             CAST(coalesce(q, 0) AS DOUBLE) AS quantity
+      FROM ladder LEFT JOIN binned USING (symbol, book_side, level))""",
     "trade_rate_1m": _with() + """
 SELECT make_timestamp((u // 60000000) * 60000000) AS window_start, symbol, count(*) AS trades,
        count(*) / 60.0 AS rate_per_sec FROM trades GROUP BY ALL""",
@@ -293,10 +298,10 @@ SELECT make_timestamp(r.w) AS window_start, r.received, CAST(coalesce(a.accepted
        CAST(r.received - coalesce(a.accepted, 0) AS BIGINT) AS suppressed
 FROM (SELECT (u // 60000000) * 60000000 AS w, count(*) AS received FROM raw_alerts GROUP BY 1) r
 LEFT JOIN (SELECT (u // 60000000) * 60000000 AS w, count(*) AS accepted FROM final GROUP BY 1) a USING (w)""",
-    "alert_increase_1h": _with(ROLLING, RAW_ALERTS, KEPT, REF) + """
-SELECT alert_type, severity, count(*) AS increase FROM final, ref
+    "alert_increase_1h": _with(ROLLING, RAW_ALERTS, REF) + """
+SELECT alert_type, severity, count(*) AS increase FROM raw_alerts, ref
 WHERE u > ref_u - 3600000000 AND u <= ref_u GROUP BY ALL""",
-    "label_counters": _A + """
+    "label_counters": _with(ROLLING, RAW_ALERTS, KEPT, ALL_CANDLES, FINISHED) + """
 SELECT 'trades_by_symbol' AS counter, symbol AS label, count(*) AS value FROM trades GROUP BY ALL
 UNION ALL SELECT 'trades_by_symbol_side', symbol || ':' || side, count(*) FROM trades GROUP BY ALL
 UNION ALL SELECT 'alerts_generated', alert_type || ':' || severity, count(*) FROM raw_alerts GROUP BY ALL
@@ -307,7 +312,7 @@ UNION ALL SELECT 'alerts_delivered', channel, count(*) FROM final, unnest(CASE s
             WHEN 'CRITICAL' THEN ['webhook_stub', 'log_critical'] WHEN 'HIGH' THEN ['webhook_stub', 'log_high']
             WHEN 'MEDIUM' THEN ['log_medium'] ELSE ['log_low'] END) AS ch(channel) GROUP BY ALL
 UNION ALL SELECT 'rows_written', 'trades', count(*) FROM trades
-UNION ALL SELECT 'rows_written', 'trade_alerts', count(*) FROM final""",
+UNION ALL SELECT 'rows_written', 'trade_aggregates', count(*) FROM finished""",
     "dedup_rate": _A + """
 SELECT r.alert_type, r.received, CAST(coalesce(k.kept, 0) AS BIGINT) AS kept,
        r.received - coalesce(k.kept, 0) AS suppressed,
@@ -331,9 +336,6 @@ SELECT quantile, coalesce((SELECT lo + (le - lo) * (quantile * n - c_lo) / (c -
 FROM qs, tot"""
 
 ISO = "strftime({c}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
-FINISHED = """finished AS (SELECT * FROM (
-  SELECT *, row_number() OVER (PARTITION BY symbol, window_seconds ORDER BY window_start DESC) AS rn FROM candles)
-  WHERE rn > 1)"""
 _FAULT = "CASE seq % 101 WHEN 7 THEN 'malformed' WHEN 17 THEN 'missing_key' WHEN 27 THEN 'extra_key' " \
          "WHEN 37 THEN 'bad_type' WHEN 47 THEN 'bad_side' END"
 ORACLE.update({

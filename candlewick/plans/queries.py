@@ -1,7 +1,7 @@
 """Registered queries: name -> callable(spark, sf_dir) -> DataFrame.
 
 Parameters that the reference sets to horizons longer than the 12-hour
-fixture (24 h counter, 30 d retention, 1 h view expiry) are registered with
+fixture (30 d retention, 1 h view expiry) are registered with
 shorter values so they filter something; the defaults live in the operators.
 """
 from __future__ import annotations
@@ -23,7 +23,6 @@ from candlewick.plans.context import Inputs
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Registered parameter values (the fixture spans 12 h)
-TRAILING_COUNT_S = 4 * 3_600
 RETENTION_S = 6 * 3_600
 VIEW_TTL_S = 30
 COUNTER_TTL_S = 4 * 3_600
@@ -47,7 +46,7 @@ def _closed(i: Inputs, size: int) -> DataFrame:
 
 
 def _counts(i: Inputs) -> DataFrame:
-    return views.trade_counts(i.trades, window_s=TRAILING_COUNT_S)
+    return views.trade_counts(i.trades)
 
 
 def _decoded(i: Inputs) -> DataFrame:
@@ -117,7 +116,7 @@ QUERIES: dict[str, Query] = {
     "recent_trades": _q(lambda i: views.recent_trades(i.trades, limit=100)),
     "price_history": _q(lambda i: views.price_history(i.trades, limit=100)),
     "trade_history": _q(lambda i: views.trade_history(i.trades, limit=100, offset=20)),
-    "trade_counts": _q(lambda i: views.trade_counts(i.trades, window_s=TRAILING_COUNT_S)),
+    "trade_counts": _q(_counts),
     "active_views": _q(lambda i: views.active_views(i.trades, VIEW_TTL_S, COUNTER_TTL_S)),
     "retained_trades": _q(lambda i: views.retained_trades(i.trades, retention_s=RETENTION_S)),
     "rolling_stats": _q(lambda i: detect.rolling_stats(i.trades)),
@@ -126,7 +125,7 @@ QUERIES: dict[str, Query] = {
     "breaker_state": _q(lambda i: alerts.breaker_report(i.final_alerts)),
     "alerts_final": _q(lambda i: detect.with_message(i.final_alerts).select(*FINAL_COLUMNS)),
     "alert_deliveries": _q(lambda i: alerts.deliveries(detect.with_message(i.final_alerts))),
-    "alert_counts": _q(lambda i: alerts.alert_counts_df(i.final_alerts)),
+    "alert_counts": _q(lambda i: alerts.alert_counts(i.final_alerts)),
     "recent_alerts": _q(lambda i: alerts.recent_alerts(i.final_alerts, 100)),
     "alerts_filtered": _q(lambda i: alerts.alerts_filtered(_acked_table(i), symbol="sym3", severity="critical",
                                                            unacked_only=True, limit=50)),
@@ -145,7 +144,7 @@ QUERIES: dict[str, Query] = {
     "trade_rate_sliding": _q(lambda i: metrics.trade_rate_sliding(i.trades, 60, 5)),
     "quarantine_counts": _q(lambda i: metrics.quarantine_counts(_decoded(i))),
     "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts_m, i.final_alerts)),
-    "alert_increase_1h": _q(lambda i: metrics.alert_increase(i.final_alerts, i.trades, 3_600)),
+    "alert_increase_1h": _q(lambda i: metrics.alert_increase(i.raw_alerts_m, i.trades, 3_600)),
     "label_counters": _q(lambda i: metrics.label_counters(i.trades, i.raw_alerts_m, i.final_alerts,
                                                           alerts.deliveries(detect.with_message(i.final_alerts)))),
     "dedup_rate": _q(lambda i: metrics.dedup_rate(i.raw_alerts_m, i.final_alerts)),

@@ -1,3 +1,5 @@
+import random
+
 from builders import alerts, ids
 from pyspark.sql import functions as F
 
@@ -70,17 +72,43 @@ def test_routing(spark):
     assert '"text":"*[HIGH] PRICE_SPIKE*\\nTest alert for AAPL"' in p
 
 
-def test_pointer_doubling_equals_fold(spark):
-    """Force every session through the long-session path (pointer doubling)
-    and compare with the one-aggregate fold on real data."""
-    from conftest import SF01
-    from candlewick.operators.detect import alerts_raw
-    from candlewick.sources.fixtures import trades_from_events
-    raw = alerts_raw(trades_from_events(spark, SF01)).checkpoint()
-    fold = A.dedup_cooldown(raw)
-    doubled = A.dedup_cooldown(raw, max_session_rows=1)
-    assert ids(fold) == ids(doubled)
-    assert len(ids(fold)) == 3792
+def _walk(rows):
+    """Kept ids by walking the alerts in order; rows: (type, symbol, seconds)."""
+    last, out = {}, []
+    for i, (kind, sym, t) in sorted(enumerate(rows), key=lambda x: (x[1][2], x[0])):
+        cd, before = A.COOLDOWNS_S.get(kind, A.DEFAULT_COOLDOWN_S), last.get((kind, sym))
+        if before is None or t - before >= cd:
+            last[kind, sym] = t
+            out.append(f"a{i}")
+    return sorted(out)
+
+
+def test_dedup_equals_walk_at_every_bucket_width(spark):
+    rng = random.Random(5)
+    rows = []
+    for kind in ("PRICE_SPIKE", "VOLUME_SPIKE", "CIRCUIT_BREAKER"):
+        t = 0
+        for _ in range(150):  # dense runs, gaps around a cooldown, long silences, repeated instants
+            t += rng.choice([0, 1, 7, 13, 29, 30, 31, 59, 60, 61, 299, 300, 301, 2000])
+            rows.append((kind, rng.choice(["HOT", "HOT", "AAPL"]), t))
+    a, want = alerts(spark, rows).checkpoint(), _walk(rows)
+    for cooldowns in (1, 3, 720):
+        assert ids(A.dedup_cooldown(a, cooldowns=cooldowns)) == want
+
+
+def test_equal_instant_and_sequence_keeps_one(spark):
+    a = alerts(spark, [("PRICE_SPIKE", "AAPL", 0)] * 3).withColumn("seq", F.lit(1).cast("long"))
+    assert ids(A.dedup_cooldown(a)) == ids(A.dedup_cooldown(a, cooldowns=1)) == ["a0"]
+
+
+def test_hundred_thousand_alerts_without_a_pause(spark):
+    n, step = 100_000, 7
+    a = spark.range(n).select(
+        F.format_string("a%06d", "id").alias("alert_id"), F.lit("PRICE_SPIKE").alias("alert_type"),
+        F.lit("HOT").alias("symbol"), (F.col("id") * step * 1_000_000).alias("u"), F.col("id").alias("seq"))
+    want = [f"a{i:06d}" for i in range(0, n, 9)]  # 9 * 7 s is the first gap of 60 s or more
+    assert ids(A.dedup_cooldown(a)) == want
+    assert ids(A.dedup_cooldown(a, cooldowns=200)) == want
 
 
 def test_prefix_bucket_width_does_not_matter(spark):
