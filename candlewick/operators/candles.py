@@ -117,8 +117,8 @@ def candles_refresh(trades: DataFrame, ref_u: int | None = None, start_offset_s:
     """Recompute only the one-minute buckets in [ref - start, ref - end).
 
     ``ref_u`` (epoch microseconds) defaults to the newest trade. The filter is
-    on ``u`` so it prunes before the aggregate. Written back with dynamic
-    partition overwrite by ``sinks.tables.overwrite_partitions``.
+    on ``u`` so it prunes before the aggregate. Written back by
+    ``sinks.tables.refresh``, which keeps the other buckets of the day.
     """
     ref = trades.agg(F.max("u")).scalar() if ref_u is None else F.lit(ref_u)  # scalar subquery
     lo = ref - F.lit(start_offset_s * 1_000_000)

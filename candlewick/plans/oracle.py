@@ -111,6 +111,13 @@ ORACLE: dict[str, str] = {
     "candles_refresh": _with(_ohlcv_cte("c", 60), REF) +
     "SELECT window_start AS bucket, symbol, trade_count, total_volume, vwap, open_price, high_price, low_price, "
     "close_price FROM c, ref WHERE ws_u >= ref_u - 600000000 AND ws_u < ref_u - 60000000",
+    "candles_refreshed_table": _with(
+        _ohlcv_cte("c", 60), REF, f"earlier AS (SELECT trades.* FROM trades, ref WHERE u < ref_u - {Q.REFRESH_LAG_S * 1_000_000})",
+        _ohlcv_cte("c_then", 60).replace("FROM trades", "FROM earlier")) + """
+SELECT window_start AS bucket, symbol, trade_count, total_volume, vwap, open_price, high_price, low_price, close_price
+FROM (SELECT c.* FROM c, ref WHERE ws_u >= ref_u - 600000000 AND ws_u < ref_u - 60000000
+      UNION ALL
+      SELECT c_then.* FROM c_then, ref WHERE NOT (ws_u >= ref_u - 600000000 AND ws_u < ref_u - 60000000))""",
     "last_closed_candle": _with(ALL_CANDLES) + """
 SELECT symbol, window_seconds, window_start, window_end, open_price, high_price, low_price, close_price,
        total_volume, vwap, trade_count

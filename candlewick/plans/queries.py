@@ -25,6 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 # Registered parameter values (the fixture spans 12 h)
 RETENTION_S = 6 * 3_600
 VIEW_TTL_S = 30
+REFRESH_LAG_S = 300
 COUNTER_TTL_S = 4 * 3_600
 
 
@@ -97,6 +98,17 @@ def _export_csv(i: Inputs) -> DataFrame:
     return tables.read_export(i.spark, path)
 
 
+def _refreshed(i: Inputs) -> DataFrame:
+    """The one-minute table as it stood five minutes ago, after a refresh."""
+    path, day = scratch_path(i.spark, "candles-1min"), F.to_date("bucket").alias("bucket_date")
+    then = i.trades.agg(F.max("u")).scalar() - F.lit(REFRESH_LAG_S * 1_000_000)
+    tables.overwrite_partitions(candles.candles_1min_view(i.trades.filter(F.col("u") < then)).select("*", day), path,
+                                ["bucket_date"])
+    tables.refresh(candles.candles_refresh(i.trades).select("*", day), path, ["bucket", "symbol"], ["bucket_date"],
+                   scratch_path(i.spark, "candles-1min-staged"))
+    return i.spark.read.parquet(path).drop("bucket_date")
+
+
 def _q(fn) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(Inputs(spark, sf_dir))
@@ -111,6 +123,7 @@ QUERIES: dict[str, Query] = {
     "ohlcv_all": _q(lambda i: candles.ohlcv_all(i.trades)),
     "candles_1min_view": _q(lambda i: candles.candles_1min_view(i.trades)),
     "candles_refresh": _q(lambda i: candles.candles_refresh(i.trades)),
+    "candles_refreshed_table": _q(_refreshed),
     "last_closed_candle": _q(lambda i: candles.last_closed_candle(candles.ohlcv_all(i.trades))),
     "latest_price": _q(lambda i: views.latest_price(i.trades)),
     "recent_trades": _q(lambda i: views.recent_trades(i.trades, limit=100)),

@@ -221,7 +221,8 @@ def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, check
             return
         batch.persist()
         bad = batch.filter(F.col("reason").isNotNull()).select("offset", "key", "value", "reason")
-        bad.write.mode("append").parquet(quarantine_path)
+        # a folder of its own for each batch: a replay overwrites it
+        bad.write.mode("overwrite").parquet(os.path.join(quarantine_path, f"batch={batch_id}"))
         good = (batch.filter(F.col("reason").isNull())
                 .select("trade_id", "symbol", "price", "quantity", "side", "exchange", "trader_id", "ts", "u",
                         "seq", "latency_us")

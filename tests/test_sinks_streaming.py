@@ -107,19 +107,33 @@ def test_stateful_detector_and_engine_equal_batch(spark):
     assert final_batch.count() == 78 + 407 + 44 and states  # counts from the fixture survey
 
 
-def test_refresh_overwrites_only_touched_partitions(spark):
-    path = os.path.join(_tmp(), "trades_1min")
-    t = trades(spark, [("AAPL", 100, 1, "BUY", s) for s in range(0, 86_400 * 2, 3_600)])  # two days
+def test_refresh_keeps_the_rest_of_the_day(spark):
+    root = _tmp()
+    path = os.path.join(root, "trades_1min")
+    t = trades(spark, [("AAPL", 100, 1, "BUY", s) for s in range(0, 86_400 * 2, 3_600)])  # over three dates
     view = candles.candles_1min_view(t).withColumn("bucket_date", F.to_date("bucket"))
     tables.overwrite_partitions(view, path, ["bucket_date"])
     ref = t.agg(F.max("u")).head()[0]
     t2 = t.withColumn("price", F.lit(200.0))  # corrected late data for the newest minutes
     fresh = candles.candles_refresh(t2, ref_u=ref + 120_000_000).withColumn("bucket_date", F.to_date("bucket"))
-    tables.overwrite_partitions(fresh, path, ["bucket_date"])
-    got = spark.read.parquet(path)
-    day1 = got.filter(F.col("bucket_date") == F.lit("2024-01-01").cast("date"))
-    assert day1.count() == 14 and day1.filter(F.col("close_price") == 100).count() == 14  # untouched
-    assert got.filter(F.col("close_price") == 200).count() == 1  # refreshed newest minute
+    tables.refresh(fresh, path, ["bucket", "symbol"], ["bucket_date"], os.path.join(root, "staged"))
+    got = [r.close_price for r in spark.read.parquet(path).orderBy("bucket").collect()]
+    assert got == [100.0] * 47 + [200.0]
+
+
+def test_replay_after_a_loss_while_publishing(spark):
+    """The table is lost after the copy was staged: the replayed batch, which holds one key only, restores all rows."""
+    for write in (lambda b, p, n, s: tables.upsert(b, p, ["k"], ["day"], n, s),
+                  lambda b, p, n, s: tables.upsert_latest(b, p, "k", ["v"], s)):
+        root = _tmp()
+        path, staged = os.path.join(root, "t"), os.path.join(root, "s1")
+        kind = "k string, day string, v int"
+        write(spark.createDataFrame([("k1", "d1", 1), ("k2", "d1", 2)], kind), path, 0, os.path.join(root, "s0"))
+        b2 = spark.createDataFrame([("k1", "d1", 10)], kind)
+        write(b2, path, 1, staged)
+        spark.createDataFrame([("k1", "d1", 10)], kind).write.mode("overwrite").partitionBy("day").parquet(path)  # half written
+        write(b2, path, 1, staged)
+        assert {r.k: r.v for r in spark.read.parquet(path).collect()} == {"k1": 10, "k2": 2}
 
 
 def test_export_csv_round_trip(spark):
