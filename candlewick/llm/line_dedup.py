@@ -115,7 +115,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     numbers = F.array_distinct(F.flatten(F.transform("gone", lambda g: F.sequence(g["a"], g["b"] - 1))))
     both = both.select("row", numbers.alias("gone"))
     text = F.col("row")[text_col]
-    kept = F.filter(F.split(text, "\n"), lambda t, i: ~F.array_contains("gone", i))
+    # the one-element array binds the split lines, so that they are cut once; array_except hashes the numbers
+    kept = F.transform(F.array(F.split(text, "\n")), lambda ls: F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(ls) - 1), F.col("gone")), lambda i: F.get(ls, i)))[0]
     new = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(kept, "\n"))
     n = F.coalesce(F.size(F.split(text, "\n")), F.lit(0))
     n = F.when(text.isNull(), 0).otherwise(n)
