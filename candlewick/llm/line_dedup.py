@@ -72,9 +72,12 @@ def later_copies(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         tail = level.select("row_key", (F.col("line") + length).alias("end"), F.col("rank").alias("tail"))
         run = here.withColumn("end", F.col("line") + F.col("size")).join(level, ["row_key", "line"]).join(
             tail, ["row_key", "end"])
+        run = stage(run, "runs")
         place = F.struct("doc_id", "row_key", "line")
-        firsts = run.groupBy("rank", "tail", "size").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
-        later = run.join(firsts, ["rank", "tail", "size"]).where(place != F.col("first"))
+        firsts = run.groupBy("rank", "tail", "size").agg(F.min(place).alias("first"), F.count("*").alias("n")).where(
+            "n > 1").drop("n")
+        # staged, so that the join takes plain scans and Spark can split the partition of a hot run
+        later = run.join(stage(firsts, "firsts"), ["rank", "tail", "size"]).where(place != F.col("first"))
         later = stage(later.select("row_key", F.col("line").alias("a"), F.col("end").alias("b")), "later")
         out = later if out is None else out.union(later)
         if 2 * length > longest:
