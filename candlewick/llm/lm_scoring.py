@@ -1,7 +1,7 @@
 """LM scoring by online logistic context mixing over a binary code of the tokens.
 
-Tokens are words and one end per text. The ``CODEBOOK`` most frequent ones and an escape have a Huffman code; each bit of
-it is one binary decision at a node of the code tree. Decisions are predicted by
+Tokens are words and one end per text. The ``CODEBOOK`` most frequent ones of the training texts and an escape have a
+Huffman code; each bit of it is one binary decision at a node of the code tree. Decisions are predicted by
 
 * the node alone (counts of all training tokens),
 * the node under the previous token, and under the previous two, hashed into tables of ``SLOTS`` counters,
@@ -353,9 +353,10 @@ _SCORED = ("uid long, doc_id long, held_out boolean, n_tokens long, n_known long
 
 
 def _most_frequent(counts: DataFrame) -> list:
-    """At most ``CODEBOOK`` tokens, in order: all those above a count, found from a histogram with eight cells for each
-    doubling."""
-    cell = F.floor(8 * F.log2(F.col("c") + F.col("o"))).cast("int")
+    """At most ``CODEBOOK`` tokens of the training texts, in order: all those above a count, found from a histogram with
+    eight cells for each doubling."""
+    counts = counts.where("c > 0")
+    cell = F.floor(8 * F.log2("c")).cast("int")
     least, n = None, 0
     for r in sorted(counts.groupBy(cell.alias("cell")).count().collect(), key=lambda r: -r["cell"]):
         n += r["count"]
@@ -363,7 +364,7 @@ def _most_frequent(counts: DataFrame) -> list:
             break
         least = r["cell"]
     rows = counts.where(cell >= least).collect() if least is not None else []
-    return sorted(rows, key=lambda r: (-(r.c + r.o), bytes(r.token)))
+    return sorted(rows, key=lambda r: (-r.c, bytes(r.token)))
 
 
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -149,6 +149,21 @@ def test_code_is_prefix_free_and_mixing_learns():
     assert mixer.cost(np.array([4])) == lm_scoring.Mixer(code, tables).cost(np.array([4]))  # a text starts fresh
 
 
+def test_code_and_scores_do_not_learn_from_held_out_texts(spark):
+    rows = [(k, f"aa bb w{k % 7} cc") for k in range(60)]
+    held = [k for k in range(60, 400) if lm_scoring.held_out(k)]
+    more = [(k, "only held here " * 30) for k in held[1:]]
+    one = (held[0], "aa only bb held cc")
+
+    def scores(rows):
+        got = lm_scoring.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        return {r.doc_id: (r.n_known, r.base_score, r.total_bits) for r in got}
+
+    few, all_ = scores(rows + [one]), scores(rows + [one] + more)
+    for i, (known, base, bits) in few.items():
+        assert all_[i][0] == known and abs(all_[i][1] - base) < 1e-9 and abs(all_[i][2] - bits) < 1e-6
+
+
 def _token(body):
     return "ghp_" + body + secret_scan.base62(zlib.crc32(body.encode())).decode()
 
