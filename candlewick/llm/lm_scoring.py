@@ -9,8 +9,10 @@ Huffman code; each bit of it is one binary decision at a node of the code tree.
 
 The stretched predictions are added with weights that a gate selects (the decision's depth in the code, and whether the
 text has met the node), squashed, and refined by an adaptive map from (gate, prediction) to a corrected probability.
-Weights and maps learn online, block by block of ``BLOCK`` tokens, over each text from its start; in a block all
-decisions see the state before the block. A text's state starts fresh, so scores do not depend on partitions.
+Weights and map are learnt twice. All training texts together give the start: a Newton step of the weights, then the map
+under them, both from sums in which no predictor counts the text it predicts. From that start they learn online over each
+text, block by block of ``FIRST`` tokens at first and up to ``BLOCK`` later; in a block all decisions see the state before
+the block. Every text starts from the same state, so scores do not depend on partitions.
 
 A token outside the codebook costs its escape and its spelling: bits of its bytes and an end mark, predicted under one,
 two and three previous bytes from counters learnt on the distinct training words outside the codebook, and mixed with
@@ -33,11 +35,15 @@ from pyspark.taskcontext import TaskContext
 
 from .common import stage, table, workers_ready
 
-CODEBOOK, SLOTS, BLOCK = 1 << 16, 1 << 18, 512
+CODEBOOK, SLOTS = 1 << 16, 1 << 18
+#: Tokens of a text's first block, and of a block at most.
+FIRST, BLOCK = 16, 512
 #: Counters of a table that travel in one row.
 CHUNK = 1 << 13
 END = b""
 RATE, MAP_RATE, CELLS = 0.02, 0.02, 24
+#: Curvature added to a gate's own when its first weights are learnt.
+CAUTION = 4.0
 #: Fixed weights of the spelling predictors (one, two, three previous bytes).
 SPELLING = (0.2, 0.4, 0.5)
 _LIMIT = 8.0
@@ -111,7 +117,8 @@ class Code:
         w = np.repeat(np.array(weights, float), self.size)
         np.add.at(both, self.nodes, w)
         np.add.at(ones, self.nodes, w * self.bits)
-        self.st = stretch(ones, both - ones)
+        self.n1, self.n0 = ones, both - ones
+        self.st = stretch(self.n1, self.n0)
         self.prior = (4 / (1 + np.exp(-self.st))).astype(np.float32)  # of ones, out of four
 
     def spread(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -185,12 +192,15 @@ def _add_chunks(batches):
 
 
 def _summed(chunks: DataFrame, tables: int) -> np.ndarray:
-    """Stretched predictions of the counter tables; of fixed size, so the driver may hold them."""
+    """Counts of the counter tables, zeros and ones; of fixed size, so the driver may hold them."""
     rows = chunks.repartition("place").mapInArrow(_add_chunks, "place int, counts binary").collect()
     flat = np.zeros((tables * SLOTS * 2 // CHUNK, CHUNK))
     for r in rows:
         flat[r.place] = np.frombuffer(r.counts, np.int64)
-    n = flat.reshape(tables, 2, SLOTS)
+    return flat.reshape(tables, 2, SLOTS)
+
+
+def _stretched(n: np.ndarray) -> np.ndarray:
     return stretch(n[:, 1], n[:, 0])
 
 
@@ -261,63 +271,233 @@ def _spell(st):
 
 GATES = 32
 _INITIAL = np.array([0.35, 0.3, 0.15, 0.35], np.float32)
+_CELL_AT = np.linspace(-_LIMIT, _LIMIT, CELLS, dtype=np.float32)
+
+
+def plain() -> tuple[np.ndarray, np.ndarray]:
+    """Weights by gate and map by gate and cell before anything is learnt."""
+    return np.tile(_INITIAL, (GATES, 1)), np.tile(1 / (1 + np.exp(-_CELL_AT)), GATES)
+
+
+def _cell(dot: np.ndarray, gate: np.ndarray) -> np.ndarray:
+    return ((dot + _LIMIT) * ((CELLS - 1) / (2 * _LIMIT)) + 0.5).astype(np.int64) + CELLS * gate
+
+
+def _mixed(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    return np.clip(np.einsum("ij,ji->i", weights, x), -_LIMIT, _LIMIT)
+
+
+def _blocks(n: int) -> np.ndarray:
+    """Ends of the blocks of a text of n tokens: each as long as all before it, up to ``BLOCK`` tokens."""
+    ends = [FIRST]
+    while ends[-1] < n:
+        ends.append(ends[-1] + min(ends[-1], BLOCK))
+    return np.minimum(ends, n)
 
 
 class Mixer:
-    """State of one text: weights by gate, adaptive map by gate and prediction, counts of the nodes met."""
+    """State of one text: weights by gate, adaptive map by gate and prediction, counts of the nodes met. ``start`` is
+    where weights and map start."""
 
-    def __init__(self, code: Code, tables: np.ndarray):
-        self.code, self.tables = code, tables
+    def __init__(self, code: Code, tables: np.ndarray, start: tuple[np.ndarray, np.ndarray] | None = None):
+        self.code, self.tables, self.start = code, tables, start or plain()
         self.seen = np.zeros(2 * len(code.st), np.float32)  # zeros met by node, then ones
-        self.cells = np.linspace(-_LIMIT, _LIMIT, CELLS, dtype=np.float32)
 
-    def cost(self, ids: np.ndarray) -> float:
+    def _lookup(self, node, one, two):
+        """(stretched predictions of the node alone and under both contexts, prior of ones out of four)"""
+        x = np.empty((4, len(node)), np.float32)
+        x[0] = self.code.st[node]
+        x[1] = self.tables[0][slot(one, node)]
+        x[2] = self.tables[1][slot(two, node)]
+        return x, self.code.prior[node]
+
+    def decisions(self, ids: np.ndarray):
+        """For each block: (stretched predictions, gates, bits). In a block all decisions see the state before it."""
         code, seen, ones_at = self.code, self.seen, len(self.code.st)
-        weights = np.tile(_INITIAL, (GATES, 1))
-        chart = np.tile(1 / (1 + np.exp(-self.cells)), GATES)
         one, two = contexts(ids)
-        total, touched = 0.0, []
-        for s in range(0, len(ids), BLOCK):
-            at, of = code.spread(ids[s : s + BLOCK])
-            if s:
-                of += s
+        ends, touched = _blocks(len(ids)), []
+        for at0 in range(0, len(ends), 16):  # predictors of several blocks at once
+            some = ends[at0 : at0 + 16]
+            s = int(ends[at0 - 1]) if at0 else 0
+            at, of = code.spread(ids[s : some[-1]])
             node, bit = code.nodes[at], code.bits[at]
-            n1, n0, prior = seen[node + ones_at], seen[node], code.prior[node]
-            x = np.empty((4, len(node)), np.float32)
-            x[0] = code.st[node]
-            x[1] = self.tables[0][slot(one[of], node)]
-            x[2] = self.tables[1][slot(two[of], node)]
-            x[3] = np.log((n1 + prior) / (n0 + (4 - prior)))
-            gate = code.depth[at] + 16 * (n1 + n0 > 0)
-            dot = np.einsum("ij,ji->i", weights[gate], x)
-            np.clip(dot, -_LIMIT, _LIMIT, out=dot)
-            p = 1 / (1 + np.exp(-dot))
-            cell = ((dot + _LIMIT) * ((CELLS - 1) / (2 * _LIMIT)) + 0.5).astype(np.int64) + CELLS * gate
-            bit32 = bit.astype(np.float32)
-            refined = np.clip((3 * p + chart[cell]) / 4, 1e-4, 1 - 1e-4)
-            total += float(_cost(refined, bit32).sum(dtype=np.float64))
-            err = bit32 - p
-            np.add.at(seen, node + ones_at * bit, np.float32(1))
+            x, prior = self._lookup(node, one[s:][of], two[s:][of])
+            depth = code.depth[at]
+            a = 0
+            for b in np.searchsorted(of, some - s).tolist():
+                here, prior_here = node[a:b], prior[a:b]
+                n1, n0 = seen[here + ones_at], seen[here]
+                x[3, a:b] = np.log((n1 + prior_here) / (n0 + (4 - prior_here)))
+                np.add.at(seen, here + ones_at * bit[a:b], np.float32(1))
+                yield x[:, a:b], depth[a:b] + 16 * (n1 + n0 > 0), bit[a:b]
+                a = b
             touched.append(node)
-            if s + BLOCK >= len(ids):
-                break  # nothing follows that could learn
-            pull = RATE / np.sqrt(np.bincount(gate, minlength=GATES) + 1.0)
-            for k in range(4):
-                weights[:, k] += pull * np.bincount(gate, err * x[k], GATES)
-            hits = np.bincount(cell, minlength=GATES * CELLS)
-            ones = np.bincount(cell, bit32, GATES * CELLS)
-            chart += hits / (hits + 1 / MAP_RATE) * (ones / np.maximum(hits, 1) - chart)
         for node in touched:
             seen[node] = 0
             seen[node + ones_at] = 0
+
+    def cost(self, ids: np.ndarray) -> float:
+        weights, chart = self.start[0].copy(), self.start[1].copy()
+        total, last = 0.0, None
+        for x, gate, bit in self.decisions(ids):
+            if last is not None:
+                self._learn(weights, chart, *last)
+            dot = _mixed(x, weights[gate])
+            p = 1 / (1 + np.exp(-dot))
+            cell = _cell(dot, gate)
+            bit32 = bit.astype(np.float32)
+            refined = np.clip((3 * p + chart[cell]) / 4, 1e-4, 1 - 1e-4)
+            total += float(_cost(refined, bit32).sum(dtype=np.float64))
+            last = x, gate, cell, bit32, bit32 - p
         return total
 
+    @staticmethod
+    def _learn(weights, chart, x, gate, cell, bit, err):
+        pull = RATE / np.sqrt(np.bincount(gate, minlength=GATES) + 1.0)
+        for k in range(4):
+            weights[:, k] += pull * np.bincount(gate, err * x[k], GATES)
+        hits = np.bincount(cell, minlength=GATES * CELLS)
+        ones = np.bincount(cell, bit, GATES * CELLS)
+        chart += hits / (hits + 1 / MAP_RATE) * (ones / np.maximum(hits, 1) - chart)
+
+
+class Learner(Mixer):
+    """Sums over training texts from which the start of all texts is worked out. Predictors do not count the text that
+    is being predicted, or they would look better than they are on a new text."""
+
+    def __init__(self, code: Code, counts: np.ndarray, start: tuple[np.ndarray, np.ndarray]):
+        super().__init__(code, counts, start)
+        self.own = np.zeros((2, 2 * SLOTS), np.float32)
+        self.own_nodes = np.zeros(2 * len(code.st), np.float32)
+
+    def _lookup(self, node, one, two):
+        x = np.empty((4, len(node)), np.float32)
+        own, at = self.own_nodes, len(self.code.st)
+        x[0] = stretch(self.code.n1[node] - own[node + at], self.code.n0[node] - own[node])
+        for k, context in enumerate((one, two)):
+            place = slot(context, node)
+            n, mine = self.tables[k], self.own[k]
+            # never under 0, even where a count is too large to be exact
+            x[k + 1] = stretch(np.maximum(n[1, place] - mine[place + SLOTS], 0), np.maximum(n[0, place] - mine[place], 0))
+        return x, 4 / (1 + np.exp(-x[0]))
+
+    def texts(self, held: list[np.ndarray]):
+        """(stretched predictions, gates, bits) of all decisions of each text."""
+        code, at1 = self.code, len(self.code.st)
+        for ids in held:
+            one, two = contexts(ids)
+            places = []
+            for s in range(0, len(ids), 16 * BLOCK):
+                at, of = code.spread(ids[s : s + 16 * BLOCK])
+                node, bit = code.nodes[at], code.bits[at]
+                places.append((slot(one[s:][of], node) + SLOTS * bit, slot(two[s:][of], node) + SLOTS * bit, node + at1 * bit))
+                for own, place in zip((*self.own, self.own_nodes), places[-1]):
+                    np.add.at(own, place, np.float32(1))
+            yield from self.decisions(ids)
+            for part in places:
+                for own, place in zip((*self.own, self.own_nodes), part):
+                    own[place] = 0
+
+
+_PAIRS = [(i, j) for i in range(4) for j in range(i, 4)]
+
+
+def weight_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
+    """By gate: slope (4) and curvature (10) of the cost in the weights."""
+    out = np.zeros((4 + len(_PAIRS), GATES))
+    for x, gate, bit in _joined(learner.texts(held)):
+        p = 1 / (1 + np.exp(-_mixed(x, learner.start[0][gate])))
+        err, bend = bit - p, p * (1 - p)
+        for k in range(4):
+            out[k] += np.bincount(gate, err * x[k], GATES)
+        for k, (i, j) in enumerate(_PAIRS):
+            out[4 + k] += np.bincount(gate, bend * x[i] * x[j], GATES)
+    return out
+
+
+def new_weights(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    """One Newton step of each gate, held back where it has few decisions."""
+    out = weights.copy()
+    for g in range(GATES):
+        curve = np.eye(4) * CAUTION
+        for k, (i, j) in enumerate(_PAIRS):
+            curve[i, j] += sums[4 + k, g]
+            if i != j:
+                curve[j, i] += sums[4 + k, g]
+        out[g] += np.linalg.solve(curve, sums[:4, g])
+    return out
+
+
+def map_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
+    """By cell of the map: decisions and ones."""
+    out = np.zeros((2, GATES * CELLS))
+    for x, gate, bit in _joined(learner.texts(held)):
+        cell = _cell(_mixed(x, learner.start[0][gate]), gate)
+        out[0] += np.bincount(cell, minlength=GATES * CELLS)
+        out[1] += np.bincount(cell, bit, GATES * CELLS)
+    return out
+
+
+def new_map(chart: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    return (sums[1] + chart / MAP_RATE) / (sums[0] + 1 / MAP_RATE)
+
+
+def _joined(blocks, size: int = 20_000):
+    """The blocks, put together to ``size`` decisions or more."""
+    held, n = [], 0
+    for block in blocks:
+        held.append(block)
+        n += len(block[1])
+        if n >= size:
+            yield tuple(np.concatenate(x, axis=-1) for x in zip(*held))
+            held, n = [], 0
+    if held:
+        yield tuple(np.concatenate(x, axis=-1) for x in zip(*held))
+
+
+def _sums(book, code, counts, start, of):
+    """One row for each task: the sums that ``of`` makes over its training texts."""
+
+    def run(batches):
+        known, learner = book.value, Learner(code.value, counts.value, start)
+        esc, total = len(known), None
+        for batch in batches:
+            held = [np.array([known.get(w, esc) for w in tokens(t.as_py())], np.int64)
+                    for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("bin")) if not held_out(i)]
+            if held:
+                got = of(learner, held)
+                total = got if total is None else total + got
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(total.ravel().tolist()), pa.array(range(total.size), pa.int32())],
+                                             ["v", "place"])
+
+    return run
+
+
+def _total(source: DataFrame, run, shape: tuple[int, ...]) -> np.ndarray:
+    """The tasks' sums, added on Spark; of fixed size, so the driver may hold them."""
+    rows = source.mapInArrow(run, "v double, place int").groupBy("place").agg(F.sum("v").alias("v")).collect()
+    out = np.zeros(shape).ravel()
+    for r in rows:
+        out[r.place] = r.v
+    return out.reshape(shape)
+
+
+def learnt_start(source: DataFrame, book, code, counts) -> tuple[np.ndarray, np.ndarray]:
+    """Weights and map at the start of each text, learnt from all training texts. The sums are over texts that each
+    start afresh, so the result does not depend on partitions, but for rounding."""
+    weights, chart = plain()
+    weights = new_weights(weights, _total(source, _sums(book, code, counts, (weights, chart), weight_sums),
+                                          (4 + len(_PAIRS), GATES)))
+    chart = new_map(chart, _total(source, _sums(book, code, counts, (weights, chart), map_sums), (2, GATES * CELLS)))
+    return weights.astype(np.float32), chart
+
 
-def _score(book, code, tables, logs, floor):
+def _score(book, code, tables, logs, start):
     def run(batches):
         known, c, log_of = book.value, code.value, logs.value
         esc = len(known)
-        mixer = Mixer(c, tables.value)
+        mixer = Mixer(c, tables.value, start)
         has = np.append(log_of[1] > 0, False)
         logp = np.append(log_of[0], 0.0)
         task, row = TaskContext.get().partitionId() << 33, 0
@@ -391,13 +571,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     code = sc.broadcast(Code([r.c + 1 for r in top] + [rest]))
     logs = sc.broadcast(np.stack([np.log10((c + 0.1) / floor), c]) if top else np.zeros((2, 0)))
     known = sc.broadcast(book)
-    tables = sc.broadcast(_summed(source.mapInArrow(_train_contexts(known, code), "place int, counts binary"), 2))
+    met = _summed(source.mapInArrow(_train_contexts(known, code), "place int, counts binary"), 2)
+    tables = sc.broadcast(_stretched(met))
+    start = learnt_start(source, known, code, sc.broadcast(met.astype(np.float32)))
     common = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in book], "token binary"))
     others = counts.join(common, "token", "left_anti")
-    spelled = sc.broadcast(_summed(others.where("c > 0").select("token").mapInArrow(
-        _train_spelling, "place int, counts binary"), 3))
+    spelled = sc.broadcast(_stretched(_summed(others.where("c > 0").select("token").mapInArrow(
+        _train_spelling, "place int, counts binary"), 3)))
     words = others.select("token", "c").mapInArrow(_spell(spelled), "token binary, c long, bits double")
-    rows = stage(source.mapInArrow(_score(known, code, tables, logs, floor), _SCORED), "scored")
+    rows = stage(source.mapInArrow(_score(known, code, tables, logs, start), _SCORED), "scored")
     tf = F.col("tf")
     rare = rows.where("token is not null").select("uid", "token", "tf").join(words, "token").groupBy("uid").agg(
         F.sum(tf * F.log10((F.col("c") + 0.1) / F.lit(floor))).alias("rare_base"), F.sum(tf * F.col("bits")).alias("rare_bits"),

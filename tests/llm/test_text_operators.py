@@ -164,6 +164,51 @@ def test_code_and_scores_do_not_learn_from_held_out_texts(spark):
         assert all_[i][0] == known and abs(all_[i][1] - base) < 1e-9 and abs(all_[i][2] - bits) < 1e-6
 
 
+def test_short_texts_learn_and_start_from_training_texts():
+    rng = np.random.default_rng(3)
+    texts = [np.cumsum(rng.integers(1, 3, 60)) % 5 for _ in range(80)]
+    code = lm_scoring.Code((np.bincount(np.concatenate(texts), minlength=6) + 1).tolist())
+    counts = np.zeros((2, 2, lm_scoring.SLOTS))
+    lm_scoring._tally(counts, texts, code)
+    tables = lm_scoring._stretched(counts)
+    held = [np.cumsum(rng.integers(1, 3, 60)) % 5 for _ in range(40)]
+    mixer = lm_scoring.Mixer(code, tables)
+
+    def fixed(ids):  # weights and map as they start
+        total = 0.0
+        for x, gate, bit in mixer.decisions(ids):
+            dot = lm_scoring._mixed(x, mixer.start[0][gate])
+            p = np.clip((3 / (1 + np.exp(-dot)) + mixer.start[1][lm_scoring._cell(dot, gate)]) / 4, 1e-4, 1 - 1e-4)
+            total += lm_scoring._cost(p, bit).sum()
+        return total
+
+    assert all(len(ids) < 512 and abs(mixer.cost(ids) - fixed(ids)) > 0.01 for ids in held)
+    again = np.array([4] * 200)
+    assert mixer.cost(again) < 0.97 * fixed(again)
+    weights, chart = lm_scoring.plain()
+    learner = lm_scoring.Learner(code, counts, (weights, chart))
+    sums = lm_scoring.weight_sums(learner, texts)
+    assert np.allclose(sums, sum(lm_scoring.weight_sums(learner, texts[k::3]) for k in range(3)))  # any partitions
+    weights = lm_scoring.new_weights(weights, sums)
+    learner = lm_scoring.Learner(code, counts, (weights, chart))
+    start = weights, lm_scoring.new_map(chart, lm_scoring.map_sums(learner, texts))
+    learnt = lm_scoring.Mixer(code, tables, start)
+    assert sum(map(learnt.cost, held)) < 0.97 * sum(map(mixer.cost, held))
+    assert not learner.own.any() and not learner.own_nodes.any() and not learner.seen.any()
+
+
+def test_learner_leaves_its_text_out():
+    code = lm_scoring.Code([50, 20, 10, 5, 1, 1])
+    texts = [np.array([0, 3, 1, 0]), np.array([4, 4, 2])]
+    counts = np.zeros((2, 2, lm_scoring.SLOTS))
+    lm_scoring._tally(counts, texts, code)
+    rest = np.zeros((2, 2, lm_scoring.SLOTS))
+    lm_scoring._tally(rest, texts[1:], code)
+    got = [x for x, _, _ in lm_scoring.Learner(code, counts, lm_scoring.plain()).texts(texts[:1])]
+    want = [x for x, _, _ in lm_scoring.Mixer(code, lm_scoring._stretched(rest)).decisions(texts[0])]
+    assert np.allclose(np.hstack(got)[1:3], np.hstack(want)[1:3])
+
+
 def _token(body):
     return "ghp_" + body + secret_scan.base62(zlib.crc32(body.encode())).decode()
 
