@@ -104,8 +104,9 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     ids = F.coalesce(F.col(id_col).cast("long"), F.lit(-(1 << 63)))
     key = F.xxhash64(ids, F.length(text_col), F.col(text_col))
     columns = [c for c in docs.columns if c not in ("n_lines", "n_removed")]
-    split = F.split(F.col(text_col), "\n")
-    lines = docs.select(key.alias("row_key"), ids.alias("doc_id"), split.alias("ls")).select(
+    # rows that repeat doc_id and text are one document: each of its lines comes once
+    once = docs.select(key.alias("row_key"), ids.alias("doc_id"), F.col(text_col).alias("t")).dropDuplicates(["row_key"])
+    lines = once.select("row_key", "doc_id", F.split("t", "\n").alias("ls")).select(
         "row_key", "doc_id", F.posexplode_outer("ls").alias("line", "t")).where("t is not null")
     words = F.length("t") - F.length(F.replace(F.col("t"), F.lit(" "), F.lit(""))) + (F.col("t") != "").cast("int")
     lines = lines.select("row_key", "doc_id", "line", F.xxhash64("t", F.octet_length("t")).alias("id"),

@@ -84,3 +84,15 @@ def test_line_dedup_long_runs(spark):
         rows.append((i, "\n".join(lines[at : at + rng.randint(5, 40)] + [f"own {i}"] + ["", "x"] * rng.randrange(4))))
     got = line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string"))
     assert {r.doc_id: (r.n_lines, r.n_removed, r.text) for r in got.collect()} == brute.line_dedup(rows)
+
+
+def test_line_dedup_rows_that_repeat(spark):
+    rng = random.Random(4)
+    run = [f"r{k} w w w" for k in range(40)]  # many short lines: any run of 50 words has 13 of them
+    rows = [(i, "\n".join([f"own {i}"] + run[rng.randrange(8):] + [f"end {i}"])) for i in range(6)] + [(9, None)]
+    many = rows + [rows[0]] * 3 + [rows[3]] + [rows[6]]
+    got = line_dedup.dedup_lines(spark.createDataFrame(many, "doc_id long, text string")).collect()
+    want = brute.line_dedup(rows)
+    assert sorted(r.doc_id for r in got) == sorted(i for i, _ in many)
+    assert all((r.n_lines, r.n_removed, r.text) == want[r.doc_id] for r in got)
+    assert sum(n for _, n, _ in want.values()) > 150
