@@ -7,10 +7,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from candlewick.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = build_session(master="local[*]", shuffle_partitions=8)

@@ -112,7 +112,7 @@ def test_hundred_thousand_alerts_without_a_pause(spark):
 
 
 def test_prefix_bucket_width_does_not_matter(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.operators.detect import alerts_raw
     from candlewick.sources.fixtures import trades_from_events
     raw = alerts_raw(trades_from_events(spark, SF)).checkpoint()

@@ -42,7 +42,7 @@ def test_buy_sell_volume(spark):
 
 
 def test_rollup_equals_direct(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     rolled = candles.ohlcv_all(t).filter(F.col("window_seconds") == 900)
@@ -61,7 +61,7 @@ def test_refresh_range(spark):
 
 
 def test_results_do_not_depend_on_session_time_zone(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     utc = candles.ohlcv(trades_from_events(spark, SF), 300).collect()
     spark.conf.set("spark.sql.session.timeZone", "America/New_York")

@@ -50,7 +50,7 @@ def test_alert_decode_is_lenient(spark):
 
 
 def test_fixture_stream_faults(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     m = decode.decode_trades(decode.fixture_messages(t))

@@ -79,7 +79,7 @@ def test_oldest_leaves_baseline_after_100(spark):
 
 
 def test_chunked_rolling_equals_single_chunk(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     a = detect.rolling_stats(t, chunk_rows=100_000, bucket_us=3_600_000_000)

@@ -38,7 +38,7 @@ def test_insert_new_ignores_existing(spark):
 
 def test_stream_candles_equal_batch_and_restart(spark):
     """Stream = batch on closed windows, with a stop and restart in the middle."""
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     root = _tmp()
@@ -84,7 +84,7 @@ def test_late_rows_dropped_and_counted(spark):
 
 
 def test_stateful_detector_and_engine_equal_batch(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     root = _tmp()
@@ -148,7 +148,7 @@ def test_export_csv_round_trip(spark):
 def test_registered_stream_twins_equal_batch(spark):
     """Snapshot (update mode + upsert) and candle upsert end states equal the
     batch views over the same trades."""
-    from conftest import SF
+    from paths import SF
     from candlewick.operators import views
     from candlewick.plans.queries import QUERIES
     from candlewick.sources.fixtures import trades_from_events

@@ -93,7 +93,7 @@ def test_scanner_sort(spark):
 
 
 def test_latency_percentiles_approx_close_to_exact(spark):
-    from conftest import SF
+    from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     approx = {r.quantile: r.latency_s for r in metrics.latency_percentiles_approx(t).collect()}
