@@ -1,7 +1,7 @@
 import random
 
 import brute
-from conftest import edge_rows
+from edge import edge_rows
 
 from candlewick.llm import line_dedup, near_dedup, substring_dedup
 from candlewick.llm.common import components

@@ -5,7 +5,7 @@ import zlib
 
 import brute
 import numpy as np
-from conftest import edge_rows
+from edge import edge_rows
 
 from candlewick.llm import decontaminate, language_id, lm_scoring, mixing, secret_scan
 from pyspark.sql import functions as F
