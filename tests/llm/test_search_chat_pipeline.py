@@ -62,7 +62,7 @@ def test_canonical():
 
 
 def test_registered():
-    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 11)] and set(ORACLE) <= set(QUERIES)
+    assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)] and set(ORACLE) <= set(QUERIES)
 
 
 def test_pipeline_stages(spark, edge):
