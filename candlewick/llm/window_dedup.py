@@ -32,7 +32,7 @@ SPARE, WORD_BYTES = 4, 6
 #: Bytes of text of a block: a share of all, within these bounds.
 BLOCK = (4 << 20, 64 << 20)
 BLOCKS = 4096
-#: Bits of a slice's counters, within these bounds, so that there are about 2,048 slices.
+#: Bits of a slice's counters, within these bounds, so that there are about 512 slices.
 SLICE = (18, 26)
 PIECE = 1 << 20
 
@@ -139,7 +139,7 @@ class Sketch:
 
     def __init__(self, n_bytes: int):
         self.bits = max(SLICE[0], int(n_bytes // WORD_BYTES * SPARE).bit_length())
-        self.slice_bits = min(max(self.bits - 11, SLICE[0]), SLICE[1])
+        self.slice_bits = min(max(self.bits - 9, SLICE[0]), SLICE[1])
         self.slices = 1 << (self.bits - self.slice_bits)
 
     def places(self, h: np.ndarray, row: int) -> np.ndarray:
@@ -249,19 +249,19 @@ def _answered(sketch: Sketch):
     def run(batches):
         for t in by_group(batches, ["key"], 256):
             key = t.column("key").to_numpy()
-            data, block = t.column("data"), t.column("block").to_pylist()
+            block = t.column("block").to_pylist()
             cut = runs(key)
             for x, y in zip(cut[:-1], cut[1:]):
-                count = np.zeros(1 << sketch.slice_bits, np.uint8)
-                for k in range(x, y):
-                    p, times = np.unique(unpacked_gaps(data[k].as_py()), return_counts=True)
-                    count[p] = np.minimum(count[p] + times, 2)
-                out = []
-                for k in range(x, y):
-                    p = np.unique(unpacked_gaps(data[k].as_py()))
-                    p = p[count[p] >= 2]
-                    if len(p):
-                        out.append((int(key[x]), block[k], packed_gaps(p)))
+                own = [unpacked_gaps(d) for d in t.column("data").slice(x, y - x).to_pylist()]
+                ends = np.cumsum([len(p) for p in own])
+                places = np.concatenate(own)
+                often = np.bincount(places, minlength=1 << sketch.slice_bits) >= 2
+                once = np.append(True, places[1:] != places[:-1])  # the second of two says no more
+                once[ends[:-1]] = True
+                at = np.flatnonzero(often[places] & once)
+                bounds = np.searchsorted(at, np.append(0, ends))
+                out = [(int(key[x]), block[x + k], packed_gaps(places[at[p:q]]))
+                       for k, (p, q) in enumerate(zip(bounds[:-1], bounds[1:])) if p < q]
                 if out:
                     yield _sliced(out)
 
