@@ -4,8 +4,7 @@ The messages use printf-style rounding of the *exact* binary value
 (``format(x, ".4f")``); the JVM's ``format_string`` rounds the shortest decimal
 form half-up and disagrees on a few values per thousand. So the text is built
 by a small Arrow-batched pandas UDF, evaluated only on alert rows that are
-output, never on the trade stream. The stateful stream processor uses the
-same ``format_alert``.
+output, never on the trade stream.
 """
 from __future__ import annotations
 

@@ -130,13 +130,16 @@ def dedup_cooldown(alerts: DataFrame, cooldowns: int = FOLD_COOLDOWNS, input_mat
 
 
 def breaker_states(kept: DataFrame, timeout_s: int = BREAKER_TIMEOUT_S, reset_after_s: int | None = None,
-                   bucket_us: int = DEFAULT_BUCKET_US) -> DataFrame:
+                   bucket_us: int = DEFAULT_BUCKET_US, carried_trips: DataFrame | None = None) -> DataFrame:
     """D-FSM / J4: for each accepted alert, the breaker state of its symbol
     just before it: last accepted CIRCUIT_BREAKER strictly earlier (as-of);
     none -> CLOSED, within ``timeout_s`` -> OPEN, later -> HALF_OPEN. Nothing
-    resets a breaker unless ``reset_after_s`` is given (D6)."""
+    resets a breaker unless ``reset_after_s`` is given (D6). ``carried_trips``
+    (symbol, carried_trip_u) are the last trips before these alerts."""
     k = prefix_max_before(kept, "symbol", F.when(F.col("alert_type") == "CIRCUIT_BREAKER", F.col("u")),
                           "trip_u", seq=["seq", "fan"], bucket_us=bucket_us)
+    if carried_trips is not None:
+        k = k.join(carried_trips, "symbol", "left").withColumn("trip_u", F.greatest("trip_u", "carried_trip_u")).drop("carried_trip_u")
     age = F.col("u") - F.col("trip_u")
     state = F.when(F.col("trip_u").isNull(), "CLOSED")
     if reset_after_s is not None:

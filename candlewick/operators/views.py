@@ -100,24 +100,34 @@ def ref_time(trades: DataFrame, ref_u: int | None = None) -> F.Column:
     return F.lit(ref_u).cast("long") if ref_u is not None else trades.agg(F.max("u")).scalar()
 
 
+def latest_run(trades: DataFrame, ttl_s: int, carried: DataFrame | None = None) -> DataFrame:
+    """Each symbol's newest run of trades without a silence of ``ttl_s``: symbol, n, first_u, last_u.
+
+    Such a silence shows between buckets of width ``ttl_s``, so one row per symbol and bucket carries all that is needed.
+    ``carried`` holds runs of earlier trades in the same form; a run goes on where the silence after it is short enough."""
+    ttl = ttl_s * 1_000_000
+    per_b = trades.groupBy("symbol", idiv("u", ttl).alias("b")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("u").alias("first_u"), F.max("u").alias("last_u"))
+    per_b = per_b.select("symbol", "n", "first_u", "last_u", F.col("first_u").alias("at"))
+    if carried is not None:  # before the symbol's new trades
+        per_b = per_b.unionByName(carried.select("symbol", "n", "first_u", "last_u", F.lit(-1).cast("long").alias("at")))
+    w = Window.partitionBy("symbol").orderBy("at")
+    fresh = F.col("first_u") - F.max("last_u").over(w.rowsBetween(Window.unboundedPreceding, -1)) >= ttl
+    runs = per_b.select("*", F.when(fresh, 1).otherwise(0).alias("fresh"))
+    runs = runs.select("*", F.sum("fresh").over(w).alias("run"))
+    runs = runs.groupBy("symbol", "run").agg(F.sum("n").alias("n"), F.min("first_u").alias("first_u"), F.max("last_u").alias("last_u"))
+    last = runs.groupBy("symbol").agg(F.max_by(F.struct("n", "first_u", "last_u"), "run").alias("l"))
+    return last.select("symbol", "l.*")
+
+
 def trade_counts(trades: DataFrame, ttl_s: int = 86_400, ref_u: int | None = None) -> DataFrame:
     """Each symbol's trade counter at ``ref``. It counts every trade and
     starts anew after ``ttl_s`` of silence; a symbol that has been silent for
-    so long at ``ref`` has none.
-
-    Such a silence shows between buckets of width ``ttl_s``, so one row per
-    symbol and bucket carries all that is needed."""
-    ref, ttl = ref_time(trades, ref_u), ttl_s * 1_000_000
+    so long at ``ref`` has none."""
+    ref = ref_time(trades, ref_u)
     t = trades if ref_u is None else trades.filter(F.col("u") <= ref)
-    per_b = t.groupBy("symbol", idiv("u", ttl).alias("b")).agg(
-        F.count(F.lit(1)).alias("n"), F.min("u").alias("first_u"), F.max("u").alias("last_u"))
-    w = Window.partitionBy("symbol").orderBy("b")
-    fresh = F.col("first_u") - F.lag("last_u").over(w) >= ttl
-    runs = per_b.select("symbol", "b", "n", "last_u", F.when(fresh, 1).otherwise(0).alias("fresh"))
-    runs = runs.select("symbol", "n", "last_u", F.sum("fresh").over(w).alias("run"))
-    runs = runs.groupBy("symbol", "run").agg(F.sum("n").alias("n"), F.max("last_u").alias("last_u"))
-    last = runs.groupBy("symbol").agg(F.max_by(F.struct("n", "last_u"), "run").alias("l"))
-    return last.filter(ref - F.col("l.last_u") < ttl).select("symbol", F.col("l.n").alias("trade_count"))
+    alive = latest_run(t, ttl_s).filter(ref - F.col("last_u") < ttl_s * 1_000_000)
+    return alive.select("symbol", F.col("n").alias("trade_count"))
 
 
 def active_views(trades: DataFrame, view_ttl_s: int = 3_600, counter_ttl_s: int = 86_400,

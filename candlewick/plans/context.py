@@ -10,7 +10,7 @@ from candlewick.sources.fixtures import trades_from_events
 class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         from candlewick.session import ship_package
-        ship_package(spark)  # workers run the text helper / stateful processors
+        ship_package(spark)  # workers run the text helper
         self.spark = spark
         self.sf_dir = sf_dir
         self._trades: DataFrame | None = None

@@ -374,6 +374,19 @@ FROM finished""",
 SELECT trade_id, symbol, price, quantity, side, exchange, ts FROM trades ORDER BY u DESC, seq DESC LIMIT 500""",
 })
 
+# views of the streams lose what lies before an hour of silence
+ALIVE = """gaps AS (
+  SELECT *, CASE WHEN u - lag(u) OVER (PARTITION BY symbol ORDER BY u, seq) >= 3600000000 THEN 1 ELSE 0 END AS gap FROM trades),
+runs AS (SELECT *, sum(gap) OVER (PARTITION BY symbol ORDER BY u, seq) AS run FROM gaps),
+alive AS (SELECT r.* FROM runs r JOIN (SELECT symbol, max(run) AS run, max(u) AS last_u FROM runs GROUP BY symbol) m USING (symbol, run), ref
+          WHERE ref_u - m.last_u < 3600000000)"""
+
+
+def _alive(query: str) -> str:
+    body = ORACLE[query][len(_with()):]
+    return _with(REF, ALIVE) + body.replace("FROM trades", "FROM alive")
+
+
 ORACLE.update({
     "stream_candles": _with(ALL_CANDLES, REF) + f"""
 SELECT {CANDLE_COLS} FROM candles, ref WHERE ws_u + window_seconds * 1000000 <= ref_u - 10000000""",
@@ -382,8 +395,30 @@ SELECT {CANDLE_COLS} FROM candles, ref WHERE ws_u + window_seconds * 1000000 <=
     "stream_alerts": _A + """SELECT alert_id, alert_type, severity, symbol, message, trade_id, u, seq, fan, change_pct,
        avg_price, current_price, threshold, quantity, avg_volume, multiplier, original_severity, breaker_state,
        triggered_at FROM final""",
-    "stream_prices": ORACLE["latest_price"],
+    "stream_prices": _alive("latest_price"),
     "stream_trades_sink": ORACLE["trades_clean"],
+    "stream_last_candles": _with(ALL_CANDLES, REF) + f"""
+SELECT {CANDLE_COLS} FROM (
+  SELECT *, row_number() OVER (PARTITION BY symbol, window_seconds ORDER BY window_start DESC) AS rn
+  FROM candles, ref WHERE ws_u + window_seconds * 1000000 <= ref_u - 10000000) WHERE rn = 1""",
+    "stream_recent_trades": _alive("recent_trades"),
+    "stream_price_history": _alive("price_history"),
+    "stream_trade_counts": ORACLE["trade_counts"],
+    "stream_alert_counts": ORACLE["alert_counts"],
+    "stream_counters": _with(ROLLING, RAW_ALERTS, KEPT) + f"""
+SELECT 'trades_by_symbol' AS counter, symbol AS label, count(*) AS value FROM trades GROUP BY ALL
+UNION ALL SELECT 'trades_by_symbol_side', symbol || ':' || side, count(*) FROM trades GROUP BY ALL
+UNION ALL SELECT 'alerts_generated', alert_type || ':' || severity, count(*) FROM raw_alerts GROUP BY ALL
+UNION ALL SELECT 'alerts_received', alert_type, count(*) FROM raw_alerts GROUP BY ALL
+UNION ALL SELECT 'alerts_suppressed', alert_type, count(*) FROM raw_alerts
+          WHERE alert_id NOT IN (SELECT alert_id FROM final) GROUP BY ALL
+UNION ALL SELECT 'alerts_delivered', channel, count(*) FROM final, unnest(CASE severity
+            WHEN 'CRITICAL' THEN ['webhook_stub', 'log_critical'] WHEN 'HIGH' THEN ['webhook_stub', 'log_high']
+            WHEN 'MEDIUM' THEN ['log_medium'] ELSE ['log_low'] END) AS ch(channel) GROUP BY ALL
+UNION ALL SELECT 'rows_written', 'trades', count(*) FROM trades WHERE {_FAULT} IS NULL
+UNION ALL SELECT 'messages_rejected', reason, count(*) FROM (
+          SELECT {_FAULT} AS reason FROM trades UNION ALL SELECT {_FAULT} FROM trades WHERE seq % 23 = 0)
+          WHERE reason IS NOT NULL GROUP BY ALL""",
 })
 
 ORACLE.update({

@@ -177,6 +177,12 @@ QUERIES: dict[str, Query] = {
     "stream_alerts": _q(SQ.stream_alerts),
     "stream_prices": _q(SQ.stream_prices),
     "stream_trades_sink": _q(SQ.stream_trades_sink),
+    "stream_last_candles": _q(SQ.stream_last_candles),
+    "stream_recent_trades": _q(SQ.stream_recent_trades),
+    "stream_price_history": _q(SQ.stream_price_history),
+    "stream_trade_counts": _q(SQ.stream_trade_counts),
+    "stream_alert_counts": _q(SQ.stream_alert_counts),
+    "stream_counters": _q(SQ.stream_counters),
 }
 
 FLAGSHIP = "alerts_final"

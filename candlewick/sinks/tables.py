@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     """False for a missing or empty path only; any other read error is raised, since a writer that took it for "no
     table" would insert duplicates or replace the table."""
     try:
@@ -34,7 +34,7 @@ def _marker(path: str, batch_id: int) -> str:
 
 
 def batch_done(spark: SparkSession, path: str, batch_id: int) -> bool:
-    return _exists(spark, _marker(path, batch_id))
+    return exists(spark, _marker(path, batch_id))
 
 
 def mark_batch(spark: SparkSession, path: str, batch_id: int) -> None:
@@ -64,7 +64,7 @@ def insert_new(batch: DataFrame, path: str, key: str, order: list[str] | None =
         b = batch.groupBy(key).agg(F.min_by(F.struct(*cols), F.struct(*order)).alias("r")).select(key, "r.*")
     else:
         b = batch.dropDuplicates([key])
-    if _exists(spark, path):
+    if exists(spark, path):
         b = b.join(spark.read.parquet(path).select(key), key, "left_anti")
     w = b.write.mode("append")
     if partition_by:
@@ -84,7 +84,7 @@ def upsert(batch: DataFrame, path: str, keys: list[str], partition_by: list[str]
 def _upserted(batch: DataFrame, path: str, keys: list[str], partition_by: list[str], batch_id: int) -> DataFrame:
     spark = batch.sparkSession
     new = batch.withColumn("__batch", F.lit(int(batch_id)).cast("long"))
-    if _exists(spark, path):
+    if exists(spark, path):
         touched = new.select(*partition_by).distinct()
         old = (spark.read.parquet(path).join(touched, partition_by, "left_semi")
                .withColumn("__batch", F.lit(-1).cast("long")))
@@ -135,7 +135,7 @@ def upsert_latest(batch: DataFrame, path: str, key: str, order: list[str], stagi
 def _latest(batch: DataFrame, path: str, key: str, order: list[str]) -> DataFrame:
     spark = batch.sparkSession
     both = batch
-    if _exists(spark, path):
+    if exists(spark, path):
         both = spark.read.parquet(path).unionByName(batch.select(*spark.read.parquet(path).columns))
     cols = [c for c in both.columns if c != key]
     return both.groupBy(key).agg(F.max_by(F.struct(*cols), F.struct(*order)).alias("r")).select(key, "r.*")

@@ -1 +1 @@
-"""Structured Streaming jobs and their keyed stateful processors."""
+"""Structured Streaming jobs and what they carry between micro-batches."""

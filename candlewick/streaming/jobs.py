@@ -4,24 +4,27 @@ Each job is a function of a streaming DataFrame plus sink/checkpoint paths
 and returns the started ``StreamingQuery``. Sources are parameters: the same
 jobs run on ``readStream.format("kafka")`` (no Kafka jar ships here, so that
 path is untested) or on a file source, which the tests and registered
-queries use. Offsets and state live in the checkpoint; sinks are idempotent
-per ``batch_id`` so a restart after executor or driver loss replays safely.
+queries use. Candles are Spark's own windowed aggregates. The detector, the alert engine and the
+per-symbol views work on micro-batches with the batch operators and carry what they need in
+versioned tables (``streaming.carried``). Sinks write under the batch's id, so a restart after
+executor or driver loss replays safely.
 """
 from __future__ import annotations
 
-import os
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from candlewick.functions.numeric import dec
-from candlewick.functions.timecols import ntz_from_micros
-from candlewick.session import ship_package
-from candlewick.sinks import tables
+from candlewick.functions.timecols import epoch_micros, ntz_from_micros
+from candlewick.operators import alerts, detect
+from candlewick.session import materialize, ship_package
+from candlewick.sinks.unique import UniqueTable
+from candlewick.sinks.versions import State, VersionedTable
 from candlewick.sources.decode import decode_trades
-from candlewick.streaming.stateful import DETECT_STATE, ENGINE_STATE, FINAL_ALERT, RAW_ALERT, detect_fn, engine_fn
+from candlewick.streaming import carried
 
 WINDOWS = (60, 300, 900)
 DEFAULT_DELAY = "10 seconds"
@@ -40,7 +43,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str, starting: str =
 
 def file_source(spark: SparkSession, path: str, schema, max_files: int = 1) -> DataFrame:
     """A parquet folder as a stream, ``max_files`` files per micro-batch."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(path)
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", str(max_files)).parquet(path)
 
 
 def with_event_time(df: DataFrame) -> DataFrame:
@@ -57,8 +60,7 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     processor state, open windows) in RocksDB on local disk with changelog
     checkpoints, instead of executor heap. Only when the session has not
     chosen a provider (the provider of an existing checkpoint cannot change)."""
-    current = spark.conf.get(_PROVIDER, None)
-    if current is None or current.endswith("HDFSBackedStateStoreProvider"):
+    if _PROVIDER not in spark.conf.getAll:
         spark.conf.set(_PROVIDER, ROCKSDB)
 
 
@@ -119,110 +121,184 @@ def candles_update(trades: DataFrame, lateness_s: int = 10) -> DataFrame:
         "window_date", F.to_date(F.col("window_start")))
 
 
-def detect_alerts(trades: DataFrame) -> DataFrame:
-    """X5 + D-*: raw alerts from the per-symbol ring buffer state."""
-    ship_package(trades.sparkSession)
-    cols = ["trade_id", "symbol", "price", "quantity", "u", "seq"]
-    out = trades.select(*cols).groupBy("symbol").applyInPandasWithState(
-        detect_fn, RAW_ALERT, DETECT_STATE, "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("triggered_at", ntz_from_micros("u"))
+# --- jobs (source -> transformation -> idempotent sink) ---------------------
 
+def run_candles(trades: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    use_rocksdb_state(trades.sparkSession)
+    w = candles_append(trades).writeStream.outputMode("append").format("parquet").option("path", out)
+    return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
 
-def engine_alerts(raw: DataFrame) -> DataFrame:
-    """X6 + X7 + D-ESC: accepted, escalated alerts."""
-    ship_package(raw.sparkSession)
-    cols = [f.name for f in RAW_ALERT.fields]
-    out = raw.select(*cols).groupBy("symbol").applyInPandasWithState(
-        engine_fn, FINAL_ALERT, ENGINE_STATE, "append", GroupStateTimeout.NoTimeout)
-    return out.withColumn("triggered_at", ntz_from_micros("u"))
 
+def _each_batch(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str, trigger: dict | None,
+                stateful: bool = False) -> StreamingQuery:
+    """Run ``sink`` on every non-empty micro-batch. What comes out of a stateful operator is staged first, so that the
+    operator runs once."""
+    def run(batch: DataFrame, batch_id: int) -> None:
+        batch = materialize(batch, "micro-batch") if stateful else batch.persist()
+        if not batch.isEmpty():
+            sink(batch, batch_id)
+        if not stateful:
+            batch.unpersist()
 
-def latest_prices(trades: DataFrame) -> DataFrame:
-    """Newest price per symbol, emitted in update mode."""
-    return trades.groupBy("symbol").agg(
-        F.max_by(F.struct("price", "ts", "side", "u", "seq"), F.struct("u", "seq")).alias("l")).select(
-        "symbol", "l.price", "l.ts", "l.side", "l.u", "l.seq")
+    return _run(stream.writeStream.outputMode("append").foreachBatch(run), checkpoint, trigger or {"processingTime": "5 seconds"})
 
 
-# --- jobs (source -> transformation -> idempotent sink) ---------------------
+CANDLE_KEYS = ["symbol", "window_seconds", "window_start"]
 
-def run_candles(trades: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+
+def run_candles_upsert(trades: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """K5: closed and open candles upserted by (symbol, window_seconds, window_start) as versions; read with
+    ``VersionedTable(spark, table, CANDLE_KEYS).read()``."""
     use_rocksdb_state(trades.sparkSession)
-    w = candles_append(trades).writeStream.outputMode("append").format("parquet").option("path", out)
+
+    t = State(trades.sparkSession, table, CANDLE_KEYS)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        t.write(batch_id, batch.withColumn("created_at", F.current_timestamp()))  # F7
+
+    w = candles_update(trades).writeStream.outputMode("update").foreachBatch(sink)  # one action: the aggregate runs once
     return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
 
 
-def run_candles_upsert(trades: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """K5: closed and open candles upserted by (symbol, window_seconds,
-    window_start), partitioned by day."""
-    use_rocksdb_state(trades.sparkSession)
-    staging_root = table + "__staging"
+def run_detect(trades: DataFrame, out: str, checkpoint: str, trigger: dict | None = None, counters: str | None = None,
+               **kw) -> StreamingQuery:
+    """X5 + D-*: raw alerts as folders by batch under ``out``. The rolling baseline of a batch starts from the carried tail of
+    its symbols; ``kw`` bounds its tasks as in ``detect.rolling_stats``."""
+    ship_package(trades.sparkSession)
+    tail = State(trades.sparkSession, out + "__tail", ["symbol"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if tables.batch_done(spark, table, batch_id) or batch.isEmpty():
+        if tail.has(batch_id):
             return
-        batch = batch.withColumn("created_at", F.current_timestamp())  # F7
-        tables.upsert(batch, table, ["symbol", "window_seconds", "window_start"], ["window_date"], batch_id,
-                      os.path.join(staging_root, f"batch={batch_id}"))
-        tables.mark_batch(spark, table, batch_id)
+        past = carried.with_tail(batch, tail.read())
+        folder = f"{out}/batch={int(batch_id)}"
+        raw = carried.batch_alerts(past, **kw)
+        detect.with_message(raw).write.mode("overwrite").parquet(folder)
+        if counters:
+            made = batch.sparkSession.read.schema(raw.schema).parquet(folder)
+            _count(counters, batch_id, "detect", carried.counted(made, "alerts_generated", "alert_type", "severity"),
+                   carried.counted(batch, "trades_by_symbol", "symbol"), carried.counted(batch, "trades_by_symbol_side", "symbol", "side"))
+        tail.write(batch_id, carried.new_tail(past))  # last: a replay before this finds the tail before it
+
+    return _each_batch(trades, sink, checkpoint, trigger)
+
+
+def _count(path: str, batch_id: int, job: str, *parts: DataFrame) -> None:
+    """Add a batch's counts once: the folder of a replayed batch is overwritten."""
+    both = parts[0]
+    for p in parts[1:]:
+        both = both.unionByName(p)
+    both.write.mode("overwrite").parquet(f"{path}/job={job}/batch={int(batch_id)}")
 
-    w = candles_update(trades).writeStream.outputMode("update").foreachBatch(sink)
-    return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
 
+def read_counters(spark: SparkSession, path: str) -> DataFrame:
+    """Counter, label, value over all batches."""
+    return spark.read.parquet(path).groupBy("counter", "label").agg(F.sum("value").alias("value"))
 
-def run_detect(trades: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    use_rocksdb_state(trades.sparkSession)
-    w = detect_alerts(trades).writeStream.outputMode("append").format("parquet").option("path", out)
-    return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
 
+ALERT_COUNT_KEYS = ["gid", "name"]
+
+
+def run_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None, counters: str | None = None) -> StreamingQuery:
+    """X6 + X7 + K6: accepted, escalated alerts inserted once per alert_id; ``table`` + "__counts" keeps the totals by symbol
+    and severity (A5). What a batch needs of the past are the last kept alerts by type and symbol."""
+    spark = raw.sparkSession
+    ship_package(spark)
+    kept, counts = State(spark, table + "__kept", alerts.KEYS), State(spark, table + "__counts", ALERT_COUNT_KEYS)
+    unique = UniqueTable(spark, table, "alert_id", "alert_date")
 
-def run_alerts(raw: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """K6: accepted alerts inserted once per alert_id."""
-    use_rocksdb_state(raw.sparkSession)
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if tables.batch_done(spark, table, batch_id) or batch.isEmpty():
+        if kept.has(batch_id):
             return
-        tables.insert_new(batch, table, "alert_id")
-        tables.mark_batch(spark, table, batch_id)
+        final = carried.batch_final(batch, kept.read()).withColumn("alert_date", F.to_date("triggered_at"))
+        written = unique.insert(batch_id, final, ["u", "seq", "fan"])
+        counts.write(batch_id, carried.alert_totals(written, counts.read()))
+        if counters:
+            sup = carried.counted(batch.join(written.select("alert_id"), "alert_id", "left_anti"), "alerts_suppressed", "alert_type")
+            _count(counters, batch_id, "alerts", carried.counted(batch, "alerts_received", "alert_type"), sup,
+                   carried.counted(alerts.deliveries(written), "alerts_delivered", "channel"))
+        kept.write(batch_id, carried.new_kept(written))
 
-    w = engine_alerts(raw).writeStream.outputMode("append").foreachBatch(sink)
-    return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
+    return _each_batch(raw, sink, checkpoint, trigger)
+
+
+def read_alerts(spark: SparkSession, table: str) -> DataFrame:
+    return UniqueTable(spark, table, "alert_id", "alert_date").read().drop("alert_date")
+
+
+def read_alert_counts(spark: SparkSession, table: str) -> DataFrame:
+    """A5 as ``alerts.alert_counts`` gives it: gid, symbol, severity, alert_count."""
+    c = VersionedTable(spark, table + "__counts", ALERT_COUNT_KEYS).read()
+    return c.select("gid", F.when(F.col("gid") == 1, F.col("name")).alias("symbol"), F.when(F.col("gid") == 2, F.col("name")).alias("severity"),
+                    "alert_count")
+
+
+def read_view(spark: SparkSession, path: str, view: str) -> DataFrame:
+    """K7: a view of ``run_views``: price, trades (newest 100), series (newest 1,000 members), counts, runs."""
+    return VersionedTable(spark, f"{path}/{view}", ["symbol"]).read()
+
+
+def run_views(trades: DataFrame, path: str, checkpoint: str, trigger: dict | None = None,
+              views: Sequence[str] = tuple(carried.VIEW_ROWS), counts: bool = True,
+              view_ttl_s: int = carried.VIEW_TTL_S, counter_ttl_s: int = carried.COUNTER_TTL_S) -> StreamingQuery:
+    """K7 + X8 + X12: views of each symbol, rewritten for the symbols of a batch. A symbol without a trade for ``view_ttl_s``
+    of event time loses its views, one without for ``counter_ttl_s`` its counter: with the batch whose newest trade shows
+    it, which deletes the rows. Trades before such a silence never come back."""
+    names = [*views, *(["runs"] if views else []), *(["counts"] if counts else [])]
+    t = {v: State(trades.sparkSession, f"{path}/{v}", ["symbol"]) for v in names}
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        if counts and not t["counts"].has(batch_id):
+            t["counts"].write(batch_id, carried.runs_and_gone(batch, t["counts"].read(), counter_ttl_s))
+        if views and not t["runs"].has(batch_id):
+            runs = carried.runs_and_gone(batch, t["runs"].read(), view_ttl_s).persist()
+            for v in views:
+                if not t[v].has(batch_id):
+                    t[v].write(batch_id, carried.new_view(v, batch, t[v].read(), runs))
+            t["runs"].write(batch_id, runs)  # last: the views of a replayed batch are made from the runs before it
+            runs.unpersist()
+
+    return _each_batch(trades, sink, checkpoint, trigger)
 
 
 def run_prices(trades: DataFrame, table: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """X12 snapshot table: latest price per symbol, newest (u, seq) wins."""
+    """The latest price view alone."""
+    return run_views(trades, table, checkpoint, trigger or {"processingTime": "1 second"}, ["price"], False)
+
+
+def run_last_candles(trades: DataFrame, table: str, checkpoint: str, trigger: dict | None = None,
+                     ttl_s: int = carried.VIEW_TTL_S) -> StreamingQuery:
+    """K7: the last closed candle of each symbol and size; deleted ``ttl_s`` of event time after its end."""
     use_rocksdb_state(trades.sparkSession)
-    staging_root = table + "__staging"
+
+    t = State(trades.sparkSession, table, ["symbol", "window_seconds"])
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if tables.batch_done(spark, table, batch_id) or batch.isEmpty():
+        if t.has(batch_id):
             return
-        tables.upsert_latest(batch, table, "symbol", ["u", "seq"], os.path.join(staging_root, f"batch={batch_id}"))
-        tables.mark_batch(spark, table, batch_id)
+        before = t.read()
+        rows = carried.last_candles(batch, before).withColumn("deleted", F.lit(False))
+        clock = rows.agg(F.max(epoch_micros("window_end"))).scalar()
+        old = clock - epoch_micros("window_end") >= ttl_s * 1_000_000
+        t.write(batch_id, rows.withColumn("deleted", old))
 
-    w = latest_prices(trades).writeStream.outputMode("update").foreachBatch(sink)
-    return _run(w, checkpoint, trigger or {"processingTime": "1 second"})
+    return _each_batch(candles_append(trades), sink, checkpoint, trigger, True)
 
 
 def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, checkpoint: str,
-                    delay: str = "1 hour", trigger: dict | None = None) -> StreamingQuery:
+                    delay: str = "1 hour", trigger: dict | None = None, counters: str | None = None) -> StreamingQuery:
     """K4 + S4 + X9-X11: decode, quarantine the bad messages, drop redelivered
-    trade ids within the watermark, insert-if-absent into the day-partitioned
-    trade table (processed_at = load time)."""
+    trade ids within the watermark, insert-if-absent into the trade table by
+    batch and day (processed_at = load time)."""
     use_rocksdb_state(messages.sparkSession)
     d = decode_trades(messages)
 
+    unique = UniqueTable(messages.sparkSession, table, "trade_id", "trade_date")
+
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if tables.batch_done(spark, table, batch_id) or batch.isEmpty():
-            return
-        batch.persist()
         bad = batch.filter(F.col("reason").isNotNull()).select("offset", "key", "value", "reason")
         # a folder of its own for each batch: a replay overwrites it
-        bad.write.mode("overwrite").parquet(os.path.join(quarantine_path, f"batch={batch_id}"))
+        bad.write.mode("overwrite").parquet(f"{quarantine_path}/batch={int(batch_id)}")
         good = (batch.filter(F.col("reason").isNull())
                 .select("trade_id", "symbol", "price", "quantity", "side", "exchange", "trader_id", "ts", "u",
                         "seq", "latency_us")
@@ -230,15 +306,19 @@ def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, check
                 .withColumn("trade_date", F.to_date("ts"))
                 .withColumn("ingested_at", F.current_timestamp())   # F7 load-time defaults
                 .withColumn("processed_at", F.current_timestamp()))
-        tables.insert_new(good, table, "trade_id", order=["u", "seq"], partition_by=["trade_date"])
-        tables.mark_batch(spark, table, batch_id)
-        batch.unpersist()
+        written = unique.insert(batch_id, good, ["u", "seq"])
+        if counters:
+            _count(counters, batch_id, "trades", carried.counted(written.withColumn("t", F.lit("trades")), "rows_written", "t"),
+                   carried.counted(bad, "messages_rejected", "reason"))
 
     valid_dedup = (with_event_time(d.filter(F.col("reason").isNull())).withWatermark("et", delay)
                    .dropDuplicatesWithinWatermark(["trade_id"]).drop("et"))
     rejected = d.filter(F.col("reason").isNotNull())
-    w = valid_dedup.unionByName(rejected).writeStream.outputMode("append").foreachBatch(sink)
-    return _run(w, checkpoint, trigger or {"processingTime": "5 seconds"})
+    return _each_batch(valid_dedup.unionByName(rejected), sink, checkpoint, trigger, True)
+
+
+def read_trades(spark: SparkSession, table: str) -> DataFrame:
+    return UniqueTable(spark, table, "trade_id", "trade_date").read()
 
 
 def progress_gauges(query: StreamingQuery) -> dict:

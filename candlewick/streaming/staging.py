@@ -1,5 +1,5 @@
 """Stage derived input as time-ordered files so a file-source stream replays
-it in event-time order, ``files`` micro-batches (test/registration input)."""
+it in event-time order, one micro-batch per slice (test/registration input)."""
 from __future__ import annotations
 
 import os
@@ -8,17 +8,26 @@ import time
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+FILES = 8  # files of a slice: the width in which it is written and read
 
-def stage_in_time_order(df: DataFrame, path: str, files: int = 4, u: str = "u") -> str:
-    """Write ``df`` as ``files`` parquet files, one per equal event-time
-    slice, oldest first (the file source orders by modification time)."""
+
+def stage_in_time_order(df: DataFrame, path: str, slices: int = 4, u: str = "u", files: int = FILES) -> int:
+    """Write ``df`` as ``slices`` equal event-time slices, oldest first (the file source orders by modification time), each
+    as ``files`` files by one task each. Returns that number, which is what one micro-batch has to read. A table in which a
+    slice has fewer rows than that is written as one file a slice."""
     lo, hi = df.agg(F.min(u), F.max(u)).head()
-    step = max(1, (hi - lo) // files + 1)
-    for k in range(files):
-        part = df.filter((F.col(u) >= lo + k * step) & (F.col(u) < lo + (k + 1) * step))
-        part.coalesce(1).write.mode("append").parquet(path)
+    if lo is None:
+        df.write.mode("append").parquet(path)
+        return 1
+    step = (hi - lo) // slices + 1
+    at = F.floor((F.col(u) - F.lit(lo)) / F.lit(step)).cast("int")
+    sizes = [r.n for r in df.groupBy(at.alias("k")).agg(F.count("*").alias("n")).collect()]  # a row for each slice
+    files = files if len(sizes) == slices and min(sizes) >= 4 * files else 1
+    for k in range(slices):
+        part = df.where(F.col(u).between(lo + k * step, lo + (k + 1) * step - 1))
+        part.repartition(files).write.mode("append").parquet(path)
         time.sleep(0.02)
-    return path
+    return files
 
 
 def subdir(root: str, name: str) -> str:

@@ -45,11 +45,11 @@ def test_stream_candles_equal_batch_and_restart(spark):
     src = os.path.join(root, "in")
     lo, hi = t.agg(F.min("u"), F.max("u")).head()
     mid = (lo + hi) // 2
-    stage_in_time_order(t.filter(F.col("u") < mid), src, 2)
+    stage_in_time_order(t.filter(F.col("u") < mid), src, 2, files=1)
     schema = spark.read.parquet(src).schema
     out, ck = os.path.join(root, "out"), os.path.join(root, "ck")
     jobs.run_candles(jobs.file_source(spark, src, schema), out, ck, {"availableNow": True}).awaitTermination()
-    stage_in_time_order(t.filter(F.col("u") >= mid), src, 2)  # more files arrive; restart from the checkpoint
+    stage_in_time_order(t.filter(F.col("u") >= mid), src, 2, files=1)  # more files arrive; restart from the checkpoint
     jobs.run_candles(jobs.file_source(spark, src, schema), out, ck, {"availableNow": True}).awaitTermination()
     got = spark.read.parquet(out)
     limit = hi - 10_000_000
@@ -83,13 +83,13 @@ def test_late_rows_dropped_and_counted(spark):
     assert got.filter(F.col("window_seconds") == 60).count() == 9  # 10:00 .. 10:08 closed
 
 
-def test_stateful_detector_and_engine_equal_batch(spark):
+def test_detector_and_engine_streams_equal_batch(spark):
     from paths import SF
     from candlewick.sources.fixtures import trades_from_events
     t = trades_from_events(spark, SF)
     root = _tmp()
-    src = stage_in_time_order(t, os.path.join(root, "in"), 3)
-    s = jobs.file_source(spark, src, spark.read.parquet(src).schema)
+    src = os.path.join(root, "in")
+    s = jobs.file_source(spark, src, t.schema, stage_in_time_order(t, src, 3))
     jobs.run_detect(s, os.path.join(root, "raw"), os.path.join(root, "ck1"), {"availableNow": True}).awaitTermination()
     raw_stream = spark.read.parquet(os.path.join(root, "raw"))
     raw_batch = detect.alerts_raw(t)
