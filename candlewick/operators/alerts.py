@@ -9,14 +9,15 @@ Cooldown dedup is a sequential fold ("kept if no *kept* alert of the same
 type and symbol in the last c seconds"). It is made parallel exactly, on one
 path for every size:
 
-1. Each key's timeline is cut into buckets of a fixed number of cooldowns. A
+1. Each key's timeline is cut into buckets of a number of cooldowns that follows
+   from the key's counted density. A
    bucket does not know which of its first alerts the bucket before leaves
    eligible, so it works out the last time it keeps for each of them.
 2. These (start, exit) pairs link the buckets; pointer doubling over them
    (``_starts``) finds where each bucket really starts.
 3. Each bucket is then folded once from its start.
 
-A task holds the distinct alert times of one key in one bucket.
+A task holds the distinct alert times of one key in one bucket, a bounded number unless two cooldowns hold more.
 """
 from __future__ import annotations
 
@@ -33,7 +34,8 @@ from candlewick.sources.decode import iso_utc
 COOLDOWNS_S = {"CIRCUIT_BREAKER": 300, "PRICE_SPIKE": 60, "VOLUME_SPIKE": 30}
 DEFAULT_COOLDOWN_S = 60
 BREAKER_TIMEOUT_S = 300  # OPEN -> HALF_OPEN after five minutes
-FOLD_COOLDOWNS = 720  # width of a fold bucket in cooldowns; bounds a task, never the result
+FOLD_COOLDOWNS = 720  # width of a fold bucket in cooldowns, and its alert times where a key is dense;
+FOLD_ROWS = 100_000  # they bound a task, never the result
 
 KEYS = ["alert_type", "symbol"]
 
@@ -47,22 +49,31 @@ def cooldown_us(alert_type: F.Column) -> F.Column:
     return expr.otherwise(c).cast("long")
 
 
-def _cells(alerts: DataFrame, cooldowns: int) -> DataFrame:
-    """Distinct alert times of each key with their bucket ``b`` of ``cooldowns`` cooldowns."""
-    t = alerts.select(*KEYS, "u", cooldown_us(F.col("alert_type")).alias("cd"))
-    return t.select("*", F.floor(F.col("u") / (F.col("cd") * cooldowns)).alias("b")).distinct()
+def _key(name: str) -> F.Column:
+    """A missing type or symbol is a key like any other."""
+    return F.coalesce(F.col(name), F.lit("\u0000"))
 
 
-def _exits(pdf: pd.DataFrame, cooldowns: int) -> pd.DataFrame:
+def _cells(alerts: DataFrame, cooldowns: int, rows: int) -> DataFrame:
+    """Distinct alert times of each key with their bucket ``b``, ``width`` cooldowns wide: up to ``cooldowns``, fewer where a
+    key is dense, so that a bucket holds ``rows`` times at most, or those of two cooldowns."""
+    t = alerts.select(*[_key(k).alias(k) for k in KEYS], "u", cooldown_us(F.col("alert_type")).alias("cd")).distinct()
+    per_cooldown = t.groupBy(*KEYS, F.floor(F.col("u") / F.col("cd")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    width = F.greatest(F.lit(min(2, cooldowns)), F.least(F.lit(cooldowns), F.floor(F.lit(rows) / F.max("n")))).cast("long")
+    t = t.join(per_cooldown.groupBy(*KEYS).agg(width.alias("width")), KEYS)
+    return t.select("*", F.floor(F.col("u") / (F.col("cd") * F.col("width"))).alias("b"))
+
+
+def _exits(pdf: pd.DataFrame) -> pd.DataFrame:
     """For every time a bucket may start to keep at: the last time it then keeps."""
-    u, cd, b = np.sort(pdf["u"].to_numpy()), pdf["cd"].iat[0], pdf["b"].iat[0]
+    u, cd, b, width = np.sort(pdf["u"].to_numpy()), pdf["cd"].iat[0], pdf["b"].iat[0], pdf["width"].iat[0]
     own = np.arange(len(u))
     after = np.searchsorted(u, u + cd)
     last = np.where(after < len(u), after, own)
     while (last[last] != last).any():
         last = last[last]
     # an earlier kept time blocks less than one cooldown of the bucket
-    n = min(len(u), int(np.searchsorted(u, b * cooldowns * cd + cd)) + 1)
+    n = min(len(u), int(np.searchsorted(u, b * width * cd + cd)) + 1)
     return pd.DataFrame({"alert_type": pdf["alert_type"].iat[0], "symbol": pdf["symbol"].iat[0], "cd": cd, "b": b,
                          "start": u[:n], "exit": u[last[:n]], "first_u": u[0], "last_u": u[-1]})
 
@@ -109,22 +120,26 @@ def _starts(exits: DataFrame) -> DataFrame:
     return reached
 
 
-def dedup_cooldown(alerts: DataFrame, cooldowns: int = FOLD_COOLDOWNS, input_materialized: bool = False) -> DataFrame:
+def dedup_cooldown(alerts: DataFrame, cooldowns: int = FOLD_COOLDOWNS, input_materialized: bool = False,
+                   rows: int = FOLD_ROWS) -> DataFrame:
     """D-DUP: keep an alert iff no alert of the same (type, symbol) was kept in
     the previous cooldown (exactly c later is kept). Suppressed alerts do not
     extend the cooldown. Of several alerts of one key at the same instant the
-    least by (seq, all columns) counts. ``cooldowns`` is the width of a fold
-    bucket in cooldowns; it does not change the result."""
+    least by (seq, all columns) counts; a null type or symbol is a key like any
+    other. ``cooldowns`` and ``rows`` bound a fold bucket; they do not change
+    the result."""
     cols = alerts.columns
     if not input_materialized:
         alerts = materialize(alerts)
-    cells = _cells(alerts, cooldowns)
+    cells = _cells(alerts, cooldowns, rows)
     key_cols = "alert_type string, symbol string"
     exits = materialize(cells.groupBy(*KEYS, "b").applyInPandas(
-        lambda pdf: _exits(pdf, cooldowns), f"{key_cols}, cd long, b long, start long, exit long, first_u long, last_u long"))
+        _exits, f"{key_cols}, cd long, b long, start long, exit long, first_u long, last_u long"))
     starts = _starts(exits).join(exits.select(*KEYS, "b", "start"), [*KEYS, "start"])
     times = cells.join(starts, [*KEYS, "b"]).groupBy(*KEYS, "b").applyInPandas(_kept_times, f"{key_cols}, u long")
-    kept = alerts.join(times, [*KEYS, "u"], "left_semi").groupBy(*KEYS, "u").agg(
+    times = times.select(*[F.col(k).alias(f"__{k}") for k in KEYS], F.col("u").alias("__u"))
+    same = (_key("alert_type") == F.col("__alert_type")) & (_key("symbol") == F.col("__symbol")) & (F.col("u") == F.col("__u"))
+    kept = alerts.join(times, same, "left_semi").groupBy(*KEYS, "u").agg(
         F.min(F.struct("seq", F.struct(*cols).alias("r"))).alias("x"))
     return kept.select("x.r.*")
 

@@ -8,7 +8,7 @@ struct (u, seq), not a sort.
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import dec
@@ -130,11 +130,10 @@ def candles_refresh(trades: DataFrame, ref_u: int | None = None, start_offset_s:
 def last_closed_candle(candles: DataFrame) -> DataFrame:
     """Per (symbol, window_seconds) the newest window that is closed, i.e.
     the symbol already has a trade in a later window of that size (its newest
-    window is still open). Two aggregates + a join; no per-symbol sort."""
-    newest = candles.groupBy("symbol", "window_seconds").agg(F.max("window_start").alias("open_ws"))
-    closed = candles.join(newest, ["symbol", "window_seconds"]).filter(F.col("window_start") < F.col("open_ws"))
+    window is still open): the second newest. A group limit keeps two candles
+    a key and task before the shuffle, so the candles are built once."""
     cols = ["window_start", "window_end", "open_price", "high_price", "low_price", "close_price",
             "total_volume", "vwap", "trade_count"]
-    best = closed.groupBy("symbol", "window_seconds").agg(
-        F.max_by(F.struct(*cols), "window_start").alias("c"))
-    return best.select("symbol", "window_seconds", *[F.col(f"c.{c}").alias(c) for c in cols])
+    newest = Window.partitionBy("symbol", "window_seconds").orderBy(F.desc("window_start"))
+    two = candles.select("symbol", "window_seconds", *cols, F.row_number().over(newest).alias("rn")).where("rn <= 2")
+    return two.where("rn = 2").drop("rn")

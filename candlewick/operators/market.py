@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import dec
+from candlewick.functions.timecols import bucket_start_micros
 from candlewick.operators.views import RECENT_N, latest_price, recent_trades
 
 # Scanner signal thresholds (ours; the reference gives no rule)
@@ -69,16 +70,38 @@ def top_movers(latest: DataFrame, last_closed: DataFrame, k: int = 5) -> DataFra
         "side", "rank", "symbol", "price", "open", "change_pct", "direction", "volume", "vwap")
 
 
+def symbol_activity(trades: DataFrame, ttl_s: int = 86_400) -> DataFrame:
+    """symbol, trade_count, volume_1m in one pass over the trades: the counter (A8: it starts anew after ``ttl_s`` of
+    silence; null where the symbol has been silent for so long at the newest trade) and the volume of the last closed
+    minute (null without one). Both follow from one row a symbol and minute."""
+    ttl = ttl_s * 1_000_000
+    m = trades.groupBy("symbol", bucket_start_micros("u", 60).alias("minute")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("u").alias("first_u"), F.max("u").alias("last_u"), F.sum(dec("quantity")).alias("v"))
+    back = Window.partitionBy("symbol").orderBy(F.desc("minute"))  # newest first: the present run is what lies before a gap
+    gap = F.lag("first_u").over(back) - F.col("last_u") >= ttl
+    m = m.select("*", F.row_number().over(back).alias("rn"), F.coalesce(gap.cast("int"), F.lit(0)).alias("gap"))
+    m = m.select("*", F.sum("gap").over(back).alias("gaps"))
+    s = m.groupBy("symbol").agg(F.sum(F.when(F.col("gaps") == 0, F.col("n"))).alias("n"), F.max("last_u").alias("last_u"),
+                                F.max(F.when(F.col("rn") == 2, F.col("v"))).alias("volume_1m"))
+    now = F.max("last_u").over(Window.partitionBy(F.lit(0)))  # one row a symbol here
+    return s.select("symbol", F.when(now - F.col("last_u") < ttl, F.col("n")).alias("trade_count"), "volume_1m")
+
+
 def market_summary(latest: DataFrame, counts: DataFrame, last_closed: DataFrame, final_alerts: DataFrame) -> DataFrame:
     """J2 + A7: one row: active symbols, sum of their trade counters, last
-    closed 1-minute volume (missing -> 0), alert totals (escalated)."""
+    closed 1-minute volume (missing -> 0), alert totals (escalated), from
+    views at hand; ``summary`` takes ``symbol_activity`` instead."""
     c1 = last_closed.filter(F.col("window_seconds") == 60).select(
-        "symbol", F.col("total_volume").cast("decimal(24,6)").alias("v1"))
-    j = latest.select("symbol").join(counts, "symbol", "left").join(c1, "symbol", "left")
-    s = j.agg(
+        "symbol", F.col("total_volume").cast("decimal(24,6)").alias("volume_1m"))
+    return summary(latest.select("symbol").join(counts, "symbol", "left").join(c1, "symbol", "left"), final_alerts)
+
+
+def summary(activity: DataFrame, final_alerts: DataFrame) -> DataFrame:
+    """J2 + A7 from symbol, trade_count, volume_1m and the alerts."""
+    s = activity.agg(
         F.count(F.lit(1)).alias("active_symbols"),
         F.sum(F.coalesce(F.col("trade_count"), F.lit(0))).cast("long").alias("total_trades"),
-        F.round(F.sum(F.coalesce(F.col("v1"), F.lit(0).cast("decimal(24,6)"))), 2).cast("double")
+        F.round(F.sum(F.coalesce(F.col("volume_1m"), F.lit(0).cast("decimal(24,6)"))), 2).cast("double")
         .alias("total_volume_1m"),
     )
     a = final_alerts.agg(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from candlewick.functions.numeric import dec
 from candlewick.functions.timecols import idiv, ntz_from_micros
+from candlewick.operators.history import page
 
 RECENT_N = 100  # ring buffer length of the recent-trades view
 SERIES_N = 1000  # length of the per-symbol price series
@@ -76,18 +77,18 @@ def price_history(trades: DataFrame, limit: int = 100, symbols=None) -> DataFram
                     F.col("rn").cast("int").alias("rn")))
 
 
-def trade_history(trades: DataFrame, symbol: str | None = None, limit: int = 100, offset: int = 0) -> DataFrame:
-    """Newest-first page of the trade table, optional symbol.
-
-    Global ORDER BY + LIMIT/OFFSET: Spark plans TakeOrderedAndProject (a
-    top-(limit+offset) per partition, then one merge), not a full sort.
-    """
+def trade_history(trades: DataFrame, symbol: str | None = None, limit: int = 100, offset: int = 0,
+                  index: DataFrame | None = None) -> DataFrame:
+    """Newest-first page of the trade table, optional symbol. The first
+    page is a top-``limit``; a later one is found by seeking (``history``), with
+    ``index`` (``history.count_index`` of the table) or one counting pass."""
     check_bounds("limit", limit, 1, 1000)
     check_bounds("offset", offset, 0)
-    t = trades if not symbol else trades.filter(F.col("symbol") == symbol.strip().upper())
-    page = t.orderBy(F.col("u").desc(), F.col("seq").desc()).offset(offset).limit(limit) if offset else \
-        t.orderBy(F.col("u").desc(), F.col("seq").desc()).limit(limit)
-    return page.select(
+    t = trades
+    if symbol:
+        own = F.col("symbol") == symbol.strip().upper()
+        t, index = t.filter(own), None if index is None else index.filter(own)
+    return page(t, limit, offset, index).select(
         "trade_id", "symbol", "price", "quantity",
         (dec("price") * dec("quantity")).cast("double").alias("trade_value"),
         "side", "exchange", "ts",

@@ -118,6 +118,16 @@ SELECT window_start AS bucket, symbol, trade_count, total_volume, vwap, open_pri
 FROM (SELECT c.* FROM c, ref WHERE ws_u >= ref_u - 600000000 AND ws_u < ref_u - 60000000
       UNION ALL
       SELECT c_then.* FROM c_then, ref WHERE NOT (ws_u >= ref_u - 600000000 AND ws_u < ref_u - 60000000))""",
+    "candles_refreshed_late": _with(
+        _ohlcv_cte("c", 60), REF, f"early AS (SELECT * FROM trades WHERE seq % {Q.LATE_MOD} <> 0)",
+        _ohlcv_cte("c_early", 60).replace("FROM trades", "FROM early"),
+        f"stale AS (SELECT DISTINCT (u // 60000000) * 60000000 AS ws_u FROM trades WHERE seq % {Q.LATE_MOD} = 0)") + """
+, fresh AS (SELECT ws_u >= ref_u - 600000000 AND ws_u < ref_u - 60000000 OR
+                   ws_u < ref_u - 600000000 AND ws_u IN (SELECT ws_u FROM stale) AS is_fresh, c.* FROM c, ref)
+SELECT window_start AS bucket, symbol, trade_count, total_volume, vwap, open_price, high_price, low_price, close_price
+FROM (SELECT * EXCLUDE (is_fresh) FROM fresh WHERE is_fresh
+      UNION ALL BY NAME
+      SELECT * FROM c_early WHERE (symbol, ws_u) NOT IN (SELECT (symbol, ws_u) FROM fresh WHERE is_fresh))""",
     "last_closed_candle": _with(ALL_CANDLES) + """
 SELECT symbol, window_seconds, window_start, window_end, open_price, high_price, low_price, close_price,
        total_volume, vwap, trade_count
@@ -138,6 +148,10 @@ WHERE rn <= 100""",
 SELECT trade_id, symbol, price, quantity, CAST(CAST(price AS {D}) * CAST(quantity AS {D}) AS DOUBLE) AS trade_value,
        side, exchange, ts
 FROM trades ORDER BY u DESC, seq DESC LIMIT 100 OFFSET 20""",
+    "trade_history_far": _with() + f"""
+SELECT trade_id, symbol, price, quantity, CAST(CAST(price AS {D}) * CAST(quantity AS {D}) AS DOUBLE) AS trade_value,
+       side, exchange, ts
+FROM trades WHERE symbol = 'SYM3' ORDER BY u DESC, seq DESC LIMIT 50 OFFSET 400""",
     "trade_counts": _with(REF, COUNTS) + "SELECT symbol, trade_count FROM counts",
     "active_views": _with(REF) + f"""
 SELECT symbol, make_timestamp(last_u) AS last_trade_ts,
@@ -422,6 +436,18 @@ UNION ALL SELECT 'messages_rejected', reason, count(*) FROM (
 })
 
 ORACLE.update({
+    "latest_price_of": f"SELECT * FROM ({ORACLE['latest_price']}) WHERE symbol IN ('SYM3', 'SYM7')",
+    "recent_trades_of": f"SELECT * FROM ({ORACLE['recent_trades']}) WHERE symbol = 'SYM5' AND rn <= 20",
+    "trade_rate_by_side": _with() + """
+SELECT make_timestamp((u // 60000000) * 60000000) AS window_start, symbol, side, count(*) AS trades,
+       count(*) / 60.0 AS rate_per_sec FROM trades GROUP BY ALL""",
+    "alert_rate_by_severity": _with(ROLLING, RAW_ALERTS) + """
+SELECT make_timestamp((u // 60000000) * 60000000) AS window_start, alert_type, severity, count(*) AS alerts,
+       count(*) / 60.0 AS rate_per_sec FROM raw_alerts GROUP BY ALL""",
+    "write_rate_by_table": _with(ALL_CANDLES, FINISHED) + """
+SELECT make_timestamp((u // 60000000) * 60000000) AS window_start, "table", count(*) AS rows, count(*) / 60.0 AS rate_per_sec
+FROM (SELECT 'trades' AS "table", u FROM trades
+      UNION ALL SELECT 'trade_aggregates', ws_u + window_seconds * 1000000 FROM finished) GROUP BY ALL""",
     "trade_rate_sliding": _with() + """
 SELECT make_timestamp(w) AS window_start, make_timestamp(w + 60000000) AS window_end, symbol, count(*) AS trades,
        count(*) / 60.0 AS rate_per_sec

@@ -15,6 +15,7 @@ from candlewick.operators import alerts, candles, detect, market, metrics, views
 from candlewick.functions.numeric import dec
 from candlewick.session import scratch_path
 from candlewick.sinks import messages, tables
+from candlewick.sinks.minute_candles import MinuteCandles
 from candlewick.sources import decode
 from candlewick.sources.instruments import instruments
 from candlewick.plans import streaming_queries as SQ
@@ -27,6 +28,7 @@ RETENTION_S = 6 * 3_600
 VIEW_TTL_S = 30
 REFRESH_LAG_S = 300
 COUNTER_TTL_S = 4 * 3_600
+LATE_MOD = 500  # every 500th trade comes late
 
 
 FINAL_COLUMNS = [
@@ -100,13 +102,22 @@ def _export_csv(i: Inputs) -> DataFrame:
 
 def _refreshed(i: Inputs) -> DataFrame:
     """The one-minute table as it stood five minutes ago, after a refresh."""
-    path, day = scratch_path(i.spark, "candles-1min"), F.to_date("bucket").alias("bucket_date")
-    then = i.trades.agg(F.max("u")).scalar() - F.lit(REFRESH_LAG_S * 1_000_000)
-    tables.overwrite_partitions(candles.candles_1min_view(i.trades.filter(F.col("u") < then)).select("*", day), path,
-                                ["bucket_date"])
-    tables.refresh(candles.candles_refresh(i.trades).select("*", day), path, ["bucket", "symbol"], ["bucket_date"],
-                   scratch_path(i.spark, "candles-1min-staged"))
-    return i.spark.read.parquet(path).drop("bucket_date")
+    table = MinuteCandles(i.spark, scratch_path(i.spark, "candles-1min"))
+    then = F.col("u") < i.trades.agg(F.max("u")).scalar() - F.lit(REFRESH_LAG_S * 1_000_000)
+    table.load_all(0, i.trades.filter(then))
+    table.log(1, i.trades.filter(~then))
+    table.refresh(1, i.trades)
+    return table.read()
+
+
+def _refreshed_late(i: Inputs) -> DataFrame:
+    """A table filled before some trades arrived, up to hours late, and refreshed after them: their minutes show."""
+    table = MinuteCandles(i.spark, scratch_path(i.spark, "candles-1min-late"))
+    late = F.col("seq") % LATE_MOD == 0
+    table.load_all(0, i.trades.filter(~late))
+    table.log(1, i.trades.filter(late))
+    table.refresh(1, i.trades)
+    return table.read()
 
 
 def _q(fn) -> Query:
@@ -124,11 +135,15 @@ QUERIES: dict[str, Query] = {
     "candles_1min_view": _q(lambda i: candles.candles_1min_view(i.trades)),
     "candles_refresh": _q(lambda i: candles.candles_refresh(i.trades)),
     "candles_refreshed_table": _q(_refreshed),
+    "candles_refreshed_late": _q(_refreshed_late),
     "last_closed_candle": _q(lambda i: candles.last_closed_candle(candles.ohlcv_all(i.trades))),
     "latest_price": _q(lambda i: views.latest_price(i.trades)),
+    "latest_price_of": _q(lambda i: views.latest_price(i.trades, " sym3, SYM7 ,nope")),
+    "recent_trades_of": _q(lambda i: views.recent_trades(i.trades, limit=20, symbols="sym5")),
     "recent_trades": _q(lambda i: views.recent_trades(i.trades, limit=100)),
     "price_history": _q(lambda i: views.price_history(i.trades, limit=100)),
     "trade_history": _q(lambda i: views.trade_history(i.trades, limit=100, offset=20)),
+    "trade_history_far": _q(lambda i: views.trade_history(i.trades, symbol="sym3", limit=50, offset=400)),
     "trade_counts": _q(_counts),
     "active_views": _q(lambda i: views.active_views(i.trades, VIEW_TTL_S, COUNTER_TTL_S)),
     "retained_trades": _q(lambda i: views.retained_trades(i.trades, retention_s=RETENTION_S)),
@@ -147,13 +162,15 @@ QUERIES: dict[str, Query] = {
     "whales": _q(lambda i: alerts.whales(i.final_alerts)),
     "pressure": _q(lambda i: market.pressure(i.trades)),
     "top_movers": _q(lambda i: market.top_movers(views.latest_price(i.trades), _closed(i, 300))),
-    "market_summary": _q(lambda i: market.market_summary(views.latest_price(i.trades), _counts(i), _closed(i, 60),
-                                                         i.final_alerts)),
+    "market_summary": _q(lambda i: market.summary(market.symbol_activity(i.trades), i.final_alerts)),
     "symbol_stats": _q(lambda i: market.symbol_stats(views.latest_price(i.trades), _counts(i), _closed(i, 60))),
     "scanner": _q(lambda i: market.scanner(views.latest_price(i.trades), _closed(i, 300), market.pressure(i.trades))),
     "watchlist": _q(lambda i: market.watchlist(views.latest_price(i.trades), instruments(i.spark))),
     "price_levels": _q(lambda i: market.price_levels(i.trades, depth=10)),
     "trade_rate_1m": _q(lambda i: metrics.trade_rate_1m(i.trades)),
+    "trade_rate_by_side": _q(lambda i: metrics.trade_rate_by_side(i.trades)),
+    "alert_rate_by_severity": _q(lambda i: metrics.alert_rate_by_severity(i.raw_alerts)),
+    "write_rate_by_table": _q(lambda i: metrics.write_rate_by_table(i.trades)),
     "trade_rate_sliding": _q(lambda i: metrics.trade_rate_sliding(i.trades, 60, 5)),
     "quarantine_counts": _q(lambda i: metrics.quarantine_counts(_decoded(i))),
     "alert_rate_1m": _q(lambda i: metrics.alert_rate_1m(i.raw_alerts_m, i.final_alerts)),

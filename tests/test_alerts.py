@@ -131,3 +131,30 @@ def test_ack_first_wins(spark):
     row = table.collect()[0]
     assert row.acknowledged and row.acknowledged_by == "api-user"
     assert A.alerts_filtered(table, unacked_only=True).count() == 0
+
+
+def test_dense_keys_get_narrow_buckets_and_null_keys_stay(spark):
+    rng = random.Random(11)
+    rows = [("PRICE_SPIKE", "HOT", rng.randrange(0, 3_000_000) / 1000) for _ in range(1500)] + [("PRICE_SPIKE", "B", 400 * k) for k in range(9)]
+    rows = [r + ("HIGH",) for r in sorted(rows, key=lambda r: r[2])]
+    a = alerts(spark, rows)
+    want = _walk([r[:3] for r in rows])
+    cells = A._cells(a, 720, 100).groupBy("symbol", "b").count()
+    assert cells.agg(F.max("count")).head()[0] <= 120 and cells.where("symbol = 'B'").count() == 1
+    assert ids(A.dedup_cooldown(a, rows=100)) == ids(A.dedup_cooldown(a)) == sorted(f"a{i}" if isinstance(i, int) else i for i in want)
+    odd = alerts(spark, [("PRICE_SPIKE", "A", 0), ("PRICE_SPIKE", "A", 5)])
+    odd = odd.withColumn("symbol", F.lit(None).cast("string")).unionByName(odd.withColumn("alert_id", F.concat(F.lit("t"), "alert_id")).withColumn(
+        "alert_type", F.lit(None).cast("string")))
+    assert ids(A.dedup_cooldown(odd)) == ["a0", "ta0"]
+
+
+def test_symbol_activity_equals_the_views(spark):
+    from builders import trades
+    from candlewick.operators import candles, market, views
+    day = 86_400
+    t = trades(spark, [("A", 1, 2, "BUY", 0), ("A", 1, 3, "BUY", 70), ("A", 1, 4, "SELL", 75), ("A", 1, 5, "BUY", 2 * day),
+                       ("B", 1, 6, "BUY", 10), ("C", 1, 7, "BUY", 2 * day - 100), ("C", 1, 8, "BUY", 2 * day), ("C", 1, 9, "BUY", 2 * day + 1)])
+    got = {r.symbol: (r.trade_count, r.volume_1m) for r in market.symbol_activity(t).collect()}
+    counts = {r.symbol: r.trade_count for r in views.trade_counts(t).collect()}
+    closed = {r.symbol: r.total_volume for r in candles.last_closed_candle(candles.ohlcv(t, 60)).collect()}
+    assert got == {s: (counts.get(s), closed.get(s)) for s in "ABC"} and counts == {"A": 1, "C": 3}
