@@ -131,7 +131,7 @@ def dedup_cooldown(alerts: DataFrame, cooldowns: int = FOLD_COOLDOWNS, input_mat
     cols = alerts.columns
     if not input_materialized:
         alerts = materialize(alerts)
-    cells = _cells(alerts, cooldowns, rows)
+    cells = materialize(_cells(alerts, cooldowns, rows))  # narrow, and read twice
     key_cols = "alert_type string, symbol string"
     exits = materialize(cells.groupBy(*KEYS, "b").applyInPandas(
         _exits, f"{key_cols}, cd long, b long, start long, exit long, first_u long, last_u long"))
