@@ -4,12 +4,14 @@ Calls and results are hash-joined by (conversation, call identifier). A call may
 depth in that forest is the topological order, found by pointer doubling: each round joins every call with the call its
 pointer has reached, so a chain of n calls takes log2(n) rounds, and a conversation of any length is never gathered in
 one place. Calls on a cycle reach no root. Arguments are checked against the schema of the call's name, and the linked
-message is written as canonical JSON (keys sorted by UTF-16 code units, no blanks, whole floats as integers).
+message is written as canonical JSON (keys sorted by UTF-16 code units, no blanks, numbers with the fewest digits that give
+the same double, in plain notation from 1e-6 up to 1e21). Arguments with lone surrogates are not JSON.
 """
 from __future__ import annotations
 
 import json
 import math
+from decimal import Decimal
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -21,19 +23,32 @@ _TYPES = {"string": str, "integer": int, "number": (int, float), "boolean": bool
           "null": type(None)}
 
 
+def _number(x: float) -> str:
+    if not math.isfinite(x):
+        raise ValueError("not a JSON number")
+    if x == 0:
+        return "0"
+    d = Decimal(repr(x)).normalize()
+    if 1e-6 <= abs(x) < 1e21:
+        return format(d, "f")
+    sign, digits, _ = d.as_tuple()
+    head, rest, e = str(digits[0]), "".join(map(str, digits[1:])), d.adjusted()
+    return f"{'-' * sign}{head}{'.' + rest if rest else ''}e{'+' if e > 0 else '-'}{abs(e)}"
+
+
 def canonical(x) -> str:
-    """Canonical JSON of a parsed value; ValueError for numbers that JSON lacks."""
+    """Canonical JSON of a parsed value; ValueError for numbers and strings that it lacks."""
     if isinstance(x, dict):
         keys = sorted(x, key=lambda k: k.encode("utf-16-be", "surrogatepass"))
         return "{" + ",".join(f"{canonical(k)}:{canonical(x[k])}" for k in keys) + "}"
     if isinstance(x, list):
         return "[" + ",".join(map(canonical, x)) + "]"
     if isinstance(x, float):
-        if not math.isfinite(x):
-            raise ValueError("not a JSON number")
-        if x.is_integer() and abs(x) < 1e21:
-            x = int(x)
-    return json.dumps(x, ensure_ascii=False)
+        return _number(x)
+    text = json.dumps(x, ensure_ascii=False)
+    if isinstance(x, str):
+        text.encode()  # a ValueError for lone surrogates
+    return text
 
 
 def faults(value, schema: dict, at: str = "$") -> list[str]:

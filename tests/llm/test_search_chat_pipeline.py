@@ -61,6 +61,26 @@ def test_canonical():
         chat_format.canonical(float("nan"))
 
 
+def test_canonical_numbers_and_lone_surrogates(spark):
+    numbers = {1e-5: "0.00001", 1e-6: "0.000001", 1e-7: "1e-7", 1.5e-9: "1.5e-9", -0.0: "0", 5.0: "5", 1e20: "100000000000000000000",
+               1e21: "1e+21", -1.25e300: "-1.25e+300", 0.1: "0.1", 123456.789: "123456.789", 333333333.33333329: "333333333.3333333"}
+    assert all(chat_format.canonical(x) == text and json.loads(text) == x for x, text in numbers.items())
+    with pytest.raises(ValueError):
+        chat_format.canonical({"a": ["\ud800"]})
+    calls = [(1, "a", 0, "f", '{"x":"\\ud800"}', None), (1, "b", 1, "f", '{"x":"\\ud83d\\ude00","y":1e-7}', None),
+             (1, "c", 2, "f", '{"x":"' + "k" * 300_000 + '"}', None), (1, "d", 3, "f", "[" * 5000, None)]
+    schemas = {"f": {"type": "object", "properties": {"x": {"type": "string"}}}}
+    kind = "conv_id long, call_id string, turn long, name string, arguments string, after string"
+    got = {r.call_id: r for r in chat_format.link_calls(
+        spark.createDataFrame(calls, kind), spark.createDataFrame([], "conv_id long, call_id string, turn long, result string"), schemas).collect()}
+    assert got["a"].faults == "$: not JSON" and json.loads(got["a"].message)["call"]["arguments"] == calls[0][4]
+    assert got["b"].faults == "" and '"arguments":{"x":"\U0001f600","y":1e-7}' in got["b"].message
+    assert got["c"].faults == "" and len(got["c"].message) > 300_000 and got["d"].faults == "$: not JSON"
+    none = chat_format.link_calls(spark.createDataFrame([], kind), spark.createDataFrame([], "conv_id long, call_id string, turn long, result string"),
+                                  schemas)
+    assert none.count() == 0
+
+
 def test_registered():
     assert [k.split("_")[0] for k in QUERIES] == [f"op{n}" for n in range(1, 14)] and set(ORACLE) <= set(QUERIES)
 
