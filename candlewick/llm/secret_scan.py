@@ -43,6 +43,8 @@ PATTERNS = {
     "pem": re.compile(rb"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----"),
     "jwt": re.compile(rb"(eyJ[A-Za-z0-9_-]+)\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
 }
+#: What an expression reads on to an open end and may then fail on: any other hit in the same run fails as well.
+RUNS = {"jwt": re.compile(rb"[A-Za-z0-9_-]+")}
 KINDS = list(KEYWORDS)
 BASE = KINDS[:3]
 _DIGITS = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
@@ -66,7 +68,7 @@ def _valid(kind: str, m: re.Match) -> bool:
     if kind == "jwt":
         try:
             head = json.loads(base64.urlsafe_b64decode(m[1] + b"=" * (-len(m[1]) % 4)))
-        except (ValueError, binascii.Error):
+        except (ValueError, binascii.Error, RecursionError):
             return False
         return isinstance(head, dict) and "alg" in head
     return True
@@ -94,6 +96,8 @@ def scan(text: bytes, auto: ahocorasick.Automaton) -> list[tuple[int, int, int]]
             free[kind] = m.end()
             if _valid(kind, m):
                 found.append((at, KINDS.index(kind), m.end()))
+        elif kind in RUNS and (run := RUNS[kind].match(text, at)):
+            free[kind] = run.end()
     found.sort()
     return found
 

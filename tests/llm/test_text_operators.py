@@ -233,3 +233,20 @@ def test_secrets(spark, empty):
         assert base == sorted(want)
         assert [s.kind for s in r.spans].count("github") == (texts.index(x) == 2 if x else False)
     assert secret_scan.find_secrets(empty).count() == 0
+
+
+def test_secret_scan_is_linear_in_runs_that_fail():
+    import base64
+    import time
+    auto = secret_scan.automaton()
+    head = base64.urlsafe_b64encode(b'{"alg":"none"}').rstrip(b"=")
+    for text in (b"eyJ" * 350_000, b"eyJ" * 300_000 + b".eyJ", (b"eyJ" * 100 + b".") * 3000, b"AKIA" * 250_000, b"token" + b" " * 1_000_000):
+        at = time.perf_counter()
+        found = secret_scan.scan(text, auto)
+        assert time.perf_counter() - at < 20
+        assert not found or text.startswith(b"AKIA")
+    good = head + b".eyJh.c2ln"
+    text = b"eyJeyJ eyJ_" + b"eyJ" * 9 + b". " + good + b" eyJx." + good + b" " + b"eyJ" + b"W1sb" * 30_000 + b".eyJa.b"
+    plain = [m.span() for m in re.finditer(secret_scan.PATTERNS["jwt"], text)]
+    want = [s for s in plain if secret_scan._valid("jwt", secret_scan.PATTERNS["jwt"].match(text, s[0]))]
+    assert [(a, b) for a, k, b in secret_scan.scan(text, auto) if secret_scan.KINDS[k] == "jwt"] == want and want
