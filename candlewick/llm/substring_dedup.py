@@ -247,6 +247,10 @@ def _cut(batches):
                                           pa.array(spans, _SPANS)], ["doc_id", "bin", "kept", "spans"])
 
 
+def _rows_repeat(source: DataFrame) -> bool:
+    return not source.groupBy("rk").count().where("count > 1").isEmpty()
+
+
 def repeated_spans(source: DataFrame) -> DataFrame:
     """source: rk (long), bin -> rk, spans (array of a, b; may overlap) for the rows with repeated strings."""
     anchors = stage(source.mapInArrow(_anchors, "fp long, ctx long, rk long, lo int, hi int, rel int"), "anchors")
@@ -256,7 +260,8 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     several = found.where("several")
     distinct = several.groupBy("fp", "ctx").agg(F.count("*").alias("n"), F.first(F.struct("rk", "lo", "hi", "rel")).alias("r"))
     distinct = distinct.select("fp", "ctx", "n", "r.*")
-    texts = distinct.join(source, "rk").select(
+    once = source.dropDuplicates(["rk"]) if _rows_repeat(source) else source  # one text for each distinct run
+    texts = distinct.join(once, "rk").select(
         "fp", "ctx", "n", "rel", F.expr("substring(bin, lo + 1, hi - lo + 200)").alias("run"))
     texts = stage(texts, "runs")
     spans = _solved(texts)
@@ -264,7 +269,7 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     partly = several.join(spans, ["fp", "ctx"]).select("rk", "lo", own).select(
         "rk", (F.col("lo") + F.col("s.a")).alias("a"), (F.col("lo") + F.col("s.b")).alias("b"))
     fully = found.where("not several").select("rk", F.col("lo").alias("a"), (F.col("hi") + LENGTH).alias("b"))
-    return partly.union(fully).groupBy("rk").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
+    return partly.union(fully).groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans"))  # once for equal rows
 
 
 _SPANS_OF = "array<struct<a:int,b:int>>"

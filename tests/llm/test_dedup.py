@@ -68,6 +68,19 @@ def test_repeated_strings(spark, edge, empty, monkeypatch):
     assert [len(r.kept) for r in substring_dedup.remove_repeats(twice).collect()] == [0, 0]
 
 
+def test_a_thousand_equal_rows(spark, monkeypatch):
+    rng = random.Random(12)
+    text = " ".join(str(rng.random()) for _ in range(40))
+    rows = [(5, text)] * 1000 + [(6, text[:300] + "x" + text[300:]), (7, "own " * 10)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    want = brute.repeated_strings([t for _, t in rows])
+    got = substring_dedup.remove_repeats(df)
+    assert sorted(set(_removed(got).items())) == sorted(set(zip([i for i, _ in rows], want))) and got.count() == len(rows)
+    source = df.select(F.col("text").cast("binary").alias("bin"), F.xxhash64("doc_id", "text").alias("rk"))
+    spans = substring_dedup.repeated_spans(source).select(F.size("spans").alias("n")).collect()
+    assert len(spans) == 2 and max(r.n for r in spans) < 40  # not more for more copies
+
+
 def test_line_dedup(spark, edge, empty):
     got = line_dedup.dedup_lines(edge)
     assert got.columns == [c for c in edge.columns if c != "n_lines"] + ["n_lines", "n_removed"]
