@@ -41,8 +41,8 @@ def _in_blocks(tokens: DataFrame, terms: DataFrame) -> list[DataFrame]:
     blocks = -(-n // BROADCAST_ROWS) or 1
     if blocks == 1:
         return [tokens.join(F.broadcast(terms), "term")]
-    block = F.pmod(F.xxhash64("term"), F.lit(2 * blocks))  # about half full each, so all stay within the bound
-    return [tokens.join(F.broadcast(terms.where(block == b).limit(2 * BROADCAST_ROWS)), "term") for b in range(2 * blocks)]
+    block = F.pmod(F.xxhash64("term"), F.lit(2 * blocks))  # about half full each; one over the bound is not broadcast
+    return [tokens.join(broadcast_if_small(terms.where(block == b), BROADCAST_ROWS), "term") for b in range(2 * blocks)]
 
 
 def test_pairs(items: DataFrame, counts: DataFrame) -> DataFrame:
@@ -150,7 +150,8 @@ def op3(spark, sf_dir) -> DataFrame:
     out = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
-                      (F.col("n_hit") > 0).alias("contaminated"))
+                      (F.col("n_hit") > 0).alias("contaminated"), F.size("near_items").cast("long").alias("n_near"),
+                      F.array_join(F.array_sort("near_items"), ",").alias("near_items"))
 
 
 _SQL_WORDS = (r"regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
@@ -167,8 +168,23 @@ dw AS (SELECT doc_id, k, s, array_to_string(w[s:s + k - 1], ' ') AS key
 hit AS (SELECT DISTINCT doc_id, s, dw.k, item_id FROM dw JOIN iw ON dw.k = iw.k AND dw.key = iw.key),
 n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM hit) GROUP BY doc_id),
 it AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids
-       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id)
+       FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS x FROM hit) GROUP BY doc_id),
+iu AS (SELECT item_id, row_number() OVER () AS u, w FROM i WHERE len(w) > 0),
+ip AS (SELECT item_id, u, len(w) AS n, unnest(w) AS term, unnest(range(len(w))) AS p FROM iu),
+dp AS (SELECT doc_id, term, p FROM (SELECT doc_id, unnest(w) AS term, unnest(range(len(w))) AS p FROM d)
+       WHERE term IN (SELECT term FROM ip)),
+c AS (SELECT term, count(*) AS c FROM dp GROUP BY term),
+e AS (SELECT a.item_id, a.u, s, p, term, row_number() OVER (PARTITION BY a.u, s ORDER BY coalesce(c, 0), p) AS r
+      FROM (SELECT item_id, u, unnest(range(greatest(len(w) - 9, 1))) AS s FROM iu) a
+      JOIN ip ON ip.u = a.u AND p BETWEEN s AND s + 9 LEFT JOIN c USING (term)),
+pr AS (SELECT DISTINCT x.item_id, x.term AS t1, y.term AS t2, y.p - x.p AS gap
+       FROM e x JOIN e y ON x.u = y.u AND x.s = y.s AND x.r = 1 AND y.r = 2),
+nr AS (SELECT doc_id, count(*) AS n_near, string_agg(x, ',' ORDER BY x) AS near
+       FROM (SELECT x.doc_id, item_id::VARCHAR AS x FROM pr JOIN dp x ON x.term = t1
+             JOIN dp y ON y.doc_id = x.doc_id AND y.term = t2 AND abs(y.p - x.p - gap) <= {SLOP}
+             EXCEPT SELECT doc_id, item_id::VARCHAR FROM hit) GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
-       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near, 0)::BIGINT AS n_near, coalesce(near, '') AS near_items
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN it ON it.doc_id = d.doc_id LEFT JOIN nr ON nr.doc_id = d.doc_id
 """

@@ -1,13 +1,17 @@
 """Mixing sources to target weights by Poisson replication, in DataFrame operations only.
 
 The mean number of copies of a source's documents is rate = total * weight / documents of the source. Each document
-draws its number of copies by inverting the Poisson distribution of that mean at a hash of (seed, doc_id), so a draw
+draws its number of copies by inverting the Poisson distribution of that mean at a hash of (seed, row name), so a draw
 does not depend on partitions or on other rows. A mean above ``PART`` is split into equal parts, each with a hash of its
-own, and the draws are added (a sum of Poisson variables is one). Copies are shuffled by a hash of (seed, doc_id, copy).
+own, and the draws are added (a sum of Poisson variables is one). Copies are shuffled by a hash of (seed, row name, copy).
+
+A row's name is its doc_id, source and text (hashed) and its number, from 1, among the rows equal in these, so that rows
+with a null or repeated id draw each for itself. Only rows that have equals are numbered, by partitions of the table
+written for it: a partition's own numbers start behind the counts of those before it, so a hot row is many tasks.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, stage, table
@@ -52,20 +56,44 @@ def rates(docs: DataFrame, weights: dict[str, float] | None = None, source_col:
     return stage(out.withColumn("cdf", _distribution(F.col("rate") / F.col("parts"))), "rates")
 
 
+def _name(doc_id: Column, source: Column, text: Column) -> Column:
+    """doc_id, source and text hash as one string; nulls are told apart from empty strings."""
+    return F.concat_ws("|", F.coalesce(doc_id.cast("string"), F.lit("-")), F.coalesce(F.md5(text.cast("binary")), F.lit("-")),
+                       F.coalesce(F.md5(source.cast("string").cast("binary")), F.lit("-")))
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``id``: the row's name and its number among the rows of that name. Rows equal in their names may
+    take the numbers in any order."""
+    repeated = stage(rows.groupBy("name").count().where("count > 1").select("name"), "repeated")
+    if repeated.isEmpty():
+        return rows.withColumn("id", F.concat_ws("|", "name", F.lit("1"))).drop("name")
+    once = rows.join(broadcast_if_small(repeated), "name", "left_anti").withColumn("n", F.lit(1).cast("long"))
+    many = stage(rows.join(broadcast_if_small(repeated), "name", "left_semi").withColumn(
+        "m", F.monotonically_increasing_id()), "many").withColumn("p", F.shiftright("m", 33))
+    sizes = stage(many.groupBy("name", "p").agg(F.count("*").alias("c")), "sizes")  # a row for each name and partition
+    up_to = Window.partitionBy("name").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("name", "p", F.coalesce(F.sum("c").over(up_to), F.lit(0)).alias("before"))
+    own = F.row_number().over(Window.partitionBy("name", "p").orderBy("m"))
+    many = many.withColumn("own", own).join(before, ["name", "p"]).withColumn("n", F.col("before") + F.col("own"))
+    both = once.unionByName(many.select(*once.columns))
+    return both.withColumn("id", F.concat_ws("|", "name", F.col("n").cast("string"))).drop("name", "n")
+
+
 def mix(docs: DataFrame, weights: dict[str, float] | None = None, total: int | None = None, seed: int = SEED,
-        id_col: str = "doc_id", source_col: str = "source") -> DataFrame:
+        id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """All columns of ``docs``, and rate, copies, replica (from 1), shuffle_key: a row for each copy, dealt out and
     ordered by shuffle_key within each partition. Those four replace input columns of the same name.
 
-    Null sources are one source; rows with a null or repeated doc_id draw by that same id. Null texts are copied like any
-    other; an empty table gives an empty result.
+    Null sources are one source. Rows with a null or repeated doc_id, and equal rows, draw each for itself. Null texts are
+    copied like any other; an empty table gives an empty result.
     """
     r = rates(docs, weights, source_col, total)
     own = ["rate", "copies", "replica", "shuffle_key"]
     columns = [c for c in docs.columns if c not in own]
     small = broadcast_if_small(r)
-    row = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col(source_col).alias("s"),
-                      F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"))
+    row = _numbered(docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"), F.col(source_col).alias("s"),
+                                _name(F.col(id_col), F.col(source_col), F.col(text_col)).alias("name")))
     if small is r:  # many sources: a hot one is dealt over SALT partitions
         row = row.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALT)).cast("int"))
         r = r.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1))))
@@ -98,9 +126,10 @@ c AS (SELECT source, 0 AS k, exp(-(rate / parts)) AS p, exp(-(rate / parts)) AS
       UNION ALL
       SELECT c.source, c.k + 1, c.p * (q.rate / q.parts) / (c.k + 1), c.f + c.p * (q.rate / q.parts) / (c.k + 1)
       FROM c JOIN q ON c.source IS NOT DISTINCT FROM q.source WHERE c.k < {ENTRIES}),
-u AS (SELECT d.*, q.rate, q.parts, unnest(range(1, q.parts + 1)) AS j,
-             coalesce(doc_id::VARCHAR, '') AS id
-      FROM documents d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+d AS (SELECT *, concat_ws('|', coalesce(doc_id::VARCHAR, '-'), coalesce(md5(text), '-'), coalesce(md5(source), '-'),
+                        row_number() OVER (PARTITION BY doc_id, source, text)) AS id FROM documents),
+u AS (SELECT d.*, q.rate, q.parts, unnest(range(1, q.parts + 1)) AS j
+      FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
 v AS (SELECT *, ('0x' || substr(md5('{SEED}|' || id || '|' || j), 1, 12))::BIGINT / {float(1 << 48)}::DOUBLE AS u FROM u),
 m AS (SELECT v.doc_id, v.text, v.lang, v.source, v.n_chars, v.rate, v.id, v.j,
              (SELECT count(*) FROM c WHERE c.source IS NOT DISTINCT FROM v.source AND c.f <= v.u) AS x FROM v),

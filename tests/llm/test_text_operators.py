@@ -54,10 +54,16 @@ def test_proximity(spark):
     docs = spark.createDataFrame([(1, "aa bb extra cc dd ee ff gg hh ii jj"), (2, "nothing here")], "doc_id long, text string")
     bench = spark.createDataFrame([(7, "aa bb cc dd ee ff gg hh ii jj")], "item_id long, text string")
     got = {r.doc_id: (r.n_hit, r.near_items) for r in decontaminate.contamination(docs, bench).collect()}
-    assert got[1][0] == 0 and got[2] == (0, [])
+    assert got[1] == (0, ["7"]) and got[2] == (0, [])
 
 
 def test_mixing(spark, edge, empty):
+    texts = dict(edge_rows())
+
+    def name(r):
+        return "|".join([str(r.doc_id), hashlib.md5(texts[r.doc_id].encode()).hexdigest() if texts[r.doc_id] is not None else "-",
+                         hashlib.md5(r.source.encode()).hexdigest(), "1"])
+
     rows = mixing.mix(edge, {"s0": 3.0, "s1": 1.0}, total=4000).collect()
     assert {r.source for r in rows} <= {"s0", "s1"}
     per = {}
@@ -68,7 +74,7 @@ def test_mixing(spark, edge, empty):
         parts = max(1, math.ceil(own[0].rate / 16))
         n = 0
         for j in range(1, parts + 1):  # inverse of the Poisson distribution
-            u = int(hashlib.md5(f"{mixing.SEED}|{i}|{j}".encode()).hexdigest()[:12], 16) / 2.0**48
+            u = int(hashlib.md5(f"{mixing.SEED}|{name(own[0])}|{j}".encode()).hexdigest()[:12], 16) / 2.0**48
             p = f = math.exp(-own[0].rate / parts)
             k = 0
             while f <= u:
@@ -91,6 +97,23 @@ def test_mixing(spark, edge, empty):
         m.broadcast_if_small = old
 
 
+def test_mixing_rows_without_own_ids_draw_each_for_itself(spark):
+    rows = [(None, f"text {k}", "a") for k in range(150)] + [(5, "same", "a")] * 400 + [(k, "", "b") for k in range(100)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+    def drawn(parts):
+        return sorted((r.doc_id or -1, r.text, r.rate, r.replica, r.shuffle_key) for r in mixing.mix(df.repartition(parts), total=600).collect())
+
+    got = drawn(3)
+    assert got == drawn(7)  # whatever the partitions
+    assert len({r[4] for r in got}) == len(got)  # no two copies share a shuffle key
+    n = {s: sum(r[0] in ids for r in got) for s, ids in (("null", {-1}), ("same", {5}))}
+    rate = 300 / 550
+    assert abs(n["null"] - 150 * rate) < 40 and abs(n["same"] - 400 * rate) < 65
+    again = sum(1 for r in got if r[0] == 5 and r[3] == 1)
+    assert abs(again - 400 * (1 - math.exp(-rate))) < 45  # rows drawn at least once
+
+
 def test_language_id(spark, empty):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     train, test = docs.where("doc_id % 2 = 0"), docs.where("doc_id % 2 = 1")
