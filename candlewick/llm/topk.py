@@ -6,6 +6,10 @@ least weight of each term. For a query, a block's bound is the sum over its term
 greatest and times least weight. Blocks are scored in falling order of bounds until a bound falls below the query's k-th
 score so far. Each range gives k rows for a query at most, and the last step ranks those. Queries are a stated set, so
 each range reads them as a stream; documents move once.
+
+Within a range, documents are put into blocks by similarity (halved along the main direction of their spread, again and
+again), so that documents of a cluster share a block and its greatest and least weights are close to each of them.
+Vectors spread evenly in all directions have no such clusters, and their blocks are all scored.
 """
 from __future__ import annotations
 
@@ -19,6 +23,21 @@ from .common import stage, table, workers_ready
 RANGE, BLOCK = 8192, 256
 
 
+def _alike(flat: np.ndarray, rows: np.ndarray) -> list[np.ndarray]:
+    """``rows`` of ``flat`` in blocks of at most ``BLOCK``, halved along the direction in which they spread most."""
+    if len(rows) <= BLOCK:
+        return [rows]
+    x = flat[rows].astype(np.float32)
+    x -= x.mean(axis=0)
+    way = x[np.argmax((x * x).sum(axis=1))]
+    for _ in range(3):
+        way = x.T @ (x @ way)
+        way /= max(np.sqrt(way @ way), 1e-6)
+    order = rows[np.argsort(x @ way, kind="stable")]
+    half = -(-len(rows) // BLOCK // 2) * BLOCK
+    return _alike(flat, order[:half]) + _alike(flat, order[half:])
+
+
 class _Range:
     """Forward indexes and term bounds of a document range."""
 
@@ -27,8 +46,8 @@ class _Range:
         flat = np.zeros((len(vectors), width), np.int64)
         for row, v in zip(flat, vectors):
             row[: len(v)] = v
-        cut = range(0, len(ids), BLOCK)
-        self.ids, self.forward = [ids[s : s + BLOCK] for s in cut], [flat[s : s + BLOCK] for s in cut]
+        blocks = _alike(flat, np.arange(len(ids)))
+        self.ids, self.forward, self.scored = [ids[b] for b in blocks], [flat[b] for b in blocks], 0
         self.high = np.array([f.max(axis=0) for f in self.forward])
         self.low = np.array([f.min(axis=0) for f in self.forward])
 
@@ -40,6 +59,7 @@ class _Range:
         for b in np.argsort(-bound, kind="stable"):
             if len(scores) == k and bound[b] < scores[-1]:
                 break
+            self.scored += 1
             i, s = self.ids[b], self.forward[b][:, :w] @ v
             if len(scores) == k:  # ties go to smaller ids, so equal scores stay
                 keep = s >= scores[-1]
@@ -81,13 +101,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """vectors and queries: vec_id (long), v (array<long>, not null) -> query_id, rank, vec_id, score: the k highest inner
     products of each query over the vectors with another id (fewer if there are fewer), ties to smaller ids.
 
-    Vectors of other lengths score over the components both have. Rows with a null id or an empty vector take no part;
-    equal rows count once. Empty tables give an empty result.
+    Vectors of other lengths score over the components both have, so an empty vector scores 0. Rows with a null id take
+    no part. Each of several equal rows is a candidate; queries that repeat are asked once, and queries that share an id
+    are ranked together. Empty tables give an empty result.
     """
     spark = vectors.sparkSession
     workers_ready(spark)
-    usable = F.col("vec_id").isNotNull() & (F.size("v") > 0)
-    docs = vectors.where(usable).select("vec_id", "v").distinct()
+    usable = F.col("vec_id").isNotNull()
+    docs = vectors.where(usable).select("vec_id", "v")
     docs = stage(docs.repartitionByRange("vec_id").sortWithinPartitions("vec_id").withColumn(
         "m", F.monotonically_increasing_id()), "vectors")
     part, row = F.shiftright("m", 33), F.col("m").bitwiseAND((1 << 33) - 1)
@@ -108,7 +129,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     both = docs.union(asked).repartition("g").sortWithinPartitions("g", "is_query", "vec_id")
     found = both.mapInArrow(_search(k), "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    ranked = found.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
 
 
@@ -128,8 +149,8 @@ def op2(spark, sf_dir) -> DataFrame:
 SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, d.vec_id, list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2]))::BIGINT AS score
-      FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+s AS (SELECT q.vec_id AS query_id, d.vec_id, coalesce(list_sum(list_transform(list_zip(q.v, d.v), lambda p: p[1] * p[2])), 0)::BIGINT AS score
+      FROM (SELECT DISTINCT * FROM v) q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
 r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
       FROM s)
 SELECT * FROM r WHERE rank <= 5

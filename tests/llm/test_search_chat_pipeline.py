@@ -2,6 +2,7 @@ import json
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
 from candlewick.llm import chat_format, topk
@@ -15,7 +16,7 @@ def test_top_k(spark, monkeypatch):
     rows = [(i, [rng.randint(-3, 3) for _ in range(4)]) for i in range(150)] + [(3, [1, 1, 1, 1]), (7, None), (None, [1, 2, 3, 4]), (9, [])]
     rows += rows[:5] + [(500, [2, 2])]
     df = spark.createDataFrame(rows, "vec_id long, v array<long>")
-    use = {(i, tuple(v)) for i, v in rows if i is not None and v}
+    use = [(i, tuple(v)) for i, v in rows if i is not None and v is not None]  # equal rows are candidates each
     got = {}
     for r in topk.top_k(df.where("v is not null"), df.where("v is not null and vec_id % 50 = 0"), 5).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
@@ -26,6 +27,38 @@ def test_top_k(spark, monkeypatch):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_blocks_of_a_cluster_are_skipped():
+    rng = np.random.default_rng(8)
+    middle = rng.normal(0, 100, (40, 32))
+    v = (middle[rng.integers(0, 40, 4000)] + rng.normal(0, 10, (4000, 32))).astype(np.int64)
+    held = topk._Range(np.arange(4000), list(v))
+    assert sorted(np.concatenate(held.ids).tolist()) == list(range(4000)) and max(map(len, held.ids)) <= topk.BLOCK
+    for q in range(0, 4000, 400):
+        ids, scores = held.best(q, v[q], 5)
+        own = v @ v[q]
+        own[q] = -10**9
+        assert ids.tolist() == np.lexsort((np.arange(4000), -own))[:5].tolist() and (own[ids] == scores).all()
+    assert held.scored < 0.7 * 10 * len(held.ids)
+
+
+def test_one_of_each_group_tells_documents_apart_by_id_and_text(spark):
+    rng = random.Random(6)
+
+    def prose():
+        return " ".join(rng.choice("abcdefgh") + str(rng.randrange(50)) for _ in range(40))
+
+    a, b, c, d = (prose() for _ in range(4))
+    rows = [(1, a, "x"), (2, a + " more", "y"), (1, b, "x"), (3, c, "x"), (3, c, "x"), (None, d, "x"), (None, d, "z"), (None, prose(), "x"),
+            (None, a, "x"), (4, None, "x"), (5, "", "x"), (3, prose(), "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = corpus_pipeline.one_of_each_group(spark, df, "")
+    assert got.columns == df.columns
+    got = [(r.doc_id, r.text) for r in got.collect()]
+    want = [(1, a), (1, b), (3, c), (None, d), rows[7][:2], (4, None), (5, ""), rows[11][:2]]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert corpus_pipeline.one_of_each_group(spark, df.limit(0), "").count() == 0
+
+
 def test_quantised(spark):
     rows = [(1, [0.5, -0.001]), (2, [float("nan")]), (3, [float("inf")]), (4, None), (5, [None, 1.0]), (6, [])]
     got = {r.vec_id: r.v for r in topk.quantised(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).collect()}
