@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from candlewick.llm import decontaminate, language_id, line_dedup, mixing, near_dedup
-from candlewick.llm.common import stage, table
+from candlewick.llm.common import broadcast_if_small, stage, table
 
 
 def identified(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,18 +24,43 @@ def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return out.withColumn("n_chars", F.length("text").cast("long")).select(docs.columns)
 
 
+def _row_key(docs: DataFrame):
+    return F.xxhash64(F.col("doc_id").cast("long"), F.length("text"), F.col("text"))
+
+
+def _named(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``node``: the doc_id, or a number of its own (2^62 or more, by a hash of id and text) for a row without
+    an id and for each further text under an id that has several."""
+    key = _row_key(docs).alias("key")
+    several = docs.where("doc_id is not null").select("doc_id", key).groupBy("doc_id").agg(
+        F.min("key").alias("first"), F.max("key").alias("last")).where("first <> last").select("doc_id", "first")
+    several = broadcast_if_small(stage(several, "several"))
+    own = F.col("key").bitwiseAND((1 << 62) - 1).bitwiseOR(F.lit(1 << 62))
+    node = F.when(F.col("key") != F.col("first"), own).otherwise(F.col("doc_id").cast("long"))
+    ided = docs.where("doc_id is not null").withColumn("key", key).join(several, "doc_id", "left").withColumn("node", node)
+    rest = docs.where("doc_id is null").withColumn("key", key).withColumn("node", own)
+    return ided.select(*docs.columns, "node").union(rest.select(*docs.columns, "node"))
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; documents without an id stay."""
-    kept = near_dedup.near_duplicates(docs).where("kept").select("doc_id").distinct()
-    named = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where("doc_id is null")).select(docs.columns)
+    """The document with the smallest id of each group of near duplicates; null and empty texts are groups of their own.
+
+    Documents are told apart by id and text: different texts under one id, and texts without an id, are documents each,
+    and come after all ids. Rows equal in id and text are one document, of which the row stays whose other columns have
+    the smallest hash.
+    """
+    named = _named(docs)
+    kept = near_dedup.near_duplicates(named, id_col="node").where("kept").select(F.col("doc_id").alias("node")).distinct()
+    others = [c for c, kind in docs.dtypes if c not in ("doc_id", "text") and "map<" not in kind]
+    row = F.struct(*[F.col(c) for c in docs.columns])
+    once = named.join(kept, "node", "left_semi").groupBy("node").agg(F.min_by(row, F.xxhash64(*others, F.lit(0))).alias("row"))
+    return once.select("row.*")
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an occurrence of a benchmark window."""
     found = decontaminate.contamination(docs, table(spark, sf_dir, "benchmark")).where("n_hit > 0").select("row_key")
-    key = F.xxhash64(F.col("doc_id").cast("long"), F.length("text"), F.col("text"))
-    return docs.withColumn("row_key", key).join(found, "row_key", "left_anti").select(docs.columns)
+    return docs.withColumn("row_key", _row_key(docs)).join(found, "row_key", "left_anti").select(docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
