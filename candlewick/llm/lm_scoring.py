@@ -9,9 +9,9 @@ Huffman code; each bit of it is one binary decision at a node of the code tree.
 
 The stretched predictions are added with weights that a gate selects (the decision's depth in the code, and whether the
 text has met the node), squashed, and refined by an adaptive map from (gate, prediction) to a corrected probability.
-Weights and map are learnt twice. All training texts together give the start: a Newton step of the weights, then the map
-under them, both from sums in which no predictor counts the text it predicts. From that start they learn online over each
-text, block by block of ``FIRST`` tokens at first and up to ``BLOCK`` later; in a block all decisions see the state before
+Weights and map are learnt twice. All training texts together give the start, a Newton step of the weights and a map, from
+sums of one pass in which no predictor counts the text it predicts; the map is the one under the weights before the step.
+From that start they learn online over each text, block by block of ``FIRST`` tokens at first and up to ``BLOCK`` later; in a block all decisions see the state before
 the block. Every text starts from the same state, so scores do not depend on partitions.
 
 A token outside the codebook costs its escape and its spelling: bits of its bytes and an end mark, predicted under one,
@@ -38,6 +38,8 @@ from .common import stage, table, workers_ready
 CODEBOOK, SLOTS = 1 << 16, 1 << 18
 #: Tokens of a text's first block, and of a block at most.
 FIRST, BLOCK = 16, 512
+#: Tokens whose decisions are worked out at once.
+PIECE = 16 * BLOCK
 #: Counters of a table that travel in one row.
 CHUNK = 1 << 13
 END = b""
@@ -128,6 +130,14 @@ class Code:
         first = np.cumsum(size) - size
         return np.arange(len(of)) - np.repeat(first - self.offset[ids], size), of
 
+    def decided(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray):
+        """(node, bit, depth, slots under the two contexts, end of each token's decisions) of all decisions."""
+        size = self.size[ids]
+        ends = np.cumsum(size)
+        at = np.arange(ends[-1]) + np.repeat(self.offset[ids] - ends + size, size)
+        node = self.nodes[at]
+        return (node, self.bits[at], self.depth[at], slot(np.repeat(one, size), node), slot(np.repeat(two, size), node), ends)
+
 
 def stretch(n1, n0) -> np.ndarray:
     """Logit of the smoothed share of ones; 0 where nothing was counted."""
@@ -226,12 +236,11 @@ def _train_contexts(book, code):
 
 
 def _tally(counters, held, code):
-    one, two = (np.concatenate(x) for x in zip(*map(contexts, held)))
-    at, of = code.spread(np.concatenate(held))
-    node, bit = code.nodes[at], code.bits[at]
-    for table_, context in zip(counters, (one, two)):
-        n = np.bincount(slot(context[of], node) + SLOTS * bit, minlength=2 * SLOTS)
-        table_ += n.reshape(2, SLOTS)
+    ids, one, two = (np.concatenate(x) for x in zip(*((i, *contexts(i)) for i in held)))
+    for s in range(0, len(ids), PIECE):  # small enough for the processor's caches
+        _, bit, _, a, b, _ = code.decided(ids[s : s + PIECE], one[s : s + PIECE], two[s : s + PIECE])
+        for table_, place in zip(counters, (a, b)):
+            np.add.at(table_.reshape(-1), place + SLOTS * bit, 1)
 
 
 def _train_spelling(batches):
@@ -304,37 +313,42 @@ class Mixer:
         self.seen = np.zeros(2 * len(code.st), np.float32)  # zeros met by node, then ones
 
     def _lookup(self, node, one, two):
-        """(stretched predictions of the node alone and under both contexts, prior of ones out of four)"""
+        """(stretched predictions of the node alone and in the slots of both contexts, prior of ones out of four)"""
         x = np.empty((4, len(node)), np.float32)
         x[0] = self.code.st[node]
-        x[1] = self.tables[0][slot(one, node)]
-        x[2] = self.tables[1][slot(two, node)]
+        x[1] = self.tables[0][one]
+        x[2] = self.tables[1][two]
         return x, self.code.prior[node]
 
-    def decisions(self, ids: np.ndarray):
-        """For each block: (stretched predictions, gates, bits). In a block all decisions see the state before it."""
-        code, seen, ones_at = self.code, self.seen, len(self.code.st)
+    def _pieces(self, ids: np.ndarray):
+        """Decisions of several blocks at once: (node, bit, depth, slots, ends of the blocks)"""
         one, two = contexts(ids)
-        ends, touched = _blocks(len(ids)), []
-        for at0 in range(0, len(ends), 16):  # predictors of several blocks at once
-            some = ends[at0 : at0 + 16]
-            s = int(ends[at0 - 1]) if at0 else 0
-            at, of = code.spread(ids[s : some[-1]])
-            node, bit = code.nodes[at], code.bits[at]
-            x, prior = self._lookup(node, one[s:][of], two[s:][of])
-            depth = code.depth[at]
+        ends = _blocks(len(ids))
+        s = 0
+        for k in range(0, len(ends), 16):
+            some = ends[k : k + 16]
+            t = some[-1]
+            *parts, last = self.code.decided(ids[s:t], one[s:t], two[s:t])
+            yield *parts, last[some - s - 1]
+            s = t
+
+    def decisions(self, ids: np.ndarray, pieces=None):
+        """For each block: (stretched predictions, gates, bits). In a block all decisions see the state before it."""
+        seen, ones_at, touched = self.seen, len(self.code.st), []
+        for node, bit, depth, one, two, ends in pieces or self._pieces(ids):
+            x, prior = self._lookup(node, one, two)
+            met = node + ones_at * bit
             a = 0
-            for b in np.searchsorted(of, some - s).tolist():
+            for b in ends.tolist():
                 here, prior_here = node[a:b], prior[a:b]
                 n1, n0 = seen[here + ones_at], seen[here]
                 x[3, a:b] = np.log((n1 + prior_here) / (n0 + (4 - prior_here)))
-                np.add.at(seen, here + ones_at * bit[a:b], np.float32(1))
+                np.add.at(seen, met[a:b], np.float32(1))
                 yield x[:, a:b], depth[a:b] + 16 * (n1 + n0 > 0), bit[a:b]
                 a = b
-            touched.append(node)
-        for node in touched:
-            seen[node] = 0
-            seen[node + ones_at] = 0
+            touched.append(met)
+        for met in touched:
+            seen[met] = 0
 
     def cost(self, ids: np.ndarray) -> float:
         weights, chart = self.start[0].copy(), self.start[1].copy()
@@ -346,19 +360,19 @@ class Mixer:
             p = 1 / (1 + np.exp(-dot))
             cell = _cell(dot, gate)
             bit32 = bit.astype(np.float32)
-            refined = np.clip((3 * p + chart[cell]) / 4, 1e-4, 1 - 1e-4)
+            charted = chart[cell]
+            refined = np.clip((3 * p + charted) / 4, 1e-4, 1 - 1e-4)
             total += float(_cost(refined, bit32).sum(dtype=np.float64))
-            last = x, gate, cell, bit32, bit32 - p
+            last = x, gate, cell, bit32 - p, bit32 - charted
         return total
 
     @staticmethod
-    def _learn(weights, chart, x, gate, cell, bit, err):
+    def _learn(weights, chart, x, gate, cell, err, off):
         pull = RATE / np.sqrt(np.bincount(gate, minlength=GATES) + 1.0)
         for k in range(4):
             weights[:, k] += pull * np.bincount(gate, err * x[k], GATES)
-        hits = np.bincount(cell, minlength=GATES * CELLS)
-        ones = np.bincount(cell, bit, GATES * CELLS)
-        chart += hits / (hits + 1 / MAP_RATE) * (ones / np.maximum(hits, 1) - chart)
+        # each cell moves towards its share of ones: by hits / (hits + 1 / MAP_RATE) of the way
+        chart += np.bincount(cell, off, GATES * CELLS) / (np.bincount(cell, minlength=GATES * CELLS) + 1 / MAP_RATE)
 
 
 class Learner(Mixer):
@@ -367,54 +381,82 @@ class Learner(Mixer):
 
     def __init__(self, code: Code, counts: np.ndarray, start: tuple[np.ndarray, np.ndarray]):
         super().__init__(code, counts, start)
-        self.own = np.zeros((2, 2 * SLOTS), np.float32)
-        self.own_nodes = np.zeros(2 * len(code.st), np.float32)
+        # zeros and ones of a counter lie side by side, as the parts of one complex number
+        self.all = [np.ascontiguousarray(n.T, np.float32).view(np.complex64).ravel() for n in counts]
+        self.all_nodes = (code.n0 + 1j * code.n1).astype(np.complex64)
+        self.own = np.zeros((2, SLOTS), np.complex64)
+        self.own_nodes = np.zeros(len(code.st), np.complex64)
 
     def _lookup(self, node, one, two):
         x = np.empty((4, len(node)), np.float32)
-        own, at = self.own_nodes, len(self.code.st)
-        x[0] = stretch(self.code.n1[node] - own[node + at], self.code.n0[node] - own[node])
-        for k, context in enumerate((one, two)):
-            place = slot(context, node)
-            n, mine = self.tables[k], self.own[k]
-            # never under 0, even where a count is too large to be exact
-            x[k + 1] = stretch(np.maximum(n[1, place] - mine[place + SLOTS], 0), np.maximum(n[0, place] - mine[place], 0))
+        for k, (n, mine, place) in enumerate(((self.all_nodes, self.own_nodes, node), (self.all[0], self.own[0], one),
+                                              (self.all[1], self.own[1], two))):
+            rest = (n[place] - mine[place]).view(np.float32)
+            np.maximum(rest, 0, out=rest)  # never under 0, even where a count is too large to be exact
+            rest += np.float32(0.4)
+            np.log(rest[1::2] / rest[::2], out=x[k])
+        np.clip(x[:3], -_LIMIT, _LIMIT, out=x[:3])
         return x, 4 / (1 + np.exp(-x[0]))
 
     def texts(self, held: list[np.ndarray]):
         """(stretched predictions, gates, bits) of all decisions of each text."""
-        code, at1 = self.code, len(self.code.st)
         for ids in held:
-            one, two = contexts(ids)
-            places = []
-            for s in range(0, len(ids), 16 * BLOCK):
-                at, of = code.spread(ids[s : s + 16 * BLOCK])
-                node, bit = code.nodes[at], code.bits[at]
-                places.append((slot(one[s:][of], node) + SLOTS * bit, slot(two[s:][of], node) + SLOTS * bit, node + at1 * bit))
-                for own, place in zip((*self.own, self.own_nodes), places[-1]):
-                    np.add.at(own, place, np.float32(1))
-            yield from self.decisions(ids)
-            for part in places:
-                for own, place in zip((*self.own, self.own_nodes), part):
+            pieces = list(self._pieces(ids))
+            for node, bit, _, one, two, _ in pieces:
+                part = _ZERO_ONE[bit]
+                for own, place in zip((*self.own, self.own_nodes), (one, two, node)):
+                    np.add.at(own, place, part)
+            yield from self.decisions(ids, pieces)
+            for node, _, _, one, two, _ in pieces:
+                for own, place in zip((*self.own, self.own_nodes), (one, two, node)):
                     own[place] = 0
 
 
+_ZERO_ONE = np.array([1, 1j], np.complex64)
 _PAIRS = [(i, j) for i in range(4) for j in range(i, 4)]
 
 
-def weight_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
-    """By gate: slope (4) and curvature (10) of the cost in the weights."""
+def _slopes(x, gate, bit, dot) -> np.ndarray:
     out = np.zeros((4 + len(_PAIRS), GATES))
-    for x, gate, bit in _joined(learner.texts(held)):
-        p = 1 / (1 + np.exp(-_mixed(x, learner.start[0][gate])))
-        err, bend = bit - p, p * (1 - p)
-        for k in range(4):
-            out[k] += np.bincount(gate, err * x[k], GATES)
-        for k, (i, j) in enumerate(_PAIRS):
-            out[4 + k] += np.bincount(gate, bend * x[i] * x[j], GATES)
+    p = 1 / (1 + np.exp(-dot))
+    err, bend = bit - p, p * (1 - p)
+    for k in range(4):
+        out[k] = np.bincount(gate, err * x[k], GATES)
+    bent = bend * x
+    for k, (i, j) in enumerate(_PAIRS):
+        out[4 + k] = np.bincount(gate, bent[i] * x[j], GATES)
     return out
 
 
+def _hits(x, gate, bit, dot) -> np.ndarray:
+    cell = _cell(dot, gate)
+    return np.stack([np.bincount(cell, minlength=GATES * CELLS), np.bincount(cell, bit, GATES * CELLS)])
+
+
+def _added(learner: Learner, held: list[np.ndarray], *of) -> np.ndarray:
+    """The sums that ``of`` make over all decisions, flat and one after the other."""
+    total = 0
+    for x, gate, bit in _joined(learner.texts(held)):
+        dot = _mixed(x, learner.start[0][gate])
+        total = total + np.concatenate([f(x, gate, bit, dot).ravel() for f in of])
+    return total
+
+
+def weight_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
+    """By gate: slope (4) and curvature (10) of the cost in the weights."""
+    return _added(learner, held, _slopes).reshape(-1, GATES)
+
+
+def map_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
+    """By cell of the map: decisions and ones."""
+    return _added(learner, held, _hits).reshape(2, -1)
+
+
+def both_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
+    """``weight_sums`` and ``map_sums`` of one pass."""
+    return _added(learner, held, _slopes, _hits)
+
+
 def new_weights(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
     """One Newton step of each gate, held back where it has few decisions."""
     out = weights.copy()
@@ -428,14 +470,7 @@ def new_weights(weights: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return out
 
 
-def map_sums(learner: Learner, held: list[np.ndarray]) -> np.ndarray:
-    """By cell of the map: decisions and ones."""
-    out = np.zeros((2, GATES * CELLS))
-    for x, gate, bit in _joined(learner.texts(held)):
-        cell = _cell(_mixed(x, learner.start[0][gate]), gate)
-        out[0] += np.bincount(cell, minlength=GATES * CELLS)
-        out[1] += np.bincount(cell, bit, GATES * CELLS)
-    return out
+_BOTH = (4 + len(_PAIRS) + 2 * CELLS) * GATES
 
 
 def new_map(chart: np.ndarray, sums: np.ndarray) -> np.ndarray:
@@ -487,10 +522,10 @@ def learnt_start(source: DataFrame, book, code, counts) -> tuple[np.ndarray, np.
     """Weights and map at the start of each text, learnt from all training texts. The sums are over texts that each
     start afresh, so the result does not depend on partitions, but for rounding."""
     weights, chart = plain()
-    weights = new_weights(weights, _total(source, _sums(book, code, counts, (weights, chart), weight_sums),
-                                          (4 + len(_PAIRS), GATES)))
-    chart = new_map(chart, _total(source, _sums(book, code, counts, (weights, chart), map_sums), (2, GATES * CELLS)))
-    return weights.astype(np.float32), chart
+    got = _total(source, _sums(book, code, counts, (weights, chart), both_sums), (_BOTH,))
+    slopes, hits = np.split(got, [(4 + len(_PAIRS)) * GATES])
+    weights = new_weights(weights, slopes.reshape(-1, GATES))
+    return weights.astype(np.float32), new_map(chart, hits.reshape(2, -1))
 
 
 def _score(book, code, tables, logs, start):
