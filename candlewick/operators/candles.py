@@ -22,48 +22,51 @@ CANDLE_COLUMNS = [
 ]
 
 
-def _partials(trades: DataFrame, window_seconds: int) -> DataFrame:
-    """Decimal-exact per-window state (sums stay decimal until the end)."""
+def partial_aggs() -> list:
+    """The mergeable state of a window over trades (sums stay decimal until the end), for batch and stream alike."""
     ordk = F.struct("u", "seq")
-    q = dec("quantity")
-    return (
-        trades.withColumn("ws_u", bucket_start_micros("u", window_seconds))
-        .groupBy("symbol", "ws_u")
-        .agg(
-            F.min_by("price", ordk).alias("open_price"),
-            F.max("price").alias("high_price"),
-            F.min("price").alias("low_price"),
-            F.max_by("price", ordk).alias("close_price"),
-            F.sum(q).alias("vol_d"),
-            F.sum((dec("price") * q).cast("decimal(24,6)")).alias("pv_d"),  # F1 trade_value
-            F.count(F.lit(1)).alias("trade_count"),
-            F.sum(F.when(F.col("side") == "BUY", q).otherwise(F.lit(0).cast("decimal(18,6)"))).alias("buy_d"),
-            F.sum(F.when(F.col("side") != "BUY", q).otherwise(F.lit(0).cast("decimal(18,6)"))).alias("sell_d"),
-        )
-    )
+    q, none = dec("quantity"), F.lit(0).cast("decimal(18,6)")
+    return [
+        F.min_by("price", ordk).alias("open_price"), F.max("price").alias("high_price"),
+        F.min("price").alias("low_price"), F.max_by("price", ordk).alias("close_price"),
+        F.sum(q).alias("vol_d"), F.sum((dec("price") * q).cast("decimal(24,6)")).alias("pv_d"),  # F1 trade_value
+        F.count(F.lit(1)).alias("trade_count"),
+        F.sum(F.when(F.col("side") == "BUY", q).otherwise(none)).alias("buy_d"),
+        F.sum(F.when(F.col("side") != "BUY", q).otherwise(none)).alias("sell_d"),
+    ]
 
 
-def _finish(p: DataFrame, window_seconds: int) -> DataFrame:
-    w_us = window_seconds * 1_000_000
+PARTIAL = ["open_price", "high_price", "low_price", "close_price", "vol_d", "pv_d", "trade_count", "buy_d", "sell_d"]
+
+
+def merged_aggs(order: str) -> list:
+    """The state of a window over the states of its parts, which ``order`` puts in time order."""
+    sums = [F.sum(c).alias(c) for c in PARTIAL[4:]]
+    return [F.min_by("open_price", order).alias("open_price"), F.max("high_price").alias("high_price"),
+            F.min("low_price").alias("low_price"), F.max_by("close_price", order).alias("close_price"), *sums]
+
+
+def _partials(trades: DataFrame, window_seconds: int) -> DataFrame:
+    return trades.withColumn("ws_u", bucket_start_micros("u", window_seconds)).groupBy("symbol", "ws_u").agg(*partial_aggs())
+
+
+def finished(p: DataFrame, seconds: int | str) -> DataFrame:
+    """Candles out of states that start at ``ws_u``; ``seconds`` is their size or the column that holds it."""
+    size = F.lit(seconds) if isinstance(seconds, int) else F.col(seconds)
+    vol, pv = F.col("vol_d").cast("double"), F.col("pv_d").cast("double")
     return p.select(
-        "symbol",
-        F.lit(window_seconds).alias("window_seconds"),
-        ntz_from_micros("ws_u").alias("window_start"),
-        ntz_from_micros(F.col("ws_u") + F.lit(w_us)).alias("window_end"),
-        "open_price", "high_price", "low_price", "close_price",
-        F.col("vol_d").cast("double").alias("total_volume"),
-        F.col("pv_d").cast("double").alias("total_value"),
+        "symbol", size.cast("int").alias("window_seconds"), ntz_from_micros("ws_u").alias("window_start"),
+        ntz_from_micros(F.col("ws_u") + size.cast("long") * 1_000_000).alias("window_end"),
+        *PARTIAL[:4], vol.alias("total_volume"), pv.alias("total_value"),
         # VWAP = sum(p*q)/sum(q); NULL for a zero-volume window
-        F.when(F.col("vol_d") != 0, F.col("pv_d").cast("double") / F.col("vol_d").cast("double")).alias("vwap"),
+        F.when(F.col("vol_d") != 0, pv / vol).alias("vwap"),
         F.col("trade_count").cast("long").alias("trade_count"),
-        F.col("buy_d").cast("double").alias("buy_volume"),
-        F.col("sell_d").cast("double").alias("sell_volume"),
-    )
+        F.col("buy_d").cast("double").alias("buy_volume"), F.col("sell_d").cast("double").alias("sell_volume"))
 
 
 def ohlcv(trades: DataFrame, window_seconds: int = 60) -> DataFrame:
     """A1-A3: one candle per (symbol, epoch-aligned window) directly from trades."""
-    return _finish(_partials(trades, window_seconds), window_seconds)
+    return finished(_partials(trades, window_seconds), window_seconds)
 
 
 def _rollup(one_min: DataFrame, window_seconds: int) -> DataFrame:
@@ -74,17 +77,7 @@ def _rollup(one_min: DataFrame, window_seconds: int) -> DataFrame:
     return (
         one_min.withColumn("ws_big", F.expr(f"ws_u div {w_us}") * F.lit(w_us))
         .groupBy("symbol", "ws_big")
-        .agg(
-            F.min_by("open_price", "ws_u").alias("open_price"),
-            F.max("high_price").alias("high_price"),
-            F.min("low_price").alias("low_price"),
-            F.max_by("close_price", "ws_u").alias("close_price"),
-            F.sum("vol_d").alias("vol_d"),
-            F.sum("pv_d").alias("pv_d"),
-            F.sum("trade_count").alias("trade_count"),
-            F.sum("buy_d").alias("buy_d"),
-            F.sum("sell_d").alias("sell_d"),
-        )
+        .agg(*merged_aggs("ws_u"))
         .withColumnRenamed("ws_big", "ws_u")
     )
 
@@ -96,7 +89,7 @@ def ohlcv_all(trades: DataFrame, windows: tuple[int, ...] = WINDOWS) -> DataFram
     parts = []
     for w in windows:
         p = one if w == 60 else _rollup(one, w)
-        parts.append(_finish(p, w))
+        parts.append(finished(p, w))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from candlewick.functions.numeric import dec
-from candlewick.functions.timecols import epoch_micros, ntz_from_micros
-from candlewick.operators import alerts, detect
+from candlewick.functions.timecols import epoch_micros
+from candlewick.operators import alerts, candles, detect
 from candlewick.session import materialize, ship_package
 from candlewick.sinks.unique import UniqueTable
 from candlewick.sinks.versions import State, VersionedTable
@@ -68,43 +68,27 @@ def _run(writer, checkpoint: str, trigger: dict) -> StreamingQuery:
     return writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
 
-def _candle_aggs():
-    q = dec("quantity")
-    zero = F.lit(0).cast("decimal(18,6)")
-    return [
-        F.min_by("price", F.struct("u", "seq")).alias("open_price"), F.max("price").alias("high_price"),
-        F.min("price").alias("low_price"), F.max_by("price", F.struct("u", "seq")).alias("close_price"),
-        F.sum(q).alias("vol_d"), F.sum((dec("price") * q).cast("decimal(24,6)")).alias("pv_d"),
-        F.count(F.lit(1)).alias("trade_count"),
-        F.sum(F.when(F.col("side") == "BUY", q).otherwise(zero)).alias("buy_d"),
-        F.sum(F.when(F.col("side") != "BUY", q).otherwise(zero)).alias("sell_d"),
-    ]
-
-
-def _candle_out(df: DataFrame, wsec: F.Column, ws_u: F.Column) -> DataFrame:
-    return df.select(
-        "symbol", wsec.cast("int").alias("window_seconds"), ntz_from_micros(ws_u).alias("window_start"),
-        ntz_from_micros(ws_u + wsec.cast("long") * 1_000_000).alias("window_end"),
-        "open_price", "high_price", "low_price", "close_price",
-        F.col("vol_d").cast("double").alias("total_volume"), F.col("pv_d").cast("double").alias("total_value"),
-        F.when(F.col("vol_d") != 0, F.col("pv_d").cast("double") / F.col("vol_d").cast("double")).alias("vwap"),
-        F.col("trade_count").cast("long").alias("trade_count"),
-        F.col("buy_d").cast("double").alias("buy_volume"), F.col("sell_d").cast("double").alias("sell_volume"))
-
-
-def candles_append(trades: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Event-time tumbling candles of every size, emitted once when the
-    watermark passes the window end (append). Later rows are dropped and
-    counted in ``numRowsDroppedByWatermark``."""
+def candles_append(trades: DataFrame, delay: str = DEFAULT_DELAY, windows: Sequence[int] = WINDOWS) -> DataFrame:
+    """X1-X3 + U2: event-time tumbling candles of every size, each emitted once, in the micro-batch whose watermark passes
+    its end (append).
+
+    Trades are aggregated once, to minutes. A closed minute goes to its window of each size, named by that window's
+    ``window_time``, and a second aggregate merges them under the same watermark: a one-minute window passes through at once,
+    larger ones wait for their end. State is open minutes and open larger windows, not trades. A trade that comes after its
+    minute was emitted is dropped and counted in ``numRowsDroppedByWatermark``, so that a candle is always the sum of its
+    minutes."""
+    if any(w % 60 for w in windows):
+        raise ValueError("candle sizes must be multiples of a minute")
     t = with_event_time(trades).withWatermark("et", delay)
-    parts = []
-    for w in WINDOWS:
-        g = t.groupBy(F.window("et", f"{w} seconds").alias("w"), "symbol").agg(*_candle_aggs())
-        parts.append(_candle_out(g, F.lit(w), F.unix_micros(F.col("w.start"))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    one = t.groupBy(F.window("et", "60 seconds").alias("w"), "symbol").agg(*candles.partial_aggs())
+    one = one.withColumn("minute", F.window_time("w"))
+    for w in windows:
+        one = one.withColumn("w", F.window("minute", f"{w} seconds")).withColumn(f"t{w}", F.window_time("w"))
+    of = F.array(*[F.struct(F.lit(w).alias("wsec"), F.col(f"t{w}").alias("last")) for w in windows])
+    g = one.select("symbol", "minute", *candles.PARTIAL, F.inline(of)).groupBy("last", "symbol", "wsec").agg(
+        *candles.merged_aggs("minute"))
+    start = F.unix_micros("last") + 1 - F.col("wsec").cast("long") * 1_000_000
+    return candles.finished(g.withColumn("ws_u", start), "wsec")
 
 
 def candles_update(trades: DataFrame, lateness_s: int = 10) -> DataFrame:
@@ -116,8 +100,8 @@ def candles_update(trades: DataFrame, lateness_s: int = 10) -> DataFrame:
     t = trades.withColumn("wsec", F.explode(sizes))
     t = t.withColumn("ws_u", F.expr("(u div (wsec * 1000000)) * wsec * 1000000"))
     t = t.withColumn("ws_et", F.timestamp_micros("ws_u")).withWatermark("ws_et", f"{max(WINDOWS) + lateness_s} seconds")
-    g = t.groupBy("symbol", "wsec", "ws_et", "ws_u").agg(*_candle_aggs())
-    return _candle_out(g, F.col("wsec"), F.col("ws_u")).withColumn(
+    g = t.groupBy("symbol", "wsec", "ws_et", "ws_u").agg(*candles.partial_aggs())
+    return candles.finished(g, "wsec").withColumn(
         "window_date", F.to_date(F.col("window_start")))
 
 

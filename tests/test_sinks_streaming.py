@@ -2,7 +2,7 @@ import os
 import tempfile
 import time
 
-from builders import trades
+from builders import BASE_US, trades
 from pyspark.sql import functions as F
 
 from candlewick.operators import candles, detect
@@ -76,13 +76,42 @@ def test_late_rows_dropped_and_counted(spark):
     dropped = sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
     assert dropped >= 1
     got = spark.read.parquet(os.path.join(root, "out"))
-    # Spark drops a late row when its window ended at or before the previous
-    # batch's watermark (10:04:40 here): the 1-minute window [10:00, 10:01)
-    # never absorbs it; the 5-minute window [10:00, 10:05) still may
-    assert got.filter((F.col("high_price") == 999) & (F.col("window_seconds") == 60)).count() == 0
+    # Spark drops a late row when its minute ended at or before the previous batch's watermark (10:04:40 here); what the
+    # minute does not hold, no larger window holds
+    assert got.filter(F.col("high_price") == 999).count() == 0
     assert got.filter(F.col("window_seconds") == 60).count() == 9  # 10:00 .. 10:08 closed
 
 
+def test_chained_windows_close_without_a_trade_in_their_last_minute(spark):
+    """The larger windows hang on the minutes, but close by the watermark: [10:00, 10:05) ends without a trade since 10:02,
+    and its candle comes in the same micro-batch as that of a symbol that traded to the end."""
+    root = _tmp()
+    src = os.path.join(root, "in")
+    schema = trades(spark, []).schema
+    for rows in ([("GAP", 10, 2, "BUY", 1), ("GAP", 12, 1, "SELL", 119), ("FULL", 5, 1, "BUY", 30)],
+                 [("FULL", 7, 1, "SELL", 295), ("FULL", 6, 0, "BUY", 299), ("ZERO", 1, 0, "BUY", 250), ("TICK", 1, 1, "BUY", 310)],
+                 [("TICK", 2, 1, "BUY", 609.999999), ("FULL", 9, 1, "BUY", 600)]):
+        trades(spark, rows).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    out, ck = os.path.join(root, "out"), os.path.join(root, "ck")
+    q = jobs.run_candles(jobs.file_source(spark, src, schema), out, ck, {"availableNow": True})
+    q.awaitTermination()
+    # one aggregate over the trades, one over its minutes
+    assert [op["operatorName"] for op in q.lastProgress["stateOperators"]] == ["stateStoreSave"] * 2
+    read = [op["numRowsTotal"] for op in q.lastProgress["stateOperators"]]
+    assert sum(read) <= 10  # open windows only
+    all_trades = spark.read.parquet(src)
+    end = F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), "window_end")
+    limit = (BASE_US + 609_999_999 - 10_000_000) // 1000 * 1000  # a watermark counts milliseconds
+    want = candles.ohlcv_all(all_trades).filter(end <= limit)
+    got = spark.read.parquet(out)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    five = {r.symbol: r for r in got.filter("window_seconds = 300").collect()}
+    assert set(five) == {"GAP", "FULL", "ZERO"} and five["GAP"].trade_count == 2 and five["ZERO"].vwap is None
+    assert (five["FULL"].open_price, five["FULL"].close_price, five["FULL"].trade_count) == (5, 6, 3)
+    assert got.filter("window_seconds = 900").count() == 0
+
+
 def test_detector_and_engine_streams_equal_batch(spark):
     from paths import SF
     from candlewick.sources.fixtures import trades_from_events
