@@ -458,3 +458,16 @@ SELECT reason, count(*) AS messages FROM (
   SELECT {_FAULT} AS reason FROM trades
   UNION ALL SELECT {_FAULT} FROM trades WHERE seq % 23 = 0) WHERE reason IS NOT NULL GROUP BY reason""",
 })
+
+
+_ALERT_FAULT = "CASE seq % 101 WHEN 7 THEN 'missing_key' WHEN 17 THEN 'missing_key' WHEN 37 THEN 'bad_severity' WHEN 47 THEN 'too_long' END"
+ORACLE.update({
+    "stream_envelopes": ORACLE["channel_envelopes"],
+    "alert_quarantine": _with(ROLLING, RAW_ALERTS) + f"""
+SELECT alert_id AS sent_id, {_ALERT_FAULT} AS reason FROM raw_alerts WHERE {_ALERT_FAULT} IS NOT NULL""",
+    "alerts_accepted": _with(ROLLING, RAW_ALERTS) + f"""
+SELECT alert_id, alert_type, severity, symbol, message, triggered_at, u FROM raw_alerts WHERE {_ALERT_FAULT} IS NULL""",
+    "retained_trades_table": _with() + f"""
+, moved AS (SELECT trade_id, symbol, price, quantity, side, ts - to_days(CAST(seq % 10 AS INTEGER)) AS ts, seq FROM trades)
+SELECT * FROM moved WHERE ts >= (SELECT max(ts) FROM moved) - to_days({Q.SQ.RETAINED_S // 86_400})""",
+})

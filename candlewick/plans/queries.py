@@ -87,11 +87,12 @@ def _candle_messages(i: Inputs) -> DataFrame:
                     g("vwap", "double").alias("vwap"), g("trades", "long").alias("trades"))
 
 
+def _alert_topic(i: Inputs) -> DataFrame:
+    return decode.decode_alerts(decode.fixture_alert_messages(detect.with_message(i.raw_alerts_m)))
+
+
 def _envelopes(i: Inputs) -> DataFrame:
-    e = messages.channel_envelopes(detect.with_message(i.final_alerts), i.candles)
-    g = lambda f: F.get_json_object("value", f"$.{f}")
-    item = F.coalesce(g("data.alert_id"), F.concat(g("data.window_sec"), F.lit("@"), g("data.window_start")))
-    return e.select(g("type").alias("type"), "key", g("data.symbol").alias("data_symbol"), item.alias("item"))
+    return messages.envelope_items(messages.channel_envelopes(detect.with_message(i.final_alerts), i.candles))
 
 
 def _export_csv(i: Inputs) -> DataFrame:
@@ -146,6 +147,7 @@ QUERIES: dict[str, Query] = {
     "trade_history_far": _q(lambda i: views.trade_history(i.trades, symbol="sym3", limit=50, offset=400)),
     "trade_counts": _q(_counts),
     "active_views": _q(lambda i: views.active_views(i.trades, VIEW_TTL_S, COUNTER_TTL_S)),
+    "retained_trades_table": _q(SQ.retained_trades_table),
     "retained_trades": _q(lambda i: views.retained_trades(i.trades, retention_s=RETENTION_S)),
     "rolling_stats": _q(lambda i: detect.rolling_stats(i.trades)),
     "alerts_raw": _q(lambda i: detect.with_message(i.raw_alerts)),
@@ -187,6 +189,10 @@ QUERIES: dict[str, Query] = {
     "alert_messages": _q(_alert_messages),
     "candle_messages": _q(_candle_messages),
     "channel_envelopes": _q(_envelopes),
+    "stream_envelopes": _q(SQ.stream_envelopes),
+    "alert_quarantine": _q(lambda i: decode.quarantine(_alert_topic(i)).select("sent_id", "reason")),
+    "alerts_accepted": _q(lambda i: _alert_topic(i).where("reason is null").select(
+        "alert_id", "alert_type", "severity", "symbol", "message", "triggered_at", "u")),
     "export_csv": _q(_export_csv),
     "stream_candles": _q(SQ.stream_candles),
     "stream_candles_upsert": _q(SQ.stream_candles_upsert),

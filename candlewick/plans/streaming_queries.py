@@ -8,13 +8,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlewick.plans.context import Inputs
-from candlewick.session import scratch_path
+from candlewick.operators import detect
+from candlewick.session import materialize, scratch_path
+from candlewick.sinks import messages, retention
 from candlewick.sinks.versions import VersionedTable
 from candlewick.sources.decode import fixture_messages
 from candlewick.streaming import jobs
 from candlewick.streaming.staging import stage_in_time_order, subdir
 
 NOW = {"availableNow": True}
+TOPICS = {"alerts": messages.ALERT_CHANNEL, "aggregates": messages.AGGREGATE_CHANNEL}
+RETAINED_S = 5 * 86_400
 SLICES = 4
 
 
@@ -118,3 +122,31 @@ def stream_trades_sink(i: Inputs) -> DataFrame:
     t = jobs.read_trades(i.spark, _trades_sink(i, scratch_path(i.spark, "stream-trades-sink")))
     return t.select("trade_id", "symbol", "price", "quantity", F.col("trade_value").cast("double").alias("trade_value"),
                     "side", "exchange", "trader_id", "ts", "seq", "latency_us")
+
+
+def stream_envelopes(i: Inputs) -> DataFrame:
+    """S3: both topics as one stream of messages, every 17th of them followed by a cut copy of itself, which is skipped."""
+    root = scratch_path(i.spark, "stream-envelopes")
+    of = [("alerts", messages.alert_messages(detect.with_message(i.final_alerts))), ("aggregates", messages.candle_messages(i.candles))]
+    a, c = (m.select(F.lit(topic).alias("topic"), "key", "value") for topic, m in of)
+    sent = materialize(a.unionByName(c).withColumn("u", F.pmod(F.xxhash64("key", "value"), F.lit(1 << 40))), "messages")
+    cut = sent.where("u % 17 = 0").withColumn("value", F.expr("substring(value, 1, length(value) - 2)"))
+    stray = sent.where("u % 23 = 0").withColumn("topic", F.lit("raw-trades"))  # a topic without a channel
+    stream = _stream(i, sent.unionByName(cut).unionByName(stray), root)
+    jobs.run_envelopes(stream, TOPICS, subdir(root, "out"), subdir(root, "ck"), NOW).awaitTermination()
+    return messages.envelope_items(i.spark.read.parquet(subdir(root, "out")))
+
+
+def retained_trades_table(i: Inputs) -> DataFrame:
+    """X14 on a table of days. The trades lie within one day, so their days are spread: a trade is moved back by as many
+    days as its sequence number modulo 10."""
+    root = scratch_path(i.spark, "retained")
+    back = F.make_dt_interval(F.col("seq") % 10)
+    t = i.trades.withColumn("ts", F.col("ts") - back).withColumn("trade_date", F.to_date("ts"))
+    t.select("trade_id", "symbol", "price", "quantity", "side", "ts", "seq", "trade_date").write.partitionBy("trade_date").parquet(subdir(root, "trades"))
+    table = i.spark.read.parquet(subdir(root, "trades"))
+    ref_u = retention.newest(table, "trade_date", "ts")
+    if ref_u is not None:
+        retention.drop_expired(i.spark, subdir(root, "trades"), "trade_date", ref_u, RETAINED_S)
+        table = retention.retained(i.spark.read.parquet(subdir(root, "trades")), "trade_date", "ts", ref_u, RETAINED_S)
+    return table.drop("trade_date")

@@ -54,6 +54,23 @@ def candle_messages(candles: DataFrame) -> DataFrame:
                                             .alias("value"))
 
 
+def is_json(value: F.Column | str) -> F.Column:
+    """Whether a text is one JSON value and nothing more. Put into an array it must be its only element, and put into an
+    object one of two; a text that closes the one early breaks the other."""
+    v = F.col(value) if isinstance(value, str) else value
+    alone = F.json_array_length(F.concat(F.lit("["), v, F.lit("]"))) == 1
+    inside = F.json_object_keys(F.concat(F.lit('{"a":'), v, F.lit(',"b":0}'))) == F.array(F.lit("a"), F.lit("b"))
+    return F.coalesce(alone & inside, F.lit(False))
+
+
+def envelopes(messages: DataFrame, channels: dict[str, str]) -> DataFrame:
+    """S3 from the topics' messages (topic, key, value), batch or stream: {type: channel, data: the message's JSON as it
+    came}. Topics without a channel and messages that are not JSON are skipped."""
+    channel = F.create_map(*[F.lit(x) for kv in channels.items() for x in kv])[F.col("topic")]
+    ok = messages.withColumn("__channel", channel).where(F.col("__channel").isNotNull() & is_json("value"))
+    return ok.select("key", F.concat(F.lit('{"type":"'), F.col("__channel"), F.lit('","data":'), F.col("value"), F.lit("}")).alias("value"))
+
+
 def channel_envelopes(alerts: DataFrame, candles: DataFrame) -> DataFrame:
     """S3: the push feed {type: channel, data: payload} for both topics."""
     a = alerts.select(F.col("symbol").alias("key"), F.to_json(F.struct(
@@ -62,3 +79,10 @@ def channel_envelopes(alerts: DataFrame, candles: DataFrame) -> DataFrame:
     c = fc.select(F.col("symbol").alias("key"), F.to_json(F.struct(
         F.lit(AGGREGATE_CHANNEL).alias("type"), candle_body(fc).alias("data"))).alias("value"))
     return a.unionByName(c)
+
+
+def envelope_items(envelopes: DataFrame) -> DataFrame:
+    """type, key, symbol and item of each envelope: the alert's id, or the candle's size and start."""
+    g = lambda f: F.get_json_object("value", f"$.{f}")
+    item = F.coalesce(g("data.alert_id"), F.concat(g("data.window_sec"), F.lit("@"), g("data.window_start")))
+    return envelopes.select(g("type").alias("type"), "key", g("data.symbol").alias("data_symbol"), item.alias("item"))

@@ -39,7 +39,12 @@ ALERT_WIRE = T.StructType([
     T.StructField("triggered_at", T.StringType()),
 ])
 
-REASONS = ["malformed", "missing_key", "extra_key", "bad_type", "bad_side"]
+SEVERITIES = ["LOW", "MEDIUM", "HIGH", "CRITICAL"]
+REASONS = ["malformed", "missing_key", "extra_key", "bad_type", "bad_side", "too_long", "out_of_range"]
+# Text lengths of the tables, and the whole digits of their amounts (18 and 24 digits, six after the point)
+TRADE_LENGTHS = {"symbol": 20, "exchange": 20, "trader_id": 50}
+ALERT_LENGTHS = {"alert_type": 50, "symbol": 20}
+AMOUNT_DIGITS, VALUE_DIGITS = 12, 18
 
 
 def iso_utc(ts_ntz: F.Column) -> F.Column:
@@ -47,6 +52,18 @@ def iso_utc(ts_ntz: F.Column) -> F.Column:
     return F.concat(F.date_format(ts_ntz, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
 
 
+def _too_long(limits: dict[str, int], of) -> F.Column:
+    out = F.lit(False)
+    for name, n in limits.items():
+        out = out | F.coalesce(F.length(of(name)) > n, F.lit(False))
+    return out
+
+
+def _fits(x: F.Column, digits: int) -> F.Column:
+    """Whether a double goes into that many whole digits; NaN and infinities do not."""
+    return F.abs(x) < 10.0 ** digits
+
+
 def _micros_of_iso(s: F.Column) -> F.Column:
     """Epoch microseconds of ISO text (offset honoured; NULL if unparsable)."""
     return F.unix_micros(F.try_to_timestamp(s))
@@ -55,6 +72,8 @@ def _micros_of_iso(s: F.Column) -> F.Column:
 def decode_trades(raw: DataFrame, value: str = "value") -> DataFrame:
     """S4 + F6: returns the input with ``reason`` (NULL = valid) and, for
     valid rows, the decoded trade columns (``u`` epoch micros, ``ts``).
+    Amounts that the tables' decimals cannot hold, or texts that their columns
+    cannot, are a reason like any other, so no later cast overflows.
 
     The decoded record comes out of a one-row ``inline`` generator: filters on
     ``reason`` then stay above it instead of being pushed into the scan with
@@ -73,7 +92,10 @@ def decode_trades(raw: DataFrame, value: str = "value") -> DataFrame:
               .when(F.size(F.array_except(expected, keys)) > 0, "missing_key")
               .when(F.size(F.array_except(keys, expected)) > 0, "extra_key")
               .when(any_null | u.isNull(), "bad_type")
-              .when(~p["side"].isin(SIDES), "bad_side"))
+              .when(~p["side"].isin(SIDES), "bad_side")
+              .when(_too_long(TRADE_LENGTHS, lambda c: p[c]), "too_long")
+              .when(~(_fits(p["price"], AMOUNT_DIGITS) & _fits(p["quantity"], AMOUNT_DIGITS)
+                      & _fits(p["price"] * p["quantity"], VALUE_DIGITS)), "out_of_range"))
     rec = F.struct(
         reason.alias("reason"), p["trade_id"].alias("trade_id"), p["symbol"].alias("symbol"),
         p["price"].alias("price"), p["quantity"].alias("quantity"), p["side"].alias("side"),
@@ -102,9 +124,16 @@ def dedup_trades(trades: DataFrame) -> DataFrame:
     return g.select("trade_id", "r.*")
 
 
+def _alert_reason(complete: F.Column) -> F.Column:
+    p = F.col("__p")
+    return (F.when(~complete, "missing_key").when(~p["severity"].isin(SEVERITIES), "bad_severity")
+            .when(_too_long(ALERT_LENGTHS, lambda c: p[c]), "too_long"))
+
+
 def decode_alerts(raw: DataFrame, value: str = "value") -> DataFrame:
-    """Lenient alert decode; ``reason`` is ``missing_key`` when a required
-    key is absent or the message is not a JSON object."""
+    """S5 + F6: lenient alert decode; ``reason`` is ``missing_key`` when a required
+    key is absent or the message is not a JSON object, ``bad_severity`` or
+    ``too_long`` when the alert table does not take the row."""
     p = F.from_json(F.col(value), ALERT_WIRE)
     ok = F.lit(True)
     for r in ALERT_REQUIRED:
@@ -112,7 +141,7 @@ def decode_alerts(raw: DataFrame, value: str = "value") -> DataFrame:
     d = raw.withColumn("__p", p)
     u = _micros_of_iso(F.col("__p.triggered_at"))
     return d.select(
-        *raw.columns, F.when(~F.coalesce(ok, F.lit(False)), F.lit("missing_key")).alias("reason"),
+        *raw.columns, _alert_reason(F.coalesce(ok, F.lit(False))).alias("reason"),
         *[F.col(f"__p.{r}").alias(r) for r in ALERT_REQUIRED if r != "triggered_at"],
         ntz_from_micros(u).alias("triggered_at"), u.alias("u"),
         F.coalesce(F.col("__p.details"), F.struct(*[F.lit(None).cast("double").alias(f.name)
@@ -160,3 +189,21 @@ def fixture_messages(trades: DataFrame) -> DataFrame:
                                                value.alias("value"), F.col("seq").alias("__seq"))
     dup = m.filter(F.col("__seq") % DUPLICATE_MOD == 0).withColumn("offset", F.col("offset") + DUPLICATE_OFFSET)
     return m.unionByName(dup).drop("__seq")
+
+
+def fixture_alert_messages(alerts: DataFrame) -> DataFrame:
+    """The alert topic as (offset, key, value), each alert's trade number being its offset, with defects mixed in by the
+    rule of ``fixture_messages``: a cut message, a missing key, an extra key (which is no defect here), a severity and a
+    symbol that the alert table does not take."""
+    iso = iso_utc(F.col("triggered_at")).alias("triggered_at")
+    js = lambda *cols: F.to_json(F.struct(*cols, iso))
+    head, mid, tail = ["alert_id", "alert_type"], F.col("severity"), ["symbol", "message"]
+    good = js(*head, mid, *tail)
+    n = F.col("seq") % FAULT_MOD
+    value = (F.when(n == 7, F.expr("substring(__g, 1, length(__g) - 5)"))
+             .when(n == 17, js(*head, mid, "message")).when(n == 27, js(*head, mid, *tail, F.lit(1).alias("extra")))
+             .when(n == 37, js(*head, F.lit("SEVERE").alias("severity"), *tail))
+             .when(n == 47, js(*head, mid, F.repeat(F.col("symbol"), F.lit(11)).alias("symbol"), "message"))
+             .otherwise(good))
+    return alerts.withColumn("__g", good).select(F.col("seq").alias("offset"), F.col("symbol").alias("key"), value.alias("value"),
+                                                 F.col("alert_id").alias("sent_id"))

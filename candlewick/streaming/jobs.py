@@ -21,6 +21,7 @@ from candlewick.functions.numeric import dec
 from candlewick.functions.timecols import epoch_micros
 from candlewick.operators import alerts, candles, detect
 from candlewick.session import materialize, ship_package
+from candlewick.sinks.messages import envelopes
 from candlewick.sinks.unique import UniqueTable
 from candlewick.sinks.versions import State, VersionedTable
 from candlewick.sources.decode import decode_trades
@@ -305,6 +306,13 @@ def read_trades(spark: SparkSession, table: str) -> DataFrame:
     return UniqueTable(spark, table, "trade_id", "trade_date").read()
 
 
+def run_envelopes(messages: DataFrame, channels: dict[str, str], out: str, checkpoint: str,
+                  trigger: dict | None = None) -> StreamingQuery:
+    """S3: the topics' messages (topic, key, value) as push-feed envelopes, each once, as files under ``out``."""
+    w = envelopes(messages, channels).writeStream.outputMode("append").format("parquet").option("path", out)
+    return _run(w, checkpoint, trigger or {"processingTime": "1 second"})
+
+
 def progress_gauges(query: StreamingQuery) -> dict:
     """A13 gauges of a running job from its last ``StreamingQueryProgress``:
     input/processing rates, state rows, rows dropped as late, and the source

@@ -58,3 +58,35 @@ def test_fixture_stream_faults(spark):
     assert set(reasons) == {None, "malformed", "missing_key", "extra_key", "bad_type", "bad_side"}
     clean = decode.dedup_trades(decode.valid_trades(m))
     assert clean.count() == reasons[None] - m.filter("reason is null and offset >= 1000000000000").count()
+
+
+def test_rows_the_tables_cannot_hold(spark):
+    cases = [(dict(price=999999999999.9), None), (dict(price=1e12), "out_of_range"), (dict(quantity=-1e12), "out_of_range"),
+             (dict(price=1e10, quantity=1e9), "out_of_range"), (dict(symbol="S" * 20), None), (dict(symbol="S" * 21), "too_long"),
+             (dict(exchange="E" * 21), "too_long"), (dict(trader_id="t" * 51), "too_long"), (dict(trader_id="t" * 50), None),
+             (dict(price=float("nan")), "malformed"), (dict(quantity=float("inf")), "malformed"),  # not JSON
+             (dict(side="HOLD", price=1e30), "bad_side")]
+    rows = _decode(spark, [json.dumps(dict(GOOD, **c)) for c, _ in cases])
+    assert [rows[i].reason for i in range(len(cases))] == [r for _, r in cases]
+
+
+def test_alerts_the_table_does_not_take(spark):
+    base = {"alert_id": "a", "alert_type": "PRICE_SPIKE", "severity": "HIGH", "symbol": "AAPL", "message": "m",
+            "triggered_at": "2024-01-01T10:00:00+00:00"}
+    cases = [({}, None), (dict(severity="LOW"), None), (dict(severity="high"), "bad_severity"), (dict(severity=""), "bad_severity"),
+             (dict(severity=None), "missing_key"), (dict(symbol="S" * 21), "too_long"), (dict(alert_type="T" * 51), "too_long"),
+             (dict(message="m" * 5000), None)]
+    raw = spark.createDataFrame([(i, json.dumps(dict(base, **c))) for i, (c, _) in enumerate(cases)], "offset long, value string")
+    got = {r.offset: r.reason for r in decode.decode_alerts(raw).collect()}
+    assert [got[i] for i in range(len(cases))] == [r for _, r in cases]
+
+
+def test_envelopes_skip_what_is_not_json(spark):
+    from candlewick.sinks.messages import envelopes
+    good = ['{"a":1}', "1", "null", '"x"', ' {"a": [1, 2]} ', "[]", '{"a":{"b":"}]"}}']
+    bad = ["", "[1", "{}{}", "{}x", '{"a":1} x', '{"a":1},2', "1],[2", '{"a":1}]', '1,"b":0} {"c":1', '1,"b":0', "nope", None]
+    rows = [("alerts", str(i), v) for i, v in enumerate(good + bad)] + [("other", "o", "1")]
+    m = spark.createDataFrame(rows, "topic string, key string, value string")
+    got = {int(r.key): json.loads(r.value) for r in envelopes(m, {"alerts": "feed"}).collect()}
+    assert got == {i: {"type": "feed", "data": json.loads(v)} for i, v in enumerate(good)}
+    assert envelopes(m.limit(0), {"alerts": "feed"}).count() == 0
