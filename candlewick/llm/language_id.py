@@ -21,6 +21,8 @@ from .common import broadcast_if_small, stage, table, workers_ready
 
 #: Expected rows of each language that the text model is fitted on.
 SAMPLE = 1500
+#: Tasks that tally the sample.
+TASKS = 16
 BUCKETS = 1 << 15
 UNKNOWN = "und"
 #: Trigrams are not independent: a text weighs as this many of them at most.
@@ -62,7 +64,9 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                          F.col(text_col).cast("binary").alias("bin"))
     chosen = chosen.join(small, "lang").where(F.pmod("h", F.lit(1 << 20)) < F.col("share"))
     total: dict[str, np.ndarray] = {}
-    for r in chosen.select("lang", "bin").mapInArrow(_tally, "lang string, counts binary").toLocalIterator():
+    # the sample alone is shuffled, so that what the driver gets is TASKS rows a language at most, at any size of the input
+    dealt = chosen.select("lang", "bin").repartition(TASKS)
+    for r in dealt.mapInArrow(_tally, "lang string, counts binary").collect():
         c = np.frombuffer(r.counts, np.int64)
         total[r.lang] = total.get(r.lang, 0) + c
     langs = sorted(total)
