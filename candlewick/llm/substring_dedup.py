@@ -172,31 +172,24 @@ def repeated(texts: list[bytes], starts: list[int]) -> list[np.ndarray]:
     return [mark[b : b + s] for b, s in zip(base, starts)]
 
 
-def _spans(mark: np.ndarray) -> list[tuple[int, int]]:
-    """Byte ranges that the marked windows cover."""
-    at = np.flatnonzero(mark)
-    if not len(at):
-        return []
-    cut = np.flatnonzero(np.diff(at) > LENGTH)
-    return list(zip(at[np.append(0, cut + 1)].tolist(), (at[np.append(cut, len(at) - 1)] + LENGTH).tolist()))
-
-
 _SPANS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
 
 
 def _sort_groups(batches):
-    """fp, ctx, n, run -> fp, ctx, spans of the run's bytes that repeat."""
+    """fp, ctx, n, run -> fp, ctx, and the bytes a to b of the run that its repeated windows cover: one range, as all
+    windows of a run hold its anchor."""
     for t in by_group(batches, ["fp"], SUFFIXES // 80):
         fp, ctx, n = (t.column(c).to_numpy() for c in ("fp", "ctx", "n"))
         texts = t.column("run").to_pylist()
-        marks = repeated(texts, [len(x) - LENGTH + 1 for x in texts])
-        out = []
-        for k, x in enumerate(texts):
-            out.append([(0, len(x))] if n[k] > 1 else _spans(marks[k]))
-        keep = [k for k, s in enumerate(out) if s]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(fp[keep]), pa.array(ctx[keep]),
-             pa.array([[{"a": a, "b": b} for a, b in out[k]] for k in keep], _SPANS)], ["fp", "ctx", "spans"])
+        keep, lo, hi = [], [], []
+        for k, mark in enumerate(repeated(texts, [len(x) - LENGTH + 1 for x in texts])):
+            at = (0, len(mark) - 1) if n[k] > 1 else np.flatnonzero(mark)
+            if len(at):
+                keep.append(k)
+                lo.append(at[0])
+                hi.append(at[-1] + LENGTH)
+        yield pa.RecordBatch.from_arrays([pa.array(fp[keep]), pa.array(ctx[keep]), pa.array(lo, pa.int32()),
+                                          pa.array(hi, pa.int32())], ["fp", "ctx", "a", "b"])
 
 
 def _cells(batches):
@@ -264,20 +257,15 @@ def repeated_spans(source: DataFrame) -> DataFrame:
     texts = distinct.join(once, "rk").select(
         "fp", "ctx", "n", "rel", F.expr("substring(bin, lo + 1, hi - lo + 200)").alias("run"))
     texts = stage(texts, "runs")
-    spans = _solved(texts)
-    own = F.explode("spans").alias("s")
-    partly = several.join(spans, ["fp", "ctx"]).select("rk", "lo", own).select(
-        "rk", (F.col("lo") + F.col("s.a")).alias("a"), (F.col("lo") + F.col("s.b")).alias("b"))
+    partly = several.join(_solved(texts), ["fp", "ctx"]).select(
+        "rk", (F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b"))
     fully = found.where("not several").select("rk", F.col("lo").alias("a"), (F.col("hi") + LENGTH).alias("b"))
     return partly.union(fully).groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("spans"))  # once for equal rows
 
 
-_SPANS_OF = "array<struct<a:int,b:int>>"
-
-
 def _sorted(groups: DataFrame) -> DataFrame:
     return groups.repartition("fp").sortWithinPartitions("fp").mapInArrow(
-        _sort_groups, f"fp long, ctx long, spans {_SPANS_OF}")
+        _sort_groups, "fp long, ctx long, a int, b int")
 
 
 def _crowded(groups: DataFrame) -> DataFrame:
@@ -285,7 +273,8 @@ def _crowded(groups: DataFrame) -> DataFrame:
 
 
 def _solved(texts: DataFrame) -> DataFrame:
-    """texts: fp, ctx, n, rel, run -> fp, ctx, spans; crowded groups by cells, crowded cells by single windows."""
+    """texts: fp, ctx, n, rel, run -> fp, ctx, a, b: a row for each run with repeated windows, the bytes that they cover.
+    Crowded groups by cells, crowded cells by single windows."""
     columns = ["fp", "ctx", "n", "run"]
     crowd = _crowded(texts)
     if crowd.isEmpty():
@@ -303,12 +292,11 @@ def _solved(texts: DataFrame) -> DataFrame:
     windows = windows.select("fp", "ctx", "n", "i", F.expr("xxhash64(substring(run, i + 1, 200))").alias("h"))
     often = windows.groupBy("fp", "h").agg(F.sum("n").alias("t")).where("t > 1").select("fp", "h")
     by_window = windows.join(often, ["fp", "h"]).groupBy("fp", "ctx").agg(
-        F.collect_list(F.struct(F.col("i").alias("a"), (F.col("i") + LENGTH).alias("b"))).alias("spans"))
-    found = by_cell.union(by_window.select("fp", "ctx", "spans")).toDF("gid", "cid", "spans")
+        F.min("i").alias("a"), (F.max("i") + LENGTH).alias("b"))
+    found = by_cell.union(by_window).toDF("gid", "cid", "a", "b")
     found = cells.select("fp", "ctx", "off", "gid", "cid").join(found, ["gid", "cid"])
-    found = found.select("fp", "ctx", F.expr(
-        "transform(spans, s -> struct(s.a + off as a, s.b + off as b))").alias("spans"))
-    return spans.union(found)
+    return spans.union(found.groupBy("fp", "ctx").agg(
+        F.min(F.col("a") + F.col("off")).alias("a"), F.max(F.col("b") + F.col("off")).alias("b")))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -81,6 +81,20 @@ def test_a_thousand_equal_rows(spark, monkeypatch):
     assert len(spans) == 2 and max(r.n for r in spans) < 40  # not more for more copies
 
 
+def test_crowded_anchors_give_one_range_a_run(spark, monkeypatch):
+    rng = random.Random(21)
+    words = lambda n: " ".join(str(rng.random()) for _ in range(n))
+    passage = words(25)
+    rows = [(i, words(3) + passage[i % 3 :] + words(3)) for i in range(14)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(substring_dedup, "CROWD", 2)  # down to single windows
+    source = df.select(F.col("text").cast("binary").alias("bin"), F.col("doc_id").alias("rk"))
+    got = {r.rk: r.spans for r in substring_dedup.repeated_spans(source).collect()}
+    assert set(got) == set(range(14))
+    assert all(len(got[i]) <= len(substring_dedup.anchor_runs(t.encode())[0]) for i, t in rows)  # not one for each window
+    assert _removed(substring_dedup.remove_repeats(df)) == dict(enumerate(brute.repeated_strings([t for _, t in rows])))
+
+
 def test_line_dedup(spark, edge, empty):
     got = line_dedup.dedup_lines(edge)
     assert got.columns == [c for c in edge.columns if c != "n_lines"] + ["n_lines", "n_removed"]
