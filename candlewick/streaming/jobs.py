@@ -57,8 +57,7 @@ _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 
 
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """Keep streaming state (trade ids inside the dedup watermark, per-symbol
-    processor state, open windows) in RocksDB on local disk with changelog
+    """Keep streaming state (open windows) in RocksDB on local disk with changelog
     checkpoints, instead of executor heap. Only when the session has not
     chosen a provider (the provider of an existing checkpoint cannot change)."""
     if _PROVIDER not in spark.conf.getAll:
@@ -271,12 +270,12 @@ def run_last_candles(trades: DataFrame, table: str, checkpoint: str, trigger: di
 
 
 def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, checkpoint: str,
-                    delay: str = "1 hour", trigger: dict | None = None, counters: str | None = None) -> StreamingQuery:
-    """K4 + S4 + X9-X11: decode, quarantine the bad messages, drop redelivered
-    trade ids within the watermark, insert-if-absent into the trade table by
-    batch and day (processed_at = load time)."""
-    use_rocksdb_state(messages.sparkSession)
-    d = decode_trades(messages)
+                    trigger: dict | None = None, counters: str | None = None) -> StreamingQuery:
+    """K4 + S4 + X9-X11: decode each message once, quarantine the bad ones, insert the trades whose id is new into the trade
+    table by batch and day (processed_at = load time). Redelivered trades are known by the table's key filters, so that no
+    state is kept beside them and a late trade is stored like any other."""
+    # accepted messages go on as their decoded columns only
+    d = decode_trades(messages).withColumn("value", F.when(F.col("reason").isNotNull(), F.col("value")))
 
     unique = UniqueTable(messages.sparkSession, table, "trade_id", "trade_date")
 
@@ -296,10 +295,7 @@ def run_trades_sink(messages: DataFrame, table: str, quarantine_path: str, check
             _count(counters, batch_id, "trades", carried.counted(written.withColumn("t", F.lit("trades")), "rows_written", "t"),
                    carried.counted(bad, "messages_rejected", "reason"))
 
-    valid_dedup = (with_event_time(d.filter(F.col("reason").isNull())).withWatermark("et", delay)
-                   .dropDuplicatesWithinWatermark(["trade_id"]).drop("et"))
-    rejected = d.filter(F.col("reason").isNotNull())
-    return _each_batch(valid_dedup.unionByName(rejected), sink, checkpoint, trigger, True)
+    return _each_batch(d, sink, checkpoint, trigger)
 
 
 def read_trades(spark: SparkSession, table: str) -> DataFrame:

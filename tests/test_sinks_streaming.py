@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from candlewick.operators import candles, detect
 from candlewick.operators import alerts as A
 from candlewick.sinks import tables
+from candlewick.sources.decode import trade_json
 from candlewick.streaming import jobs
 from candlewick.streaming.staging import stage_in_time_order
 
@@ -82,6 +83,28 @@ def test_late_rows_dropped_and_counted(spark):
     assert got.filter(F.col("window_seconds") == 60).count() == 9  # 10:00 .. 10:08 closed
 
 
+def test_trades_sink_keeps_late_trades_and_drops_redelivered_ones(spark):
+    root = _tmp()
+    src = os.path.join(root, "in")
+    t = trades(spark, [("AAPL", 100 + k, 1, "BUY", 7200 * k) for k in range(4)] + [("MSFT", 5, 2, "SELL", 10)])
+    m = t.select(F.col("seq").alias("offset"), F.col("symbol").alias("key"), trade_json(t).alias("value"))
+    # hours later: a late trade (4), copies of trades of earlier batches (0, 2), one of the same batch (3), a bad message
+    for files in ([0, 1, 1], [2], [3, 3, 0], [4, 2]):
+        part = m.where("false")
+        for k in files:
+            part = part.unionByName(m.where(F.col("offset") == k))
+        if files[0] == 4:
+            part = part.unionByName(m.where("offset = 1").withColumn("value", F.lit("{bad")))
+        part.coalesce(1).write.mode("append").parquet(src)
+        time.sleep(1.1)
+    s = jobs.file_source(spark, src, spark.read.parquet(src).schema)
+    table, bad = os.path.join(root, "table"), os.path.join(root, "bad")
+    jobs.run_trades_sink(s, table, bad, os.path.join(root, "ck"), trigger={"availableNow": True}).awaitTermination()
+    got = jobs.read_trades(spark, table).select("trade_id", "price").collect()
+    assert sorted((r.trade_id, r.price) for r in got) == [("0", 100.0), ("1", 101.0), ("2", 102.0), ("3", 103.0), ("4", 5.0)]
+    assert [(r.offset, r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [(1, "{bad", "malformed")]
+
+
 def test_chained_windows_close_without_a_trade_in_their_last_minute(spark):
     """The larger windows hang on the minutes, but close by the watermark: [10:00, 10:05) ends without a trade since 10:02,
     and its candle comes in the same micro-batch as that of a symbol that traded to the end."""
