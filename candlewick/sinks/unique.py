@@ -71,23 +71,30 @@ def _filters(batches):
 
 def _hits(batches):
     """Keys of a shard, then its filters -> keys that a day's filter may hold. Filters pass one at a time."""
-    shard, keys, h1, h2 = None, [], [], []
+    shard, held = None, []
     for batch in batches:
-        rows = batch.select(["shard", "is_key", "key", "h1", "h2", "day", "bits"]).to_pylist()
-        out = [[], []]
-        for r in rows:
-            if r["shard"] != shard:
-                shard, keys, h1, h2 = r["shard"], [], [], []
-            if r["is_key"]:
-                keys.append(r["key"])
-                h1.append(r["h1"])
-                h2.append(r["h2"])
-            elif keys:
-                for k in np.flatnonzero(may_hold(r["bits"], np.array(h1), np.array(h2))):
-                    out[0].append(keys[k])
-                    out[1].append(r["day"])
-        if out[0]:
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.string()), pa.array(out[1], pa.date32())], ["key", "day"])
+        names = batch.column("shard").to_numpy()
+        is_key = batch.column("is_key").to_numpy(zero_copy_only=False)
+        cut = np.flatnonzero((names[1:] != names[:-1]) | (is_key[1:] != is_key[:-1])) + 1
+        keys, days = [], []
+        for a, b in zip([0, *cut.tolist()], [*cut.tolist(), len(names)]):
+            if a == b:
+                continue
+            if names[a] != shard:
+                shard, held = names[a], []
+            part = batch.slice(a, b - a)
+            if is_key[a]:
+                held.append(part.select(["key", "h1", "h2"]))
+            elif held:
+                t = pa.Table.from_batches(held).combine_chunks()
+                held = t.to_batches()
+                h1, h2 = t.column("h1").to_numpy(), t.column("h2").to_numpy()
+                for day, bits in zip(part.column("day"), part.column("bits")):
+                    found = t.column("key").take(pa.array(np.flatnonzero(may_hold(bits.as_py(), h1, h2)))).to_pylist()
+                    keys += found
+                    days += [day.as_py()] * len(found)
+        if keys:
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array(days, pa.date32())], ["key", "day"])
 
 
 class UniqueTable:

@@ -9,7 +9,7 @@ from candlewick.operators import candles, detect
 from candlewick.operators import alerts as A
 from candlewick.sinks import tables
 from candlewick.sources.decode import trade_json
-from candlewick.streaming import jobs
+from candlewick.streaming import jobs, staging
 from candlewick.streaming.staging import stage_in_time_order
 
 
@@ -105,6 +105,18 @@ def test_trades_sink_keeps_late_trades_and_drops_redelivered_ones(spark):
     assert [(r.offset, r.value, r.reason) for r in spark.read.parquet(bad).collect()] == [(1, "{bad", "malformed")]
 
 
+def test_staged_slices_widen_with_their_rows(spark, monkeypatch):
+    root = _tmp()
+    src = os.path.join(root, "in")
+    t = trades(spark, [("AAPL", 100, 1, "BUY", s) for s in range(2000)])
+    monkeypatch.setattr(staging, "ROWS", 20)
+    n = stage_in_time_order(t, src, 4)
+    files = sorted((os.stat(os.path.join(src, f)).st_mtime_ns, f) for f in os.listdir(src) if f.endswith(".parquet"))
+    assert n == 500 // 20 + 1 and len(files) == 4 * n
+    seqs = [[r.seq for r in spark.read.parquet(*[os.path.join(src, f) for _, f in files[k * n : k * n + n]]).collect()] for k in range(4)]
+    assert [sorted(x) for x in seqs] == [list(range(500 * k, 500 * k + 500)) for k in range(4)]
+
+
 def test_chained_windows_close_without_a_trade_in_their_last_minute(spark):
     """The larger windows hang on the minutes, but close by the watermark: [10:00, 10:05) ends without a trade since 10:02,
     and its candle comes in the same micro-batch as that of a symbol that traded to the end."""
