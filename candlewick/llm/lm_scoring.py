@@ -12,7 +12,8 @@ text has met the node), squashed, and refined by an adaptive map from (gate, pre
 Weights and map are learnt twice. All training texts together give the start, a Newton step of the weights and a map, from
 sums of one pass in which no predictor counts the text it predicts; the map is the one under the weights before the step.
 From that start they learn online over each text, block by block of ``FIRST`` tokens at first and up to ``BLOCK`` later; in a block all decisions see the state before
-the block. Every text starts from the same state, so scores do not depend on partitions.
+the block. Every text starts from the same state, so scores do not depend on partitions. Texts of a task are worked out
+side by side, the first blocks of all, then the second, each with a state of its own.
 
 A token outside the codebook costs its escape and its spelling: bits of its bytes and an end mark, predicted under one,
 two and three previous bytes from counters learnt on the distinct training words outside the codebook, and mixed with
@@ -25,10 +26,10 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
@@ -38,8 +39,10 @@ from .common import stage, table, workers_ready
 CODEBOOK, SLOTS = 1 << 16, 1 << 18
 #: Tokens of a text's first block, and of a block at most.
 FIRST, BLOCK = 16, 512
-#: Tokens whose decisions are worked out at once.
-PIECE = 16 * BLOCK
+#: Tokens whose decisions are worked out at once, of one or many texts.
+PIECE = 64 * BLOCK
+#: Bytes of text, and distinct words, that a task holds at once.
+SLICE, WORDS = 4 << 20, 800_000
 #: Counters of a table that travel in one row.
 CHUNK = 1 << 13
 END = b""
@@ -55,32 +58,54 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def tokens(text: bytes | None) -> list[bytes]:
-    return (text.lower().split() if text else []) + [END]
+def _slices(batches):
+    """Parts of the batches with about ``SLICE`` bytes of text, with which of their texts are held out."""
+    for batch in batches:
+        rows = max(1, SLICE * batch.num_rows // (batch.column("bin").nbytes + 1))
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield part, np.array([held_out(i) for i in part.column("doc_id").to_pylist()], bool)
+
+
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """(lower-cased words of all texts, one text after the other, number of words of each text)"""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts.view(pa.string())))
+    words = split.flatten().view(pa.binary())
+    size = split.value_lengths().fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    some = pc.binary_length(words).to_numpy(zero_copy_only=False) > 0  # blanks at either end leave an empty word
+    if not some.all():
+        upto, ends = np.append(0, np.cumsum(some)), np.cumsum(size)
+        words, size = words.filter(pa.array(some)), upto[ends] - upto[ends - size]
+    return words, size
 
 
 # --- counts ---------------------------------------------------------------------------------------------------------
 
 
 def _count(batches):
-    train, other = Counter(), Counter()
-
-    def out():
-        words = list(train.keys() | other.keys())
-        rows = pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array([train[w] for w in words], pa.int64()),
-             pa.array([other[w] for w in words], pa.int64())], ["token", "c", "o"])
-        train.clear()
-        other.clear()
-        return rows
+    held, n = [], 0
 
-    for batch in batches:
-        for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("bin")):
-            (other if held_out(i) else train).update(tokens(t.as_py()))
-            if len(train) + len(other) > 400_000:
-                yield out()
-    if train or other:
-        yield out()
+    def added():
+        whole = pa.concat_tables(held).group_by("token").aggregate([("c", "sum"), ("o", "sum")])
+        return whole.select(["token", "c_sum", "o_sum"]).rename_columns(["token", "c", "o"])
+
+    for part, other in _slices(batches):
+        words, size = words_of(part.column("bin"))
+        code = words.dictionary_encode()
+        at, v = code.indices.to_numpy(), len(code.dictionary)
+        o = np.bincount(at[np.repeat(other, size)], minlength=v)
+        c = np.bincount(at, minlength=v) - o
+        token = pa.concat_arrays([code.dictionary, pa.array([END], pa.binary())])
+        held.append(pa.table({"token": token, "c": np.append(c, (~other).sum()), "o": np.append(o, other.sum())}))
+        n += v + 1
+        if n > WORDS:
+            whole = added()
+            held, n = [whole], whole.num_rows
+            if n > WORDS // 2:
+                yield from whole.to_batches()
+                held, n = [], 0
+    if held:
+        yield from added().to_batches()
 
 
 # --- code and counters ----------------------------------------------------------------------------------------------
@@ -115,28 +140,26 @@ class Code:
         self.size = np.diff(self.offset)
         depth = np.arange(len(nodes)) - np.repeat(self.offset[:-1], self.size)
         self.depth = np.minimum(depth, 15)
+        self.path = (self.nodes << 5 | self.depth << 1 | self.bits).astype(np.int32)
         ones, both = np.zeros(n), np.zeros(n)
         w = np.repeat(np.array(weights, float), self.size)
         np.add.at(both, self.nodes, w)
         np.add.at(ones, self.nodes, w * self.bits)
         self.n1, self.n0 = ones, both - ones
         self.st = stretch(self.n1, self.n0)
-        self.prior = (4 / (1 + np.exp(-self.st))).astype(np.float32)  # of ones, out of four
-
-    def spread(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(places in ``nodes`` and ``bits`` of all decisions of these tokens, index of each decision's token)"""
-        size = self.size[ids]
-        of = np.repeat(np.arange(len(ids)), size)
-        first = np.cumsum(size) - size
-        return np.arange(len(of)) - np.repeat(first - self.offset[ids], size), of
+        prior = 4 / (1 + np.exp(-self.st))
+        self.prior = (4 - prior + 1j * prior).astype(np.complex64)  # zeros and ones, four in all
 
     def decided(self, ids: np.ndarray, one: np.ndarray, two: np.ndarray):
         """(node, bit, depth, slots under the two contexts, end of each token's decisions) of all decisions."""
         size = self.size[ids]
         ends = np.cumsum(size)
-        at = np.arange(ends[-1]) + np.repeat(self.offset[ids] - ends + size, size)
-        node = self.nodes[at]
-        return (node, self.bits[at], self.depth[at], slot(np.repeat(one, size), node), slot(np.repeat(two, size), node), ends)
+        at = np.arange(ends[-1])
+        at += np.repeat(self.offset[ids] - ends + size, size)
+        path = self.path.take(at)
+        node = (path >> 5).astype(np.int64)
+        slots = (slot(np.repeat(c, size), node) for c in (one, two))
+        return node, path & 1, path >> 1 & 15, *slots, ends
 
 
 def stretch(n1, n0) -> np.ndarray:
@@ -147,18 +170,69 @@ def stretch(n1, n0) -> np.ndarray:
 _P1, _P2, _P3 = 0x9E3779B97F4A7C15 - (1 << 64), 0xC2B2AE3D27D4EB4F - (1 << 64), 0x165667B19E3779F9
 
 
-def contexts(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each token, hashes of the previous one and of the previous two (before the first: an end)."""
-    one = np.empty(len(ids), np.int64)
-    one[0], one[1:] = 0, ids[:-1] + 1
-    two = np.zeros(len(ids), np.int64)
-    two[2:] = ids[:-2] + 1
+def contexts(ids: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each token, hashes of the previous one and of the previous two of its text (before the first: an end)."""
+    one, two = np.zeros(len(ids), np.int64), np.zeros(len(ids), np.int64)
+    one[1:], two[2:] = ids[:-1] + 1, ids[:-2] + 1
+    one[place == 0] = 0
+    two[place < 2] = 0
     return one * _P1, one * _P2 + two * _P3 + 1
 
 
 def slot(context: np.ndarray, node: np.ndarray) -> np.ndarray:
-    x = (context + node) * _P2
-    return (x >> 29) & (SLOTS - 1)
+    x = context + node
+    x *= _P2
+    x >>= 29
+    x &= SLOTS - 1
+    return x
+
+
+def _places(size: np.ndarray) -> np.ndarray:
+    """Place of each token in its text."""
+    return np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
+def _groups(held: list[np.ndarray]):
+    """Groups of consecutive texts with up to ``PIECE`` tokens in all, or of one text."""
+    group, n = [], 0
+    for ids in held:
+        if group and n + len(ids) > PIECE:
+            yield group
+            group, n = [], 0
+        group.append(ids)
+        n += len(ids)
+    if group:
+        yield group
+
+
+class Book:
+    """The codebook in the tasks: numbers the tokens of texts, those outside it with ``escape``."""
+
+    def __init__(self, words: pa.Array):
+        self.words, self.escape = words, len(words)
+        end = words.index(pa.scalar(END, pa.binary())).as_py()
+        self.end = end if end >= 0 else self.escape
+
+    def ids(self, texts: pa.Array):
+        """(ids of all tokens, number of tokens of each text, words outside the codebook, index of their texts)"""
+        words, size = words_of(texts)
+        found = pc.index_in(words, value_set=self.words)
+        outside = found.is_null()
+        out = np.full(len(words) + len(size), self.end, np.int64)
+        ends = np.cumsum(size + 1)
+        inner = np.ones(len(out), bool)
+        inner[ends - 1] = False
+        out[inner] = found.fill_null(self.escape).to_numpy()
+        of = np.repeat(np.arange(len(size)), size)[outside.to_numpy(zero_copy_only=False)]
+        return out, size + 1, words.filter(outside), of
+
+    def training(self, batches):
+        """Lists of the training texts' ids."""
+        for part, other in _slices(batches):
+            texts = part.column("bin").filter(pa.array(~other))
+            if len(texts):
+                ids, size, _, _ = self.ids(texts)
+                yield np.split(ids, np.cumsum(size)[:-1])
 
 
 def spellings(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -216,31 +290,23 @@ def _stretched(n: np.ndarray) -> np.ndarray:
 
 def _train_contexts(book, code):
     def run(batches):
-        known, c = book.value, code.value
-        esc = len(known)
-        counters = np.zeros((2, 2, SLOTS), np.int64)
-        for batch in batches:
-            held, size = [], 0
-            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("bin")):
-                if not held_out(i):
-                    held.append(np.array([known.get(w, esc) for w in tokens(t.as_py())], np.int64))
-                    size += len(held[-1])
-                    if size > 40_000:
-                        _tally(counters, held, c)
-                        held, size = [], 0
-            if held:
-                _tally(counters, held, c)
+        counters = np.zeros((2, 2, SLOTS), np.uint32)
+        for held in book.value.training(batches):
+            _tally(counters, held, code.value)
         yield _chunks(counters)
 
     return run
 
 
 def _tally(counters, held, code):
-    ids, one, two = (np.concatenate(x) for x in zip(*((i, *contexts(i)) for i in held)))
-    for s in range(0, len(ids), PIECE):  # small enough for the processor's caches
-        _, bit, _, a, b, _ = code.decided(ids[s : s + PIECE], one[s : s + PIECE], two[s : s + PIECE])
-        for table_, place in zip(counters, (a, b)):
-            np.add.at(table_.reshape(-1), place + SLOTS * bit, 1)
+    for group in _groups(held):
+        ids = np.concatenate(group)
+        one, two = contexts(ids, _places(np.array([len(i) for i in group])))
+        for s in range(0, len(ids), PIECE):
+            _, bit, _, a, b, _ = code.decided(ids[s : s + PIECE], one[s : s + PIECE], two[s : s + PIECE])
+            for table_, place in zip(counters, (a, b)):
+                place += SLOTS * bit
+                np.add.at(table_.reshape(-1), place, table_.dtype.type(1))  # of its own type: much faster
 
 
 def _train_spelling(batches):
@@ -292,8 +358,16 @@ def _cell(dot: np.ndarray, gate: np.ndarray) -> np.ndarray:
     return ((dot + _LIMIT) * ((CELLS - 1) / (2 * _LIMIT)) + 0.5).astype(np.int64) + CELLS * gate
 
 
+def _of(gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The rows of ``weights`` (four float32) at these gates; a row is taken as one item."""
+    return weights.view(np.complex128).ravel().take(gate).view(np.float32).reshape(-1, 4)
+
+
 def _mixed(x: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return np.clip(np.einsum("ij,ji->i", weights, x), -_LIMIT, _LIMIT)
+    dot = weights[:, 0] * x[0]
+    for k in (1, 2, 3):
+        dot += weights[:, k] * x[k]
+    return np.clip(dot, -_LIMIT, _LIMIT)
 
 
 def _blocks(n: int) -> np.ndarray:
@@ -304,75 +378,150 @@ def _blocks(n: int) -> np.ndarray:
     return np.minimum(ends, n)
 
 
+class Piece:
+    """Decisions of texts side by side: all first blocks, then all second ones, and so on; or text by text."""
+
+    def __init__(self, code: Code, ids, one, two, text, block):
+        self.node, self.bit, depth, self.one, self.two, ends = code.decided(ids, one, two)
+        self.gate = depth.astype(np.int64)
+        cuts = np.flatnonzero((text[1:] != text[:-1]) | (block[1:] != block[:-1]))
+        first = np.append(0, cuts + 1)
+        self.size, self.text = np.diff(np.append(first, len(ids))), text[first]
+        self.block = block[first]
+        self.ends = ends[np.append(cuts, len(ids) - 1)]
+        self.starts = np.append(0, self.ends[:-1])
+
+    def spans(self) -> dict[int, list[tuple[int, int, int]]]:
+        """By text: (number, first decision, end) of its blocks."""
+        out: dict[int, list[tuple[int, int, int]]] = {}
+        for t, k, a, b in zip(*(v.tolist() for v in (self.text, self.block, self.starts, self.ends))):
+            out.setdefault(t, []).append((k, a, b))
+        return out
+
+
 class Mixer:
-    """State of one text: weights by gate, adaptive map by gate and prediction, counts of the nodes met. ``start`` is
-    where weights and map start."""
+    """Scores texts with weights by gate, an adaptive map by gate and prediction, and counts of the nodes met; each text has
+    its own. ``start`` is where weights and map start."""
 
     def __init__(self, code: Code, tables: np.ndarray, start: tuple[np.ndarray, np.ndarray] | None = None):
         self.code, self.tables, self.start = code, tables, start or plain()
-        self.seen = np.zeros(2 * len(code.st), np.float32)  # zeros met by node, then ones
-
-    def _lookup(self, node, one, two):
-        """(stretched predictions of the node alone and in the slots of both contexts, prior of ones out of four)"""
-        x = np.empty((4, len(node)), np.float32)
-        x[0] = self.code.st[node]
-        x[1] = self.tables[0][one]
-        x[2] = self.tables[1][two]
-        return x, self.code.prior[node]
-
-    def _pieces(self, ids: np.ndarray):
-        """Decisions of several blocks at once: (node, bit, depth, slots, ends of the blocks)"""
-        one, two = contexts(ids)
-        ends = _blocks(len(ids))
-        s = 0
-        for k in range(0, len(ends), 16):
-            some = ends[k : k + 16]
-            t = some[-1]
-            *parts, last = self.code.decided(ids[s:t], one[s:t], two[s:t])
-            yield *parts, last[some - s - 1]
-            s = t
-
-    def decisions(self, ids: np.ndarray, pieces=None):
-        """For each block: (stretched predictions, gates, bits). In a block all decisions see the state before it."""
-        seen, ones_at, touched = self.seen, len(self.code.st), []
-        for node, bit, depth, one, two, ends in pieces or self._pieces(ids):
-            x, prior = self._lookup(node, one, two)
-            met = node + ones_at * bit
-            a = 0
-            for b in ends.tolist():
-                here, prior_here = node[a:b], prior[a:b]
-                n1, n0 = seen[here + ones_at], seen[here]
-                x[3, a:b] = np.log((n1 + prior_here) / (n0 + (4 - prior_here)))
-                np.add.at(seen, met[a:b], np.float32(1))
-                yield x[:, a:b], depth[a:b] + 16 * (n1 + n0 > 0), bit[a:b]
-                a = b
-            touched.append(met)
-        for met in touched:
-            seen[met] = 0
+        # met by node: zeros and ones side by side, which are read as the parts of one complex number
+        self.seen = np.zeros(2 * len(code.st), np.float32)
+
+    def _pieces(self, held: list[np.ndarray], by_block: bool):
+        """Pieces of a group's decisions. Many texts are one piece, a long text may be several."""
+        size = np.array([len(ids) for ids in held])
+        ids, place, text = np.concatenate(held), _places(size), np.repeat(np.arange(len(held)), size)
+        one, two = contexts(ids, place)
+        ends = _blocks(size.max())
+        block = np.searchsorted(ends, place, "right")
+        if len(held) == 1:
+            step = PIECE // BLOCK
+            cuts = np.append(ends[step - 1 :: step], len(ids))
+            for a, b in zip(np.append(0, cuts).tolist(), cuts.tolist()):
+                if a < b:
+                    yield Piece(self.code, ids[a:b], one[a:b], two[a:b], text[a:b], block[a:b])
+            return
+        if by_block:
+            order = np.argsort(block, kind="stable")
+            ids, one, two, text, block = (v[order] for v in (ids, one, two, text, block))
+        yield Piece(self.code, ids, one, two, text, block)
+
+    def _lookup(self, piece: Piece):
+        """(stretched predictions of the node alone and in the slots of both contexts, prior of zeros and ones)"""
+        x = np.empty((4, len(piece.node)), np.float32)
+        x[0] = self.code.st.take(piece.node)
+        x[1] = self.tables[0].take(piece.one)
+        x[2] = self.tables[1].take(piece.two)
+        return x, self.code.prior.take(piece.node)
+
+    @staticmethod
+    def _within(piece: Piece, x: np.ndarray, met: np.ndarray, prior: np.ndarray) -> np.ndarray:
+        """The gates; sets the prediction from the text so far."""
+        piece.gate += 16 * (met.view(np.int64) != 0)
+        prior += met
+        n = prior.view(np.float32)
+        np.log(n[1::2] / n[::2], out=x[3])
+        return piece.gate
+
+    def _met(self, piece: Piece, own: np.ndarray | None = None, keep: bool = False) -> np.ndarray:
+        """Counts of the decisions' nodes in the blocks of their text before their own; ``own`` gets those of all blocks.
+        With ``keep`` the counts stay for the text's next piece."""
+        met, pairs, last_too = np.zeros(len(piece.node), np.complex64), self.seen.view(np.complex64), keep or own is not None
+        counter = 2 * piece.node + piece.bit
+        for spans in piece.spans().values():
+            for k, a, b in spans:
+                if k:
+                    met[a:b] = pairs.take(piece.node[a:b])
+                if last_too or b != spans[-1][2]:
+                    np.add.at(self.seen, counter[a:b], _ONE)
+            if own is not None:
+                for _, a, b in spans:
+                    own[a:b] = pairs.take(piece.node[a:b])
+            if not keep:
+                for _, a, b in spans if last_too else spans[:-1]:
+                    pairs[piece.node[a:b]] = 0
+        return met
+
+    def _predicted(self, held: list[np.ndarray], by_block: bool = True):
+        """(stretched predictions, gates, piece) of a group's pieces. In a block all decisions see the state before it."""
+        pieces = list(self._pieces(held, by_block))
+        for piece in pieces:
+            x, prior = self._lookup(piece)
+            yield x, self._within(piece, x, self._met(piece, keep=len(pieces) > 1), prior), piece
+        if len(pieces) > 1:
+            self.seen[:] = 0
+
+    def decisions(self, ids: np.ndarray):
+        """For each block of a text: (stretched predictions, gates, bits)."""
+        for x, gate, piece in self._predicted([ids]):
+            for a, b in zip(piece.starts.tolist(), piece.ends.tolist()):
+                yield x[:, a:b], gate[a:b], piece.bit[a:b]
 
     def cost(self, ids: np.ndarray) -> float:
-        weights, chart = self.start[0].copy(), self.start[1].copy()
-        total, last = 0.0, None
-        for x, gate, bit in self.decisions(ids):
-            if last is not None:
-                self._learn(weights, chart, *last)
-            dot = _mixed(x, weights[gate])
-            p = 1 / (1 + np.exp(-dot))
-            cell = _cell(dot, gate)
-            bit32 = bit.astype(np.float32)
-            charted = chart[cell]
-            refined = np.clip((3 * p + charted) / 4, 1e-4, 1 - 1e-4)
-            total += float(_cost(refined, bit32).sum(dtype=np.float64))
-            last = x, gate, cell, bit32 - p, bit32 - charted
+        return float(self.costs([ids])[0])
+
+    def costs(self, held: list[np.ndarray]) -> np.ndarray:
+        """Bits of each text."""
+        out, at = np.empty(len(held)), 0
+        order = np.argsort([-len(ids) for ids in held], kind="stable")  # so that the texts with a next block come first
+        for group in _groups([held[k] for k in order]):
+            out[order[at : at + len(group)]] = self._costs(group)
+            at += len(group)
+        return out
+
+    def _costs(self, held: list[np.ndarray]) -> np.ndarray:
+        n = len(held)
+        weights, chart = np.tile(self.start[0], (n, 1)), np.tile(self.start[1], n)
+        more = np.array([len(_blocks(len(ids))) for ids in held])  # blocks
+        total, last = np.zeros(n), None
+        for x_all, gates, piece in self._predicted(held):
+            gates += np.repeat(GATES * piece.text, piece.ends - piece.starts)
+            for k in range(int(piece.block[0]), int(piece.block[-1]) + 1):
+                lo, hi = np.searchsorted(piece.block, [k, k + 1])
+                if last is not None:
+                    self._learn(weights, chart, *last)
+                a, b = int(piece.starts[lo]), int(piece.ends[hi - 1])
+                x, gate, bit = x_all[:, a:b], gates[a:b], piece.bit[a:b].astype(np.float32)
+                dot = _mixed(x, _of(gate, weights))
+                p = 1 / (1 + np.exp(-dot))
+                cell = _cell(dot, gate)
+                charted = chart.take(cell)
+                refined = np.clip((3 * p + charted) / 4, 1e-4, 1 - 1e-4)
+                total[: hi - lo] += np.add.reduceat(_cost(refined, bit), piece.starts[lo:hi] - a)
+                on = int((more > k + 1).sum())  # texts with a next block
+                b = int(piece.ends[lo + on - 1]) - a if on else 0
+                last = on, x[:, :b], gate[:b], cell[:b], (bit - p)[:b], (bit - charted)[:b]
         return total
 
     @staticmethod
-    def _learn(weights, chart, x, gate, cell, err, off):
-        pull = RATE / np.sqrt(np.bincount(gate, minlength=GATES) + 1.0)
+    def _learn(weights, chart, texts, x, gate, cell, err, off):
+        n = GATES * texts
+        pull = RATE / np.sqrt(np.bincount(gate, minlength=n) + 1.0)
         for k in range(4):
-            weights[:, k] += pull * np.bincount(gate, err * x[k], GATES)
+            weights[:n, k] += pull * np.bincount(gate, err * x[k], n)
         # each cell moves towards its share of ones: by hits / (hits + 1 / MAP_RATE) of the way
-        chart += np.bincount(cell, off, GATES * CELLS) / (np.bincount(cell, minlength=GATES * CELLS) + 1 / MAP_RATE)
+        chart[: n * CELLS] += np.bincount(cell, off, n * CELLS) / (np.bincount(cell, minlength=n * CELLS) + 1 / MAP_RATE)
 
 
 class Learner(Mixer):
@@ -381,45 +530,70 @@ class Learner(Mixer):
 
     def __init__(self, code: Code, counts: np.ndarray, start: tuple[np.ndarray, np.ndarray]):
         super().__init__(code, counts, start)
-        # zeros and ones of a counter lie side by side, as the parts of one complex number
-        self.all = [np.ascontiguousarray(n.T, np.float32).view(np.complex64).ravel() for n in counts]
+        # zeros and ones of a counter lie side by side and are read as one number
+        self.counts = np.stack([n.T for n in counts])
+        self.left = np.minimum(self.counts, 2**32 - 1).astype(np.uint32).reshape(2, -1)
         self.all_nodes = (code.n0 + 1j * code.n1).astype(np.complex64)
-        self.own = np.zeros((2, SLOTS), np.complex64)
-        self.own_nodes = np.zeros(len(code.st), np.complex64)
-
-    def _lookup(self, node, one, two):
-        x = np.empty((4, len(node)), np.float32)
-        for k, (n, mine, place) in enumerate(((self.all_nodes, self.own_nodes, node), (self.all[0], self.own[0], one),
-                                              (self.all[1], self.own[1], two))):
-            rest = (n[place] - mine[place]).view(np.float32)
-            np.maximum(rest, 0, out=rest)  # never under 0, even where a count is too large to be exact
-            rest += np.float32(0.4)
-            np.log(rest[1::2] / rest[::2], out=x[k])
-        np.clip(x[:3], -_LIMIT, _LIMIT, out=x[:3])
-        return x, 4 / (1 + np.exp(-x[0]))
+        self.own_nodes = self.seen  # a text's own, once all its blocks are met
+
+    @property
+    def own(self) -> np.ndarray:
+        """Counts that are taken out at the moment."""
+        return self.counts.reshape(2, -1) - self.left
+
+    def _others(self, pieces: list[Piece]) -> list[list[np.ndarray]]:
+        """For each piece, the zeros and ones that other texts have in its slots under both contexts."""
+        out = [[np.empty(len(p.node), np.int64) for _ in self.left] for p in pieces]
+        parts = [(p, rest, spans[0][1], spans[-1][2]) for p, rest in zip(pieces, out) for spans in p.spans().values()]
+        for text in [parts] if len(pieces) > 1 else [[part] for part in parts]:
+            for k, n in enumerate(self.left):
+                pairs = n.view(np.int64)
+                mine = [(rest[k][a:b], at := (p.one, p.two)[k][a:b], 2 * at + p.bit[a:b]) for p, rest, a, b in text]
+                for _, _, counter in mine:
+                    np.subtract.at(n, counter, _COUNT)
+                for rest, at, _ in mine:
+                    pairs.take(at, out=rest, mode="clip")
+                for _, _, counter in mine:
+                    np.add.at(n, counter, _COUNT)
+        return out
 
     def texts(self, held: list[np.ndarray]):
-        """(stretched predictions, gates, bits) of all decisions of each text."""
-        for ids in held:
-            pieces = list(self._pieces(ids))
-            for node, bit, _, one, two, _ in pieces:
-                part = _ZERO_ONE[bit]
-                for own, place in zip((*self.own, self.own_nodes), (one, two, node)):
-                    np.add.at(own, place, part)
-            yield from self.decisions(ids, pieces)
-            for node, _, _, one, two, _ in pieces:
-                for own, place in zip((*self.own, self.own_nodes), (one, two, node)):
-                    own[place] = 0
-
-
-_ZERO_ONE = np.array([1, 1j], np.complex64)
+        """(stretched predictions, gates, bits) of all decisions of the texts, in pieces."""
+        for group in _groups(held):
+            pieces = list(self._pieces(group, False))
+            others = self._others(pieces)
+            mets, nodes = [], [np.empty(len(p.node), np.complex64) for p in pieces]
+            if len(pieces) == 1:
+                mets.append(self._met(pieces[0], nodes[0]))
+            else:
+                mets += [self._met(p, keep=True) for p in pieces]
+                for p, n in zip(pieces, nodes):
+                    n[:] = self.seen.view(np.complex64).take(p.node)
+                self.seen[:] = 0
+            for piece, rest, met, own in zip(pieces, others, mets, nodes):
+                x = np.empty((4, len(piece.node)), np.float32)
+                node = self.all_nodes.take(piece.node)
+                node -= own
+                for k, n in enumerate((node.view(np.float32), *(r.view(np.uint32).astype(np.float32) for r in rest))):
+                    if k == 0:
+                        np.maximum(n, 0, out=n)  # never under 0, even where a count is too large to be exact
+                    n += np.float32(0.4)
+                    np.log(n[1::2] / n[::2], out=x[k])
+                np.clip(x[:3], -_LIMIT, _LIMIT, out=x[:3])
+                share = 4 / (1 + np.exp(-x[0]))
+                prior = np.empty(len(share), np.complex64)
+                prior.real, prior.imag = 4 - share, share
+                yield x, self._within(piece, x, met, prior), piece.bit
+
+
+_ONE, _COUNT = np.float32(1), np.uint32(1)
 _PAIRS = [(i, j) for i in range(4) for j in range(i, 4)]
 
 
 def _slopes(x, gate, bit, dot) -> np.ndarray:
     out = np.zeros((4 + len(_PAIRS), GATES))
     p = 1 / (1 + np.exp(-dot))
-    err, bend = bit - p, p * (1 - p)
+    err, bend = bit.astype(np.float32) - p, p * (1 - p)
     for k in range(4):
         out[k] = np.bincount(gate, err * x[k], GATES)
     bent = bend * x
@@ -429,15 +603,15 @@ def _slopes(x, gate, bit, dot) -> np.ndarray:
 
 
 def _hits(x, gate, bit, dot) -> np.ndarray:
-    cell = _cell(dot, gate)
-    return np.stack([np.bincount(cell, minlength=GATES * CELLS), np.bincount(cell, bit, GATES * CELLS)])
+    n = np.bincount(2 * _cell(dot, gate) + bit, minlength=2 * GATES * CELLS).reshape(-1, 2)
+    return np.stack([n.sum(axis=1), n[:, 1]])
 
 
 def _added(learner: Learner, held: list[np.ndarray], *of) -> np.ndarray:
     """The sums that ``of`` make over all decisions, flat and one after the other."""
     total = 0
-    for x, gate, bit in _joined(learner.texts(held)):
-        dot = _mixed(x, learner.start[0][gate])
+    for x, gate, bit in learner.texts(held):
+        dot = _mixed(x, _of(gate, learner.start[0]))
         total = total + np.concatenate([f(x, gate, bit, dot).ravel() for f in of])
     return total
 
@@ -477,31 +651,14 @@ def new_map(chart: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return (sums[1] + chart / MAP_RATE) / (sums[0] + 1 / MAP_RATE)
 
 
-def _joined(blocks, size: int = 20_000):
-    """The blocks, put together to ``size`` decisions or more."""
-    held, n = [], 0
-    for block in blocks:
-        held.append(block)
-        n += len(block[1])
-        if n >= size:
-            yield tuple(np.concatenate(x, axis=-1) for x in zip(*held))
-            held, n = [], 0
-    if held:
-        yield tuple(np.concatenate(x, axis=-1) for x in zip(*held))
-
-
 def _sums(book, code, counts, start, of):
     """One row for each task: the sums that ``of`` makes over its training texts."""
 
     def run(batches):
-        known, learner = book.value, Learner(code.value, counts.value, start)
-        esc, total = len(known), None
-        for batch in batches:
-            held = [np.array([known.get(w, esc) for w in tokens(t.as_py())], np.int64)
-                    for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("bin")) if not held_out(i)]
-            if held:
-                got = of(learner, held)
-                total = got if total is None else total + got
+        learner, total = Learner(code.value, counts.value, start), None
+        for held in book.value.training(batches):
+            got = of(learner, held)
+            total = got if total is None else total + got
         if total is not None:
             yield pa.RecordBatch.from_arrays([pa.array(total.ravel().tolist()), pa.array(range(total.size), pa.int32())],
                                              ["v", "place"])
@@ -530,34 +687,33 @@ def learnt_start(source: DataFrame, book, code, counts) -> tuple[np.ndarray, np.
 
 def _score(book, code, tables, logs, start):
     def run(batches):
-        known, c, log_of = book.value, code.value, logs.value
-        esc = len(known)
-        mixer = Mixer(c, tables.value, start)
+        b, log_of = book.value, logs.value
+        mixer = Mixer(code.value, tables.value, start)
         has = np.append(log_of[1] > 0, False)
         logp = np.append(log_of[0], 0.0)
         task, row = TaskContext.get().partitionId() << 33, 0
-        for batch in batches:
-            docs, rare = [], [[], [], []]
-            for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("bin")):
-                text = t.as_py()
-                words = tokens(text)
-                ids = np.array([known.get(w, esc) for w in words], np.int64)
-                uid = task + row
-                row += 1
-                docs.append((uid, i, held_out(i), len(words), int(has[ids].sum()), float(logp[ids].sum()),
-                             mixer.cost(ids), len(text or b"")))
-                others = Counter(words[k] for k in np.flatnonzero(ids == esc).tolist())
-                rare[0] += [uid] * len(others)
-                rare[1] += others.keys()
-                rare[2] += others.values()
-            cols = list(zip(*docs)) if docs else [[]] * 8
-            m, k = len(docs), len(rare[0])
-            none = [None] * k
-            kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
-            arrays = [pa.array(list(cols[0]) + rare[0], pa.int64())]
-            arrays += [pa.array(list(v) + none, kind) for v, kind in zip(cols[1:], kinds[1:])]
-            arrays += [pa.array([None] * m + rare[1], pa.binary()), pa.array([None] * m + rare[2], pa.int64())]
-            yield pa.RecordBatch.from_arrays(arrays, _NAMES)
+        for part, other in _slices(batches):
+            text = part.column("bin")
+            ids, size, words, of = b.ids(text)
+            first, n = np.cumsum(size) - size, len(size)
+            if b.end == b.escape:
+                words = pa.concat_arrays([words, pa.array([END] * n, pa.binary())])
+                of = np.append(of, np.arange(n))
+            rare = words.dictionary_encode()
+            v = max(len(rare.dictionary), 1)
+            met, tf = np.unique(of * v + rare.indices.to_numpy(), return_counts=True)
+            uid = task + row + np.arange(n)
+            row += n
+            arrays = [uid, part.column("doc_id"), other, size, np.add.reduceat(has[ids].astype(np.int64), first),
+                      np.add.reduceat(logp[ids], first), mixer.costs(np.split(ids, first[1:])),
+                      pc.binary_length(text).fill_null(0).cast(pa.int64())]
+            arrays = [pa.array(a) if isinstance(a, np.ndarray) else a for a in arrays]
+            yield pa.RecordBatch.from_arrays(arrays + [pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], _NAMES)
+            if len(met):
+                arrays = [pa.nulls(len(met), a.type) for a in arrays]
+                arrays[0] = pa.array(uid[met // v])
+                yield pa.RecordBatch.from_arrays(
+                    arrays + [rare.dictionary.take(pa.array(met % v)), pa.array(tf.astype(np.int64))], _NAMES)
 
     return run
 
@@ -599,17 +755,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     n, v = total.n or 0, total.v or 0
     floor = n + 0.1 * (v + 1)
     top = _most_frequent(counts)
-    book = {bytes(r.token): k for k, r in enumerate(top)}
+    book = pa.array([bytes(r.token) for r in top], pa.binary())
     c = np.array([r.c for r in top], float)
     rest = max(n - int(c.sum()), 1)
     sc = spark.sparkContext
     code = sc.broadcast(Code([r.c + 1 for r in top] + [rest]))
     logs = sc.broadcast(np.stack([np.log10((c + 0.1) / floor), c]) if top else np.zeros((2, 0)))
-    known = sc.broadcast(book)
+    known = sc.broadcast(Book(book))
     met = _summed(source.mapInArrow(_train_contexts(known, code), "place int, counts binary"), 2)
     tables = sc.broadcast(_stretched(met))
     start = learnt_start(source, known, code, sc.broadcast(met.astype(np.float32)))
-    common = F.broadcast(spark.createDataFrame([(bytearray(w),) for w in book], "token binary"))
+    common = F.broadcast(spark.createDataFrame([(r.token,) for r in top], "token binary"))
     others = counts.join(common, "token", "left_anti")
     spelled = sc.broadcast(_stretched(_summed(others.where("c > 0").select("token").mapInArrow(
         _train_spelling, "place int, counts binary"), 3)))
