@@ -41,8 +41,8 @@ CODEBOOK, SLOTS = 1 << 16, 1 << 18
 FIRST, BLOCK = 16, 512
 #: Tokens whose decisions are worked out at once, of one or many texts.
 PIECE = 64 * BLOCK
-#: Bytes of text, and distinct words, that a task holds at once.
-SLICE, WORDS = 4 << 20, 800_000
+#: Bytes of text, distinct words, and words to be spelled that a task holds at once.
+SLICE, WORDS, SPELLED = 4 << 20, 800_000, 100_000
 #: Counters of a table that travel in one row.
 CHUNK = 1 << 13
 END = b""
@@ -58,13 +58,23 @@ def held_out(doc_id: int | None) -> bool:
     return zlib.crc32(b"" if doc_id is None else str(doc_id).encode()) % 10 == 0
 
 
-def _slices(batches):
-    """Parts of the batches with about ``SLICE`` bytes of text, with which of their texts are held out."""
+def _slices(batches, column: str):
+    """Parts of the batches with about ``SLICE`` bytes in a column."""
     for batch in batches:
-        rows = max(1, SLICE * batch.num_rows // (batch.column("bin").nbytes + 1))
+        rows = max(1, SLICE * batch.num_rows // (batch.column(column).nbytes + 1))
         for at in range(0, batch.num_rows, rows):
-            part = batch.slice(at, rows)
-            yield part, np.array([held_out(i) for i in part.column("doc_id").to_pylist()], bool)
+            yield batch.slice(at, rows)
+
+
+def _held_out(part: pa.RecordBatch) -> np.ndarray:
+    return np.array([held_out(i) for i in part.column("doc_id").to_pylist()], bool)
+
+
+def _parts(values: pa.Array, width: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all binary values, one after the other, as numbers of ``width`` bytes; how many each value has). No nulls."""
+    ends = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1].astype(np.int64)
+    flat = np.frombuffer(values.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    return flat.view(f"u{width}"), np.diff(ends) // width
 
 
 def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
@@ -89,7 +99,8 @@ def _count(batches):
         whole = pa.concat_tables(held).group_by("token").aggregate([("c", "sum"), ("o", "sum")])
         return whole.select(["token", "c_sum", "o_sum"]).rename_columns(["token", "c", "o"])
 
-    for part, other in _slices(batches):
+    for part in _slices(batches, "bin"):
+        other = _held_out(part)
         words, size = words_of(part.column("bin"))
         code = words.dictionary_encode()
         at, v = code.indices.to_numpy(), len(code.dictionary)
@@ -226,32 +237,91 @@ class Book:
         of = np.repeat(np.arange(len(size)), size)[outside.to_numpy(zero_copy_only=False)]
         return out, size + 1, words.filter(outside), of
 
-    def training(self, batches):
-        """Lists of the training texts' ids."""
-        for part, other in _slices(batches):
-            texts = part.column("bin").filter(pa.array(~other))
-            if len(texts):
-                ids, size, _, _ = self.ids(texts)
-                yield np.split(ids, np.cumsum(size)[:-1])
-
-
-def spellings(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(slots of the three contexts, bits, first decision of each word) of words, each with an end mark; eight decisions a
-    byte. Before a word's first byte there are end marks."""
-    b = np.frombuffer(b" ".join(words) + b" ", np.uint8).astype(np.int64)
-    size = np.fromiter(map(len, words), np.int64, len(words)) + 1
-    first = np.cumsum(size) - size
-    behind = np.arange(len(b)) - np.repeat(first, size)
-    k = np.arange(8)
-    bits = (b[:, None] >> (7 - k)) & 1
-    part = (1 << k) | (b[:, None] >> (8 - k))  # the byte's bits so far, behind a one
-    context, slots = np.zeros(len(b), np.int64), []
+
+def _encode(book, logs):
+    """One row for each text: its ids, what they add to the base score, and its words outside the codebook."""
+
+    def run(batches):
+        b, log_of = book.value, logs.value
+        has = np.append(log_of[1] > 0, False).astype(np.int64)
+        logp = np.append(log_of[0], 0.0)
+        task, row = TaskContext.get().partitionId() << 33, 0
+        for part in _slices(batches, "bin"):
+            text, n = part.column("bin"), part.num_rows
+            ids, size, words, of = b.ids(text)
+            first, ends = np.cumsum(size) - size, np.append(0, np.cumsum(size))
+            if b.end == b.escape:
+                words = pa.concat_arrays([words, pa.array([END] * n, pa.binary())])
+                of = np.append(of, np.arange(n))
+            rare = words.dictionary_encode()
+            v = max(len(rare.dictionary), 1)
+            met, tf = np.unique(of * v + rare.indices.to_numpy(), return_counts=True)
+            pairs = pa.StructArray.from_arrays([rare.dictionary.take(pa.array(met % v)), pa.array(tf.astype(np.int64))],
+                                               ["token", "tf"])
+            blobs = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((4 * ends).astype(np.int32)),
+                                                           pa.py_buffer(ids.astype(np.uint32))])
+            arrays = [pa.array(task + row + np.arange(n)), part.column("doc_id"), pa.array(_held_out(part)), pa.array(size),
+                      pa.array(np.add.reduceat(has[ids], first)), pa.array(np.add.reduceat(logp[ids], first)),
+                      pc.binary_length(text).fill_null(0).cast(pa.int64()), blobs,
+                      pa.ListArray.from_arrays(pa.array(np.searchsorted(met, v * np.arange(n + 1)).astype(np.int32)), pairs)]
+            row += n
+            yield pa.RecordBatch.from_arrays(arrays, _ENCODED)
+
+    return run
+
+
+_ENCODED = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "n_bytes", "ids", "rare"]
+_PLAIN = "uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, n_bytes long, "
+
+
+def _texts(batches):
+    """(part of a batch, ids of its texts)"""
+    for part in _slices(batches, "ids"):
+        ids, size = _parts(part.column("ids"), 4)
+        yield part, np.split(ids.astype(np.int64), np.cumsum(size)[:-1])
+
+
+def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes and end marks of the words, each behind the three before it, as one number; first place of each word). Before a
+    word's first byte there are end marks."""
+    flat, size = _parts(words)
+    b = np.full(len(flat) + len(size), 32, np.uint32)
+    ends = np.cumsum(size + 1)
+    inner = np.ones(len(b), bool)
+    inner[ends - 1] = False
+    b[inner] = flat
+    behind, out = _places(size + 1), b.copy()
     for back in (1, 2, 3):
-        before = np.full(len(b), 32, np.int64)
+        before = np.full(len(b), 32, np.uint32)
         before[back:] = np.where(behind[back:] >= back, b[:-back], 32)
-        context = context * 259 + before + 1
-        slots.append(slot((context * _P1 + 7 * back)[:, None], part * 1025).ravel())
-    return np.stack(slots), bits.ravel(), 8 * first
+        out |= before << 8 * back
+    return out, ends - size - 1
+
+
+def spellings(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(slots of the three contexts, bits) of the eight decisions of each gram's last byte."""
+    b = gram.astype(np.int64)[:, None]
+    k = np.arange(8)
+    last = b & 255
+    part = (1 << k) | (last >> (8 - k))  # the byte's bits so far, behind a one
+    context, slots = np.zeros_like(b), []
+    for back in (1, 2, 3):
+        context = context * 259 + (b >> 8 * back & 255) + 1
+        slots.append(slot(context * _P1 + 7 * back, part * 1025).ravel())
+    return np.stack(slots), ((last >> (7 - k)) & 1).ravel()
+
+
+def _many(batches):
+    """The batches' rows, ``SPELLED`` at once or more."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= SPELLED:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, n = [], 0
+    if n:
+        yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
 def _chunks(counters: np.ndarray):
@@ -288,10 +358,10 @@ def _stretched(n: np.ndarray) -> np.ndarray:
     return stretch(n[:, 1], n[:, 0])
 
 
-def _train_contexts(book, code):
+def _train_contexts(code):
     def run(batches):
         counters = np.zeros((2, 2, SLOTS), np.uint32)
-        for held in book.value.training(batches):
+        for _, held in _texts(batches):
             _tally(counters, held, code.value)
         yield _chunks(counters)
 
@@ -311,12 +381,11 @@ def _tally(counters, held, code):
 
 def _train_spelling(batches):
     counters = np.zeros((3, 2, SLOTS), np.int64)
-    for batch in batches:
-        words = batch.column("token").to_pylist()
-        for at in range(0, len(words), 2000):
-            slots, bits, _ = spellings(words[at : at + 2000])
-            for k in range(3):
-                counters[k] += np.bincount(slots[k] + SLOTS * bits, minlength=2 * SLOTS).reshape(2, SLOTS)
+    for batch in _many(batches):
+        gram, times = pa.array(grams(batch.column("token"))[0]).value_counts().flatten()
+        slots, bits = spellings(gram.to_numpy())
+        for k in range(3):
+            np.add.at(counters[k].reshape(-1), slots[k] + SLOTS * bits, np.repeat(times.to_numpy(), 8))
     yield _chunks(counters)
 
 
@@ -327,16 +396,16 @@ def _cost(p: np.ndarray, bits: np.ndarray) -> np.ndarray:
 def _spell(st):
     def run(batches):
         tables = st.value
-        for batch in batches:
-            words = batch.column("token").to_pylist()
-            cost = np.empty(len(words))
-            for at in range(0, len(words), 2000):
-                slots, bits, first = spellings(words[at : at + 2000])
-                x = sum(w * tables[k][slots[k]] for k, w in enumerate(SPELLING))
-                p = np.clip(1 / (1 + np.exp(-x)), 1e-4, 1 - 1e-4)
-                cost[at : at + len(first)] = np.add.reduceat(_cost(p, bits), first)
-            yield pa.RecordBatch.from_arrays([batch.column("token"), batch.column("c"), pa.array(cost)],
-                                             ["token", "c", "bits"])
+        for batch in _many(batches):
+            gram, first = grams(batch.column("token"))
+            code = pa.array(gram).dictionary_encode()  # few distinct ones: each is worked out once
+            slots, bits = spellings(code.dictionary.to_numpy())
+            x = sum(w * tables[k][slots[k]] for k, w in enumerate(SPELLING))
+            p = np.clip(1 / (1 + np.exp(-x)), 1e-4, 1 - 1e-4)
+            cost = _cost(p, bits).reshape(-1, 8).sum(axis=1, dtype=float)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("token"), batch.column("c"), pa.array(np.add.reduceat(cost[code.indices.to_numpy()], first))],
+                ["token", "c", "bits"])
 
     return run
 
@@ -651,12 +720,12 @@ def new_map(chart: np.ndarray, sums: np.ndarray) -> np.ndarray:
     return (sums[1] + chart / MAP_RATE) / (sums[0] + 1 / MAP_RATE)
 
 
-def _sums(book, code, counts, start, of):
+def _sums(code, counts, start, of):
     """One row for each task: the sums that ``of`` makes over its training texts."""
 
     def run(batches):
         learner, total = Learner(code.value, counts.value, start), None
-        for held in book.value.training(batches):
+        for _, held in _texts(batches):
             got = of(learner, held)
             total = got if total is None else total + got
         if total is not None:
@@ -675,54 +744,25 @@ def _total(source: DataFrame, run, shape: tuple[int, ...]) -> np.ndarray:
     return out.reshape(shape)
 
 
-def learnt_start(source: DataFrame, book, code, counts) -> tuple[np.ndarray, np.ndarray]:
+def learnt_start(source: DataFrame, code, counts) -> tuple[np.ndarray, np.ndarray]:
     """Weights and map at the start of each text, learnt from all training texts. The sums are over texts that each
     start afresh, so the result does not depend on partitions, but for rounding."""
     weights, chart = plain()
-    got = _total(source, _sums(book, code, counts, (weights, chart), both_sums), (_BOTH,))
+    got = _total(source, _sums(code, counts, (weights, chart), both_sums), (_BOTH,))
     slopes, hits = np.split(got, [(4 + len(_PAIRS)) * GATES])
     weights = new_weights(weights, slopes.reshape(-1, GATES))
     return weights.astype(np.float32), new_map(chart, hits.reshape(2, -1))
 
 
-def _score(book, code, tables, logs, start):
+def _score(code, tables, start):
     def run(batches):
-        b, log_of = book.value, logs.value
         mixer = Mixer(code.value, tables.value, start)
-        has = np.append(log_of[1] > 0, False)
-        logp = np.append(log_of[0], 0.0)
-        task, row = TaskContext.get().partitionId() << 33, 0
-        for part, other in _slices(batches):
-            text = part.column("bin")
-            ids, size, words, of = b.ids(text)
-            first, n = np.cumsum(size) - size, len(size)
-            if b.end == b.escape:
-                words = pa.concat_arrays([words, pa.array([END] * n, pa.binary())])
-                of = np.append(of, np.arange(n))
-            rare = words.dictionary_encode()
-            v = max(len(rare.dictionary), 1)
-            met, tf = np.unique(of * v + rare.indices.to_numpy(), return_counts=True)
-            uid = task + row + np.arange(n)
-            row += n
-            arrays = [uid, part.column("doc_id"), other, size, np.add.reduceat(has[ids].astype(np.int64), first),
-                      np.add.reduceat(logp[ids], first), mixer.costs(np.split(ids, first[1:])),
-                      pc.binary_length(text).fill_null(0).cast(pa.int64())]
-            arrays = [pa.array(a) if isinstance(a, np.ndarray) else a for a in arrays]
-            yield pa.RecordBatch.from_arrays(arrays + [pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64())], _NAMES)
-            if len(met):
-                arrays = [pa.nulls(len(met), a.type) for a in arrays]
-                arrays[0] = pa.array(uid[met // v])
-                yield pa.RecordBatch.from_arrays(
-                    arrays + [rare.dictionary.take(pa.array(met % v)), pa.array(tf.astype(np.int64))], _NAMES)
+        for part, held in _texts(batches):
+            yield pa.RecordBatch.from_arrays(part.columns[:-1] + [pa.array(mixer.costs(held))], _ENCODED[:-2] + ["bits"])
 
     return run
 
 
-_NAMES = ["uid", "doc_id", "held_out", "n_tokens", "n_known", "base", "bits", "n_bytes", "token", "tf"]
-_SCORED = ("uid long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, bits double, "
-           "n_bytes long, token binary, tf long")
-
-
 def _most_frequent(counts: DataFrame) -> list:
     """At most ``CODEBOOK`` tokens of the training texts, in order: all those above a count, found from a histogram with
     eight cells for each doubling."""
@@ -761,21 +801,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     sc = spark.sparkContext
     code = sc.broadcast(Code([r.c + 1 for r in top] + [rest]))
     logs = sc.broadcast(np.stack([np.log10((c + 0.1) / floor), c]) if top else np.zeros((2, 0)))
-    known = sc.broadcast(Book(book))
-    met = _summed(source.mapInArrow(_train_contexts(known, code), "place int, counts binary"), 2)
+    encoded = stage(source.mapInArrow(_encode(sc.broadcast(Book(book)), logs),
+                                      _PLAIN + "ids binary, rare array<struct<token: binary, tf: long>>"), "encoded")
+    training = encoded.where("not held_out").select("ids")
+    met = _summed(training.mapInArrow(_train_contexts(code), "place int, counts binary"), 2)
     tables = sc.broadcast(_stretched(met))
-    start = learnt_start(source, known, code, sc.broadcast(met.astype(np.float32)))
-    common = F.broadcast(spark.createDataFrame([(r.token,) for r in top], "token binary"))
+    start = learnt_start(training, code, sc.broadcast(met.astype(np.float32)))
+    common = F.broadcast(spark.createDataFrame([(bytearray(r.token),) for r in top], "token binary"))
     others = counts.join(common, "token", "left_anti")
     spelled = sc.broadcast(_stretched(_summed(others.where("c > 0").select("token").mapInArrow(
         _train_spelling, "place int, counts binary"), 3)))
     words = others.select("token", "c").mapInArrow(_spell(spelled), "token binary, c long, bits double")
-    rows = stage(source.mapInArrow(_score(known, code, tables, logs, start), _SCORED), "scored")
+    rows = stage(encoded.drop("rare").mapInArrow(_score(code, tables, start), _PLAIN + "bits double"), "scored")
     tf = F.col("tf")
-    rare = rows.where("token is not null").select("uid", "token", "tf").join(words, "token").groupBy("uid").agg(
+    rare = encoded.select("uid", F.inline("rare")).join(words, "token").groupBy("uid").agg(
         F.sum(tf * F.log10((F.col("c") + 0.1) / F.lit(floor))).alias("rare_base"), F.sum(tf * F.col("bits")).alias("rare_bits"),
         F.sum(F.when(F.col("c") > 0, tf).otherwise(0)).alias("rare_known"))
-    out = rows.where("token is null").join(rare, "uid", "left")
+    out = rows.join(rare, "uid", "left")
 
     def plus(a, b):
         return F.col(a) + F.coalesce(F.col(b), F.lit(0))

@@ -1,10 +1,12 @@
 import hashlib
 import math
 import re
+import types
 import zlib
 
 import brute
 import numpy as np
+import pyarrow as pa
 from edge import edge_rows
 
 from candlewick.llm import decontaminate, language_id, lm_scoring, mixing, secret_scan
@@ -232,6 +234,92 @@ def test_learner_leaves_its_text_out():
     assert np.allclose(np.hstack(got)[1:3], np.hstack(want)[1:3])
 
 
+def test_words_of_texts():
+    texts = [b"", None, b"  A b\x0b\x0cC\td\x1ce ", b"one", b"   ", "\u00c4 \u0130x\u00a0y \u2003".encode(), b"\xff\xfe Z", b"a\r\na"]
+    words, size = lm_scoring.words_of(pa.array([b"cut off"] + texts, pa.binary())[1:])
+    want = [(t or b"").lower().split() for t in texts]
+    assert size.tolist() == [len(w) for w in want] and words.to_pylist() == sum(want, [])
+    book = lm_scoring.Book(pa.array([b"a", b"", b"one"], pa.binary()))
+    ids, size, rare, of = book.ids(pa.array(texts, pa.binary()))
+    known = {b"a": 0, b"": 1, b"one": 2}
+    assert ids.tolist() == [known.get(w, 3) for ws in want for w in ws + [b""]] and size.tolist() == [len(w) + 1 for w in want]
+    assert list(zip(of.tolist(), rare.to_pylist())) == [(k, w) for k, ws in enumerate(want) for w in ws if w not in known]
+
+
+def _some_texts():
+    rng = np.random.default_rng(5)
+    texts = [rng.geometric(0.4, n).clip(1, 6) - 1 for n in (1, 16, 17, 3, 700, 1, 90, 5000, 40, 2100, 64)]
+    code = lm_scoring.Code((np.bincount(np.concatenate(texts), minlength=6) + 1).tolist())
+    counts = np.zeros((2, 2, lm_scoring.SLOTS))
+    lm_scoring._tally(counts, texts, code)
+    return texts, code, counts
+
+
+def test_texts_side_by_side_cost_what_each_costs_alone(monkeypatch):
+    texts, code, counts = _some_texts()
+    tables = lm_scoring._stretched(counts)
+
+    def one(ids):  # block by block, with its own state
+        weights, chart = lm_scoring.plain()
+        weights, chart, total, last = weights.copy(), chart.copy(), 0.0, None
+        for x, gate, bit in lm_scoring.Mixer(code, tables).decisions(ids):
+            if last is not None:
+                lm_scoring.Mixer._learn(weights, chart, 1, *last)
+            dot = lm_scoring._mixed(x, weights[gate])
+            p, cell = 1 / (1 + np.exp(-dot)), lm_scoring._cell(dot, gate)
+            total += lm_scoring._cost(np.clip((3 * p + chart[cell]) / 4, 1e-4, 1 - 1e-4), bit).sum()
+            last = x, gate, cell, bit - p, bit - chart[cell]
+        return total
+
+    want = [one(ids) for ids in texts]
+    for piece in (lm_scoring.PIECE, 1024):  # with 1024 the long texts are several pieces
+        monkeypatch.setattr(lm_scoring, "PIECE", piece)
+        mixer = lm_scoring.Mixer(code, tables)
+        assert np.allclose(mixer.costs(texts), want, rtol=1e-6) and not mixer.seen.any()
+
+
+def test_learning_does_not_depend_on_pieces(monkeypatch):
+    texts, code, counts = _some_texts()
+    want = sum(lm_scoring.both_sums(lm_scoring.Learner(code, counts, lm_scoring.plain()), [ids]) for ids in texts)
+    for piece in (lm_scoring.PIECE, 1024):
+        monkeypatch.setattr(lm_scoring, "PIECE", piece)
+        learner = lm_scoring.Learner(code, counts, lm_scoring.plain())
+        assert np.allclose(lm_scoring.both_sums(learner, texts), want, rtol=1e-6, atol=1e-3)
+        assert not learner.own.any() and not learner.seen.any()
+
+
+def test_spelling_counts_each_distinct_word_and_works_out_each_gram_once(monkeypatch):
+    words = [b"", b"a", b"aaaa", b"baaa", "\u00e9t\u00e9".encode(), b"aaaab"]
+    counters = np.zeros((3, 2, lm_scoring.SLOTS))
+    decisions = []
+    for w in words:
+        before = [32, 32, 32]
+        for byte in [*w, 32]:
+            for k in range(8):
+                part, bit, context, at = (1 << k) | (byte >> (8 - k)), (byte >> (7 - k)) & 1, 0, []
+                for back in range(3):
+                    context = context * 259 + before[back] + 1
+                    at.append(int(lm_scoring.slot(np.array([context * lm_scoring._P1 + 7 * (back + 1)
+                                                            & (1 << 64) - 1], np.uint64).astype(np.int64), part * 1025)[0]))
+                    counters[back, bit, at[-1]] += 1
+                decisions.append((w, at, bit))
+            before = [byte, *before[:2]]
+    batch = pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(range(6))], ["token", "c"])
+    got = np.zeros((3 * 2 * lm_scoring.SLOTS // lm_scoring.CHUNK, lm_scoring.CHUNK))
+    for r in list(lm_scoring._train_spelling([batch]))[0].to_pylist():
+        got[r["place"]] = np.frombuffer(r["counts"], np.uint32)
+    assert np.array_equal(got.reshape(counters.shape), counters)
+    tables, want = lm_scoring._stretched(counters), dict.fromkeys(words, 0.0)
+    for w, at, bit in decisions:
+        x = sum(v * tables[k][at[k]] for k, v in enumerate(lm_scoring.SPELLING))
+        want[w] -= math.log2(abs(1 - bit - min(max(1 / (1 + math.exp(-x)), 1e-4), 1 - 1e-4)))
+    seen, whole = [], lm_scoring.spellings
+    monkeypatch.setattr(lm_scoring, "spellings", lambda gram: seen.extend(gram.tolist()) or whole(gram))
+    out = list(lm_scoring._spell(types.SimpleNamespace(value=tables))([batch, batch]))[0].to_pydict()
+    assert out["token"] == words * 2 and np.allclose(out["bits"], [want[w] for w in words * 2], rtol=1e-5)
+    assert len(seen) == len(set(seen))
+
+
 def _token(body):
     return "ghp_" + body + secret_scan.base62(zlib.crc32(body.encode())).decode()
 
