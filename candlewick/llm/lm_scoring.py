@@ -662,7 +662,7 @@ _PAIRS = [(i, j) for i in range(4) for j in range(i, 4)]
 def _slopes(x, gate, bit, dot) -> np.ndarray:
     out = np.zeros((4 + len(_PAIRS), GATES))
     p = 1 / (1 + np.exp(-dot))
-    err, bend = bit.astype(np.float32) - p, p * (1 - p)
+    err, bend = bit - p, p * (1 - p)
     for k in range(4):
         out[k] = np.bincount(gate, err * x[k], GATES)
     bent = bend * x
@@ -814,7 +814,11 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     words = others.select("token", "c").mapInArrow(_spell(spelled), "token binary, c long, bits double")
     rows = stage(encoded.drop("rare").mapInArrow(_score(code, tables, start), _PLAIN + "bits double"), "scored")
     tf = F.col("tf")
-    rare = encoded.select("uid", F.inline("rare")).join(words, "token").groupBy("uid").agg(
+    # joined by a hash of the token, which sorts faster, and the token itself
+    words = words.select(F.xxhash64("token").alias("h"), F.col("token").alias("word"), "c", "bits")
+    spelt = encoded.select("uid", F.inline("rare")).withColumn("h", F.xxhash64("token")).join(words, "h").where(
+        "token <= word and token >= word")
+    rare = spelt.groupBy("uid").agg(
         F.sum(tf * F.log10((F.col("c") + 0.1) / F.lit(floor))).alias("rare_base"), F.sum(tf * F.col("bits")).alias("rare_bits"),
         F.sum(F.when(F.col("c") > 0, tf).otherwise(0)).alias("rare_known"))
     out = rows.join(rare, "uid", "left")

@@ -246,6 +246,13 @@ def test_words_of_texts():
     assert list(zip(of.tolist(), rare.to_pylist())) == [(k, w) for k, ws in enumerate(want) for w in ws if w not in known]
 
 
+def test_many_spelled_words(spark, edge, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "CODEBOOK", 8)
+    want, rows = brute.unigram(edge_rows()), lm_scoring.score(edge).collect()
+    assert all((r.held_out, r.n_tokens, r.n_known, r.train_tokens) == want[r.doc_id][:4] for r in rows)
+    assert np.allclose([r.base_score for r in rows], [want[r.doc_id][4] for r in rows])
+
+
 def _some_texts():
     rng = np.random.default_rng(5)
     texts = [rng.geometric(0.4, n).clip(1, 6) - 1 for n in (1, 16, 17, 3, 700, 1, 90, 5000, 40, 2100, 64)]
