@@ -42,7 +42,7 @@ FIRST, BLOCK = 16, 512
 #: Tokens whose decisions are worked out at once, of one or many texts.
 PIECE = 64 * BLOCK
 #: Bytes of text, distinct words, and words to be spelled that a task holds at once.
-SLICE, WORDS, SPELLED = 4 << 20, 800_000, 100_000
+SLICE, WORDS, SPELLED = 2 << 20, 800_000, 100_000
 #: Counters of a table that travel in one row.
 CHUNK = 1 << 13
 END = b""
@@ -66,6 +66,11 @@ def _slices(batches, column: str):
             yield batch.slice(at, rows)
 
 
+def _release() -> None:
+    """Give Arrow's unused memory back, as workers serve many tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def _held_out(part: pa.RecordBatch) -> np.ndarray:
     return np.array([held_out(i) for i in part.column("doc_id").to_pylist()], bool)
 
@@ -117,13 +122,16 @@ def _count(batches):
                 held, n = [], 0
     if held:
         yield from added().to_batches()
+    held.clear()
+    _release()
 
 
 # --- code and counters ----------------------------------------------------------------------------------------------
 
 
 class Code:
-    """Huffman code of the codebook: for the token numbered k, ``nodes`` and ``bits`` from offset[k] to offset[k + 1]."""
+    """Huffman code of the codebook: for the token numbered k, its decisions (node, depth and bit as one number) are
+    ``path`` from offset[k] to offset[k + 1]."""
 
     def __init__(self, weights: list[int]):
         heap = [(w, k) for k, w in enumerate(weights)]
@@ -146,16 +154,16 @@ class Code:
             nodes += [p for p, _ in path[::-1]]
             bits += [s for _, s in path[::-1]]
             offset.append(len(nodes))
-        self.nodes, self.bits = np.array(nodes, np.int64), np.array(bits, np.int64)
+        nodes, bits = np.array(nodes, np.int64), np.array(bits, np.int64)
         self.offset = np.array(offset, np.int64)
         self.size = np.diff(self.offset)
         depth = np.arange(len(nodes)) - np.repeat(self.offset[:-1], self.size)
-        self.depth = np.minimum(depth, 15)
-        self.path = (self.nodes << 5 | self.depth << 1 | self.bits).astype(np.int32)
+        depth = np.minimum(depth, 15)
+        self.path = (nodes << 5 | depth << 1 | bits).astype(np.int32)
         ones, both = np.zeros(n), np.zeros(n)
         w = np.repeat(np.array(weights, float), self.size)
-        np.add.at(both, self.nodes, w)
-        np.add.at(ones, self.nodes, w * self.bits)
+        np.add.at(both, nodes, w)
+        np.add.at(ones, nodes, w * bits)
         self.n1, self.n0 = ones, both - ones
         self.st = stretch(self.n1, self.n0)
         prior = 4 / (1 + np.exp(-self.st))
@@ -266,6 +274,7 @@ def _encode(book, logs):
                       pa.ListArray.from_arrays(pa.array(np.searchsorted(met, v * np.arange(n + 1)).astype(np.int32)), pairs)]
             row += n
             yield pa.RecordBatch.from_arrays(arrays, _ENCODED)
+        _release()
 
     return run
 
@@ -279,6 +288,7 @@ def _texts(batches):
     for part in _slices(batches, "ids"):
         ids, size = _parts(part.column("ids"), 4)
         yield part, np.split(ids.astype(np.int64), np.cumsum(size)[:-1])
+    _release()
 
 
 def grams(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -322,6 +332,7 @@ def _many(batches):
             held, n = [], 0
     if n:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    _release()
 
 
 def _chunks(counters: np.ndarray):
